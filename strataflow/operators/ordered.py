@@ -107,7 +107,7 @@ def in_order(
     if not total:
         return work(plain, df)
     large = large.select(*keys)
-    sliced = InOrder(keys, order, slices=2 * -(-total // max_rows))
+    sliced = InOrder(keys, order, slices=1 + -(-total // max_rows))
     hot = sliced.start(df.join(large, list(keys), "left_semi"))
     rest = df.join(large, list(keys), "left_anti")
     return work(plain, rest).unionByName(sliced.finish(work(sliced, hot)))

@@ -11,7 +11,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.keys import version_key
-from .dedup import keep_latest
 from .ordered import MAX_GROUP_ROWS, in_order
 
 # End of an open version, and the columns whose change opens a new one.
@@ -61,8 +60,16 @@ def _bound_versions(df: DataFrame, order) -> DataFrame:
     ).drop("_next")
 
 
-def _sequence(order, df: DataFrame, tracked) -> DataFrame:
-    """Drop versions equal to the one before, then bound the rest."""
+def _sequence(order, df: DataFrame, tracked, tied: bool = False) -> DataFrame:
+    """Reduce rows in time order to versions and bound them.
+
+    With ``tied`` several rows may share a start; the last in order stands. Rows equal to the version
+    before them open nothing. All steps use one partitioning and one sort.
+    """
+    if tied:
+        df = order.following(df, [START], "_next").where(
+            ~F.col(f"_next.{START}").eqNullSafe(F.col(START))
+        ).drop("_next")
     seen = order.previous(df, list(tracked), "_before").withColumn("_now", F.struct(*tracked))
     opening = F.col("_before").isNull() | any_changed("_before", "_now", tracked)
     return _bound_versions(seen.where(opening).drop("_before", "_now"), order)
@@ -73,12 +80,17 @@ def history_from_changelog(
 ) -> DataFrame:
     """Full version history of a change log that carries EffectiveStartDate.
 
-    Neighbours with equal tracked values merge into one version. With ``tie_break`` several rows at
-    one (key, start) are first reduced to one; without it the caller vouches that they are unique.
+    Neighbours with equal tracked values merge into one version. ``tie_break`` orders rows at one
+    (key, start), of which the last stands; without it the caller vouches that they are unique.
     """
-    if tie_break:
-        df = keep_latest(df, [*keys, START], tie_break)
-    return in_order(df, keys, [START], lambda order, rows: _sequence(order, rows, tracked), max_rows)
+    def work(order, rows):
+        return _sequence(order, rows, tracked, tied=bool(tie_break))
+
+    return in_order(df, keys, [START, *tie_break], work, max_rows, sizes_from=df.select(*keys))
+
+
+def _usable(batch: DataFrame, key: str, updated: str) -> DataFrame:
+    return batch.where(F.col(key).isNotNull() & F.col(updated).isNotNull())
 
 
 def initial_load(
@@ -87,35 +99,39 @@ def initial_load(
     max_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """First version table of a batch. A key that repeats becomes consecutive versions."""
-    staged = stage(batch.where(F.col(key).isNotNull() & F.col(updated).isNotNull()), key, updated, surrogate)
-    return history_from_changelog(staged, [key], tracked, [updated], max_rows)
+    staged = stage(_usable(batch, key, updated), key, updated, surrogate)
+    tied = staged.withColumn("_tie", F.xxhash64(*batch.columns))
+    return history_from_changelog(tied, [key], tracked, ["_tie"], max_rows).drop("_tie")
 
 
 def apply_scd2(
     target: DataFrame, batch: DataFrame, key: str = "PatientID", tracked=PATIENT_TRACKED,
     updated: str = "UpdatedTimestamp", surrogate: str = "PatientSK",
-    max_rows: int | None = MAX_GROUP_ROWS,
+    max_rows: int | None = MAX_GROUP_ROWS, small_batch: bool = False,
 ) -> DataFrame:
-    """The version table after ``batch``: changed versions closed, their successors opened, new keys added.
+    """The version table after ``batch``: changed versions closed, successors opened, new keys added.
+
+    The versions of a key and its batch rows are put in time order, so a late row, a key that repeats
+    within the batch and a rerun of the same batch all come out right. At an equal start time the
+    batch row replaces the existing version, whose surrogate key it shares.
 
-    Only keys that occur in the batch are re-sequenced; the rest of the target passes through. Because
-    the affected versions are put in time order, a late row, a key that repeats within the batch and a
-    rerun of the same batch all come out right. At an equal start time the batch row replaces the
-    existing version, whose surrogate key it shares.
+    The target is shuffled once by key. For a batch that names few keys set ``small_batch``: rows of
+    other keys then pass through a join with those keys, which Spark broadcasts if small enough.
     """
-    staged = stage(batch.where(F.col(key).isNotNull() & F.col(updated).isNotNull()), key, updated, surrogate)
-    touched = staged.select(key).distinct()
-    untouched = target.join(touched, key, "left_anti")
-    affected = target.join(touched, key, "left_semi").withColumn("_from_batch", F.lit(0))
-    arriving = staged.withColumn("_from_batch", F.lit(1))
-    rows = affected.unionByName(arriving, allowMissingColumns=True)
-
-    one_per_start = keep_latest(rows, [key, START], ["_from_batch"])
+    staged = stage(_usable(batch, key, updated), key, updated, surrogate)
+    arriving = staged.withColumns({"_from_batch": F.lit(1), "_tie": F.xxhash64(*batch.columns)})
+    if small_batch:
+        touched = staged.select(key).distinct()
+        untouched = target.join(touched, key, "left_anti")
+        target = target.join(touched, key, "left_semi")
+    existing = target.withColumns({"_from_batch": F.lit(0), "_tie": F.lit(0).cast("long")})
+    rows = existing.unionByName(arriving, allowMissingColumns=True)
     sequenced = in_order(
-        one_per_start.drop("_from_batch"), [key], [START],
-        lambda order, part: _sequence(order, part, tracked), max_rows,
-    )
-    return untouched.unionByName(sequenced, allowMissingColumns=True)
+        rows, [key], [START, "_from_batch", "_tie"],
+        lambda order, part: _sequence(order, part, tracked, tied=True), max_rows,
+        sizes_from=target.select(key).unionByName(staged.select(key)),
+    ).drop("_from_batch", "_tie")
+    return untouched.unionByName(sequenced, allowMissingColumns=True) if small_batch else sequenced
 
 
 def merge_close_only(
@@ -151,25 +167,26 @@ def version_stats(df: DataFrame) -> DataFrame:
 
 
 def violations(df: DataFrame, key: str, max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
-    """Rows of (key, problem, rows): keys with several or no current version, empty and overlapping versions."""
-    current = df.groupBy(key).agg(F.count_if(F.col(CURRENT)).alias("n"))
-    not_one = current.where("n <> 1").select(
-        key, F.when(F.col("n") > 1, "several current").otherwise("no current").alias("problem"),
-        F.col("n").alias("rows"),
-    )
-    empty = df.where(F.col(START) >= F.col(END)).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    """Rows of (key, problem, rows): keys with several or no current version, empty or overlapping
+    versions. One ordered pass and one aggregation on the same partitioning."""
 
-    def overlapping(order, part):
+    def mark(order, part):
         ahead = order.following(part, [START], "_next")
-        return ahead.where(F.col(f"_next.{START}") < F.col(END)).drop("_next")
-
-    spans = df.select(key, START, END)
-    overlap = in_order(spans, [key], [START, END], overlapping, max_rows)
-    overlap = overlap.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    return (
-        not_one.unionByName(empty.select(key, F.lit("empty version").alias("problem"), "rows"))
-        .unionByName(overlap.select(key, F.lit("overlap").alias("problem"), "rows"))
+        return ahead.withColumn("_overlap", F.col(f"_next.{START}") < F.col(END)).drop("_next")
+
+    spans = df.select(key, START, END, CURRENT)
+    marked = in_order(spans, [key], [START, END], mark, max_rows, sizes_from=df.select(key))
+    current, empty = F.count_if(F.col(CURRENT)), F.count_if(F.col(START) >= F.col(END))
+    counted = marked.groupBy(key).agg(
+        F.when(current > 1, current).alias("several current"),
+        F.when(current == 0, current).alias("no current"),
+        F.nullif(empty, F.lit(0)).alias("empty version"),
+        F.nullif(F.count_if("_overlap"), F.lit(0)).alias("overlap"),
     )
+    problems = [c for c in counted.columns if c != key]
+    return counted.select(
+        key, F.inline(F.array(*[F.struct(F.lit(p).alias("problem"), F.col(p).alias("rows")) for p in problems]))
+    ).where("rows IS NOT NULL")
 
 
 def as_current(df: DataFrame) -> DataFrame:

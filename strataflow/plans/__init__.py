@@ -1,6 +1,6 @@
 """Registered queries: the operators applied to the driver's tables, each with an SQL oracle."""
 
-from . import measures  # noqa: F401
+from . import history, measures, relational  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

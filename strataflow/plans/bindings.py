@@ -12,6 +12,7 @@ from ..functions.clinical import LAB_TESTS, critical_alert, stay_hours
 from ..functions.parsing import TIMESTAMP_FORMAT
 from ..operators import scd2, star
 from ..session import pin_utc
+from ..sources.tables import store
 
 S, I, L, D, TS = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.TimestampType()
 
@@ -105,7 +106,7 @@ def patients(spark: SparkSession, sf: str) -> DataFrame:
 def patients_second_load(spark: SparkSession, sf: str) -> DataFrame:
     """The next snapshot: a seventh of the payers change, half of those to NULL; some patients are new."""
     first = patients(spark, sf)
-    key = F.col("PatientID").cast("long")
+    key = F.col("PatientID").try_cast("long")
     payer = F.col("PrimaryInsurancePayer")
     again = first.withColumns(
         {
@@ -122,9 +123,14 @@ def first_versions(spark: SparkSession, sf: str) -> DataFrame:
     return scd2.initial_load(patients(spark, sf))
 
 
+def stored_first_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """The version table as a load finds it: written by the load before."""
+    return store(first_versions(spark, sf), "versions")
+
+
 def versions(spark: SparkSession, sf: str) -> DataFrame:
     """Patient versions after both loads."""
-    return scd2.apply_scd2(first_versions(spark, sf), patients_second_load(spark, sf))
+    return scd2.apply_scd2(stored_first_versions(spark, sf), patients_second_load(spark, sf))
 
 
 def providers(spark: SparkSession, sf: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.quality import FAILED, UNDECIDED, Rule, is_invalid, is_valid, observed, quarantine_columns
+from ..session import scratch_path
 
 _LOG = "_published"
 VERSIONS = T.StructType(
@@ -139,6 +140,13 @@ def read_quarantine(spark: SparkSession, root: str, schema: T.StructType) -> Dat
     return paths.where(F.col("side") == "quarantine").drop("side")
 
 
+def store(df: DataFrame, name: str = "stored") -> DataFrame:
+    """Write to a new path of the shared scratch folder and read back: cuts the lineage for good."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def create_table(spark: SparkSession, name: str, schema: T.StructType, path: str) -> None:
     """Create or replace a catalog table with a declared schema at a given place."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
