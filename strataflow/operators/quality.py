@@ -228,3 +228,21 @@ DRIFT_SCHEMA = "ColumnName string, Issue string, Expected string, Found string"
 
 def drift_report(df: DataFrame, contract: T.StructType) -> DataFrame:
     return df.sparkSession.createDataFrame(drift(df, contract), DRIFT_SCHEMA)
+
+
+def drift_profile(df: DataFrame, contract: T.StructType) -> DataFrame:
+    """The drift report, with the number of rows that hold a value in each column concerned."""
+    rows = drift(df, contract)
+    counted = [
+        F.struct(
+            F.lit(name).alias("ColumnName"), F.lit(issue).alias("Issue"),
+            F.lit(expected).cast("string").alias("Expected"), F.lit(found).cast("string").alias("Found"),
+            (F.lit(0).cast("long") if issue == "missing" else F.col(f"n{i}")).alias("RowsWithValue"),
+        )
+        for i, (name, issue, expected, found) in enumerate(rows)
+    ]
+    if not rows:
+        return df.sparkSession.createDataFrame([], DRIFT_SCHEMA + ", RowsWithValue long")
+    present = [F.count(r[0]).alias(f"n{i}") for i, r in enumerate(rows) if r[1] != "missing"]
+    counts = df.agg(F.count(F.lit(1)).alias("_all"), *present)
+    return counts.select(F.inline(F.array(*counted)))
