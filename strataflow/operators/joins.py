@@ -65,3 +65,11 @@ def as_of(
         {c: F.lit(None).cast(versions.schema[c].dataType) for c in add}
     )
     return result.unionByName(unplaced)
+
+
+def replicated(dim: DataFrame, max_rows: int = 500_000) -> DataFrame:
+    """The dimension marked for broadcast if it has at most ``max_rows`` rows, else unmarked.
+
+    The check reads no more than ``max_rows + 1`` rows. Past the bound Spark's own size rule decides.
+    """
+    return F.broadcast(dim) if dim.limit(max_rows + 1).count() <= max_rows else dim

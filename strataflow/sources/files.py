@@ -12,14 +12,14 @@ def read_csv(spark: SparkSession, path: str, contract: T.StructType) -> DataFram
     return spark.read.schema(text_contract(contract)).option("header", True).csv(path)
 
 
-def read_json_lines(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
-    return spark.read.schema(contract).json(path)
+def read_json_lines(spark: SparkSession, path: str, contract: T.StructType, **options) -> DataFrame:
+    return spark.read.schema(contract).options(**options).json(path)
 
 
-def read_json_array(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
+def read_json_array(spark: SparkSession, path: str, contract: T.StructType, **options) -> DataFrame:
     """Documents that span lines, such as one indented array. Such a file cannot be split: land large
     data as JSON lines."""
-    return spark.read.schema(contract).option("multiLine", True).json(path)
+    return spark.read.schema(contract).options(multiLine=True, **options).json(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet") -> DataFrame:

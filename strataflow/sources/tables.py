@@ -7,7 +7,7 @@ reader never sees the files of two versions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.quality import FAILED, UNDECIDED, Rule, is_invalid, is_valid, observed, quarantine_columns
@@ -84,6 +84,19 @@ def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
     return df.select(*cols, *[c for c in df.columns if c not in contract.names])
 
 
+def land(df: DataFrame, path: str, run_id: str, name: str, high: str | None = None) -> dict:
+    """Write one run's rows and count them on the way; ``high`` also reports that column's maximum.
+
+    Landing the same run again replaces its rows.
+    """
+    seen = Observation(f"{name}-{run_id}")
+    measures = [F.count(F.lit(1)).alias("rows")]
+    if high:
+        measures.append(F.max(high).alias("high"))
+    write_run(df.observe(seen, *measures), path, run_id)
+    return seen.get
+
+
 def gate(df: DataFrame, rules: list[Rule], root: str, run_id: str) -> dict:
     """Validate, write both sides and count every rule: one scan, one job.
 
