@@ -50,7 +50,7 @@ def c03(spark, sf):
 
 
 @query("c03_update_watermark", """
-SELECT SourceID, SourceID = 0 AS moved, (SELECT count(*) FROM ctl WHERE SourceSystem = 'HOUSEHOLD' AND EntityName = 'Customer#000000000') AS rows_updated FROM ctl""")
+SELECT SourceID, SourceSystem = 'HOUSEHOLD' AND EntityName = 'Customer#000000000' AS moved, (SELECT count(*) FROM ctl WHERE SourceSystem = 'HOUSEHOLD' AND EntityName = 'Customer#000000000') AS rows_updated FROM ctl""")
 def c03_one(spark, sf):
     """The single-entity form, with the number of rows set."""
     new, n = control.advance_watermark(b.control(spark, sf), "HOUSEHOLD", "Customer#000000000", dt.datetime(2024, 5, 1))
