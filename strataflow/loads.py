@@ -8,8 +8,9 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from .contracts import ENTITIES
+from .contracts import ENTITIES, text_contract
 from .functions.parsing import parse
 from .operators import control as ctl
 from .operators.quality import Rule
@@ -17,7 +18,7 @@ from .operators.scd2 import apply_scd2, initial_load
 from .sources.files import read_csv, read_json_array, read_json_lines, with_provenance
 from .sources.jdbc import append_audit
 from .sources.tables import gate, land, publish, read_current, table_exists
-from .contracts import text_contract
+from .streaming.vitals import progress
 
 INGEST = "INGEST_RAW_TO_BRONZE"
 ALL_ENTITIES = "ALL_BATCH_ENTITIES"
@@ -108,3 +109,15 @@ def load_versions(batch: DataFrame, root: str, run_id: str, **opts) -> int:
     else:
         result = apply_scd2(read_current(spark, root), batch, **opts)
     return publish(result, root, run_id)
+
+
+def log_stream(spark: SparkSession, query: StreamingQuery, sink: str | dict, entity: str = "PatientVitals") -> None:
+    """Write what a stream has read so far to the run log."""
+    seen = progress(query)
+    failure = query.exception()
+    status = ctl.FAILED if failure else ctl.STARTED if seen["active"] else ctl.SUCCESS
+    event = ctl.run_event(
+        spark, str(query.runId), entity, "BRONZE", status, query.name or "STREAM_VITALS_TO_BRONZE",
+        seen["input_rows"], 0, str(failure) if failure else None,
+    )
+    append_audit(event, sink)

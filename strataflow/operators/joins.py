@@ -27,35 +27,57 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 
 def as_of(
     facts: DataFrame, versions: DataFrame, key: str, at: str, start: str, end: str, add,
-    max_rows: int | None = MAX_GROUP_ROWS,
+    max_rows: int | None = MAX_GROUP_ROWS, broadcast_rows: int = 500_000, versions_per_key: int = 64,
+    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add the columns of the version valid at each fact's time (start <= time < end).
 
-    Facts and versions are merged into one sequence per key, and every fact takes the last version
-    seen before it. The work grows with facts plus versions, never with their product, however many
-    versions a key has. Versions of one key must not overlap. Facts without key, time or valid version
-    keep NULLs.
+    Versions of one key must not overlap. Facts without key, time or valid version keep NULLs.
+
+    One count over the versions' keys picks the way. At most ``broadcast_rows`` versions, at most
+    ``versions_per_key`` of one key: they are broadcast and the facts are not shuffled. Otherwise facts
+    and versions merge into one sequence per key, where each fact takes the last version before it: the
+    work grows with facts plus versions, never with their product. ``sizes_from`` may name a cheaper
+    table with at least the facts' rows per key, to look for hot keys in.
     """
+    known = versions.where(F.col(key).isNotNull() & F.col(start).isNotNull())
+    per_key = known.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    size = per_key.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
+    if (size.rows or 0) <= broadcast_rows and (size.most or 0) <= versions_per_key:
+        return _as_of_broadcast(facts, known, key, at, start, end, add)
+    return _as_of_merged(facts, known, key, at, start, end, add, max_rows, sizes_from)
+
+
+def _as_of_broadcast(facts, versions, key, at, start, end, add) -> DataFrame:
+    side = versions.select(
+        F.col(key).alias("_key"), F.col(start).alias("_start"), F.col(end).alias("_end"), *add
+    )
+    valid = (F.col(key) == F.col("_key")) & (F.col("_start") <= F.col(at)) & (F.col(at) < F.col("_end"))
+    return facts.join(F.broadcast(side), valid, "left").drop("_key", "_start", "_end")
+
+
+def _as_of_merged(facts, versions, key, at, start, end, add, max_rows, sizes_from) -> DataFrame:
     version = F.struct(F.col(end).alias("_end"), *[F.col(c) for c in add])
-    fact = F.struct(*facts.columns)
-    known = versions.where(F.col(key).isNotNull() & F.col(start).isNotNull()).select(
+    known = versions.select(
         F.col(key).alias("_key"), F.col(start).alias("_at"), F.lit(0).alias("_kind"),
         F.lit(None).cast("long").alias("_tie"), version.alias("_version"),
     )
     placed = F.col(key).isNotNull() & F.col(at).isNotNull()
     located = facts.where(placed).select(
         F.col(key).alias("_key"), F.col(at).alias("_at"), F.lit(1).alias("_kind"),
-        F.xxhash64(*facts.columns).alias("_tie"), fact.alias("_fact"),
+        F.xxhash64(*facts.columns).alias("_tie"), F.struct(*facts.columns).alias("_fact"),
     )
     merged = known.unionByName(located, allowMissingColumns=True)
-    keys_only = facts.where(placed).select(F.col(key).alias("_key"))
+    counted = facts if sizes_from is None else sizes_from
+    fact_keys = counted.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"))
 
     def carry(order, rows):
         seen = order.last_seen(rows, "_version", "_valid")
         return seen.where(F.col("_kind") == 1).select("_fact", "_at", "_valid")
 
     joined = in_order(
-        merged, ["_key"], ["_at", "_kind", "_tie"], carry, max_rows, sizes_from=keys_only
+        merged, ["_key"], ["_at", "_kind", "_tie"], carry, max_rows,
+        sizes_from=fact_keys.unionByName(known.select("_key")),
     )
     inside = F.col("_at") < F.col("_valid._end")
     result = joined.select(

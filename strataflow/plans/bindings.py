@@ -49,9 +49,10 @@ def _id(col: str) -> F.Column:
 
 
 def encounters(spark: SparkSession, sf: str) -> DataFrame:
+    # The flag is one letter; taken as a number its minimum stays in a hash aggregate, without a sort.
     stays = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
         F.max("l_shipdate").alias("DischargeTimestamp"), F.min("l_suppkey").alias("s_suppkey"),
-        F.min("l_returnflag").alias("AdmitReason"),
+        F.min(F.ascii("l_returnflag")).alias("reason"),
     )
     homes = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     orders = table(spark, sf, "orders").withColumnRenamed("o_orderdate", "AdmitTimestamp")
@@ -67,7 +68,7 @@ def encounters(spark: SparkSession, sf: str) -> DataFrame:
         "AdmitTimestamp",
         "DischargeTimestamp",
         stay_hours().alias("LengthOfStayHours"),
-        "AdmitReason",
+        F.char("reason").alias("AdmitReason"),
         F.col("o_orderstatus").alias("DischargeStatus"),
         F.col("o_totalprice").cast("decimal(12,2)").alias("TotalBilledAmount"),
     )
@@ -115,7 +116,7 @@ def patients_second_load(spark: SparkSession, sf: str) -> DataFrame:
             "UpdatedTimestamp": F.lit(SECOND_LOAD).cast("timestamp"),
         }
     )
-    new = again.where(key % 100 == 0).withColumn("PatientID", F.concat(F.lit("NEW_"), "PatientID"))
+    new = again.where(F.col("State") == "07").withColumn("PatientID", F.concat(F.lit("NEW_"), "PatientID"))
     return again.unionByName(new)
 
 
@@ -331,7 +332,7 @@ pat_again AS (
     TIMESTAMP '{SECOND_LOAD}' AS UpdatedTimestamp) FROM pat),
 pat2 AS (
   SELECT * FROM pat_again UNION ALL
-  SELECT * REPLACE ('NEW_' || PatientID AS PatientID) FROM pat_again WHERE CAST(PatientID AS BIGINT) % 100 = 0),
+  SELECT * REPLACE ('NEW_' || PatientID AS PatientID) FROM pat_again WHERE State = '07'),
 ver1 AS (
   SELECT *, md5(PatientID || '||{FIRST_LOAD}') AS PatientSK, TRUE AS IsCurrent,
     UpdatedTimestamp AS EffectiveStartDate, TIMESTAMP '9999-12-31 23:59:59' AS EffectiveEndDate FROM pat),

@@ -136,13 +136,13 @@ def m09_none(spark, sf):
 
 @query("m10_late_change", f"""
 , allrows AS (SELECT PatientID, PrimaryInsurancePayer, EffectiveStartDate AS t FROM ver
-  UNION ALL SELECT PatientID, 'LATE', TIMESTAMP '1996-06-01' FROM pat WHERE CAST(PatientID AS BIGINT) % 5 = 0)
+  UNION ALL SELECT PatientID, 'LATE', TIMESTAMP '1996-06-01' FROM pat WHERE PrimaryLanguage = 'Spanish')
 SELECT md5(PatientID || '||' || t) AS PatientSK, PatientID, PrimaryInsurancePayer, lead(t) OVER w IS NULL AS IsCurrent,
   {ts('t', scd2.START)}, {ts("coalesce(lead(t) OVER w, TIMESTAMP '9999-12-31 23:59:59')", scd2.END)}
 FROM allrows WINDOW w AS (PARTITION BY PatientID ORDER BY t)""".lstrip())
 def m10(spark, sf):
     """A change that arrives after a later one is put in its place in time."""
-    late = b.patients(spark, sf).where(F.col("PatientID").try_cast("long") % 5 == 0).withColumns(
+    late = b.patients(spark, sf).where(F.col("PrimaryLanguage") == "Spanish").withColumns(
         {
             "PrimaryInsurancePayer": F.lit("LATE"),
             "UpdatedTimestamp": F.lit("1996-06-01").cast("timestamp"),

@@ -10,6 +10,7 @@ from ..functions.parsing import decode_json
 from ..contracts import VITALS_PAYLOAD
 from ..operators import control, dedup, joins, marts, quality, scd2, star
 from ..operators.ordered import in_order
+from ..sources.tables import store
 from . import bindings as b
 from .registry import day, num, plain, query, ts
 
@@ -206,11 +207,24 @@ def j09(spark, sf):
     return rows.select("ProviderID", "ProviderName", "DepartmentName", "FacilityName")
 
 
-@query("j10_as_of_patient_version", """
+_AS_OF = """
 SELECT EncounterID, PatientSK FROM enc e LEFT JOIN ver v
-  ON e.PatientID = v.PatientID AND AdmitTimestamp >= EffectiveStartDate AND AdmitTimestamp < EffectiveEndDate""")
+  ON e.PatientID = v.PatientID AND AdmitTimestamp >= EffectiveStartDate AND AdmitTimestamp < EffectiveEndDate"""
+
+
+@query("j10_as_of_patient_version", _AS_OF)
 def j10(spark, sf):
-    fact = star.fact_encounters_as_of(b.encounters(spark, sf), b.versions(spark, sf))
+    fact = star.fact_encounters_as_of(b.encounters(spark, sf), store(b.versions(spark, sf)))
+    return fact.select("EncounterID", "PatientSK")
+
+
+@query("j10_as_of_merged", _AS_OF)
+def j10_merged(spark, sf):
+    """The same where the versions are too many to broadcast: one ordered pass over both."""
+    admissions = b.table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("PatientID"))
+    fact = star.fact_encounters_as_of(
+        b.encounters(spark, sf), store(b.versions(spark, sf)), broadcast_rows=0, sizes_from=admissions
+    )
     return fact.select("EncounterID", "PatientSK")
 
 
@@ -225,7 +239,7 @@ def j10_log(spark, sf):
         "o_orderkey", F.col("o_custkey").alias("user_id"),
         F.expr("timestamp'2024-01-01' + make_interval(0, 0, 0, 0, cast(o_orderkey % 720 as int))").alias("placed_at"),
     )
-    log = scd2.history_from_changelog(b.changelog(spark, sf), ["user_id"], ["event_type"])
+    log = store(scd2.history_from_changelog(b.changelog(spark, sf), ["user_id"], ["event_type"]))
     return plain(
         joins.as_of(facts, log, "user_id", "placed_at", scd2.START, scd2.END, ["event_type"]).drop("user_id")
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import loads
 from ..session import pin_utc, scratch_path
 from ..streaming import vitals as stream
 from . import bindings as b
@@ -114,8 +115,10 @@ def st09(spark, sf):
     return spark.read.parquet(out).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("st10_progress", "SELECT count(*) AS input_rows, FALSE AS active FROM events")
+@query("st10_progress", "SELECT 'PatientVitals' AS SourceEntity, 'SUCCESS' AS Status, count(*) AS RecordsIngested FROM events")
 def st10(spark, sf):
+    """The finished stream as a row of the run log."""
+    log = scratch_path(spark, "run_log")
     _, _, running = _bronze(spark, sf)
-    seen = stream.progress(running)
-    return spark.createDataFrame([(seen["input_rows"], seen["active"])], "input_rows long, active boolean")
+    loads.log_stream(spark, running, log)
+    return spark.read.parquet(log).select("SourceEntity", "Status", "RecordsIngested")

@@ -17,6 +17,13 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
 }
 
+# For stateful streams: state beyond executor memory lives in RocksDB, checkpointed as changes.
+STREAM_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def build_session(app: str = "strataflow", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)

@@ -8,8 +8,12 @@ from ..contracts import text_contract
 
 
 def read_csv(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
-    """CSV with header, every column as text. Type it with functions.parsing.parse_text."""
-    return spark.read.schema(text_contract(contract)).option("header", True).csv(path)
+    """CSV with header, every column as text. Type it with functions.parsing.parse_text.
+
+    A header that differs from the contract is an error; without that check Spark would take the
+    columns by position.
+    """
+    return spark.read.schema(text_contract(contract)).options(header=True, enforceSchema=False).csv(path)
 
 
 def read_json_lines(spark: SparkSession, path: str, contract: T.StructType, **options) -> DataFrame:

@@ -131,8 +131,10 @@ def test_only_groups_over_the_bound_are_split(spark):
     assert {(r.k, r.sliced) for r in marked.collect()} == {("a", True), ("b", False), ("c", False), ("d", False)}
 
 
-@pytest.mark.parametrize("max_rows", [None, 10])
-def test_as_of_equals_brute_force(spark, max_rows):
+@pytest.mark.parametrize("opts", [
+    {"versions_per_key": 10_000}, {"broadcast_rows": 0, "max_rows": None}, {"broadcast_rows": 0, "max_rows": 10}, {},
+])
+def test_as_of_equals_brute_force(spark, opts):
     data, log = random_log(spark, 7)
     versions = scd2.history_from_changelog(log, ["k"], ["state"], max_rows=None)
     # Leave a gap: one version ends early, so some facts have no valid version.
@@ -147,7 +149,7 @@ def test_as_of_equals_brute_force(spark, max_rows):
         i: next((s for k2, a, z, s in known if k is not None and at is not None and k2 == k and a <= at < z), None)
         for i, k, at in facts
     }
-    got = as_of(fact_df, cut, "k", "at", scd2.START, scd2.END, ["state"], max_rows=max_rows).collect()
+    got = as_of(fact_df, cut, "k", "at", scd2.START, scd2.END, ["state"], **opts).collect()
     assert {r.id: r.state for r in got} == wanted and len(got) == len(facts)
 
 

@@ -64,8 +64,13 @@ def test_scd2_shuffles_the_target_once(spark, tmp_path):
 def test_as_of_is_no_nested_loop_and_no_pair_join(spark):
     facts = b.table(spark, SF, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"), F.col("o_orderdate").alias("at"))
     log = b.changelog(spark, SF).withColumn(scd2.END, scd2.open_end())
-    text = simple(joins.as_of(facts, log, "user_id", "at", scd2.START, scd2.END, ["event_type"]))
-    assert "NestedLoop" not in text and "Cartesian" not in text and "Join" not in text
+    args = (facts, log, "user_id", "at", scd2.START, scd2.END, ["event_type"])
+    merged = simple(joins.as_of(*args, broadcast_rows=0))
+    assert "NestedLoop" not in merged and "Cartesian" not in merged and "Join" not in merged
+    many = simple(joins.as_of(*args, versions_per_key=1))
+    assert "Join" not in many
+    small = simple(joins.as_of(*args, versions_per_key=10_000))
+    assert small.count("BroadcastHashJoin") == 1 and "hashpartitioning" not in small
 
 
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if n[0] in "ajpwouq" and not n.startswith("q0")))

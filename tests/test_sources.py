@@ -19,6 +19,12 @@ def test_zip_code_keeps_its_zero(spark, tmp_path):
     assert row.UpdatedTimestamp == dt.datetime(2025, 1, 1, 10)
 
 
+def test_csv_header_must_match_the_contract(spark, tmp_path):
+    (tmp_path / "d.csv").write_text("DepartmentName,DepartmentID,FacilityName\nICU,D1,North\n")
+    with pytest.raises(Exception, match="header"):
+        files.read_csv(spark, str(tmp_path), contracts.DEPARTMENTS).collect()
+
+
 def test_json_array_document(spark, tmp_path):
     labs = [
         {"LabResultID": f"L{i}", "EncounterID": "E1", "PatientID": "P1", "TestCode": "LOINC_2823-3", "TestName": "Potassium",

@@ -4,6 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from strataflow.session import STREAM_CONF
 from strataflow.streaming import vitals as stream
 
 NOON = dt.datetime(2025, 1, 1, 12)
@@ -62,7 +63,11 @@ def test_restart_reads_only_what_is_new(spark, landed):
     assert spark.read.parquet(str(landed / "out")).count() == 9
 
 
-def test_late_duplicate_within_the_delay_is_removed(spark, tmp_path):
+@pytest.mark.parametrize("conf", [{}, STREAM_CONF])
+def test_late_duplicate_within_the_delay_is_removed(spark, tmp_path, conf):
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+
     def run():
         events = stream.bronze(stream.read_events(spark, "parquet", str(tmp_path / "in")))
         rows = stream.silver(events.where("status = 'ok'"), "30 minutes").select("TelemetryID", "EventTimestamp")
@@ -74,6 +79,8 @@ def test_late_duplicate_within_the_delay_is_removed(spark, tmp_path):
     run()
     got = sorted(r.TelemetryID for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == ["a", "b", "c"]
+    for key in conf:
+        spark.conf.unset(key)
 
 
 def test_gold_stream_keeps_unknown_patients(spark, tmp_path):
