@@ -95,6 +95,17 @@ def st07(spark, sf):
     return plain(spark.read.schema(rows.schema).parquet(out))
 
 
+@query("st07_dedup_for_all_time", f"SELECT TelemetryID, DeviceID, {ts('EventTimestamp')} FROM vit")
+def st07_exact(spark, sf):
+    """Every reading delivered twice and the stream replayed from the start, kept once."""
+    out = scratch_path(spark, "silver")
+    for _ in range(2):
+        rows = b.vitals_of(events_stream(pin_utc(spark), sf)).withColumn("event_date", F.to_date("EventTimestamp"))
+        twice = rows.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_copy")
+        stream.write_silver(twice, out, scratch_path(spark, "offsets"), trigger=None).awaitTermination()
+    return plain(spark.read.parquet(out).select("TelemetryID", "DeviceID", "EventTimestamp"))
+
+
 @query("st08_malformed_routing", """
 SELECT CAST(TelemetryID AS BIGINT) AS _kafka_offset, CASE WHEN DeviceID = 'error' THEN 'malformed' ELSE 'ok' END AS status,
   CASE WHEN DeviceID = 'error' THEN 40 END AS kept_length FROM vit""")

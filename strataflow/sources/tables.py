@@ -19,15 +19,19 @@ VERSIONS = T.StructType(
 )
 
 
-def _log(spark: SparkSession, root: str) -> DataFrame | None:
+def read_if_present(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     try:
-        return spark.read.schema(VERSIONS).parquet(f"{root}/{_LOG}")
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as missing:
         if "PATH_NOT_FOUND" not in str(missing):
             raise
         return None
 
 
+def _log(spark: SparkSession, root: str) -> DataFrame | None:
+    return read_if_present(spark, f"{root}/{_LOG}", VERSIONS)
+
+
 def current_version(spark: SparkSession, root: str) -> int | None:
     log = _log(spark, root)
     return None if log is None else log.agg(F.max("version")).first()[0]

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..contracts import VITALS_PAYLOAD
 from ..functions.parsing import decode_json
+from ..operators.dedup import keep_latest, keep_latest_with_nulls
 from ..operators.star import fact_vitals
+from ..sources.tables import read_if_present
 
 # Name of the source in the audit columns, and the trigger interval.
 SOURCE_SYSTEM = "BEDSIDE_ICU_EVENT_HUBS"
@@ -64,23 +68,25 @@ def envelope(stream: DataFrame) -> DataFrame:
 
 
 def decode(enveloped: DataFrame, payload: T.StructType = VITALS_PAYLOAD) -> DataFrame:
-    """Payload fields as columns. ``_malformed`` is the payload text of a row that cannot be used."""
+    """Payload fields as columns, event time parsed from ISO-8601 text with offset.
+
+    ``_malformed`` is the payload text of a row that cannot be used: it does not fit the contract, has
+    no TelemetryID or no readable event time.
+    """
     data = enveloped.withColumn("data", decode_json(F.col("json_payload"), payload))
     flat = data.select("json_payload", "data.*", "_kafka_partition", "_kafka_offset", "kafka_enqueued_time")
-    unusable = F.col("_corrupt_record").isNotNull() | F.col("TelemetryID").isNull()
-    return flat.withColumn(
+    timed = flat.withColumn("EventTimestamp", F.col("EventTimestamp").try_cast("timestamp"))
+    unusable = (
+        F.col("_corrupt_record").isNotNull() | F.col("TelemetryID").isNull() | F.col("EventTimestamp").isNull()
+    )
+    return timed.withColumn(
         "_malformed", F.when(unusable, F.coalesce("json_payload", F.lit("")))
     ).drop("_corrupt_record", "json_payload")
 
 
-def event_time(decoded: DataFrame) -> DataFrame:
-    """ISO-8601 text with offset to a timestamp."""
-    return decoded.withColumn("EventTimestamp", F.col("EventTimestamp").try_cast("timestamp"))
-
-
 def bronze(stream: DataFrame) -> DataFrame:
     """Decoded rows with audit columns; ``status`` routes malformed payloads, none are dropped."""
-    rows = event_time(decode(envelope(stream)))
+    rows = decode(envelope(stream))
     return rows.withColumns(
         {
             "_ingested_at": F.current_timestamp(),
@@ -111,11 +117,64 @@ def write_bronze(stream: DataFrame, path: str, checkpoint: str, trigger: str | N
 
 
 def silver(bronze_rows: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """One row per TelemetryID. State is kept for ``delay`` behind the latest event time."""
-    usable = bronze_rows.where(F.col("TelemetryID").isNotNull() & F.col("EventTimestamp").isNotNull())
-    if usable.isStreaming:
-        return usable.withWatermark("EventTimestamp", delay).dropDuplicatesWithinWatermark(["TelemetryID"])
-    return usable.dropDuplicates(["TelemetryID"])
+    """One row per TelemetryID, the earliest.
+
+    On a stream, state is kept for ``delay`` behind the latest event time and rows older than that are
+    not emitted; where late redelivery matters use write_silver. On a batch all rows count, and rows
+    without TelemetryID pass through to the rules.
+    """
+    if bronze_rows.isStreaming:
+        return bronze_rows.withWatermark("EventTimestamp", delay).dropDuplicatesWithinWatermark(["TelemetryID"])
+    return keep_latest_with_nulls(bronze_rows, ["TelemetryID"], [F.col("EventTimestamp").asc()])
+
+
+SILVER_KEYS = T.StructType(
+    [
+        T.StructField("TelemetryID", T.StringType()),
+        T.StructField("writer", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("event_date", T.DateType()),
+    ]
+)
+
+
+def new_readings(batch: DataFrame, existing: DataFrame) -> DataFrame:
+    """Rows of the batch, one per TelemetryID, that the table does not hold yet.
+
+    A redelivered reading keeps its event time, so only the table's partitions of the batch's dates are
+    read; the list of dates is the one thing that passes through the driver.
+    """
+    unique = keep_latest(batch, ["TelemetryID"], [F.col("EventTimestamp").asc()])
+    dates = [r.event_date for r in batch.select("event_date").distinct().collect()]
+    held = existing.where(F.col("event_date").isin(dates)).select("event_date", "TelemetryID")
+    return unique.join(held, ["event_date", "TelemetryID"], "left_anti")
+
+
+def write_silver(
+    bronze_stream: DataFrame, path: str, checkpoint: str, trigger: str | None = TRIGGER
+) -> StreamingQuery:
+    """One row per TelemetryID for all time, without state and without losing late rows.
+
+    Each micro-batch is compared with the table and written to a partition of its own, named by
+    checkpoint and batch, so a batch that runs again after a failure replaces itself.
+    """
+    usable = bronze_stream.where(F.col("TelemetryID").isNotNull() & F.col("event_date").isNotNull())
+    writer_id = hashlib.md5(checkpoint.encode()).hexdigest()
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        held = read_if_present(batch.sparkSession, path, SILVER_KEYS)
+        if held is not None:
+            own = (F.col("writer") == writer_id) & (F.col("batch_id") == batch_id)
+            rows = new_readings(batch, held.where(~own))
+        else:
+            rows = keep_latest(batch, ["TelemetryID"], [F.col("EventTimestamp").asc()])
+        rows.write.mode("overwrite").partitionBy("event_date").parquet(
+            f"{path}/writer={writer_id}/batch_id={batch_id}"
+        )
+
+    writer = usable.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
+    return writer.start()
 
 
 def gold(silver_rows: DataFrame, patients: DataFrame) -> DataFrame:

@@ -47,11 +47,14 @@ def test_malformed_payloads_are_routed_not_dropped(spark, landed):
     rows = spark.read.parquet(str(landed / "out"))
     by_offset = {r._kafka_offset: r for r in rows.collect()}
     assert len(by_offset) == 8
-    assert [by_offset[i].status for i in range(8)] == ["ok", "malformed", "malformed", "malformed", "malformed", "ok", "ok", "ok"]
+    assert [by_offset[i].status for i in range(8)] == [
+        "ok", "malformed", "malformed", "malformed", "malformed", "ok", "ok", "malformed"
+    ]
     assert by_offset[1]._malformed == "not json" and by_offset[4]._malformed == ""
     assert "eighty" in by_offset[2]._malformed
     assert by_offset[0].EventTimestamp == NOON.replace(microsecond=250000)
     assert by_offset[7].EventTimestamp is None and by_offset[7].TelemetryID == "no time"
+    assert "yesterday" in by_offset[7]._malformed
     assert by_offset[0]._source_system == stream.SOURCE_SYSTEM and by_offset[0].kafka_enqueued_time == NOON
 
 
@@ -83,6 +86,23 @@ def test_late_duplicate_within_the_delay_is_removed(spark, tmp_path, conf):
         spark.conf.unset(key)
 
 
+def test_dedup_for_all_time_takes_late_rows_and_redelivery(spark, tmp_path):
+    def run():
+        events = stream.bronze(stream.read_events(spark, "parquet", str(tmp_path / "in")))
+        query = stream.write_silver(events, str(tmp_path / "out"), str(tmp_path / "offsets"), trigger=None)
+        query.awaitTermination()
+
+    late = payload("old", EventTimestamp="2024-12-01T00:00:00+00:00")
+    land(spark, tmp_path / "in", [payload("a", 1), payload("b", 20), payload("b", 20)])
+    run()
+    land(spark, tmp_path / "in", [payload("a", 1), payload("c", 25), late], first=3)
+    run()
+    land(spark, tmp_path / "in", [late, payload("b", 20)], first=6)
+    run()
+    rows = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(r.TelemetryID for r in rows.collect()) == ["a", "b", "c", "old"]
+
+
 def test_gold_stream_keeps_unknown_patients(spark, tmp_path):
     land(spark, tmp_path / "in", [payload("a"), payload("b", PatientID="P9")])
     patients = spark.createDataFrame([("P1", "sk1")], "PatientID string, PatientSK string")
