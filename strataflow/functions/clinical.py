@@ -72,17 +72,6 @@ def lab_reference(spark: SparkSession) -> DataFrame:
     )
 
 
-def flag_abnormal(labs: DataFrame, reference: DataFrame) -> DataFrame:
-    """Recompute the abnormal flag from the reference range; NULL for a test without a range.
-
-    The reference is the fixed list of tests, so its size is bounded by the code list.
-    """
-    ranges = reference.select("TestCode", "MinNormal", "MaxNormal")
-    return labs.join(F.broadcast(ranges), "TestCode", "left").withColumn(
-        "IsAbnormalDerived", ~F.col("TestValue").between(F.col("MinNormal"), F.col("MaxNormal"))
-    )
-
-
 def claim_in_window(claim_date: str = "ClaimDate", admit: str = "AdmitTimestamp") -> Column:
     return F.datediff(F.col(claim_date), F.to_date(F.col(admit))).between(*CLAIM_DAYS)
 

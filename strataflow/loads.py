@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .contracts import ENTITIES, text_contract
 from .functions.parsing import parse
-from .operators import control as ctl
+from .operators import control as ctl, star
 from .operators.quality import Rule
 from .operators.scd2 import apply_scd2, initial_load
 from .sources.files import read_csv, read_json_array, read_json_lines, with_provenance
@@ -111,6 +111,30 @@ def load_versions(batch: DataFrame, root: str, run_id: str, **opts) -> int:
     return publish(result, root, run_id)
 
 
+def build_gold(
+    versions: DataFrame, providers: DataFrame, departments: DataFrame, encounters: DataFrame, vitals: DataFrame,
+    root: str, run_id: str,
+) -> dict[str, int]:
+    """Publish the three dimensions and two facts; returns the version number of each table.
+
+    The facts take their keys from the dimensions just published, so all five agree.
+    """
+    spark, published, dims = versions.sparkSession, {}, {}
+    built = {
+        "dim_patient": star.dim_patient(versions),
+        "dim_provider": star.dim_provider(providers),
+        "dim_department": star.dim_department(departments),
+    }
+    for name, rows in built.items():
+        published[name] = publish(rows, f"{root}/{name}", run_id)
+        dims[name] = read_current(spark, f"{root}/{name}", rows.schema)
+    facts = star.fact_encounters(encounters, *dims.values()).withColumn("_created_at", F.current_timestamp())
+    published["fact_patient_encounters"] = publish(facts, f"{root}/fact_patient_encounters", run_id)
+    telemetry = star.fact_vitals(vitals, dims["dim_patient"])
+    published["fact_vitals_telemetry"] = publish(telemetry, f"{root}/fact_vitals_telemetry", run_id)
+    return published
+
+
 def log_stream(spark: SparkSession, query: StreamingQuery, sink: str | dict, entity: str = "PatientVitals") -> None:
     """Write what a stream has read so far to the run log."""
     seen = progress(query)

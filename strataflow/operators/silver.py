@@ -8,12 +8,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..contracts import CLAIMS, DEPARTMENTS, ENCOUNTERS, LABS, PATIENTS, PROVIDERS
-from ..functions.clinical import claim_in_ratio, claim_in_window, flag_abnormal, standard_code
+from ..functions.clinical import claim_in_ratio, claim_in_window, standard_code
 from ..functions.keys import business_key
 from ..functions.parsing import parse_text
 from .dedup import keep_latest_with_nulls, require_unique
+from .joins import replicated
 from .quality import (
-    BUSINESS_RULE, REFERENTIAL_INTEGRITY, Rule, encounter_rules, fully_parsed, not_null, ordered_times,
+    BUSINESS_RULE, REFERENTIAL_INTEGRITY, Rule, encounter_rules, fully_parsed, in_values, not_null, ordered_times,
 )
 
 
@@ -45,6 +46,14 @@ def patients(raw_text: DataFrame) -> DataFrame:
     return typed.withColumn("Gender", standard_code(F.col("Gender")))
 
 
+def patient_rules() -> list[Rule]:
+    return [
+        not_null("PatientID", "UpdatedTimestamp", name="NOT_NULL_PATIENT_ID"),
+        in_values("Gender", ["M", "F"], on_null="pass"),
+        fully_parsed(),
+    ]
+
+
 def providers(raw_text: DataFrame) -> DataFrame:
     """All-text provider rows with their surrogate key; fails when a ProviderID repeats."""
     rows = require_unique(raw_text.select(*PROVIDERS.names), ["ProviderID"])
@@ -56,6 +65,14 @@ def departments(raw_text: DataFrame) -> DataFrame:
     return rows.withColumn("DepartmentSK", business_key("DepartmentID"))
 
 
+def flag_abnormal(rows: DataFrame, reference: DataFrame) -> DataFrame:
+    """Recompute the abnormal flag from the reference ranges; NULL for a test without a range."""
+    ranges = replicated(reference.select("TestCode", "MinNormal", "MaxNormal"))
+    return rows.join(ranges, "TestCode", "left").withColumn(
+        "IsAbnormalDerived", ~F.col("TestValue").between(F.col("MinNormal"), F.col("MaxNormal"))
+    )
+
+
 def labs(rows: DataFrame, reference: DataFrame, encounter_keys: DataFrame) -> DataFrame:
     latest = keep_latest_with_nulls(rows.select(*LABS.names), ["LabResultID"], ["ResultTimestamp"])
     return with_parent_flag(flag_abnormal(latest, reference), encounter_keys, "EncounterID", "_encounter_known")

@@ -222,7 +222,14 @@ def x04(spark, sf):
     )
 
 
-@query("x05_silver_patients", "SELECT PatientID, upper(trim(Gender)) AS Gender, ZipCode, strftime(DateOfBirth, '%Y-%m-%d') AS DateOfBirth FROM pat")
+@query("x05_silver_patients", """
+SELECT PatientID, upper(trim(Gender)) AS Gender, ZipCode, strftime(DateOfBirth, '%Y-%m-%d') AS DateOfBirth,
+  CASE WHEN State = '03' THEN 'KNOWN_GENDER' ELSE '' END AS failed
+FROM (SELECT * REPLACE (CASE WHEN State = '03' THEN 'x' ELSE Gender END AS Gender) FROM pat)""")
 def x05(spark, sf):
-    rows = silver.patients(b.as_text(b.patients(spark, sf)))
-    return plain(rows.select("PatientID", "Gender", "ZipCode", "DateOfBirth"))
+    """Patients typed, gender standardised, and an unknown code caught."""
+    raw = b.as_text(b.patients(spark, sf)).withColumn(
+        "Gender", F.when(F.col("State") == "03", "x").otherwise(F.col("Gender"))
+    )
+    tagged = quality.tag(silver.patients(raw), silver.patient_rules())
+    return plain(tagged.select("PatientID", "Gender", "ZipCode", "DateOfBirth", F.col(quality.FAILED).alias("failed")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import marts, quality, silver, star
+from ..sources.tables import store
 from . import bindings as b
 from .registry import plain, query, ts
 
@@ -40,8 +41,8 @@ SELECT DepartmentName, FacilityName, EncounterType, count(EncounterID) AS TotalE
   {_ENC_AVG} AS AvgLengthOfStayHours, {_REV} AS TotalRevenue, {_REV_AVG} AS AvgBilledAmount
 FROM ok LEFT JOIN dimdept USING (DepartmentID) GROUP BY ALL""".lstrip())
 def a02_raw(spark, sf):
-    """Raw text, typing, de-duplication, quality gate, key resolution, summary."""
-    raw = b.as_text(b.encounters(spark, sf))
+    """Raw text as landed in Bronze, typing, de-duplication, quality gate, key resolution, summary."""
+    raw = store(b.as_text(b.encounters(spark, sf)), "bronze")
     valid, _ = quality.split(silver.encounters(raw), silver.all_encounter_rules())
     departments = b.dim_department(spark, sf)
 
@@ -69,7 +70,7 @@ def a04(spark, sf):
     return marts.facility_summary(fact, b.dim_department(spark, sf))
 
 
-@query("a05_row_counts", "SELECT count(*) AS total, count(*) AS passed, 0 AS quarantined FROM vit")
+@query("a05_row_counts", "SELECT count(*) AS total, count(*) AS passed, 0::BIGINT AS quarantined FROM vit")
 def a05(spark, sf):
     """Total, passed and quarantined rows from one aggregation."""
     rules = quality.vitals_rules()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F, types as T
 
 from ..functions import clinical
 from ..functions.parsing import decode_json, parse, timestamp_text
-from ..operators import control, marts, quality
+from ..operators import control, marts, quality, silver
 from . import bindings as b
 from .registry import num, plain, query, ts
 
@@ -202,7 +202,7 @@ def g01_rule(spark, sf):
 SELECT LabResultID, TestCode, TestValue, CASE WHEN low IS NOT NULL THEN TestValue < low OR TestValue > high END AS Abnormal
 FROM lab LEFT JOIN labtest ON code = TestCode""")
 def g02(spark, sf):
-    rows = clinical.flag_abnormal(b.labs(spark, sf), clinical.lab_reference(spark))
+    rows = silver.flag_abnormal(b.labs(spark, sf), clinical.lab_reference(spark))
     return rows.select("LabResultID", "TestCode", "TestValue", F.col("IsAbnormalDerived").alias("Abnormal"))
 
 

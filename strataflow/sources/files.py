@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..contracts import text_contract
+from ..functions.masking import mask_columns
 
 
 def read_csv(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
@@ -57,5 +58,6 @@ def with_provenance(df: DataFrame, source_system: str) -> DataFrame:
     )
 
 
-def serve(df: DataFrame, view: str) -> None:
-    df.createOrReplaceTempView(view)
+def serve(df: DataFrame, view: str, phi: str | None = "mask") -> None:
+    """Expose a table as a view. Personal columns are masked unless ``phi`` is None."""
+    (mask_columns(df, policy=phi) if phi else df).createOrReplaceTempView(view)

@@ -89,15 +89,16 @@ def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
 
 
 def land(df: DataFrame, path: str, run_id: str, name: str, high: str | None = None) -> dict:
-    """Write one run's rows and count them on the way; ``high`` also reports that column's maximum.
+    """Write one run's rows and count them on the way.
 
-    Landing the same run again replaces its rows.
+    ``high`` names a helper column whose maximum is reported and which is not written. Landing the same run again replaces its rows.
     """
     seen = Observation(f"{name}-{run_id}")
     measures = [F.count(F.lit(1)).alias("rows")]
     if high:
         measures.append(F.max(high).alias("high"))
-    write_run(df.observe(seen, *measures), path, run_id)
+    counted = df.observe(seen, *measures)
+    write_run(counted.drop(high) if high else counted, path, run_id)
     return seen.get
 
 

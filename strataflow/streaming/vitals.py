@@ -163,14 +163,18 @@ def write_silver(
 
     def add(batch: DataFrame, batch_id: int) -> None:
         held = read_if_present(batch.sparkSession, path, SILVER_KEYS)
-        if held is not None:
-            own = (F.col("writer") == writer_id) & (F.col("batch_id") == batch_id)
-            rows = new_readings(batch, held.where(~own))
-        else:
-            rows = keep_latest(batch, ["TelemetryID"], [F.col("EventTimestamp").asc()])
-        rows.write.mode("overwrite").partitionBy("event_date").parquet(
-            f"{path}/writer={writer_id}/batch_id={batch_id}"
-        )
+        batch.persist()
+        try:
+            if held is None:
+                rows = keep_latest(batch, ["TelemetryID"], [F.col("EventTimestamp").asc()])
+            else:
+                own = (F.col("writer") == writer_id) & (F.col("batch_id") == batch_id)
+                rows = new_readings(batch, held.where(~own))
+            rows.write.mode("overwrite").partitionBy("event_date").parquet(
+                f"{path}/writer={writer_id}/batch_id={batch_id}"
+            )
+        finally:
+            batch.unpersist()
 
     writer = usable.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
