@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from strataflow import plans
 import compare
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = plans.QUERIES, plans.ORACLES
 
 
 @pytest.fixture(scope="module")
