@@ -3,14 +3,14 @@
 Every document becomes its token ids and a closing id 0; documents over the capacity are cut into pieces of the capacity.
 Packing plans on the histogram of piece lengths, which has at most ``capacity`` rows whatever the input:
 
-1. Lengths over ``capacity / 16`` are large. Sorted by length they are dealt into groups of equal cardinality, and each is
-   rounded up to its group's largest length.
+1. Lengths over a part of the capacity are large. Sorted by length they are dealt into groups of equal cardinality, and
+   each is rounded up to its group's largest length.
 2. For these few sizes the number of sequences is minimised by configurations (how many of each size share a
    sequence), with columns generated by a knapsack; the solution is rounded down and the rest left to step 4.
 3. Actual documents take the places of their group, longest first.
 4. What is left, small ones above all, goes longest first into the fullest sequence that still has room (best fit).
 
-The plan is a list of runs "documents of length n with ranks r.. go to sequences s.., at this offset", also bounded. Ranks of
+Steps 1 to 4 run for a few settings of that part and the number of groups, and the shortest plan is taken. It is a list of runs "documents of length n with ranks r.. go to sequences s.., at this offset", also bounded. Ranks of
 documents within their length are counted in hashed cells, so neither a length nor a table is ever in one task.
 """
 
@@ -29,7 +29,8 @@ from ..session import scratch_path
 from .common import fresh, slices, texts_of
 
 CAPACITY = 2048
-GROUPS = 96
+# What counts as large (over this part of the capacity) and the number of groups: of these plans the shortest is taken.
+SETTINGS = ((2, 48), (3, 96), (4, 96), (8, 96))
 CLOSING_ID = 0
 # Words kept per worker; the older half goes when a generation is full.
 CACHE_WORDS = 300_000
@@ -186,7 +187,18 @@ def _configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds
     return [(basis[:, k].astype(np.int64), int(np.floor(amount[k] + 1e-9))) for k in range(n)]
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> list[tuple[int, int, int, int, int, int]]:
+def plan(
+    histogram: dict[int, int], capacity: int = CAPACITY, settings: tuple[tuple[int, int], ...] = SETTINGS,
+) -> list[tuple[int, int, int, int, int, int]]:
+    """The runs of the setting that needs the fewest sequences; planning time does not depend on the number of pieces."""
+    return min((grouped_plan(histogram, capacity, *s) for s in settings), key=sequences_of)
+
+
+def sequences_of(runs: list[tuple[int, int, int, int, int, int]]) -> int:
+    return max((r[3] + -(-r[2] // r[5]) for r in runs), default=0)
+
+
+def grouped_plan(histogram: dict[int, int], capacity: int, share: int, groups: int) -> list[tuple[int, int, int, int, int, int]]:
     """Runs (length, first rank, number, first sequence, offset, documents per sequence) that pack the histogram."""
     runs: list[tuple[int, int, int, int, int, int]] = []
     used: Counter[int] = Counter()
@@ -197,7 +209,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
         runs.append((length, used[length], number, sequence, offset, each))
         used[length] += number
 
-    large = {n: c for n, c in histogram.items() if capacity // 16 < n < capacity and c}
+    large = {n: c for n, c in histogram.items() if capacity // share < n < capacity and c}
     if histogram.get(capacity):
         place(capacity, histogram[capacity], 0, 0)
         sequences = histogram[capacity]
@@ -272,13 +284,13 @@ def _ranked(stored: DataFrame, id_col: str, rank: str, total: int) -> DataFrame:
     )
 
 
-def pack(df: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY, groups: int = GROUPS) -> DataFrame:
+def pack(df: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY, settings: tuple[tuple[int, int], ...] = SETTINGS) -> DataFrame:
     """Append sequence_id and offset to the pieces that ``pieces`` made. They are written once, as two jobs read them."""
     path = scratch_path(df.sparkSession, "pieces")
     df.write.parquet(path)
     stored = df.sparkSession.read.parquet(path)
     histogram = {int(r["length"]): r["count"] for r in stored.groupBy("length").count().collect()}
-    runs = sorted(plan(histogram, capacity, groups))
+    runs = sorted(plan(histogram, capacity, settings))
     table = np.array(runs, np.int64).reshape(-1, 6)
     rank = fresh(stored, "rank")
     ranked = _ranked(stored, id_col, rank, sum(histogram.values()))

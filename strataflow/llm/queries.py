@@ -7,7 +7,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
-from . import bpe, langid, packing, pii
+from . import bpe, langid, packing, pii, substring, suffix
 from .common import read_table, sha256_hex, ship
 
 QUERIES = {}
@@ -26,6 +26,14 @@ def query(fn):
     return run
 
 
+@query
+def op1_suffix_dedup(spark, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix.remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", sha256_hex(F.col("kept")).alias("kept_sha256")
+    )
+
+
 @query
 def op2_pii(spark, sf_dir: str) -> DataFrame:
     found = pii.find(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -64,3 +72,11 @@ def op9_langid(spark, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text"), model).select(
         "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score"
     )
+
+
+@query
+def op10_substring_dedup(spark, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", sha256_hex(F.col("kept")).alias("kept_sha256")
+    )
