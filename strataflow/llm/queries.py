@@ -7,7 +7,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
-from . import bpe, langid, packing, pii, substring, suffix
+from . import bpe, langid, minhash, packing, pii, substring, suffix
 from .common import read_table, sha256_hex, ship
 
 QUERIES = {}
@@ -44,6 +44,12 @@ def op2_pii(spark, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_near_duplicates(spark, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query
 def op5_bpe(spark, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
