@@ -7,7 +7,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
-from . import bpe, langid, minhash, packing, pii, substring, suffix
+from . import ann, bpe, langid, minhash, packing, pii, substring, suffix, topk
 from .common import read_table, sha256_hex, ship
 
 QUERIES = {}
@@ -16,13 +16,19 @@ ORACLES = {}
 HOLDOUT_FOLDS = 5
 
 
-def query(fn):
+def query(fn=None, *, sql: str | None = None):
+    """Register a query under its function's name, with SQL for its result where SQL can express it."""
+    if fn is None:
+        return lambda f: query(f, sql=sql)
+
     @wraps(fn)
     def run(spark, sf_dir: str) -> DataFrame:
         ship(spark)
         return fn(spark, sf_dir)
 
     QUERIES[fn.__name__] = run
+    if sql:
+        ORACLES[fn.__name__] = sql
     return run
 
 
@@ -50,6 +56,11 @@ def op3_near_duplicates(spark, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query
+def op4_nearest(spark, sf_dir: str) -> DataFrame:
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 @query
 def op5_bpe(spark, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -61,6 +72,24 @@ def op5_bpe(spark, sf_dir: str) -> DataFrame:
     )
 
 
+@query(sql="""
+    WITH usable AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS terms
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.terms, d.terms) AS BIGINT) AS score
+        FROM usable q JOIN usable d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id
+    ), ranked AS (
+        SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""")
+def op6_top_k(spark, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 @query
 def op7_packing(spark, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
