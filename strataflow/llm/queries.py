@@ -7,7 +7,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
-from . import ann, bpe, langid, minhash, packing, pii, substring, suffix, topk
+from . import ann, bpe, langid, licenses, minhash, packing, pii, substring, suffix, topk
 from .common import read_table, sha256_hex, ship
 
 QUERIES = {}
@@ -96,6 +96,14 @@ def op7_packing(spark, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
+@query(sql=licenses.documents_sql())
+def op8_licenses(spark, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.documents_path(), licenses.documents_license_file()).select(
+        "doc_id", "license", "origin", "similarity"
+    )
+
+
 def held_out(id_col: str = "doc_id"):
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(HOLDOUT_FOLDS)) == 0
 

@@ -141,3 +141,24 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ]
     method = Method(window, lambda texts: ByteChunk(texts, window))
     return repeated_units(df, id_col, text_col, method, fields, _results)
+
+
+def _whole_characters(texts: list[bytes], masks: list[np.ndarray]) -> list[pa.Array]:
+    """The texts without every character that lost a byte."""
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    removed = np.concatenate(masks) if masks else np.empty(0, bool)
+    character = np.cumsum((data & 0xC0) != 0x80) - 1
+    hit = np.zeros(int(character[-1]) + 1 if len(character) else 0, bool)
+    hit[character[removed]] = True
+    out, at = [], 0
+    for text in texts:
+        own = slice(at, at + len(text))
+        at = own.stop
+        out.append(data[own][~hit[character[own]]].tobytes().decode("utf-8"))
+    return [pa.array(out, pa.string())]
+
+
+def remove_from_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """Append kept_text: the text without repeated bytes and without the characters they cut into."""
+    method = Method(window, lambda texts: ByteChunk(texts, window))
+    return repeated_units(df, id_col, text_col, method, [T.StructField("kept_text", T.StringType())], _whole_characters)
