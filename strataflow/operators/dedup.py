@@ -26,17 +26,25 @@ def keep_latest(df: DataFrame, keys, newest_first) -> DataFrame:
     key that holds a large share of the rows sends at most one row per map task.
     Rows with a NULL key would all compete for one place: split them off first.
     """
+    return _first_per(df, keys, newest_first)
+
+
+def _first_per(df: DataFrame, group, newest_first) -> DataFrame:
     order = [F.col(c).desc() if isinstance(c, str) else c for c in newest_first]
     named = {c for c in newest_first if isinstance(c, str)}
-    ties = [F.col(c).asc_nulls_last() for c in df.columns if c not in named and c not in keys]
-    window = Window.partitionBy(*keys).orderBy(*order, *ties)
+    ties = [F.col(c).asc_nulls_last() for c in df.columns if c not in named and c not in group]
+    window = Window.partitionBy(*group).orderBy(*order, *ties)
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
 def keep_latest_with_nulls(df: DataFrame, keys, newest_first) -> DataFrame:
-    """keep_latest, with every NULL-key row passed through so that the rules can count it."""
-    keyed, unkeyed = split_null_keys(df, keys)
-    return keep_latest(keyed, keys, newest_first).unionByName(unkeyed)
+    """keep_latest, with every NULL-key row passed through so that the rules can count it.
+
+    A row without a complete key gets a group of its own, so the input is read once.
+    """
+    alone = F.when(~_all_present(keys), F.monotonically_increasing_id())
+    marked = df.withColumn("_alone", alone)
+    return _first_per(marked, [*keys, "_alone"], newest_first).drop("_alone")
 
 
 def duplicates(df: DataFrame, keys) -> DataFrame:

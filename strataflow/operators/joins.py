@@ -7,10 +7,18 @@ both sides; AQE then splits a partition that a hot key has made too large.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .ordered import MAX_GROUP_ROWS, in_order
 
+# Sides up to this size are sent to all executors.
+BROADCAST_BYTES = 64 << 20
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """The size of the rows written as text."""
+    return df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("n")).first().n or 0
+
 
 def lookup(facts: DataFrame, dim: DataFrame, key: str, add) -> DataFrame:
     """Left join that adds the columns ``add`` of a dimension with unique ``key``."""
@@ -25,32 +33,53 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     return child.where(F.col(child_key).isNotNull()).join(known, child_key, "left_anti")
 
 
+def orphan_counts(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    """The number of child rows whose key is present but unknown to the parent.
+
+    Child rows are counted per key first, so a hot key meets the parent once.
+    """
+    per_key = child.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return orphans(per_key, parent, key).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("Orphans"))
+
+
 def as_of(
     facts: DataFrame, versions: DataFrame, key: str, at: str, start: str, end: str, add,
-    max_rows: int | None = MAX_GROUP_ROWS, broadcast_rows: int = 500_000, versions_per_key: int = 64,
+    max_rows: int | None = MAX_GROUP_ROWS, broadcast_bytes: int = BROADCAST_BYTES, versions_per_key: int = 64,
     sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add the columns of the version valid at each fact's time (start <= time < end).
 
-    Versions of one key must not overlap. Facts without key, time or valid version keep NULLs.
-
-    One count over the versions' keys picks the way. At most ``broadcast_rows`` versions, at most
-    ``versions_per_key`` of one key: they are broadcast and the facts are not shuffled. Otherwise facts
-    and versions merge into one sequence per key, where each fact takes the last version before it: the
-    work grows with facts plus versions, never with their product. ``sizes_from`` may name a cheaper
-    table with at least the facts' rows per key, to look for hot keys in.
+    The version of a time is the one with the latest start up to it, if that has not ended by then. So a
+    version ends no later than its successor starts, however far its own end lies beyond. Versions that
+    end at or before their start are none. Of versions with one start the one with the latest end
+    stands, then the one with the greatest values of ``add``. Facts without key, time or valid version
+    keep NULLs. Every fact comes out once.
+
+    The size of the versions picks the way, never the result. Up to ``broadcast_bytes`` and
+    ``versions_per_key`` they are cut to non-overlapping spans and broadcast, and the facts are not
+    shuffled. Otherwise facts and versions merge into one sequence per key, where each fact takes the last
+    version before it: the work grows with facts plus versions, never with their product.
+    ``sizes_from`` may name a cheaper table with at least the facts' rows per key, to look for hot keys in.
     """
-    known = versions.where(F.col(key).isNotNull() & F.col(start).isNotNull())
-    per_key = known.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    size = per_key.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
-    if (size.rows or 0) <= broadcast_rows and (size.most or 0) <= versions_per_key:
+    known = versions.where(F.col(key).isNotNull() & (F.col(start) < F.col(end))).select(
+        *dict.fromkeys([key, start, end, *add])
+    )
+    per_key = known.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json(F.struct(*known.columns)))).alias("b")
+    )
+    size = per_key.agg(F.sum("b").alias("bytes"), F.max("n").alias("most")).first()
+    if (size.bytes or 0) <= broadcast_bytes and (size.most or 0) <= versions_per_key:
         return _as_of_broadcast(facts, known, key, at, start, end, add)
     return _as_of_merged(facts, known, key, at, start, end, add, max_rows, sizes_from)
 
 
 def _as_of_broadcast(facts, versions, key, at, start, end, add) -> DataFrame:
-    side = versions.select(
-        F.col(key).alias("_key"), F.col(start).alias("_start"), F.col(end).alias("_end"), *add
+    # A key has few versions here, so its window is small.
+    ordered = Window.partitionBy(key).orderBy(start, end, F.struct(*add))
+    side = versions.withColumn("_next", F.lead(start).over(ordered)).where(
+        F.col("_next").isNull() | (F.col("_next") > F.col(start))
+    ).select(
+        F.col(key).alias("_key"), F.col(start).alias("_start"), F.least(end, "_next").alias("_end"), *add
     )
     valid = (F.col(key) == F.col("_key")) & (F.col("_start") <= F.col(at)) & (F.col(at) < F.col("_end"))
     return facts.join(F.broadcast(side), valid, "left").drop("_key", "_start", "_end")
@@ -61,7 +90,7 @@ def _as_of_merged(facts, versions, key, at, start, end, add, max_rows, sizes_fro
     known = versions.select(
         F.col(key).alias("_key"), F.col(start).alias("_at"), F.lit(0).alias("_kind"),
         F.lit(None).cast("long").alias("_tie"), version.alias("_version"),
-    )
+    ).distinct()
     placed = F.col(key).isNotNull() & F.col(at).isNotNull()
     located = facts.where(placed).select(
         F.col(key).alias("_key"), F.col(at).alias("_at"), F.lit(1).alias("_kind"),
@@ -76,7 +105,7 @@ def _as_of_merged(facts, versions, key, at, start, end, add, max_rows, sizes_fro
         return seen.where(F.col("_kind") == 1).select("_fact", "_at", "_valid")
 
     joined = in_order(
-        merged, ["_key"], ["_at", "_kind", "_tie"], carry, max_rows,
+        merged, ["_key"], ["_at", "_kind", "_version", "_tie"], carry, max_rows,
         sizes_from=fact_keys.unionByName(known.select("_key")),
     )
     inside = F.col("_at") < F.col("_valid._end")
@@ -89,9 +118,9 @@ def _as_of_merged(facts, versions, key, at, start, end, add, max_rows, sizes_fro
     return result.unionByName(unplaced)
 
 
-def replicated(dim: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """The dimension marked for broadcast if it has at most ``max_rows`` rows, else unmarked.
+def replicated(dim: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The dimension marked for broadcast if its rows take at most ``max_bytes``, else unmarked.
 
-    The check reads no more than ``max_rows + 1`` rows. Past the bound Spark's own size rule decides.
+    Past the bound Spark's own size rule decides.
     """
-    return F.broadcast(dim) if dim.limit(max_rows + 1).count() <= max_rows else dim
+    return F.broadcast(dim) if measured_bytes(dim) <= max_bytes else dim

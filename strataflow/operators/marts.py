@@ -20,7 +20,7 @@ def total(col: str, decimals: str = "decimal(38,2)") -> Column:
 
 
 def mean(col: str) -> Column:
-    return F.sum(F.col(col)).cast("double") / F.count(F.col(col))
+    return F.try_divide(F.sum(F.col(col)).cast("double"), F.count(F.col(col)))
 
 
 def alert_count() -> Column:
@@ -38,6 +38,16 @@ def with_patient(fact: DataFrame, patients: DataFrame, cols=("PrimaryInsurancePa
     return fact.join(patients.select("PatientSK", *cols), "PatientSK", "left")
 
 
+def _by_department(fact: DataFrame, departments: DataFrame | None) -> DataFrame:
+    """The fact with facility and department to slice by, if departments are given."""
+    return fact if departments is None else with_department(fact, departments)
+
+
+def _by_patient(vitals: DataFrame, patients: DataFrame | None) -> DataFrame:
+    """The telemetry with the patient's gender to slice by, if patients are given."""
+    return vitals if patients is None else with_patient(vitals, patients, ["Gender"])
+
+
 def encounter_summary(fact: DataFrame, departments: DataFrame, filters=None) -> DataFrame:
     rows = sliced(with_department(fact, departments), filters)
     return rows.groupBy("DepartmentName", "FacilityName", "EncounterType").agg(
@@ -70,9 +80,9 @@ def facility_summary(fact: DataFrame, departments: DataFrame, filters=None) -> D
     )
 
 
-def executive_kpis(fact: DataFrame, patients: DataFrame, filters=None) -> DataFrame:
+def executive_kpis(fact: DataFrame, patients: DataFrame, filters=None, departments: DataFrame | None = None) -> DataFrame:
     """Patients on file, patients seen, encounters, revenue, revenue per encounter, mean stay."""
-    return sliced(fact, filters).agg(
+    return sliced(_by_department(fact, departments), filters).agg(
         F.countDistinct("PatientSK").alias("PatientsSeen"),
         F.count("EncounterID").alias("TotalEncounters"),
         total("TotalBilledAmount").alias("TotalRevenue"),
@@ -81,13 +91,13 @@ def executive_kpis(fact: DataFrame, patients: DataFrame, filters=None) -> DataFr
     ).withColumn("TotalPatients", patients.agg(F.count(F.lit(1))).scalar())
 
 
-def monthly_admissions(fact: DataFrame, filters=None) -> DataFrame:
+def monthly_admissions(fact: DataFrame, filters=None, departments: DataFrame | None = None) -> DataFrame:
     month = F.date_format("AdmitTimestamp", "yyyy-MM").alias("Month")
-    return sliced(fact, filters).groupBy(month).agg(F.count("EncounterID").alias("Admissions"))
+    return sliced(_by_department(fact, departments), filters).groupBy(month).agg(F.count("EncounterID").alias("Admissions"))
 
 
-def volume_by_type(fact: DataFrame, filters=None) -> DataFrame:
-    return sliced(fact, filters).groupBy("EncounterType").agg(
+def volume_by_type(fact: DataFrame, filters=None, departments: DataFrame | None = None) -> DataFrame:
+    return sliced(_by_department(fact, departments), filters).groupBy("EncounterType").agg(
         F.count("EncounterID").alias("TotalEncounters")
     )
 
@@ -113,7 +123,7 @@ def payer_mix(fact: DataFrame, patients: DataFrame, filters=None) -> DataFrame:
 def with_share(df: DataFrame, measure: str, out: str) -> DataFrame:
     """Share of each row's measure in the total, from a scalar subquery rather than one-task window."""
     whole = df.agg(F.sum(measure).cast("double")).scalar()
-    return df.withColumn(out, F.col(measure).cast("double") / whole)
+    return df.withColumn(out, F.try_divide(F.col(measure).cast("double"), whole))
 
 
 def revenue_by_state(fact: DataFrame, patients: DataFrame, filters=None) -> DataFrame:
@@ -125,8 +135,8 @@ def revenue_by_state(fact: DataFrame, patients: DataFrame, filters=None) -> Data
 
 # --- telemetry views ---------------------------------------------------------------------------
 
-def critical_vitals(vitals: DataFrame, filters=None) -> DataFrame:
-    return sliced(vitals, filters).groupBy("DeviceID", "EncounterID").agg(
+def critical_vitals(vitals: DataFrame, filters=None, patients: DataFrame | None = None) -> DataFrame:
+    return sliced(_by_patient(vitals, patients), filters).groupBy("DeviceID", "EncounterID").agg(
         F.count(F.lit(1)).alias("TotalReadings"),
         alert_count().alias("CriticalAlerts"),
         mean("HeartRate").alias("AvgHeartRate"),
@@ -136,11 +146,11 @@ def critical_vitals(vitals: DataFrame, filters=None) -> DataFrame:
     )
 
 
-def alert_rate(vitals: DataFrame, filters=None) -> DataFrame:
-    return sliced(vitals, filters).agg(
+def alert_rate(vitals: DataFrame, filters=None, patients: DataFrame | None = None) -> DataFrame:
+    return sliced(_by_patient(vitals, patients), filters).agg(
         F.count(F.lit(1)).alias("TotalReadings"),
         alert_count().alias("CriticalAlerts"),
-        (alert_count() / F.count("IsCriticalAlert")).alias("AlertRate"),
+        F.try_divide(alert_count(), F.count("IsCriticalAlert")).alias("AlertRate"),
     )
 
 
@@ -150,8 +160,8 @@ def average_vitals(vitals: DataFrame, by=(), filters=None) -> DataFrame:
     )
 
 
-def alerts_by_device(vitals: DataFrame, filters=None) -> DataFrame:
-    return sliced(vitals, filters).groupBy("DeviceID").agg(alert_count().alias("CriticalAlerts"))
+def alerts_by_device(vitals: DataFrame, filters=None, patients: DataFrame | None = None) -> DataFrame:
+    return sliced(_by_patient(vitals, patients), filters).groupBy("DeviceID").agg(alert_count().alias("CriticalAlerts"))
 
 
 def heart_oxygen_relation(vitals: DataFrame, by=("DeviceID",), filters=None) -> DataFrame:
@@ -198,11 +208,21 @@ def encounter_telemetry(encounters: DataFrame, vitals: DataFrame) -> DataFrame:
 # --- claims, labs, audit -----------------------------------------------------------------------
 
 def claims_summary(claims: DataFrame, encounters: DataFrame) -> DataFrame:
-    """Claims by status and payer, against what the encounter billed."""
-    billed = encounters.select("EncounterID", "TotalBilledAmount")
-    return claims.join(billed, "EncounterID", "left").groupBy("ClaimStatus", "InsurancePayer").agg(
-        F.count("ClaimID").alias("Claims"),
-        total("ClaimAmount").alias("ClaimedAmount"),
+    """Claims by status and payer, against what their encounters billed.
+
+    Within a group an encounter's bill counts once, however many claims it has. Claims are summed per group
+    and encounter before the join, on the encounter's key.
+    """
+    by = ["ClaimStatus", "InsurancePayer"]
+    per_encounter = claims.groupBy("EncounterID", *by).agg(
+        F.count("ClaimID").alias("_claims"), F.sum("ClaimAmount").alias("_claimed")
+    )
+    billed = encounters.where(F.col("EncounterID").isNotNull()).groupBy("EncounterID").agg(
+        F.max("TotalBilledAmount").alias("TotalBilledAmount")
+    )
+    return per_encounter.join(billed, "EncounterID", "left").groupBy(*by).agg(
+        F.sum("_claims").alias("Claims"),
+        total("_claimed").alias("ClaimedAmount"),
         total("TotalBilledAmount").alias("BilledAmount"),
     )
 
@@ -211,7 +231,7 @@ def lab_abnormality(labs: DataFrame) -> DataFrame:
     return labs.groupBy("TestCode").agg(
         F.count(F.lit(1)).alias("Results"),
         F.count_if("IsAbnormal").alias("Abnormal"),
-        (F.count_if("IsAbnormal") / F.count("IsAbnormal")).alias("AbnormalRate"),
+        F.try_divide(F.count_if("IsAbnormal"), F.count("IsAbnormal")).alias("AbnormalRate"),
     )
 
 
@@ -219,7 +239,7 @@ def pass_rate(rule_log: DataFrame, by=("TableName", "RuleName", "ExecutionID"))
     return rule_log.groupBy(*by).agg(
         F.sum("TotalRecordsChecked").alias("Checked"),
         F.sum("FailedRecordCount").alias("Failed"),
-        (1 - F.sum("FailedRecordCount") / F.sum("TotalRecordsChecked")).alias("PassRate"),
+        (1 - F.try_divide(F.sum("FailedRecordCount"), F.sum("TotalRecordsChecked"))).alias("PassRate"),
     )
 
 

@@ -10,8 +10,9 @@ a sample, so the slice of a row must be settled once before two branches of a pl
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import scratch_path
 
@@ -21,6 +22,12 @@ MAX_GROUP_ROWS = 5_000_000
 _SLICE = "_slice"
 
 
+def _on_keys(other: DataFrame, keys) -> tuple[DataFrame, Column]:
+    """The other side of a join by ``keys`` under new names, and the condition; NULL equals NULL."""
+    renamed = other.withColumnsRenamed({k: f"_other_{i}" for i, k in enumerate(keys)})
+    return renamed, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_other_{i}")) for i, k in enumerate(keys)])
+
+
 class InOrder:
     """Ordered access to the neighbours of a row within its key."""
 
@@ -43,9 +50,9 @@ class InOrder:
 
     def _carry(self, df: DataFrame, edges: DataFrame, out: str) -> DataFrame:
         return (
-            df.join(edges, self.group, "left")
+            df.join(*_on_keys(edges, self.group), "left")
             .withColumn(out, F.coalesce(F.col(out), F.col("_carried")))
-            .drop("_carried")
+            .select(*df.columns, out)
         )
 
     def previous(self, df: DataFrame, cols, out: str) -> DataFrame:
@@ -108,6 +115,6 @@ def in_order(
         return work(plain, df)
     large = large.select(*keys)
     sliced = InOrder(keys, order, slices=1 + -(-total // max_rows))
-    hot = sliced.start(df.join(large, list(keys), "left_semi"))
-    rest = df.join(large, list(keys), "left_anti")
+    hot = sliced.start(df.join(*_on_keys(large, keys), "left_semi"))
+    rest = df.join(*_on_keys(large, keys), "left_anti")
     return work(plain, rest).unionByName(sliced.finish(work(sliced, hot)))

@@ -87,6 +87,7 @@ def ordered_times(first: str, second: str, name: str | None = None) -> Rule:
 
 def encounter_rules(los_null: str = "pass", other_null: str = "fail") -> list[Rule]:
     """The three gates of the encounter table. An open stay has no length of stay yet."""
+    # Names and bounds of the three rules.
     keys = not_null("EncounterID", "PatientID", name="RULE_01_NOT_NULL_KEYS")
     return [
         keys,
@@ -159,8 +160,17 @@ def is_invalid() -> Column:
     return F.col(FAILED) != ""
 
 
+def sides(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """All rows once, with their failed rules and ``side``: valid, invalid, or NULL where a rule drops."""
+    side = F.when(is_valid(), "valid").when(is_invalid(), "invalid")
+    return tag(df, rules).withColumn("side", side).drop(UNDECIDED)
+
+
 def split(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, invalid rows with their failed rules)."""
+    """(valid rows, invalid rows with their failed rules).
+
+    Each side computes ``df`` on its own. Where both are used, take ``sides`` or ``sources.tables.gate``.
+    """
     tagged = tag(df, rules)
     return (
         tagged.where(is_valid()).drop(FAILED, UNDECIDED),

@@ -49,10 +49,9 @@ def _id(col: str) -> F.Column:
 
 
 def encounters(spark: SparkSession, sf: str) -> DataFrame:
-    # The flag is one letter; taken as a number its minimum stays in a hash aggregate, without a sort.
     stays = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
         F.max("l_shipdate").alias("DischargeTimestamp"), F.min("l_suppkey").alias("s_suppkey"),
-        F.min(F.ascii("l_returnflag")).alias("reason"),
+        F.min("l_returnflag").alias("AdmitReason"),
     )
     homes = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     orders = table(spark, sf, "orders").withColumnRenamed("o_orderdate", "AdmitTimestamp")
@@ -68,7 +67,7 @@ def encounters(spark: SparkSession, sf: str) -> DataFrame:
         "AdmitTimestamp",
         "DischargeTimestamp",
         stay_hours().alias("LengthOfStayHours"),
-        F.char("reason").alias("AdmitReason"),
+        "AdmitReason",
         F.col("o_orderstatus").alias("DischargeStatus"),
         F.col("o_totalprice").cast("decimal(12,2)").alias("TotalBilledAmount"),
     )
@@ -90,8 +89,8 @@ def patients(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").join(home, "c_nationkey", "left").select(
         _id("c_custkey").alias("PatientID"),
         F.concat(F.lit("MRN_"), key.cast("string")).alias("MedicalRecordNumber"),
-        F.substring("c_name", 1, 8).alias("FirstName"),
-        F.substring("c_name", 10, 9).alias("LastName"),
+        F.split_part("c_name", F.lit("#"), F.lit(1)).alias("FirstName"),
+        F.split_part("c_name", F.lit("#"), F.lit(2)).alias("LastName"),
         F.date_add(F.lit("1940-01-01").cast("date"), (key % 20000).cast("int")).alias("DateOfBirth"),
         F.when(key % 2 == 0, " f").otherwise("M ").alias("Gender"),
         F.when(key % 3 == 0, "Spanish").otherwise("English").alias("PrimaryLanguage"),
@@ -315,7 +314,7 @@ enc AS (
   FROM orders LEFT JOIN stays ON k = o_orderkey LEFT JOIN supplier ON s_suppkey = supp),
 pat AS (
   SELECT CAST(c_custkey AS VARCHAR) AS PatientID, 'MRN_' || c_custkey AS MedicalRecordNumber,
-    substr(c_name, 1, 8) AS FirstName, substr(c_name, 10, 9) AS LastName,
+    split_part(c_name, '#', 1) AS FirstName, split_part(c_name, '#', 2) AS LastName,
     DATE '1940-01-01' + CAST(c_custkey % 20000 AS INTEGER) AS DateOfBirth,
     CASE WHEN c_custkey % 2 = 0 THEN ' f' ELSE 'M ' END AS Gender,
     CASE WHEN c_custkey % 3 = 0 THEN 'Spanish' ELSE 'English' END AS PrimaryLanguage,

@@ -146,6 +146,21 @@ def l02(spark, sf):
     return plain(spark.read.parquet(path))
 
 
+@query("l02_zordered_devices", """
+SELECT event_type || '_MONITOR_' || lpad(CAST(user_id AS VARCHAR), 9, '0') AS DeviceID, CAST(event_id AS VARCHAR) AS TelemetryID, TRUE AS spread FROM events""")
+def l02_devices(spark, sf):
+    """Long device names that differ at their end only: they fill many ranks of the Z-order key."""
+    rows = b.table(spark, sf, "events").select(
+        F.concat("event_type", F.lit("_MONITOR_"), F.lpad(F.col("user_id").cast("string"), 9, "0")).alias("DeviceID"),
+        F.col("event_id").cast("string").alias("TelemetryID"), "ts",
+    )
+    path = scratch_path(spark, "zordered")
+    ranked = rows.withColumn("z", layout.zorder_key(rows, ["DeviceID"]))
+    layout.zorder_by(rows, ["DeviceID", "ts"], 4, "TelemetryID").write.parquet(path)
+    spread = ranked.agg(F.approx_count_distinct("z") > 30).scalar()
+    return spark.read.parquet(path).select("DeviceID", "TelemetryID").withColumn("spread", spread)
+
+
 @query("l03_replicated_dimensions", f"SELECT {_FENC_TEXT} FROM fenc")
 def l03(spark, sf):
     fact = star.fact_encounters(

@@ -70,6 +70,22 @@ def m05(spark, sf):
     return events.select("event_id", version_key("id", "ts").alias("sk"))
 
 
+@query("m05_key_in_dst_gap", """
+SELECT event_id, md5(user_id || '||' || strftime(TIMESTAMP '2024-03-10 00:00:00' + INTERVAL 1 MINUTE * (event_id % 600), '%Y-%m-%d %H:%M:%S')) AS sk FROM events""")
+def m05_gap(spark, sf):
+    """Times around the start of summer time, keyed in a session of New York: no two hours fall together."""
+    events = b.table(spark, sf, "events").select(
+        "event_id", F.col("user_id").cast("string").alias("id"),
+        F.timestamp_seconds(F.lit(1710028800) + F.col("event_id") % 600 * 60).alias("t"),
+    )
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        return store(events.select("event_id", version_key("id", "t").alias("sk")))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 @query("m06_business_key", "SELECT EncounterID, md5(ProviderID) AS ProviderSK FROM enc")
 def m06(spark, sf):
     return b.encounters(spark, sf).select("EncounterID", business_key("ProviderID").alias("ProviderSK"))

@@ -45,11 +45,7 @@ def a02_raw(spark, sf):
     raw = store(b.as_text(b.encounters(spark, sf)), "bronze")
     valid, _ = quality.split(silver.encounters(raw), silver.all_encounter_rules())
     departments = b.dim_department(spark, sf)
-
-    fact = star.fact_encounters(
-        valid, b.dim_patient(spark, sf), b.dim_provider(spark, sf), departments
-    )
-    return marts.encounter_summary(fact, departments)
+    return marts.encounter_summary(star.fact_encounters(valid, departments=departments), departments)
 
 
 @query("a03_revenue_by_payer", f"""
@@ -96,6 +92,19 @@ def a07(spark, sf):
     return marts.executive_kpis(b.fact_encounters(spark, sf, ["PatientSK"]), b.dim_patient(spark, sf))
 
 
+@query("a07_by_facility", f"""
+SELECT count(DISTINCT o_custkey) FILTER (WHERE o_custkey IN (SELECT c_custkey FROM customer)) AS PatientsSeen, count(*) AS TotalEncounters,
+  CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS TotalRevenue,
+  CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) / count(o_totalprice) AS AvgRevenuePerEncounter,
+  CAST(sum(LengthOfStayHours) AS DOUBLE) / count(LengthOfStayHours) AS AvgLengthOfStayHours, (SELECT count(*) FROM customer) AS TotalPatients
+FROM orders JOIN enc ON EncounterID = CAST(o_orderkey AS VARCHAR) JOIN nation ON CAST(n_nationkey AS VARCHAR) = DepartmentID
+JOIN region ON r_regionkey = n_regionkey WHERE r_name = 'ASIA'""")
+def a07_by_facility(spark, sf):
+    """The KPI strip with the facility slicer set."""
+    fact = b.fact_encounters(spark, sf, ["PatientSK", "DepartmentSK"])
+    return marts.executive_kpis(fact, b.dim_patient(spark, sf), {"FacilityName": ["ASIA"]}, b.dim_department(spark, sf))
+
+
 @query("a08_monthly_admissions", """
 SELECT strftime(AdmitTimestamp, '%Y-%m') AS Month, count(EncounterID) AS Admissions FROM fenc GROUP BY 1""")
 def a08(spark, sf):
@@ -121,6 +130,20 @@ def a11(spark, sf):
     return marts.alert_rate(b.vitals(spark, sf))
 
 
+@query("a11_by_gender", f"""
+SELECT count(*) AS TotalReadings, {_ALERTS}, CAST(count(*) FILTER (WHERE IsCriticalAlert) AS DOUBLE) / count(IsCriticalAlert) AS AlertRate
+FROM fvit WHERE PatientSK IN (SELECT md5(CAST(c_custkey AS VARCHAR) || '||{b.FIRST_LOAD}') FROM customer WHERE c_custkey % 2 = 0)""")
+def a11_by_gender(spark, sf):
+    """Alert rate with the gender slicer set."""
+    return marts.alert_rate(b.fact_vitals(spark, sf), {"Gender": [" f"]}, b.dim_patient(spark, sf))
+
+
+@query("a11_empty_slice", "SELECT 0::BIGINT AS TotalReadings, 0::BIGINT AS CriticalAlerts, NULL::DOUBLE AS AlertRate FROM (SELECT count(*) FROM events)")
+def a11_empty(spark, sf):
+    """A slicer without rows: the rate is unknown, not an error."""
+    return marts.alert_rate(b.vitals(spark, sf), {"DeviceID": ["no such device"]})
+
+
 @query("a12_average_vitals", f"SELECT {_HR}, {_OX} FROM fvit")
 def a12(spark, sf):
     return marts.average_vitals(b.fact_vitals(spark, sf))
@@ -190,6 +213,14 @@ def a18(spark, sf):
     return marts.pass_rate(log.withColumn("TableName", F.lit("silver.fact_encounters")))
 
 
+@query("a18_empty_run", "SELECT 't' AS TableName, 'r' AS RuleName, o_orderstatus AS ExecutionID, 0::BIGINT AS Checked, 0::BIGINT AS Failed, NULL::DOUBLE AS PassRate FROM orders GROUP BY 3")
+def a18_empty(spark, sf):
+    """Runs that checked no row have no pass rate."""
+    zero = F.lit(0).cast("long")
+    log = b.table(spark, sf, "orders").groupBy(F.col("o_orderstatus").alias("ExecutionID")).agg(zero.alias("TotalRecordsChecked"))
+    return marts.pass_rate(log.withColumns({"TableName": F.lit("t"), "RuleName": F.lit("r"), "FailedRecordCount": zero}))
+
+
 @query("a19_run_summary", """
 SELECT PipelineName, Layer, count(DISTINCT RunID) AS Runs, count(*) FILTER (WHERE Status = 'SUCCESS') AS Succeeded,
   count(*) FILTER (WHERE Status = 'FAILED') AS Failed, count(*) FILTER (WHERE Status = 'QUARANTINED') AS Quarantined,
@@ -203,13 +234,33 @@ def a19(spark, sf):
 
 
 @query("a20_claims_summary", """
-SELECT ClaimStatus, InsurancePayer, count(ClaimID) AS Claims, CAST(sum(ClaimAmount) AS DOUBLE) AS ClaimedAmount,
-  CAST(sum(TotalBilledAmount) AS DOUBLE) AS BilledAmount
-FROM clm LEFT JOIN enc USING (EncounterID) GROUP BY 1, 2""")
+SELECT c.ClaimStatus, c.InsurancePayer, Claims, ClaimedAmount, BilledAmount
+FROM (SELECT ClaimStatus, InsurancePayer, count(ClaimID) AS Claims, CAST(sum(ClaimAmount) AS DOUBLE) AS ClaimedAmount FROM clm GROUP BY 1, 2) c
+JOIN (SELECT ClaimStatus, InsurancePayer, CAST(sum(TotalBilledAmount) AS DOUBLE) AS BilledAmount FROM
+  (SELECT DISTINCT ClaimStatus, InsurancePayer, EncounterID FROM clm) LEFT JOIN enc USING (EncounterID) GROUP BY 1, 2) e
+USING (ClaimStatus, InsurancePayer)""")
 def a20(spark, sf):
     return marts.claims_summary(b.claims(spark, sf), b.encounters(spark, sf))
 
 
+@query("a20_two_claims_per_encounter", """
+SELECT 'OPEN' AS ClaimStatus, 'P' AS InsurancePayer, 2 * count(*) AS Claims, 2 * CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS ClaimedAmount,
+  CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS BilledAmount FROM orders""")
+def a20_twice(spark, sf):
+    """Two claims over the whole bill for every encounter: claimed twice, billed once."""
+    encounters = b.encounters(spark, sf)
+    claims = encounters.select(
+        "EncounterID", F.explode(F.array(F.lit("a"), F.lit("b"))).alias("part"), F.col("TotalBilledAmount").alias("ClaimAmount")
+    ).select(F.concat("EncounterID", "part").alias("ClaimID"), "EncounterID", "ClaimAmount", F.lit("OPEN").alias("ClaimStatus"), F.lit("P").alias("InsurancePayer"))
+    return marts.claims_summary(claims, encounters)
+
+
+@query("a21_no_flag", "SELECT coalesce(code, 'UNKNOWN') AS TestCode, count(*) AS Results, 0::BIGINT AS Abnormal, NULL::DOUBLE AS AbnormalRate FROM events LEFT JOIN labtest ON kind = event_type GROUP BY 1")
+def a21_no_flag(spark, sf):
+    """Results that nobody flagged have no rate."""
+    return marts.lab_abnormality(b.labs(spark, sf).withColumn("IsAbnormal", F.lit(None).cast("boolean")))
+
+
 @query("a21_lab_abnormality", """
 SELECT TestCode, count(*) AS Results, count(*) FILTER (WHERE IsAbnormal) AS Abnormal,
   CAST(count(*) FILTER (WHERE IsAbnormal) AS DOUBLE) / count(IsAbnormal) AS AbnormalRate

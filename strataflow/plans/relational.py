@@ -226,7 +226,7 @@ def j10_merged(spark, sf):
     """The same where the versions are too many to broadcast: one ordered pass over both."""
     admissions = b.table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("PatientID"))
     fact = star.fact_encounters_as_of(
-        b.encounters(spark, sf), store(b.versions(spark, sf)), broadcast_rows=0, sizes_from=admissions
+        b.encounters(spark, sf), store(b.versions(spark, sf)), broadcast_bytes=0, sizes_from=admissions
     )
     return fact.select("EncounterID", "PatientSK")
 
@@ -248,6 +248,55 @@ def j10_log(spark, sf):
     )
 
 
+def _spans(spark, sf):
+    """Spans of customers in days: long ones, and for every third a short one inside that is in the middle of it."""
+    day = lambda n: F.expr(f"timestamp'1992-01-01' + make_interval(0, 0, 0, {n})")
+    base = b.table(spark, sf, "customer").select(F.col("c_custkey").alias("k"))
+    every = [("A", 0, 1000), ("B", 1000, 9000)]
+    spans = [base.select("k", F.lit(n).alias("v"), day(lo).alias("t0"), day(hi).alias("t1")) for n, lo, hi in every]
+    third = base.where("k % 3 = 0")
+    return spans[0].unionByName(spans[1]), third, day
+
+
+_ORDERS_AT = "(SELECT o_orderkey, o_custkey, o_orderdate FROM orders)"
+
+
+def _both_ways(spark, sf, versions):
+    """The answer of the broadcast, which has to be that of the merge too: rows of either are marked."""
+    facts = b.table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("k"), F.col("o_orderdate").alias("at"))
+    args = (facts, store(versions), "k", "at", "t0", "t1", ["v"])
+    ways = [joins.as_of(*args).withColumn("way", F.lit("broadcast")), joins.as_of(*args, broadcast_bytes=0).withColumn("way", F.lit("merged"))]
+    return ways[0].unionByName(ways[1]).select("o_orderkey", "v", "way")
+
+
+@query("j10_as_of_overlapping", f"""
+, answers AS (SELECT o_orderkey, CASE
+    WHEN o_custkey % 3 = 0 AND o_orderdate >= TIMESTAMP '1992-01-01' + INTERVAL 1500 DAY
+      THEN CASE WHEN o_orderdate < TIMESTAMP '1992-01-01' + INTERVAL 2000 DAY THEN 'INNER' END
+    WHEN o_orderdate < TIMESTAMP '1992-01-01' THEN NULL
+    WHEN o_orderdate < TIMESTAMP '1992-01-01' + INTERVAL 1000 DAY THEN 'A'
+    WHEN o_orderdate < TIMESTAMP '1992-01-01' + INTERVAL 9000 DAY THEN 'B' END AS v FROM {_ORDERS_AT})
+SELECT o_orderkey, CASE WHEN EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey) THEN v END AS v, way
+FROM answers JOIN {_ORDERS_AT} USING (o_orderkey), (VALUES ('broadcast'), ('merged')) w(way)""".lstrip())
+def j10_overlapping(spark, sf):
+    """A version that starts inside another ends it, by the broadcast and by the merge alike."""
+    plain_spans, third, day = _spans(spark, sf)
+    inner = third.select("k", F.lit("INNER").alias("v"), day(1500).alias("t0"), day(2000).alias("t1"))
+    return _both_ways(spark, sf, plain_spans.unionByName(inner))
+
+
+@query("j10_as_of_empty_version", f"""
+SELECT o_orderkey, CASE WHEN NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey) THEN NULL
+    WHEN o_orderdate < TIMESTAMP '1992-01-01' THEN NULL WHEN o_orderdate < TIMESTAMP '1992-01-01' + INTERVAL 1000 DAY THEN 'A'
+    WHEN o_orderdate < TIMESTAMP '1992-01-01' + INTERVAL 9000 DAY THEN 'B' END AS v, way
+FROM orders, (VALUES ('broadcast'), ('merged')) w(way)""")
+def j10_empty(spark, sf):
+    """Versions that end where they start, or before it, hide nothing."""
+    plain_spans, third, day = _spans(spark, sf)
+    empty = [third.select("k", F.lit(n).alias("v"), day(lo).alias("t0"), day(hi).alias("t1")) for n, lo, hi in (("E", 1000, 1000), ("F", 1200, 1100))]
+    return _both_ways(spark, sf, plain_spans.unionByName(empty[0]).unionByName(empty[1]))
+
+
 @query("j11_orphan_claims", f"SELECT {_CLM_TEXT} FROM clm WHERE PatientID IS NOT NULL AND PatientID NOT IN (SELECT PatientID FROM pat)")
 def j11(spark, sf):
     return plain(joins.orphans(b.claims(spark, sf), b.patients(spark, sf), "PatientID"))
@@ -260,21 +309,23 @@ UNION ALL SELECT 'labs.EncounterID', count(*) FROM lab WHERE EncounterID NOT IN
 UNION ALL SELECT 'vitals.PatientID', count(*) FROM vit WHERE PatientID NOT IN (SELECT PatientID FROM pat)
 UNION ALL SELECT 'encounters.ProviderID', count(*) FROM enc WHERE ProviderID NOT IN (SELECT ProviderID FROM prov)""")
 def j11_counts(spark, sf):
-    encounters, patients = b.encounters(spark, sf), b.patients(spark, sf)
+    """Each child is read once and aggregated by key before it meets its parents; encounters are derived once."""
+    encounters = store(b.encounters(spark, sf).select("EncounterID", "ProviderID"))
+
+    def unknown(name, child, parent, key):
+        return joins.orphan_counts(child, parent.select(key), key).select(F.lit(name).alias("Reference"), "Orphans")
+
+    patients = b.patients(spark, sf)
     claims, labs, vitals = b.claims(spark, sf), b.labs(spark, sf), b.vitals(spark, sf)
     checks = [
-        ("claims.PatientID", joins.orphans(claims, patients, "PatientID")),
-        ("claims.EncounterID", joins.orphans(claims, encounters, "EncounterID")),
-        ("labs.EncounterID", joins.orphans(labs, encounters, "EncounterID")),
-        ("vitals.PatientID", joins.orphans(vitals, patients, "PatientID")),
-        ("encounters.ProviderID", joins.orphans(encounters, b.providers(spark, sf), "ProviderID")),
+        unknown("claims.PatientID", claims, patients, "PatientID"),
+        unknown("claims.EncounterID", claims, encounters, "EncounterID"),
+        unknown("labs.EncounterID", labs, encounters, "EncounterID"),
+        unknown("vitals.PatientID", vitals, patients, "PatientID"),
+        unknown("encounters.ProviderID", encounters, b.providers(spark, sf), "ProviderID"),
     ]
-    counts = [
-        rows.agg(F.count(F.lit(1)).alias("Orphans")).select(F.lit(name).alias("Reference"), "Orphans")
-        for name, rows in checks
-    ]
-    result = counts[0]
-    for more in counts[1:]:
+    result = checks[0]
+    for more in checks[1:]:
         result = result.unionByName(more)
     return result
 
@@ -321,6 +372,13 @@ def w03(spark, sf):
     return marts.with_share(by_supplier, "quantity", "share").drop("quantity")
 
 
+@query("w03_zero_total", "SELECT l_suppkey, CAST(NULL AS DOUBLE) AS share FROM lineitem GROUP BY 1")
+def w03_zero(spark, sf):
+    """Shares of a total of zero are unknown."""
+    nothing = b.table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.sum(F.col("l_quantity") * 0).alias("quantity"))
+    return marts.with_share(nothing, "quantity", "share").drop("quantity")
+
+
 @query("o01_order_by_aggregate", """
 SELECT PatientID, CAST(sum(TotalBilledAmount) AS DOUBLE) AS Revenue FROM enc GROUP BY 1 ORDER BY 2 DESC, 1""")
 def o01(spark, sf):
@@ -339,9 +397,7 @@ def o02(spark, sf):
 SELECT CASE WHEN (LengthOfStayHours IS NULL OR LengthOfStayHours BETWEEN 0 AND 8760) AND TotalBilledAmount >= 0
   AND PatientID IS NOT NULL THEN 'valid' ELSE 'invalid' END AS side, EncounterID FROM enc""")
 def u01(spark, sf):
-    valid, invalid = quality.split(b.encounters(spark, sf), quality.encounter_rules())
-    sides = [rows.select(F.lit(name).alias("side"), "EncounterID") for name, rows in (("valid", valid), ("invalid", invalid))]
-    return sides[0].unionByName(sides[1])
+    return quality.sides(b.encounters(spark, sf), quality.encounter_rules()).select("side", "EncounterID")
 
 
 @query("u02_union_all", """

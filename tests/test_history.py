@@ -132,7 +132,7 @@ def test_only_groups_over_the_bound_are_split(spark):
 
 
 @pytest.mark.parametrize("opts", [
-    {"versions_per_key": 10_000}, {"broadcast_rows": 0, "max_rows": None}, {"broadcast_rows": 0, "max_rows": 10}, {},
+    {"versions_per_key": 10_000}, {"broadcast_bytes": 0, "max_rows": None}, {"broadcast_bytes": 0, "max_rows": 10}, {},
 ])
 def test_as_of_equals_brute_force(spark, opts):
     data, log = random_log(spark, 7)

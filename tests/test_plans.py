@@ -65,12 +65,14 @@ def test_as_of_is_no_nested_loop_and_no_pair_join(spark):
     facts = b.table(spark, SF, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"), F.col("o_orderdate").alias("at"))
     log = b.changelog(spark, SF).withColumn(scd2.END, scd2.open_end())
     args = (facts, log, "user_id", "at", scd2.START, scd2.END, ["event_type"])
-    merged = simple(joins.as_of(*args, broadcast_rows=0))
+    merged = simple(joins.as_of(*args, broadcast_bytes=0))
     assert "NestedLoop" not in merged and "Cartesian" not in merged and "Join" not in merged
     many = simple(joins.as_of(*args, versions_per_key=1))
     assert "Join" not in many
     small = simple(joins.as_of(*args, versions_per_key=10_000))
-    assert small.count("BroadcastHashJoin") == 1 and "hashpartitioning" not in small
+    assert small.count("BroadcastHashJoin") == 1 and small.count("Exchange hashpartitioning") == 1
+    facts_side = small[: small.index("BroadcastExchange")]
+    assert "Exchange hashpartitioning" not in facts_side
 
 
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if n[0] in "ajpwou" and not n.startswith(("a02_from", "j01", "j10", "p06"))))
@@ -83,8 +85,8 @@ def test_replicated_is_bounded(spark):
     facts, dim = spark.range(100).withColumnRenamed("id", "k"), spark.range(50).select(F.col("id").alias("k"), F.lit(1).alias("v"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        small = facts.join(joins.replicated(dim, 50), "k", "left")
-        large = facts.join(joins.replicated(dim, 49), "k", "left")
+        small = facts.join(joins.replicated(dim, 1_000), "k", "left")
+        large = facts.join(joins.replicated(dim, 100), "k", "left")
         assert "BroadcastHashJoin" in simple(small) and "BroadcastHashJoin" not in simple(large)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
