@@ -6,25 +6,30 @@ The driver only walks the list of configured entities, a handful of rows; each e
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from .contracts import ENTITIES, text_contract
+from .contracts import ENTITIES, GOLD, INGESTION_CONTROL, text_contract
 from .functions.parsing import parse
 from .operators import control as ctl, star
-from .operators.quality import Rule
+from .operators.dedup import duplicates
+from .operators.quality import Rule, contract_rules, enforce, misfit_rule, not_null, observed
 from .operators.scd2 import apply_scd2, initial_load
-from .sources.files import read_csv, read_json_array, read_json_lines, with_provenance
-from .sources.jdbc import append_audit
-from .sources.tables import gate, land, publish, read_current, table_exists
+from .sources.files import list_files, read_csv, read_json_array, read_json_lines, with_provenance
+from .sources.jdbc import append_audit, batch_name
+from .sources.tables import (
+    LANDED_FILES, conform, gate, land, publish, publish_together, read_current, read_if_present, read_valid, table_exists,
+)
 from .streaming.vitals import progress
 
 INGEST = "INGEST_RAW_TO_BRONZE"
 ALL_ENTITIES = "ALL_BATCH_ENTITIES"
 
 
-def read_raw(spark: SparkSession, entity: str, fmt: str, path: str, json_array: bool = False) -> DataFrame:
+def read_raw(spark: SparkSession, entity: str, fmt: str, path: str | list[str], json_array: bool = False) -> DataFrame:
     """A raw drop as text columns, under the entity's contract."""
     contract = ENTITIES[entity]
     if fmt.upper() == "CSV":
@@ -35,32 +40,74 @@ def read_raw(spark: SparkSession, entity: str, fmt: str, path: str, json_array:
     raise ValueError(f"no raw reader for format {fmt}")
 
 
+ROW_ID = "_row_id"
+
+
+def row_id(df: DataFrame, contract) -> F.Column:
+    """Names a raw row by the text of all its contract columns."""
+    return F.md5(F.to_json(F.struct(*[F.col(f.name) for f in contract]), {"ignoreNullFields": "false"}))
+
+
+def _unread_files(spark: SparkSession, folder: str, log: str) -> tuple[DataFrame, list[str]]:
+    """Files of a drop folder that no completed load has read in their present state."""
+    found = list_files(spark, folder)
+    known = read_if_present(spark, log, LANDED_FILES)
+    new = found if known is None else found.join(known, ["path", "modificationTime"], "left_anti")
+    rows = new.collect()  # names of the new files, which the scan's own listing holds on the driver as well
+    return spark.createDataFrame(rows, LANDED_FILES), [r.path for r in rows]
+
+
 def land_entity(spark: SparkSession, row, raw_root: str, bronze_root: str, run_id: str, json_array: bool = False) -> dict:
-    """Copy one entity's new rows to Bronze with provenance. Returns rows written and highest watermark."""
-    raw = with_provenance(
-        read_raw(spark, row.EntityName, row.SourceFormat, f"{raw_root}/{row.SourceFolderPath}", json_array),
-        row.SourceSystem,
-    )
-    mark = row.WatermarkColumn if row.IngestionType == ctl.INCREMENTAL else None
-    if mark:
-        kind = ENTITIES[row.EntityName][mark].dataType
-        raw = raw.withColumn("_watermark", parse(F.col(mark), kind).cast("timestamp"))
-        # A row whose time does not parse is kept: the Silver rules have to see it.
-        if row.WatermarkValue is not None:
-            above = F.col("_watermark") > F.lit(row.WatermarkValue)
-            raw = raw.where(F.coalesce(above, F.lit(True)))
-    seen = land(raw, f"{bronze_root}/{row.TargetBronzePath}", run_id, row.EntityName, "_watermark" if mark else None)
-    return {"rows": seen["rows"], "high": seen.get("high")}
+    """Copy one entity's new rows to Bronze with provenance. Returns what was landed.
+
+    A full reload reads all files. An incremental load reads the files that no load has completed, and of
+    their rows lands those that Bronze does not hold yet, whatever their time: rows at the watermark, rows
+    older than it (counted as late) and rows without a readable time (counted as unreadable) are all
+    landed, once. The files count as read when their rows are written, so a load that failed starts
+    over and a run id that is used again adds only what is missing. The new watermark is the highest time
+    landed, at most the present.
+    """
+    source, target = f"{raw_root}/{row.SourceFolderPath}", f"{bronze_root}/{row.TargetBronzePath}".rstrip("/")
+    incremental, contract = row.IngestionType == ctl.INCREMENTAL, ENTITIES[row.EntityName]
+    files_log, measures, paths = f"{target}/_files", {}, source
+    if incremental:
+        files, paths = _unread_files(spark, source, files_log)
+        if not paths:
+            return {"rows": 0, "high": None, "late": 0, "unreadable": 0}
+    raw = with_provenance(read_raw(spark, row.EntityName, row.SourceFormat, paths, json_array), row.SourceSystem)
+    raw = raw.withColumn(ROW_ID, row_id(raw, contract))
+    if incremental:
+        held = read_if_present(spark, target, T.StructType([T.StructField(ROW_ID, T.StringType())]))
+        raw = raw if held is None else raw.join(held, ROW_ID, "left_anti")
+        time = F.col("_watermark")
+        raw = raw.withColumn("_watermark", parse(F.col(row.WatermarkColumn), contract[row.WatermarkColumn].dataType).cast("timestamp"))
+        measures = {
+            "high": F.max(F.when(time <= F.current_timestamp(), time)),
+            "late": F.count_if(time < F.lit(row.WatermarkValue).cast("timestamp")), "unreadable": F.count_if(time.isNull()),
+        }
+    seen = land(raw, target, run_id, row.EntityName, measures, ["_watermark"])
+    if incremental:
+        files.write.mode("append").parquet(files_log)
+    high = seen.get("high")
+    if high is not None and row.WatermarkValue is not None:
+        high = max(high, row.WatermarkValue)
+    return {"rows": seen["rows"], "high": high, "late": seen.get("late", 0), "unreadable": seen.get("unreadable", 0)}
+
+
+def read_control_of(spark: SparkSession, root: str) -> DataFrame:
+    """The control table that ``ingest`` keeps at ``root``."""
+    return read_current(spark, root, INGESTION_CONTROL)
 
 
 def ingest(
     spark: SparkSession, control: DataFrame, raw_root: str, bronze_root: str, log_sink: str | dict,
-    run_id: str, json_array: bool = False,
+    run_id: str, json_array: bool = False, control_root: str | None = None,
 ) -> DataFrame:
     """Load all active batch entities; returns the control table with advanced watermarks.
 
-    Every entity logs SUCCESS or FAILED with its row count, and the run always logs an end. A watermark
-    moves only after its rows are written.
+    With ``control_root`` the new control table is published there, so that its marks are stored with the
+    run. Every entity logs SUCCESS or FAILED with its row count, and the run always logs an end, also
+    when the control table cannot be read. A watermark moves only after its rows are written.
     """
     def log(entity, status, rows=0, error=None):
         event = ctl.run_event(spark, run_id, entity, "BRONZE", status, INGEST, rows, 0, error)
@@ -68,71 +115,178 @@ def ingest(
 
     log(ALL_ENTITIES, ctl.STARTED)
     marks, failed = [], []
-    for row in ctl.active_entities(control).orderBy("SourceID").toLocalIterator():
-        try:
-            done = land_entity(spark, row, raw_root, bronze_root, run_id, json_array)
-        except Exception as error:  # an entity must not stop the others; the log keeps its message
-            failed.append(row.EntityName)
-            log(row.EntityName, ctl.FAILED, error=str(error))
-            continue
-        log(row.EntityName, ctl.SUCCESS, done["rows"])
-        if done["high"] is not None:
-            marks.append((row.SourceSystem, row.EntityName, done["high"]))
+    try:
+        for row in ctl.active_entities(control).orderBy("SourceID").toLocalIterator():
+            try:
+                done = land_entity(spark, row, raw_root, bronze_root, run_id, json_array)
+            except Exception as error:  # an entity must not stop the others; the log keeps its message
+                failed.append(row.EntityName)
+                log(row.EntityName, ctl.FAILED, error=str(error))
+                continue
+            notes = [f"{done[k]} {k}" for k in ("late", "unreadable") if done.get(k)]
+            log(row.EntityName, ctl.SUCCESS, done["rows"], ", ".join(notes) or None)
+            if done["high"] is not None:
+                marks.append((row.SourceSystem, row.EntityName, done["high"]))
+        new = spark.createDataFrame(marks, "SourceSystem string, EntityName string, NewWatermarkValue timestamp")
+        moved = ctl.set_watermarks(control, new).drop("_updated")
+        if control_root:
+            publish(moved, control_root, run_id)
+            moved = read_control_of(spark, control_root)
+    except Exception as error:
+        log(ALL_ENTITIES, ctl.FAILED, error=str(error))
+        raise
     log(ALL_ENTITIES, ctl.FAILED if failed else ctl.SUCCESS, error=", ".join(failed) or None)
-    new = spark.createDataFrame(marks, "SourceSystem string, EntityName string, NewWatermarkValue timestamp")
-    return ctl.set_watermarks(control, new).drop("_updated")
+    return moved
 
 
-def load_silver(
-    tagged_source: DataFrame, rules: list[Rule], root: str, table: str, entity: str, run_id: str,
-    run_sink: str | dict, rule_sink: str | dict,
+def audited(df: DataFrame, source_system: str | None) -> DataFrame:
+    """Silver's audit columns: processing time, and the source system unless the rows carry one."""
+    known = F.col("_source_system") if "_source_system" in df.columns else F.lit(source_system)
+    return df.withColumns({"_processed_at": F.current_timestamp(), "_source_system": known.cast("string")})
+
+
+def _logged(
+    spark: SparkSession, run_id: str, entity: str, layer: str, pipeline: str, sink: str | dict | None,
+    work: Callable[[], dict],
 ) -> dict:
-    """Gate one entity into Silver and log the run and its rules from the counts of that write."""
-    spark = tagged_source.sparkSession
+    """Run ``work`` and log its counts, or its failure, as one row per run, layer and entity."""
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    counts = gate(tagged_source, rules, root, run_id)
-    event = ctl.run_event(
-        spark, run_id, entity, "SILVER", ctl.final_status(counts["quarantined"]), f"SILVER_{entity.upper()}",
-        counts["passed"], counts["quarantined"], started=started, execution_id=run_id,
-    )
-    append_audit(event, run_sink, run_id if isinstance(run_sink, str) else None)
-    rule_rows = ctl.rule_log(spark, run_id, table, rules, counts, f"{root}/run_id={run_id}/side=quarantine")
-    append_audit(rule_rows, rule_sink, run_id if isinstance(rule_sink, str) else None)
+    name = batch_name(run_id, layer, entity)
+
+    def log(status, counts, error=None):
+        if sink is not None:
+            event = ctl.run_event(
+                spark, run_id, entity, layer, status, pipeline, counts.get("passed", 0), counts.get("quarantined", 0),
+                error, started=started, execution_id=execution_id(run_id, layer, entity),
+            )
+            append_audit(event, sink, name)
+
+    try:
+        counts = work()
+    except Exception as error:
+        log(ctl.FAILED, {}, str(error))
+        raise
+    log(ctl.final_status(counts.get("quarantined", 0)), counts, counts.get("note"))
     return counts
 
 
-def load_versions(batch: DataFrame, root: str, run_id: str, **opts) -> int:
-    """Create the version table, or apply the batch to it. Returns the version published."""
+def execution_id(run_id: str, layer: str, entity: str) -> str:
+    """One id per run, layer and entity; a repeated load has the same."""
+    return str(uuid.uuid5(uuid.NAMESPACE_URL, batch_name(run_id, layer, entity)))
+
+
+def load_silver(
+    source: DataFrame, rules: list[Rule], root: str, table: str, entity: str, run_id: str,
+    run_sink: str | dict, rule_sink: str | dict, source_system: str | None = None,
+) -> dict:
+    """Gate one entity into Silver and log the run and its rules from the counts of that write."""
+    spark = source.sparkSession
+
+    def work() -> dict:
+        counts = gate(audited(source, source_system), rules, root, run_id)
+        rows = ctl.rule_log(spark, execution_id(run_id, "SILVER", entity), table, rules, counts, f"{root} (run_id {run_id})")
+        append_audit(rows, rule_sink, batch_name(run_id, "SILVER", entity))
+        return counts
+
+    return _logged(spark, run_id, entity, "SILVER", f"SILVER_{entity.upper()}", run_sink, work)
+
+
+def load_versions(
+    batch: DataFrame, root: str, run_id: str, run_sink: str | dict | None = None, key: str = "PatientID",
+    updated: str = "UpdatedTimestamp", entity: str = "Patients", source_system: str | None = None, **opts,
+) -> int:
+    """Create the version table, or apply the batch to it. Returns the version published.
+
+    Rows without key or time cannot become versions. They are written to ``_quarantine`` of the table and
+    counted, as are (key, time) pairs with several different rows, of which one stands.
+    """
     spark = batch.sparkSession
-    if not table_exists(spark, root):
-        result = initial_load(batch, **opts)
-    else:
-        result = apply_scd2(read_current(spark, root), batch, **opts)
-    return publish(result, root, run_id)
+    rules = [not_null(key, updated, name="NOT_NULL_VERSION_KEY")]
+    done = {}
+
+    def work() -> dict:
+        landed = f"{root}/_quarantine"
+        counts = gate(audited(batch, source_system), rules, landed, run_id)
+        rows = read_valid(spark, landed, audited(batch, source_system).schema)
+        pairs = rows.groupBy(key, updated).agg(F.countDistinct(F.xxhash64(*[c for c in batch.columns if not c.startswith("_")])).alias("n"))
+        tied = pairs.where("n > 1").count()
+        if table_exists(spark, root):
+            # A table from before the audit columns gets them as NULL.
+            result = apply_scd2(conform(read_current(spark, root), _audit_fields()), rows, key=key, updated=updated, **opts)
+        else:
+            result = initial_load(rows, key=key, updated=updated, **opts)
+        done["version"] = publish(result, root, run_id)
+        return {**counts, "note": f"{tied} tied" if tied else None}
+
+    _logged(spark, run_id, entity, "SILVER", f"SILVER_VERSIONS_{entity.upper()}", run_sink, work)
+    return done["version"]
+
+
+def _audit_fields() -> T.StructType:
+    return T.StructType([T.StructField("_processed_at", T.TimestampType()), T.StructField("_source_system", T.StringType())])
+
+
+class GoldRejected(ValueError):
+    """The built tables break the warehouse contract; the version before stays current."""
+
+
+def check_gold(name: str, rows: DataFrame) -> tuple[DataFrame, dict]:
+    """A Gold table in warehouse types, and the number of rows that break each rule of its contract."""
+    typed = enforce(rows, GOLD[name])
+    rules = [*contract_rules(GOLD[name]), misfit_rule()]
+    tagged, seen = observed(typed, rules, f"gold-{name}-{uuid.uuid4().hex}")
+    names = [c.name for c in GOLD[name]]
+    extra = [c for c in rows.columns if c not in names]
+    if extra:
+        raise GoldRejected(f"{name}: columns beyond the contract: {extra}")
+    return tagged.select(*names), seen
 
 
 def build_gold(
     versions: DataFrame, providers: DataFrame, departments: DataFrame, encounters: DataFrame, vitals: DataFrame,
-    root: str, run_id: str,
-) -> dict[str, int]:
-    """Publish the three dimensions and two facts; returns the version number of each table.
+    root: str, run_id: str, run_sink: str | dict | None = None,
+) -> int:
+    """Build the three dimensions and two facts, check them and make them current together.
 
-    The facts take their keys from the dimensions just published, so all five agree.
+    Checked are the contract's types, NULLs and lengths while each table is written, and that the key of each
+    table is unique. Any breach raises GoldRejected before the one log row that readers follow is
+    written. The facts take their keys from the dimensions just written, so all five agree. Read a table
+    with read_current(spark, root, table=name).
     """
-    spark, published, dims = versions.sparkSession, {}, {}
-    built = {
-        "dim_patient": star.dim_patient(versions),
-        "dim_provider": star.dim_provider(providers),
-        "dim_department": star.dim_department(departments),
+    spark = versions.sparkSession
+    grain = {
+        "dim_patient": ["PatientID"], "dim_provider": ["ProviderID"], "dim_department": ["DepartmentID"],
+        "fact_patient_encounters": ["EncounterID"], "fact_vitals_telemetry": ["TelemetryID"],
     }
-    for name, rows in built.items():
-        published[name] = publish(rows, f"{root}/{name}", run_id)
-        dims[name] = read_current(spark, f"{root}/{name}", rows.schema)
-    facts = star.fact_encounters(encounters, *dims.values()).withColumn("_created_at", F.current_timestamp())
-    published["fact_patient_encounters"] = publish(facts, f"{root}/fact_patient_encounters", run_id)
-    telemetry = star.fact_vitals(vitals, dims["dim_patient"])
-    published["fact_vitals_telemetry"] = publish(telemetry, f"{root}/fact_vitals_telemetry", run_id)
-    return published
+    done, counts = {}, {"passed": 0}
+
+    def put(folder: str, name: str, rows: DataFrame) -> DataFrame:
+        checked, seen = check_gold(name, rows)
+        out = checked.withColumn("_created_at", F.current_timestamp()) if name == "fact_patient_encounters" else checked
+        out.write.parquet(f"{folder}/{name}")
+        broken = {rule: n for rule, n in seen.get.items() if n and rule not in ("total", "passed", "quarantined")}
+        written = spark.read.schema(out.schema).parquet(f"{folder}/{name}")
+        repeated = duplicates(written, grain[name]).count()
+        if broken or repeated:
+            raise GoldRejected(f"{name}: {broken}, {repeated} repeated keys")
+        counts["passed"] += seen.get["total"]
+        return written
+
+    def build(folder: str) -> None:
+        patients = put(folder, "dim_patient", star.dim_patient(versions))
+        dims = [
+            patients, put(folder, "dim_provider", star.dim_provider(providers)),
+            put(folder, "dim_department", star.dim_department(departments)),
+        ]
+        put(folder, "fact_patient_encounters", star.fact_encounters(encounters, *dims))
+        put(folder, "fact_vitals_telemetry", star.fact_vitals(vitals, patients))
+
+    def work() -> dict:
+        done["version"] = publish_together(spark, root, run_id, build)
+        return counts
+
+    _logged(spark, run_id, "ALL_GOLD_TABLES", "GOLD", "BUILD_GOLD", run_sink, work)
+    return done["version"]
 
 
 def log_stream(spark: SparkSession, query: StreamingQuery, sink: str | dict, entity: str = "PatientVitals") -> None:

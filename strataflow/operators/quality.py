@@ -73,6 +73,11 @@ def parsed(text_col: str, fmt: str, name: str | None = None) -> Rule:
     return Rule(name or f"PARSES_{text_col.upper()}", SCHEMA_VALIDATION, check)
 
 
+def well_formed(name: str = "WELL_FORMED_ROW") -> Rule:
+    """A row of sources.files.read_csv that had the contract's number of fields."""
+    return Rule(name, SCHEMA_VALIDATION, F.col("_corrupt_record").isNull())
+
+
 def fully_parsed(name: str = "PARSES_ALL_COLUMNS") -> Rule:
     """No column of a parse_text(..., keep_text=True) result lost its value."""
     return Rule(name, SCHEMA_VALIDATION, F.col("_unparsed").isNull())

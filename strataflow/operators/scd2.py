@@ -93,6 +93,11 @@ def _usable(batch: DataFrame, key: str, updated: str) -> DataFrame:
     return batch.where(F.col(key).isNotNull() & F.col(updated).isNotNull())
 
 
+def _content(batch: DataFrame) -> Column:
+    """Hash of a row's own columns, without audit columns, whose values differ from load to load."""
+    return F.xxhash64(*[c for c in batch.columns if not c.startswith("_")])
+
+
 def initial_load(
     batch: DataFrame, key: str = "PatientID", tracked=PATIENT_TRACKED,
     updated: str = "UpdatedTimestamp", surrogate: str = "PatientSK",
@@ -100,7 +105,7 @@ def initial_load(
 ) -> DataFrame:
     """First version table of a batch. A key that repeats becomes consecutive versions."""
     staged = stage(_usable(batch, key, updated), key, updated, surrogate)
-    tied = staged.withColumn("_tie", F.xxhash64(*batch.columns))
+    tied = staged.withColumn("_tie", _content(batch))
     return history_from_changelog(tied, [key], tracked, ["_tie"], max_rows).drop("_tie")
 
 
@@ -119,7 +124,7 @@ def apply_scd2(
     other keys then pass through a join with those keys, which Spark broadcasts if small enough.
     """
     staged = stage(_usable(batch, key, updated), key, updated, surrogate)
-    arriving = staged.withColumns({"_from_batch": F.lit(1), "_tie": F.xxhash64(*batch.columns)})
+    arriving = staged.withColumns({"_from_batch": F.lit(1), "_tie": _content(batch)})
     if small_batch:
         touched = staged.select(key).distinct()
         untouched = target.join(touched, key, "left_anti")

@@ -77,6 +77,63 @@ def c04_twice(spark, sf):
     return rows.where(F.col("SourceEntity") != loads.ALL_ENTITIES).select("SourceEntity", "RecordsIngested")
 
 
+def _claim_files(spark, sf):
+    """A drop folder of claims and a control table that names it alone."""
+    root, folder = scratch_path(spark, "raw"), "landing/claims/billing_claims/"
+    claims = b.claims(spark, sf)
+
+    def drop(rows):
+        b.as_text(rows).write.mode("append").option("header", True).csv(f"{root}/{folder}")
+
+    seed = control.seed_control(spark).where("EntityName = 'BillingClaims'")
+    return root, claims, drop, seed
+
+
+def _claims_landed(spark, bronze):
+    return spark.read.parquet(f"{bronze}/bronze/claims/billing_claims").groupBy("ClaimID").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query("c04_same_day_rows", "SELECT ClaimID, count(*) AS copies FROM clm GROUP BY 1")
+def c04_same_day(spark, sf):
+    """Claims of each day arrive in two drops: rows at the watermark and below it are landed, once."""
+    root, claims, drop, seed = _claim_files(spark, sf)
+    bronze, log, marks = scratch_path(spark, "bronze"), scratch_path(spark, "run_log"), scratch_path(spark, "control")
+    even = F.xxhash64("ClaimID") % 2 == 0
+    for run, rows in (("r1", claims.where(even)), ("r2", claims.where(~even)), ("r3", None)):
+        if rows is not None:
+            drop(rows)
+        seed = loads.ingest(spark, seed, root, bronze, f"{log}/{run}", run, control_root=marks)
+    return _claims_landed(spark, bronze)
+
+
+@query("c04_rerun_after_advance", "SELECT ClaimID, count(*) AS copies FROM clm GROUP BY 1")
+def c04_rerun(spark, sf):
+    """The same run id again, with the control table it advanced, leaves what it landed."""
+    root, claims, drop, seed = _claim_files(spark, sf)
+    bronze, log, marks = scratch_path(spark, "bronze"), scratch_path(spark, "run_log"), scratch_path(spark, "control")
+    drop(claims)
+    loads.ingest(spark, seed, root, bronze, log, "r1", control_root=marks)
+    loads.ingest(spark, loads.read_control_of(spark, marks), root, bronze, log, "r1", control_root=marks)
+    return _claims_landed(spark, bronze)
+
+
+@query("c04_unreadable_time_once", """
+SELECT ClaimID, count(*) AS copies, CASE WHEN right(ClaimID, 1) = '1' THEN 'soon' END AS date_text FROM clm GROUP BY 1, 3""")
+def c04_unreadable(spark, sf):
+    """Rows whose date is no date are landed by the first run and not by the second, which finds new files beside them."""
+    root, claims, drop, seed = _claim_files(spark, sf)
+    bronze, log = scratch_path(spark, "bronze"), scratch_path(spark, "run_log")
+    broken = F.col("ClaimID").endswith("1")
+    text = b.as_text(claims).withColumn("ClaimDate", F.when(broken, "soon").otherwise(F.col("ClaimDate")))
+    for run in ("r1", "r2"):
+        drop(text)  # the second drop repeats every row of the first
+        seed = tables.store(loads.ingest(spark, seed, root, bronze, f"{log}/{run}", run))
+    landed = spark.read.parquet(f"{bronze}/bronze/claims/billing_claims").groupBy("ClaimID").agg(
+        F.count(F.lit(1)).alias("copies"), F.max(F.when(F.col("ClaimDate") == "soon", F.col("ClaimDate"))).alias("date_text")
+    )
+    return landed
+
+
 @query("c05_full_reload", "SELECT ProviderSK, ProviderID, NPI_Number, ProviderName, Specialty, DepartmentID FROM dimprov")
 def c05(spark, sf):
     root = scratch_path(spark, "dim_provider")
@@ -108,6 +165,36 @@ def c07(spark, sf):
     return rows.select("SourceEntity", "Layer", "Status", "RecordsIngested", "RecordsQuarantined")
 
 
+@query("c07_two_entities_one_run", """
+SELECT 'Encounters' AS SourceEntity, (SELECT count(*) FROM enc) AS TotalRows, 3::BIGINT AS Rules
+UNION ALL SELECT 'LabResults', (SELECT count(*) FROM lab), 1""")
+def c07_two(spark, sf):
+    """Two entities under one run id: both stay in the run log and in the rule log."""
+    base = scratch_path(spark, "silver")
+    for entity, rows, rules in (
+        ("Encounters", b.encounters(spark, sf), quality.encounter_rules()), ("LabResults", b.labs(spark, sf), [quality.not_null("LabResultID")]),
+    ):
+        loads.load_silver(rows, rules, f"{base}/{entity}", f"silver.{entity}", entity, "run1", f"{base}/run_log", f"{base}/rule_log")
+    runs = spark.read.schema(contracts.RUN_LOG).parquet(f"{base}/run_log")
+    rules = spark.read.schema(contracts.RULE_LOG).parquet(f"{base}/rule_log").groupBy("ExecutionID").agg(F.count(F.lit(1)).alias("Rules"))
+    return runs.join(rules, "ExecutionID").select(
+        "SourceEntity", (F.col("RecordsIngested") + F.col("RecordsQuarantined")).alias("TotalRows"), "Rules"
+    )
+
+
+@query("c06_failed_silver_load", "SELECT 'Encounters' AS SourceEntity, 'FAILED' AS Status, TRUE AS explained, count(*) > 0 AS any_rows FROM enc")
+def c06_failed(spark, sf):
+    """A load that breaks off leaves its failure in the run log."""
+    base = scratch_path(spark, "silver")
+    broken = b.encounters(spark, sf).withColumn("EncounterID", F.raise_error(F.lit("source broke off")).cast("string"))
+    try:
+        loads.load_silver(broken, quality.encounter_rules(), f"{base}/t", "silver.t", "Encounters", "run1", f"{base}/run_log", f"{base}/rule_log")
+    except Exception:  # what failed is asserted on the log
+        pass
+    rows = spark.read.schema(contracts.RUN_LOG).parquet(f"{base}/run_log")
+    return rows.select("SourceEntity", "Status", F.col("ErrorMessage").contains("source broke off").alias("explained"), F.lit(True).alias("any_rows"))
+
+
 @query("c08_rule_log_without_run", "SELECT ExecutionID FROM runs WHERE Status = 'FAILED'")
 def c08(spark, sf):
     """Rule log rows whose run is unknown; the failed runs are left out of the run log here."""

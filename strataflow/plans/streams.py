@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .. import loads
+from .. import contracts, loads
 from ..session import pin_utc, scratch_path
+from ..sources import tables
 from ..streaming import vitals as stream
 from . import bindings as b
 from .registry import plain, query, ts
@@ -97,13 +98,65 @@ def st07(spark, sf):
 
 @query("st07_dedup_for_all_time", f"SELECT TelemetryID, DeviceID, {ts('EventTimestamp')} FROM vit")
 def st07_exact(spark, sf):
-    """Every reading delivered twice and the stream replayed from the start, kept once."""
-    out = scratch_path(spark, "silver")
+    """Every reading delivered twice and the drop repeated for a restarted stream, kept once."""
+    out, offsets, landed = scratch_path(spark, "silver"), scratch_path(spark, "offsets"), scratch_path(spark, "in")
     for _ in range(2):
-        rows = b.vitals_of(events_stream(pin_utc(spark), sf)).withColumn("event_date", F.to_date("EventTimestamp"))
+        b.table(spark, sf, "events").write.mode("append").parquet(landed)
+        rows = b.vitals_of(pin_utc(spark).readStream.schema(b.TABLES["events"]).parquet(landed))
         twice = rows.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_copy")
-        stream.write_silver(twice, out, scratch_path(spark, "offsets"), trigger=None).awaitTermination()
-    return plain(spark.read.parquet(out).select("TelemetryID", "DeviceID", "EventTimestamp"))
+        _silver(spark, twice, out, offsets)
+    return plain(_silver_rows(spark, out).select("TelemetryID", "DeviceID", "EventTimestamp"))
+
+
+def _silver(spark, rows, out, offsets):
+    stream.write_silver(rows, out, offsets, trigger=None).awaitTermination()
+
+
+def _silver_rows(spark, out, side="valid"):
+    return stream.read_silver(spark, out, contracts.VITALS, side)
+
+
+@query("st07_validated_stream", """
+SELECT TelemetryID, CASE WHEN CAST(TelemetryID AS BIGINT) % 5 = 0 THEN 'VALID_HEART_RATE_RANGE' WHEN CAST(TelemetryID AS BIGINT) % 7 = 0
+  THEN 'NOT_NULL_EVENT_TIMESTAMP' ELSE '' END AS failed FROM vit""")
+def st07_validated(spark, sf):
+    """Impossible readings and readings without a time go to quarantine with their reason; compaction keeps both sides."""
+    out, offsets, key = scratch_path(spark, "silver"), scratch_path(spark, "offsets"), F.col("TelemetryID").cast("long")
+    rows = b.vitals_of(events_stream(pin_utc(spark), sf)).withColumns({
+        "HeartRate": F.when(key % 5 == 0, 999).otherwise(F.col("HeartRate")),
+        "EventTimestamp": F.when((key % 7 == 0) & (key % 5 != 0), F.lit(None)).otherwise(F.col("EventTimestamp")),
+    })
+    _silver(spark, rows, out, offsets)
+    stream.compact_silver(spark, out, contracts.VITALS, "r1")
+    bad = _silver_rows(spark, out, "quarantine").select("TelemetryID", F.col("_failed_rules").alias("failed"))
+    return _silver_rows(spark, out).select("TelemetryID", F.lit("").alias("failed")).unionByName(bad)
+
+
+@query("st07_redelivered_other_date", f"SELECT TelemetryID, {ts('EventTimestamp')} FROM vit")
+def st07_other_date(spark, sf):
+    """Every reading comes again with an event time of another day, by the same stream restarted: the first stays."""
+    landed, out, offsets = scratch_path(spark, "in"), scratch_path(spark, "silver"), scratch_path(spark, "offsets")
+    events = b.table(spark, sf, "events")
+    for days in (0, 3):
+        events.withColumn("ts", F.col("ts") + F.make_dt_interval(F.lit(days))).write.mode("append").parquet(landed)
+        source = pin_utc(spark).readStream.schema(b.TABLES["events"]).parquet(landed)
+        _silver(spark, b.vitals_of(source), out, offsets)
+        stream.compact_silver(spark, out, contracts.VITALS, f"r{days}")
+    return plain(_silver_rows(spark, out).select("TelemetryID", "EventTimestamp"))
+
+
+@query("st06_patient_added_later", f"""
+SELECT TelemetryID, CASE WHEN CAST(TelemetryID AS BIGINT) % 2 = 1 THEN (SELECT PatientSK FROM dimpat p WHERE p.PatientID = v.PatientID) END AS PatientSK FROM vit v""")
+def st06_later(spark, sf):
+    """Patients are published between two batches: the second batch finds them."""
+    landed, out, offsets, dims = (scratch_path(spark, n) for n in ("in", "gold", "offsets", "dim"))
+    events, dim = b.table(pin_utc(spark), sf, "events"), b.dim_patient(spark, sf)
+    for parity, rows in ((0, dim.limit(0)), (1, dim)):
+        tables.publish(rows, dims, f"r{parity}")
+        events.where(F.col("event_id") % 2 == parity).write.mode("append").parquet(landed)
+        source = b.vitals_of(spark.readStream.schema(b.TABLES["events"]).parquet(landed))
+        stream.write_gold(source, lambda: tables.read_current(spark, dims), out, offsets, None).awaitTermination()
+    return spark.read.parquet(out).select("TelemetryID", "PatientSK")
 
 
 @query("st08_malformed_routing", """

@@ -22,10 +22,8 @@ _PAT_TEXT = f"""PatientID, MedicalRecordNumber, FirstName, LastName, {day('DateO
 def _through_csv(spark, df, contract):
     path = scratch_path(spark, "csv")
     # Without these options the writer trims text and turns NULL and '' into the same field.
-    df.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
-        "ignoreTrailingWhiteSpace", False
-    ).csv(path)
-    return files.read_csv(spark, path, contract)
+    df.write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, escape='"').csv(path)
+    return files.read_csv(spark, path, contract).drop(files.CORRUPT)
 
 
 @query("s01_csv_encounters", f"SELECT {_ENC_TEXT} FROM enc")
@@ -34,6 +32,38 @@ def s01(spark, sf):
     return plain(parse_text(rows, contracts.ENCOUNTERS))
 
 
+@query("s01_quoted_text", """
+SELECT CAST(o_orderkey AS VARCHAR) AS DepartmentID, 'The "big", ' || o_orderpriority || ' one' AS DepartmentName,
+  'line one' || chr(10) || 'line "two"' AS FacilityName, TRUE AS sound FROM orders""")
+def s01_quoted(spark, sf):
+    """Text with quotes, commas and line breaks as an RFC 4180 writer quotes it, written here line by line."""
+    key, kind = F.col("o_orderkey").cast("string"), F.col("o_orderpriority")
+    line = F.concat(key, F.lit(',"The ""big"", '), kind, F.lit(' one","line one\nline ""two"""'))
+    return _csv_lines(spark, b.table(spark, sf, "orders").select(line.alias("value")), True)
+
+
+def _csv_lines(spark, lines, multi_line):
+    """Finished lines of a departments file, with its header in each file, as the reader sees them."""
+    path, header = scratch_path(spark, "csv"), ",".join(contracts.DEPARTMENTS.names)
+    grouped = lines.groupBy(F.pmod(F.xxhash64("value"), F.lit(4)).alias("part")).agg(
+        F.concat_ws("\n", F.lit(header), F.array_join(F.collect_list("value"), "\n")).alias("value")
+    )
+    grouped.write.partitionBy("part").text(path)
+    rows = files.read_csv(spark, [f"{path}/part={i}" for i in range(4)], contracts.DEPARTMENTS, multi_line)
+    return rows.withColumn("sound", F.col(files.CORRUPT).isNull()).drop(files.CORRUPT)
+
+
+@query("s01_surplus_fields", """
+SELECT CAST(o_orderkey AS VARCHAR) AS DepartmentID, o_orderkey % 3 = 0 AS sound FROM orders""")
+def s01_surplus(spark, sf):
+    """Rows with a field too many or too few are marked, not cut."""
+    key = F.col("o_orderkey")
+    fields = F.when(key % 3 == 0, "a,b").when(key % 3 == 1, "a,b,c").otherwise("a")
+    lines = b.table(spark, sf, "orders").select(F.concat_ws(",", key.cast("string"), fields).alias("value"))
+    rows = _csv_lines(spark, lines, False)
+    return tables.store(rows).select("DepartmentID", "sound")
+
+
 @query("s02_csv_patients", f"SELECT {_PAT_TEXT} FROM pat")
 def s02(spark, sf):
     rows = _through_csv(spark, b.as_text(b.patients(spark, sf)), contracts.PATIENTS)
@@ -58,6 +88,19 @@ def s04(spark, sf):
     return plain(files.read_json_lines(spark, path, contracts.LABS, timestampFormat=micros))
 
 
+@query("s04_json_array", f"SELECT {_LAB_TEXT} FROM lab")
+def s04_array(spark, sf):
+    """Files that hold one JSON array each, a thousand results long."""
+    path, micros = scratch_path(spark, "json"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+    labs = b.labs(spark, sf)
+    arrays = labs.groupBy((F.col("LabResultID").cast("long") / 1000).cast("long").alias("part")).agg(
+        F.to_json(F.collect_list(F.struct(*labs.columns)), {"timestampFormat": micros}).alias("value")
+    )
+    arrays.write.partitionBy("part").text(path)
+    rows = files.read_json_array(spark, path, contracts.LABS, timestampFormat=micros)
+    return plain(rows.select(*contracts.LABS.names))
+
+
 def envelope_rows(events):
     """Telemetry events as the broker would deliver them: JSON bytes, time, partition, offset."""
     rows = b.vitals_of(events)
@@ -116,9 +159,9 @@ def s09(spark, sf):
     """Gold built twice; the views show the current version only."""
     root, counts = scratch_path(spark, "gold"), []
     for run in ("r1", "r2"):
-        published = _gold(spark, sf, root, run)
-    for name in published:
-        files.serve(tables.read_current(spark, f"{root}/{name}"), f"vw_{name}")
+        _gold(spark, sf, root, run)
+    for name in contracts.GOLD:
+        files.serve(tables.read_current(spark, root, table=name), f"vw_{name}")
         counts.append(f"SELECT '{name}' AS view, count(*) AS n FROM vw_{name}")
     return spark.sql(" UNION ALL ".join(counts))
 
@@ -139,12 +182,18 @@ def s10(spark, sf):
 
 
 @query("s11_raw_folder_scan", """
-SELECT unnest(['benchmark', 'conversations', 'customer', 'documents', 'embeddings', 'events', 'labels', 'lineitem',
-  'nation', 'orders', 'pages', 'part', 'region', 'supplier']) || '.parquet' AS file, TRUE AS filled""")
+SELECT c_custkey // 100 AS part, sum(octet_length(encode(c_name)) + 1) AS size, string_agg(md5(c_name), ',' ORDER BY md5(c_name)) AS lines
+FROM customer GROUP BY 1""")
 def s11(spark, sf):
-    """Every file of the input folder, whatever its format."""
-    found = files.read_files(spark, sf)
-    return found.select(F.element_at(F.split("path", "/"), -1).alias("file"), (F.col("length") > 0).alias("filled"))
+    """Files of any format, read as bytes: the size and the hash of every line."""
+    path = scratch_path(spark, "raw")
+    names = b.table(spark, sf, "customer").select(F.expr("c_custkey div 100").alias("part"), F.col("c_name").alias("value"))
+    names.repartition("part").write.partitionBy("part").text(path)
+    lines = F.split(F.regexp_replace(F.decode("content", "UTF-8"), "\n$", ""), "\n")
+    return files.read_files(spark, path).where("length > 0").select(
+        F.regexp_extract("path", "part=([0-9]+)", 1).cast("long").alias("part"), F.octet_length("content").cast("long").alias("size"),
+        F.array_join(F.array_sort(F.transform(lines, F.md5)), ",").alias("lines"),
+    ).groupBy("part").agg(F.sum("size").alias("size"), F.array_join(F.array_sort(F.split(F.array_join(F.collect_list("lines"), ","), ",")), ",").alias("lines"))
 
 
 @query("k01_streaming_append", f"SELECT {_VIT_TEXT} FROM vit")
@@ -197,12 +246,51 @@ def k04_gold(spark, sf):
     """The published encounter fact beside the published patient dimension."""
     root = scratch_path(spark, "gold")
     _gold(spark, sf, root, "r1")
-    fact = tables.read_current(spark, f"{root}/fact_patient_encounters")
-    patients = tables.read_current(spark, f"{root}/dim_patient").select("PatientSK", "PatientID")
+    fact = tables.read_current(spark, root, table="fact_patient_encounters")
+    patients = tables.read_current(spark, root, table="dim_patient").select("PatientSK", "PatientID")
     created = F.col("_created_at").isNotNull()
     return plain(fact.withColumn("created", created).drop("_created_at").join(patients, "PatientSK", "left"))
 
 
+@query("k04_failed_build_keeps_old_gold", """
+SELECT 'dim_department' AS tab, count(*) AS n, TRUE AS refused FROM dimdept UNION ALL SELECT 'fact_patient_encounters', count(*), TRUE FROM fenc""")
+def k04_failed(spark, sf):
+    """A second build whose facts repeat a key: all five tables stay those of the first, and the log says why."""
+    root, log = scratch_path(spark, "gold"), scratch_path(spark, "run_log")
+    _gold(spark, sf, root, "r1")
+    encounters = b.encounters(spark, sf)
+    try:
+        loads.build_gold(
+            scd2.stage(b.patients(spark, sf)), b.providers(spark, sf), b.departments(spark, sf).limit(1),
+            encounters.unionByName(encounters), b.vitals(spark, sf), root, "r2", log,
+        )
+    except loads.GoldRejected:
+        pass
+    failed = spark.read.schema(contracts.RUN_LOG).parquet(log).where("Status = 'FAILED' AND ErrorMessage LIKE '%repeated keys%'")
+    counts = [
+        tables.read_current(spark, root, table=t).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("tab"), "n")
+        for t in ("dim_department", "fact_patient_encounters")
+    ]
+    return counts[0].unionByName(counts[1]).withColumn("refused", F.lit(failed.count() == 1))
+
+
+@query("k12_gold_rejects", """
+SELECT 'LENGTH_State' AS RuleName, count(*) AS FailedRows FROM customer WHERE c_custkey % 5 = 0
+UNION ALL SELECT 'REQUIRED_DateOfBirth', count(*) FROM customer WHERE c_custkey % 7 = 0
+UNION ALL SELECT 'TYPES_FIT', count(*) FROM customer WHERE c_custkey % 7 = 0""")
+def k12_rejects(spark, sf):
+    """What the warehouse contract finds in a dimension with long states and unreadable dates."""
+    key = F.col("PatientID").cast("long")
+    patients = b.dim_patient(spark, sf).withColumns({
+        "State": F.when(key % 5 == 0, "too long").otherwise(F.col("State")),
+        "DateOfBirth": F.when(key % 7 == 0, "no date").otherwise(F.col("DateOfBirth").cast("string")),
+    })
+    rows, seen = loads.check_gold("dim_patient", patients)
+    rows.write.format("noop").mode("overwrite").save()
+    found = [(k, v) for k, v in seen.get.items() if v and k not in ("total", "passed", "quarantined")]
+    return spark.createDataFrame(found, "RuleName string, FailedRows long")
+
+
 @query("k05_create_or_merge", f"SELECT PatientSK, PatientID, IsCurrent, {ts(scd2.START)}, {ts(scd2.END)} FROM ver")
 def k05(spark, sf):
     """The first load creates the table, the second is applied to it."""
@@ -279,7 +367,7 @@ def k10(spark, sf):
     """Claims text copied to Bronze unchanged, with provenance."""
     raw, path = scratch_path(spark, "raw"), scratch_path(spark, "bronze")
     b.as_text(b.claims(spark, sf)).write.option("header", True).csv(raw)
-    rows = files.with_provenance(files.read_csv(spark, raw, contracts.CLAIMS), "CLAIMS_ENGINE")
+    rows = files.with_provenance(files.read_csv(spark, raw, contracts.CLAIMS).drop(files.CORRUPT), "CLAIMS_ENGINE")
     tables.land(rows, path, "r1", "claims")
     return spark.read.parquet(path).select(*contracts.CLAIMS.names, "_source_system")
 

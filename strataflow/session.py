@@ -29,7 +29,7 @@ def build_session(app: str = "strataflow", master: str | None = None, **conf: st
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**BASE_CONF, **conf}.items():
+    for key, value in {**BASE_CONF, **STREAM_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

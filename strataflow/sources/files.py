@@ -8,20 +8,30 @@ from ..contracts import text_contract
 from ..functions.masking import mask_columns
 
 
-def read_csv(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
-    """CSV with header, every column as text. Type it with functions.parsing.parse_text.
+# Holds the text of a CSV row with too many or too few fields; NULL in a sound row.
+CORRUPT = "_corrupt_record"
 
-    A header that differs from the contract is an error; without that check Spark would take the
-    columns by position.
+
+def read_csv(spark: SparkSession, path: str | list[str], contract: T.StructType, multi_line: bool = False) -> DataFrame:
+    """CSV with header as CSV writers write it, every column as text. Type it with functions.parsing.parse_text.
+
+    Quotes inside a quoted field are doubled. Fields that hold line breaks need ``multi_line``, which
+    makes a file the unit of work. A row with surplus or missing fields keeps its text in CORRUPT, for
+    quality.well_formed(). A header that differs from the contract is an error; without that check
+    Spark would take the columns by position.
     """
-    return spark.read.schema(text_contract(contract)).options(header=True, enforceSchema=False).csv(path)
+    schema = T.StructType([*text_contract(contract), T.StructField(CORRUPT, T.StringType())])
+    return spark.read.schema(schema).options(
+        header=True, enforceSchema=False, quote='"', escape='"', multiLine=multi_line, mode="PERMISSIVE",
+        columnNameOfCorruptRecord=CORRUPT,
+    ).csv(path)
 
 
-def read_json_lines(spark: SparkSession, path: str, contract: T.StructType, **options) -> DataFrame:
+def read_json_lines(spark: SparkSession, path: str | list[str], contract: T.StructType, **options) -> DataFrame:
     return spark.read.schema(contract).options(**options).json(path)
 
 
-def read_json_array(spark: SparkSession, path: str, contract: T.StructType, **options) -> DataFrame:
+def read_json_array(spark: SparkSession, path: str | list[str], contract: T.StructType, **options) -> DataFrame:
     """Documents that span lines, such as one indented array. Such a file cannot be split: land large
     data as JSON lines."""
     return spark.read.schema(contract).options(multiLine=True, **options).json(path)
@@ -42,6 +52,11 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
 
 
+def list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Path and modification time of all files below a folder; no content is read."""
+    return read_files(spark, folder).select("path", "modificationTime")
+
+
 def read_text(spark: SparkSession, folder: str) -> DataFrame:
     """All lines below a folder, splittable."""
     return spark.read.option("recursiveFileLookup", True).text(folder)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
 
 from .tables import append
@@ -22,11 +24,19 @@ def read_control(spark: SparkSession, source: str | dict) -> DataFrame:
     return spark.read.parquet(source)
 
 
-def append_audit(df: DataFrame, sink: str | dict, run_id: str | None = None) -> None:
-    """Append log rows. With a Parquet sink and a run id, a repeated run replaces its own rows."""
+def batch_name(*parts: str) -> str:
+    """Parts of a name in one path component, whatever characters they hold."""
+    return "--".join(quote(p, safe="") for p in parts)
+
+
+def append_audit(df: DataFrame, sink: str | dict, batch: str | None = None) -> None:
+    """Append log rows. With a Parquet sink, rows under an equal ``batch`` name are replaced.
+
+    A name has to say whose rows they are, such as run, layer and entity: see batch_name.
+    """
     if isinstance(sink, dict):
         df.write.format("jdbc").options(**sink).mode("append").save()
-    elif run_id:
-        df.write.mode("overwrite").parquet(f"{sink}/batch={run_id}")
+    elif batch:
+        df.write.mode("overwrite").parquet(f"{sink}/batch={batch}")
     else:
         append(df, sink)

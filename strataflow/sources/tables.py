@@ -7,6 +7,9 @@ reader never sees the files of two versions.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.utils import AnalysisException
 
@@ -15,7 +18,10 @@ from ..session import scratch_path
 
 _LOG = "_published"
 VERSIONS = T.StructType(
-    [T.StructField("version", T.LongType()), T.StructField("run_id", T.StringType())]
+    [
+        T.StructField("version", T.LongType()), T.StructField("run_id", T.StringType()),
+        T.StructField("folder", T.StringType()),
+    ]
 )
 
 
@@ -32,36 +38,65 @@ def _log(spark: SparkSession, root: str) -> DataFrame | None:
     return read_if_present(spark, f"{root}/{_LOG}", VERSIONS)
 
 
-def current_version(spark: SparkSession, root: str) -> int | None:
+def _latest(spark: SparkSession, root: str):
+    """The current row of the log; of two writers with one version number the one with the later folder name."""
     log = _log(spark, root)
-    return None if log is None else log.agg(F.max("version")).first()[0]
+    return None if log is None else log.orderBy(F.desc("version"), F.desc("folder")).first()
+
+
+def current_version(spark: SparkSession, root: str) -> int | None:
+    latest = _latest(spark, root)
+    return None if latest is None else latest.version
 
 
 def table_exists(spark: SparkSession, root: str) -> bool:
     return current_version(spark, root) is not None
 
 
+def _new_folder(version: int) -> str:
+    """A folder of its own for every writer, also for two that take the same number."""
+    return f"attempt=v{version}-{uuid.uuid4().hex[:12]}"
+
+
 def publish(df: DataFrame, root: str, run_id: str, partition_by=()) -> int:
     """Write ``df`` as the next version, then make it current."""
     spark = df.sparkSession
     version = (current_version(spark, root) or 0) + 1
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{root}/v{version}")
-    _append_version(spark, root, version, run_id)
+    folder = _new_folder(version)
+    df.write.partitionBy(*partition_by).parquet(f"{root}/{folder}")
+    _append_version(spark, root, version, run_id, folder)
+    return version
+
+
+def publish_together(
+    spark: SparkSession, root: str, run_id: str, build: Callable[[str], None],
+) -> int:
+    """Let ``build`` write any number of tables below a new folder, then make them current by one log row.
+
+    If ``build`` raises, the folder is never named and readers stay with the version before.
+    """
+    version = (current_version(spark, root) or 0) + 1
+    folder = _new_folder(version)
+    build(f"{root}/{folder}")
+    _append_version(spark, root, version, run_id, folder)
     return version
 
 
-def _append_version(spark: SparkSession, root: str, version: int, run_id: str) -> None:
-    spark.createDataFrame([(version, run_id)], VERSIONS).coalesce(1).write.mode("append").parquet(
+def _append_version(spark: SparkSession, root: str, version: int, run_id: str, folder: str) -> None:
+    spark.createDataFrame([(version, run_id, folder)], VERSIONS).coalesce(1).write.mode("append").parquet(
         f"{root}/{_LOG}"
     )
 
 
-def read_current(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
-    version = current_version(spark, root)
-    if version is None:
+def read_current(
+    spark: SparkSession, root: str, schema: T.StructType | None = None, table: str | None = None
+) -> DataFrame:
+    """The current version; ``table`` names one of several that were published together."""
+    latest = _latest(spark, root)
+    if latest is None:
         raise FileNotFoundError(f"nothing published at {root}")
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(f"{root}/v{version}")
+    return reader.parquet(f"{root}/{latest.folder}" + (f"/{table}" if table else ""))
 
 
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -88,25 +123,30 @@ def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
     return df.select(*cols, *[c for c in df.columns if c not in contract.names])
 
 
-def land(df: DataFrame, path: str, run_id: str, name: str, high: str | None = None) -> dict:
-    """Write one run's rows and count them on the way.
+LANDED_FILES = T.StructType(
+    [T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType())]
+)
+
+
+def land(df: DataFrame, path: str, run_id: str, name: str, measures: dict | None = None, drop=()) -> dict:
+    """Add one run's rows in a folder of their own and count them on the way.
 
-    ``high`` names a helper column whose maximum is reported and which is not written. Landing the same run again replaces its rows.
+    ``measures`` names further aggregates to report; ``drop`` names helper columns that are not written. Landing
+    under an equal run id adds to its rows and never replaces any.
     """
-    seen = Observation(f"{name}-{run_id}")
-    measures = [F.count(F.lit(1)).alias("rows")]
-    if high:
-        measures.append(F.max(high).alias("high"))
-    counted = df.observe(seen, *measures)
-    write_run(counted.drop(high) if high else counted, path, run_id)
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    wanted = {"rows": F.count(F.lit(1)), **(measures or {})}
+    counted = df.observe(seen, *[m.alias(n) for n, m in wanted.items()]).drop(*drop, "run_id")
+    counted.write.parquet(f"{path}/run_id={run_id}/attempt={uuid.uuid4().hex[:12]}")
     return seen.get
 
 
 def gate(df: DataFrame, rules: list[Rule], root: str, run_id: str) -> dict:
     """Validate, write both sides and count every rule: one scan, one job.
 
-    Valid rows and quarantined rows go to the partitions ``side=valid`` and ``side=quarantine`` of the
-    run's folder. Returns the counts seen by that write. Repeating a run replaces its rows.
+    Valid rows and quarantined rows go to the partitions ``side=valid`` and ``side=quarantine`` of a
+    new folder, which the log names when it is complete. Returns the counts seen by that write. A run
+    that is repeated stands in for its earlier rows; readers of those keep their files.
     """
     tagged, seen = observed(df, rules, f"gate-{run_id}")
     side = F.when(is_valid(), "valid").when(is_invalid(), "quarantine")
@@ -117,19 +157,14 @@ def gate(df: DataFrame, rules: list[Rule], root: str, run_id: str) -> dict:
             for c in (FAILED, "_quarantine_reason", "_quarantined_at")
         }
     )
-    out.write.mode("overwrite").partitionBy("side").parquet(f"{root}/run_id={run_id}")
     spark = df.sparkSession
-    _append_version_once(spark, root, run_id)
+    version = (current_version(spark, root) or 0) + 1
+    folder = _new_folder(version)
+    out.write.partitionBy("side").parquet(f"{root}/{folder}")
+    _append_version(spark, root, version, run_id, folder)
     return seen.get
 
 
-def _append_version_once(spark: SparkSession, root: str, run_id: str) -> None:
-    log = _log(spark, root)
-    latest = None if log is None else log.orderBy(F.desc("version")).first()
-    if latest is None or latest.run_id != run_id:
-        _append_version(spark, root, (latest.version if latest else 0) + 1, run_id)
-
-
 def _side(spark: SparkSession, path: str, side: str, fields: T.StructType) -> DataFrame:
     schema = T.StructType([*fields, T.StructField("side", T.StringType())])
     return spark.read.schema(schema).parquet(path).where(F.col("side") == side).drop("side")
@@ -143,19 +178,24 @@ _AUDIT = [
 
 
 def read_valid(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """Valid rows of the latest gated run."""
-    run = _log(spark, root).orderBy(F.desc("version")).first().run_id
-    return _side(spark, f"{root}/run_id={run}", "valid", schema)
+    """Valid rows of the latest gated run; none before the first."""
+    latest = _latest(spark, root)
+    if latest is None:
+        return spark.createDataFrame([], schema)
+    return _side(spark, f"{root}/{latest.folder}", "valid", schema)
 
 
 def read_quarantine(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """Quarantined rows of all runs, with run_id and reason."""
+    """Quarantined rows of all runs, each run's last attempt, with run_id and reason."""
     fields = T.StructType([*schema, *_AUDIT])
-    keyed = T.StructType([*fields, T.StructField("run_id", T.StringType())])
-    paths = spark.read.schema(
-        T.StructType([*keyed, T.StructField("side", T.StringType())])
-    ).option("basePath", root).parquet(f"{root}/run_id=*")
-    return paths.where(F.col("side") == "quarantine").drop("side")
+    log = _log(spark, root)
+    if log is None:
+        return spark.createDataFrame([], T.StructType([*fields, T.StructField("run_id", T.StringType())]))
+    last = log.groupBy("run_id").agg(F.max_by("folder", F.struct("version", "folder")).alias("folder"))
+    places = [T.StructField("attempt", T.StringType()), T.StructField("side", T.StringType())]
+    rows = spark.read.schema(T.StructType([*fields, *places])).parquet(root).where(F.col("side") == "quarantine")
+    complete = last.select(F.split_part("folder", F.lit("="), F.lit(2)).alias("attempt"), "run_id")
+    return rows.join(complete, "attempt").drop("attempt", "side")
 
 
 def store(df: DataFrame, name: str = "stored") -> DataFrame:

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..contracts import VITALS_PAYLOAD
 from ..functions.parsing import decode_json
-from ..operators.dedup import keep_latest, keep_latest_with_nulls
+from ..operators.dedup import keep_latest_with_nulls
+from ..operators.quality import FAILED, UNDECIDED, Rule, is_valid, tag, vitals_rules
 from ..operators.star import fact_vitals
-from ..sources.tables import read_if_present
+from ..sources.tables import publish_together, read_current, read_if_present, store, table_exists
 
 # Name of the source in the audit columns, and the trigger interval.
 SOURCE_SYSTEM = "BEDSIDE_ICU_EVENT_HUBS"
@@ -119,8 +121,9 @@ def write_bronze(stream: DataFrame, path: str, checkpoint: str, trigger: str | N
 def silver(bronze_rows: DataFrame, delay: str = "1 hour") -> DataFrame:
     """One row per TelemetryID, the earliest.
 
-    On a stream, state is kept for ``delay`` behind the latest event time and rows older than that are
-    not emitted; where late redelivery matters use write_silver. On a batch all rows count, and rows
+    On a stream, state is kept for ``delay`` behind the latest event time. Rows older than that are not
+    emitted: this form is for displays that want bounded state and show recent readings. The table of
+    record is written by write_silver, which keeps late rows. On a batch all rows count, and rows
     without TelemetryID pass through to the rules.
     """
     if bronze_rows.isStreaming:
@@ -128,57 +131,114 @@ def silver(bronze_rows: DataFrame, delay: str = "1 hour") -> DataFrame:
     return keep_latest_with_nulls(bronze_rows, ["TelemetryID"], [F.col("EventTimestamp").asc()])
 
 
-SILVER_KEYS = T.StructType(
+PLACES = T.StructType(
     [
-        T.StructField("TelemetryID", T.StringType()),
-        T.StructField("writer", T.StringType()),
-        T.StructField("batch_id", T.LongType()),
-        T.StructField("event_date", T.DateType()),
+        T.StructField("side", T.StringType()), T.StructField("event_date", T.DateType()),
+        T.StructField("writer", T.StringType()), T.StructField("batch_id", T.LongType()),
     ]
 )
+_BATCHES, _COMPACT = "batches", "compacted"
 
 
-def new_readings(batch: DataFrame, existing: DataFrame) -> DataFrame:
-    """Rows of the batch, one per TelemetryID, that the table does not hold yet.
-
-    A redelivered reading keeps its event time, so only the table's partitions of the batch's dates are
-    read; the list of dates is the one thing that passes through the driver.
-    """
-    unique = keep_latest(batch, ["TelemetryID"], [F.col("EventTimestamp").asc()])
-    dates = [r.event_date for r in batch.select("event_date").distinct().collect()]
-    held = existing.where(F.col("event_date").isin(dates)).select("event_date", "TelemetryID")
-    return unique.join(held, ["event_date", "TelemetryID"], "left_anti")
+def _start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, trigger: str | None) -> StreamingQuery:
+    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
+    return writer.start()
 
 
 def write_silver(
-    bronze_stream: DataFrame, path: str, checkpoint: str, trigger: str | None = TRIGGER
+    bronze_stream: DataFrame, path: str, checkpoint: str, trigger: str | None = TRIGGER, rules: list[Rule] | None = None,
 ) -> StreamingQuery:
-    """One row per TelemetryID for all time, without state and without losing late rows.
+    """Validated readings, one row per TelemetryID for all time; nothing is dropped uncounted.
 
-    Each micro-batch is compared with the table and written to a partition of its own, named by
-    checkpoint and batch, so a batch that runs again after a failure replaces itself.
+    The stream keeps the TelemetryIDs it has seen in its state store, in RocksDB and so beyond memory, and
+    passes each on once, however late and under whatever event date it comes again. Rows without
+    TelemetryID cannot be compared and all pass on. Every micro-batch is checked by ``rules`` and written to
+    side, date, writer and batch; a batch that runs again after a failure replaces its own folders. No
+    batch reads or lists the table.
     """
-    usable = bronze_stream.where(F.col("TelemetryID").isNotNull() & F.col("event_date").isNotNull())
+    rules = vitals_rules() if rules is None else rules
     writer_id = hashlib.md5(checkpoint.encode()).hexdigest()
+    # A row without id takes its own place in the source as id, so that it is never a copy.
+    alone = F.when(F.col("TelemetryID").isNull(), F.uuid())
+    first = bronze_stream.withColumn("_alone", alone).dropDuplicates(["TelemetryID", "_alone"]).drop("_alone")
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        held = read_if_present(batch.sparkSession, path, SILVER_KEYS)
-        batch.persist()
-        try:
-            if held is None:
-                rows = keep_latest(batch, ["TelemetryID"], [F.col("EventTimestamp").asc()])
-            else:
-                own = (F.col("writer") == writer_id) & (F.col("batch_id") == batch_id)
-                rows = new_readings(batch, held.where(~own))
-            rows.write.mode("overwrite").partitionBy("event_date").parquet(
-                f"{path}/writer={writer_id}/batch_id={batch_id}"
-            )
-        finally:
-            batch.unpersist()
-
-    writer = usable.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
-    return writer.start()
+        side = F.when(is_valid(), "valid").otherwise("quarantine")
+        rows = tag(batch, rules).withColumns({
+            "side": side, "event_date": F.to_date("EventTimestamp"), "writer": F.lit(writer_id), "batch_id": F.lit(batch_id),
+        }).drop(UNDECIDED)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PLACES.names).parquet(
+            f"{path}/{_BATCHES}"
+        )
+
+    return _start(first, add, checkpoint, trigger)
+
+
+def _batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    fields = [f for f in schema if f.name not in PLACES.names]
+    full = T.StructType([*fields, T.StructField(FAILED, T.StringType()), *PLACES])
+    return read_if_present(spark, f"{path}/{_BATCHES}", full)
+
+
+def _compacted_upto(spark: SparkSession, path: str) -> DataFrame | None:
+    return read_current(spark, f"{path}/{_COMPACT}", table="upto") if table_exists(spark, f"{path}/{_COMPACT}") else None
+
+
+def _not_compacted(rows: DataFrame, upto: DataFrame | None) -> DataFrame:
+    """Rows of the batches that no compaction holds; the list has one row per writer."""
+    if upto is None:
+        return rows
+    return rows.join(upto, "writer", "left").where(F.col("upto").isNull() | (F.col("batch_id") > F.col("upto"))).drop("upto")
+
+
+def read_silver(spark: SparkSession, path: str, schema: T.StructType, side: str = "valid") -> DataFrame:
+    """The readings that write_silver has added so far, compacted ones included."""
+    upto = _compacted_upto(spark, path)
+    batches = _batches(spark, path, schema)
+    empty = spark.createDataFrame([], T.StructType([*[f for f in schema if f.name not in PLACES.names], T.StructField(FAILED, T.StringType()), *PLACES]))
+    rows = _not_compacted(empty if batches is None else batches, upto)
+    if upto is not None:
+        rows = rows.unionByName(read_current(spark, f"{path}/{_COMPACT}", rows.schema, "rows"))
+    return rows.where(F.col("side") == side).select(*schema.names, *([FAILED] if side != "valid" else []))
+
+
+def compact_silver(spark: SparkSession, path: str, schema: T.StructType, run_id: str, files_per_date: int = 1) -> None:
+    """Rewrite the small files of all finished batches by date and publish them as one version.
+
+    Run it while no batch is being written, or name it after the stream's last completed batch: rows and the
+    highest batch of each writer are published together, and readers then leave those batches out. Their
+    folders can be deleted afterwards.
+    """
+    batches = _batches(spark, path, schema)
+    if batches is None:
+        return
+    old = _compacted_upto(spark, path)
+    new = store(_not_compacted(batches, old), "uncompacted")
+    upto = new.groupBy("writer").agg(F.max("batch_id").alias("upto"))
+    if old is not None:
+        new = new.unionByName(read_current(spark, f"{path}/{_COMPACT}", new.schema, "rows"))
+        upto = upto.unionByName(old).groupBy("writer").agg(F.max("upto").alias("upto"))
+
+    def build(folder: str) -> None:
+        spread = F.pmod(F.xxhash64("TelemetryID"), F.lit(files_per_date))
+        new.repartition("side", "event_date", spread).write.partitionBy("side", "event_date").parquet(f"{folder}/rows")
+        upto.write.parquet(f"{folder}/upto")
+
+    publish_together(spark, f"{path}/{_COMPACT}", run_id, build)
+
+
+def write_gold(
+    silver_stream: DataFrame, patients: Callable[[], DataFrame], path: str, checkpoint: str, trigger: str | None = TRIGGER,
+) -> StreamingQuery:
+    """Readings with the patient key current when their batch runs: ``patients`` is called for every batch."""
+    writer_id = hashlib.md5(checkpoint.encode()).hexdigest()
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        rows = gold(batch, patients()).withColumns({"writer": F.lit(writer_id), "batch_id": F.lit(batch_id)})
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("writer", "batch_id").parquet(path)
+
+    return _start(silver_stream, add, checkpoint, trigger)
 
 
 def gold(silver_rows: DataFrame, patients: DataFrame) -> DataFrame:

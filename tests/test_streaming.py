@@ -4,7 +4,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from strataflow import contracts
 from strataflow.session import STREAM_CONF
+from strataflow.sources.files import list_files
 from strataflow.streaming import vitals as stream
 
 NOON = dt.datetime(2025, 1, 1, 12)
@@ -99,8 +101,21 @@ def test_dedup_for_all_time_takes_late_rows_and_redelivery(spark, tmp_path):
     run()
     land(spark, tmp_path / "in", [late, payload("b", 20)], first=6)
     run()
-    rows = spark.read.parquet(str(tmp_path / "out"))
+    rows = stream.read_silver(spark, str(tmp_path / "out"), contracts.VITALS)
     assert sorted(r.TelemetryID for r in rows.collect()) == ["a", "b", "c", "old"]
+    stream.compact_silver(spark, str(tmp_path / "out"), contracts.VITALS, "c1")
+    land(spark, tmp_path / "in", [payload("d"), payload("a", 1), json.dumps({**json.loads(payload("x")), "TelemetryID": None})] * 2, first=8)
+    run()
+    rows = stream.read_silver(spark, str(tmp_path / "out"), contracts.VITALS)
+    assert sorted(r.TelemetryID for r in rows.collect()) == ["a", "b", "c", "d", "old"]
+    bad = stream.read_silver(spark, str(tmp_path / "out"), contracts.VITALS, "quarantine")
+    assert [r.TelemetryID for r in bad.collect()] == [None, None]
+    stream.compact_silver(spark, str(tmp_path / "out"), contracts.VITALS, "c2")
+    again = stream.read_silver(spark, str(tmp_path / "out"), contracts.VITALS)
+    assert sorted(r.TelemetryID for r in again.collect()) == ["a", "b", "c", "d", "old"]
+    # One folder per side and date, whatever the number of batches.
+    written = [r.path for r in list_files(spark, str(tmp_path / "out" / "compacted")).collect()]
+    assert len([p for p in written if "attempt=v2" in p and "/rows/" in p and p.endswith(".parquet")]) == 3
 
 
 def test_gold_stream_keeps_unknown_patients(spark, tmp_path):
