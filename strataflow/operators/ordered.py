@@ -52,7 +52,7 @@ class InOrder:
         return (
             df.join(*_on_keys(edges, self.group), "left")
             .withColumn(out, F.coalesce(F.col(out), F.col("_carried")))
-            .select(*df.columns, out)
+            .select(*df.columns)
         )
 
     def previous(self, df: DataFrame, cols, out: str) -> DataFrame:

@@ -11,7 +11,7 @@ from ..contracts import CLAIMS, DEPARTMENTS, ENCOUNTERS, LABS, PATIENTS, PROVIDE
 from ..functions.clinical import claim_in_ratio, claim_in_window, standard_code
 from ..functions.keys import business_key
 from ..functions.parsing import parse_text
-from .dedup import keep_latest_with_nulls, require_unique
+from .dedup import keep_latest, keep_latest_with_nulls, require_unique
 from .joins import replicated
 from .quality import (
     BUSINESS_RULE, REFERENTIAL_INTEGRITY, Rule, encounter_rules, fully_parsed, in_values, not_null, ordered_times,
@@ -88,11 +88,10 @@ def lab_rules() -> list[Rule]:
 
 
 def claims(rows: DataFrame, encounter_rows: DataFrame) -> DataFrame:
-    """Latest row per claim, beside the admission and billed amount of its encounter."""
+    """Latest row per claim, beside the admission and billed amount of its encounter's latest row."""
     latest = keep_latest_with_nulls(rows.select(*CLAIMS.names), ["ClaimID"], ["ClaimDate"])
-    billed = encounter_rows.where(F.col("EncounterID").isNotNull()).select(
-        "EncounterID", "AdmitTimestamp", "TotalBilledAmount", F.lit(True).alias("_known")
-    )
+    known = encounter_rows.where(F.col("EncounterID").isNotNull()).select("EncounterID", "AdmitTimestamp", "TotalBilledAmount")
+    billed = keep_latest(known, ["EncounterID"], ["AdmitTimestamp"]).withColumn("_known", F.lit(True))
     joined = latest.join(billed, "EncounterID", "left")
     return joined.withColumn(
         "_encounter_known", F.when(F.col("EncounterID").isNotNull(), F.coalesce("_known", F.lit(False)))

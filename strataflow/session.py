@@ -25,10 +25,15 @@ STREAM_CONF = {
 }
 
 
-def build_session(app: str = "strataflow", master: str | None = None, **conf: str) -> SparkSession:
+def build_session(
+    app: str = "strataflow", master: str | None = None, input_bytes: int | None = None, cores: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with the settings above. With the job's ``input_bytes`` and ``cores`` its shuffles are sized too."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if input_bytes is not None:
+        conf = {"spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes, cores or 1)), **conf}
     for key, value in {**BASE_CONF, **STREAM_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from strataflow import contracts
-from strataflow.operators import control, dedup, joins, layout, marts, quality, scd2, star
+from strataflow.operators import control, dedup, joins, layout, marts, quality, scd2, silver, star
+from strataflow.operators.ordered import in_order
 from strataflow.plans import QUERIES, bindings as b
 
 SF = "/root/testdata/sf0.001"
@@ -41,6 +42,38 @@ def test_rules_read_their_input_once(spark):
     assert text.count("FileScan") == 1 and text.count("Exchange") == 1
 
 
+def scans(df):
+    return simple(df).count("FileScan")
+
+
+def test_dedup_and_split_read_their_input_once(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    b.as_text(b.encounters(spark, SF)).write.parquet(path)
+    assert scans(silver.encounters(spark.read.parquet(path))) == 1
+    assert scans(quality.sides(spark.read.parquet(f"{SF}/orders.parquet"), [quality.not_null("o_custkey")])) == 1
+    labs = b.labs(spark, SF)
+    keys = spark.range(5).select(F.col("id").cast("string").alias("EncounterID"))
+    ranges = spark.createDataFrame([("c", 1.0, 2.0)], "TestCode string, MinNormal double, MaxNormal double")
+    assert scans(silver.labs(labs, ranges, keys)) == 1
+
+
+def test_first_summary_resolves_departments_only(spark):
+    text = simple(QUERIES["a02_from_raw_text"](spark, SF))
+    assert text.count("Join") <= 4 and "customer" not in text
+
+
+def test_null_keys_are_sliced_too(spark):
+    rows = spark.range(2000).select(F.lit(None).cast("string").alias("k"), F.col("id").alias("t"), (F.col("id") % 3).alias("v"))
+
+    def work(order, part):
+        seen = order.previous(part, ["v"], "before")
+        return seen.withColumn("task", F.col("_slice") if order.slices else F.lit(-1))
+
+    got = in_order(rows, ["k"], ["t"], work, 200).collect()
+    assert len(got) == 2000 and len({r.task for r in got}) > 1
+    assert all((r.before.v if r.before else None) == ((r.t - 1) % 3 if r.t else None) for r in got)
+
+
 def test_watermark_filter_reaches_the_scan(spark):
     rows = control.incremental(b.table(spark, SF, "orders"), "o_orderdate", dt.datetime(1999, 1, 1))
     text = plan(rows.select("o_orderkey"))
