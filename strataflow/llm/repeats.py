@@ -224,9 +224,9 @@ def _batch(docs: pa.Table, found: pa.Table | None, column: str) -> int:
 
 def repeated_units(
     df: DataFrame, id_col: str, text_col: str, method: Method, fields: list[T.StructField],
-    results: Callable[[list[bytes], list[np.ndarray]], list[pa.Array]],
+    results: Callable[[list[bytes], list[np.ndarray], list[Chunk]], list[pa.Array]],
 ) -> DataFrame:
-    """Append ``fields``: ``results`` gets the texts of a batch and, per chunk, the mask of covered units."""
+    """Append ``fields``: ``results`` gets the texts of a batch, the masks of covered units of its chunks, and the chunks."""
     total = df.select(F.sum(F.octet_length(text_col)).alias("n")).first()["n"] or 0
     batches, buckets = max(1, -(-total // BATCH_BYTES)), max(1, -(-total // BUCKET_BYTES))
     batch = fresh(df, "batch")
@@ -280,7 +280,7 @@ def repeated_units(
         texts = _texts(table, text_col)
         known, state = _known(told, 2, 2)
         repeated, _ = _known(told, 3, 2)
-        masks = []
+        masks, parts = [], []
         for part in chunks(texts):
             chunk = method.read(part)
             edges = np.zeros(chunk.starts[-1] + 1, np.int32)
@@ -297,7 +297,8 @@ def repeated_units(
                 np.add.at(edges, places, 1)
                 np.add.at(edges, places + method.window, -1)
             masks.append(np.cumsum(edges[:-1]) > 0)
-        made = results(texts, masks)
+            parts.append(chunk)
+        made = results(texts, masks, parts)
         return pa.table([table.column(f.name) for f in kept] + made, names=[f.name for f in kept + fields])
 
     told = second.unionByName(third).groupBy("batch")

@@ -13,14 +13,12 @@ documents of their own; columns named like an output are replaced.
 
 from __future__ import annotations
 
-from itertools import compress
-
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, types as T
 
 from .repeats import Cells, Chunk, Method, mix, repeated_units
+from .words import Words
 
 WINDOW = 35
 # A perfect difference set, whose differences modulo 21 are all residues.
@@ -28,22 +26,6 @@ PERIOD = 21
 COVER = (0, 1, 4, 14, 16)
 
 _BASES = (0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93 | 1)
-_CACHE_WORDS = 400_000
-
-
-class _Hashes(dict):
-    """64-bit hashes of words, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(self) >= _CACHE_WORDS:
-            self.clear()
-        if len(word) <= 64:
-            self[word] = value
-        return value
-
-
-_hashes = _Hashes()
 _powers: list[np.ndarray] = []
 
 
@@ -63,10 +45,10 @@ def _power_tables(size: int) -> list[np.ndarray]:
 class WordChunk(Chunk):
     def __init__(self, texts: list[bytes], window: int):
         self.window = window
-        lists = [t.split() for t in texts]
-        self.starts = np.concatenate([[0], np.cumsum([len(w) for w in lists])]).astype(np.int64)
+        self.words = Words(texts)
+        self.starts = self.words.starts
         total = int(self.starts[-1])
-        one = np.fromiter((_hashes[w] for own in lists for w in own), np.uint64, total)
+        one = self.words.hashes()
         tables = _power_tables(total + 1)
         self.sums, self.back = [], []
         for hashes, table, inverse in ((one, tables[0], tables[1]), (mix(one, one), tables[2], tables[3])):
@@ -99,17 +81,18 @@ class WordChunk(Chunk):
         return self.keys(at, self.window, 2)
 
 
-def _results(texts: list[bytes], masks: list[np.ndarray]) -> list[pa.Array]:
-    removed = np.concatenate(masks) if masks else np.empty(0, bool)
-    kept, words, gone, at = [], [], [], 0
-    for text in texts:
-        own = text.split()
-        mask = removed[at : at + len(own)]
-        at += len(own)
-        words.append(len(own))
-        gone.append(int(mask.sum()))
-        kept.append(b" ".join(own if not gone[-1] else compress(own, (~mask).tolist())).decode("utf-8", "replace"))
-    return [pa.array(words, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())]
+def _results(texts: list[bytes], masks: list[np.ndarray], parts: list[WordChunk]) -> list[pa.Array]:
+    words, gone, kept = [], [], []
+    for part, mask in zip(parts, masks, strict=True):
+        before = np.concatenate([[0], np.cumsum(mask)])
+        words.append(np.diff(part.starts))
+        gone.append(before[part.starts[1:]] - before[part.starts[:-1]])
+        kept += part.words.joined(~mask)
+    none = np.empty(0, np.int64)
+    return [
+        pa.array(np.concatenate([none, *words]), pa.int64()), pa.array(np.concatenate([none, *gone]), pa.int64()),
+        pa.array(kept, pa.string()),
+    ]
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
