@@ -7,7 +7,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
-from . import ann, bpe, langid, licenses, minhash, packing, pii, substring, suffix, topk
+from . import ann, bpe, langid, licenses, minhash, oracles, packing, pii, substring, suffix, topk
 from .common import read_table, sha256_hex, ship
 
 QUERIES = {}
@@ -32,7 +32,7 @@ def query(fn=None, *, sql: str | None = None):
     return run
 
 
-@query
+@query(sql=oracles.SUFFIX_DEDUP)
 def op1_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix.remove_repeats(docs).select(
@@ -50,7 +50,7 @@ def op2_pii(spark, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query(sql=oracles.NEAR_DUPLICATES)
 def op3_near_duplicates(spark, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return minhash.near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
@@ -117,7 +117,7 @@ def op9_langid(spark, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query(sql=oracles.SUBSTRING_DEDUP)
 def op10_substring_dedup(spark, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring.remove_repeats(docs).select(

@@ -91,7 +91,8 @@ class ByteChunk(Chunk):
         has_full = (earliest >= begin[doc]) & (last + self.window <= end[doc])
         full = np.zeros((len(low), 2), np.uint64)
         full[has_full] = self._pair(earliest[has_full], self.window + CELL - 1)
-        return Cells(mix(core[:, 0], core[:, 1]), full, has_full, low, high)
+        # The distance to the anchor is part of the key: cells of two anchors may lie on one another.
+        return Cells(mix(mix(core[:, 0], core[:, 1]), cell.astype(np.uint64)), full, has_full, low, high)
 
     def _pair(self, at: np.ndarray, depth: int) -> np.ndarray:
         """The pointers of ``depth`` bytes from each position: two overlapping ones of DEPTH bytes."""
@@ -104,7 +105,7 @@ class ByteChunk(Chunk):
         return twin(pair[:, 0], pair[:, 1])
 
 
-def _results(texts: list[bytes], masks: list[np.ndarray]) -> list[pa.Array]:
+def _results(texts: list[bytes], masks: list[np.ndarray], _) -> list[pa.Array]:
     data = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.array([len(t) for t in texts], np.int64)
     starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
@@ -143,7 +144,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return repeated_units(df, id_col, text_col, method, fields, _results)
 
 
-def _whole_characters(texts: list[bytes], masks: list[np.ndarray]) -> list[pa.Array]:
+def _whole_characters(texts: list[bytes], masks: list[np.ndarray], _) -> list[pa.Array]:
     """The texts without every character that lost a byte."""
     data = np.frombuffer(b"".join(texts), np.uint8)
     removed = np.concatenate(masks) if masks else np.empty(0, bool)
