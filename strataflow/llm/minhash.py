@@ -8,11 +8,13 @@ shorter document is one shingle of all its words). 256 minima per set give
   ``J + (1 - J) / 4``, so a bit count gives an estimate corrected for chance agreement. Pairs whose estimate is over six
   standard deviations below the threshold are given up; all others are confirmed on the full sets.
 
-Documents with equal sets are one class with the smallest id as representative. Candidates are found in rounds, so that a large
-group of near copies does not become all its pairs: first every member of a band bucket is compared with the bucket's
-smallest and then its largest representative; found links form components, and only pairs of one bucket that are still
-in different components are compared at last. A link between two classes of one component adds nothing, so the
-components are those of all links among candidates.
+Documents with equal sets are one class with the smallest id as representative. Candidates are worked off so that a large
+group of near copies does not become a table of all its pairs. First every member of a band bucket is compared with the
+bucket's smallest and then its largest representative; the found links form components. Only members of one bucket that
+are still in different components remain. They are compared inside tasks, in blocks of bounded size: by signatures
+first, which leaves the members that have a likely partner, and those by their full sets. A task returns no pairs but
+the links that join components it has not joined yet. A pair is compared in the first bucket that it shares. A link
+between two classes of one component adds nothing, so the components are those of all links among candidates.
 
 Per row: n_shingles, component_id (smallest id reachable over links), kept (id = component_id). Defined cases: without words
 a document has no shingles and is linked with nothing; a row without id is linked with nothing and kept; rows with the same id
@@ -21,16 +23,17 @@ and set are one document; columns named like an output are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import add_columns, fresh, list_array, slices, texts_of
 from .components import components, stored
 from .repeats import mix
-from .substring import _hashes
+from .words import Words
 
 SHINGLE = 5
 # Links need 100 * shared >= THRESHOLD * union.
@@ -41,23 +44,31 @@ WORDS = HASHES * 2 // 64
 # Pairs with more disagreeing minima are given up: an estimate under 0.68, 6.4 deviations below 0.85.
 MOST_DIFFERENT = 61
 
+# Members of a bucket that are compared in one go, and rows for a task.
+BLOCK = 1024
+TASK_ROWS = 4096
+
 _seed = np.random.RandomState(20240601)
 _XOR = _seed.randint(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)
 _FACTOR = _seed.randint(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 
 
-def shingles(text: str) -> np.ndarray:
-    """The distinct shingles as sorted 64-bit hashes."""
-    words = text.encode("utf-8", "replace").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    size = min(SHINGLE, len(words))
-    found = hashes[: len(words) - size + 1].copy()
-    for k in range(1, size):
-        found = mix(found, hashes[k : len(words) - size + 1 + k])
-    # The length is part of a short document's shingle.
-    return np.unique(mix(found, np.full(len(found), size, np.uint64)))
+def shingles(texts: list[str]) -> list[np.ndarray]:
+    """The distinct shingles of each text as sorted 64-bit hashes."""
+    words = Words([t.encode("utf-8", "replace").lower() for t in texts])
+    hashes, out = words.hashes(), []
+    for begin, end in zip(words.starts[:-1].tolist(), words.starts[1:].tolist(), strict=True):
+        size = min(SHINGLE, end - begin)
+        if not size:
+            out.append(np.empty(0, np.uint64))
+            continue
+        last = end - size + 1
+        found = hashes[begin:last]
+        for k in range(1, size):
+            found = mix(found, hashes[begin + k : last + k])
+        # The length is part of a short document's shingle.
+        out.append(np.unique(mix(found, np.full(len(found), size, np.uint64))))
+    return out
 
 
 def minima(found: np.ndarray) -> np.ndarray:
@@ -89,8 +100,7 @@ def sign(df: DataFrame, text_col: str = "text") -> DataFrame:
 
     def work(part: pa.RecordBatch) -> list[pa.Array]:
         sizes, one, two, bands, packed = [], [], [], [], []
-        for text in texts_of(part.column(text_col)):
-            found = shingles(text)
+        for found in shingles(texts_of(part.column(text_col))):
             least = minima(found)
             sizes.append(len(found))
             one.append(int(np.add.reduce(mix(found, found)).view(np.int64)) if len(found) else 0)
@@ -152,6 +162,93 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, pairs.select("a", "b").schema)
 
 
+def _within_buckets(rows: DataFrame, work: Callable[[pa.Table], Iterator[tuple]], names: tuple[str, str]) -> DataFrame:
+    """Apply ``work`` to the members of each bucket; a bucket over BLOCK members is met block by block.
+
+    A member of a bucket of k blocks goes to the k pairs of blocks it is part of. Many buckets share a task.
+    """
+    sizes = rows.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    total = rows.select("bucket").count()
+    met = rows.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    ).withColumns({"one": F.least("block", "other"), "two": F.greatest("block", "other")})
+    part = F.pmod(F.xxhash64("bucket", "one", "two"), F.lit(max(1, -(-total // TASK_ROWS)))).cast("int")
+    kinds = {"bucket": T.LongType(), "rep": rows.schema["rep"].dataType, "a": rows.schema["rep"].dataType, "b": rows.schema["rep"].dataType}
+    schema = T.StructType([T.StructField(n, kinds[n]) for n in names])
+    types = [to_arrow_type(f.dataType) for f in schema]
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("bucket", "ascending"), ("one", "ascending"), ("two", "ascending")]).combine_chunks()
+        keys = np.stack([table.column(c).to_numpy() for c in ("bucket", "one", "two")], axis=1)
+        cuts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)])).tolist() + [len(keys)]
+        found = [row for a, b in zip(cuts, cuts[1:], strict=False) if b - a > 1 for row in work(table.slice(a, b - a))]
+        return pa.table([pa.array([r[k] for r in found], t) for k, t in enumerate(types)], names=list(names))
+
+    return met.drop("blocks", "other").withColumn("part", part).groupBy("part").applyInArrow(lambda table: run(table), schema)
+
+
+def _likely_pairs(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """Members of a bucket, each with the later ones in other components that may be linked to it.
+
+    Of two different blocks only pairs across are looked at, and of each pair only the first bucket that it shares.
+    """
+    component = table.column("component").to_numpy(zero_copy_only=False)
+    size, block = table.column("n").to_numpy(), table.column("block").to_numpy()
+    sig = np.stack(table.column("sig").to_numpy(zero_copy_only=False)).view(np.uint64)
+    bands = np.stack(table.column("bands").to_numpy(zero_copy_only=False))
+    across = table.column("one")[0] != table.column("two")[0]
+    here = (bands == table.column("bucket")[0].as_py()).argmax(axis=1)
+    low = np.uint64(0x5555555555555555)
+    for x in range(len(size) - 1):
+        y = np.arange(x + 1, len(size))
+        y = y[component[y] != component[x]]
+        if across:
+            y = y[block[y] != block[x]]
+        y = y[np.minimum(size[y], size[x]) * 100 >= np.maximum(size[y], size[x]) * THRESHOLD]
+        unequal = sig[y] ^ sig[x]
+        y = y[np.bitwise_count((unequal | (unequal >> np.uint64(1))) & low).sum(axis=1) <= MOST_DIFFERENT]
+        y = y[(bands[y] == bands[x]).argmax(axis=1) == here[x]]
+        if len(y):
+            yield x, y
+
+
+def _likely_members(table: pa.Table) -> Iterator[tuple]:
+    """(bucket, representative) of the members that have a likely partner."""
+    hit = np.zeros(table.num_rows, bool)
+    for x, y in _likely_pairs(table):
+        hit[x] = True
+        hit[y] = True
+    bucket, rep = table.column("bucket")[0].as_py(), table.column("rep").to_pylist()
+    return iter([(bucket, rep[k]) for k in np.flatnonzero(hit)])
+
+
+def _joining_links(table: pa.Table) -> Iterator[tuple]:
+    """Confirmed links of a bucket, of those inside one growing component only the first."""
+    rep, start = table.column("rep").to_pylist(), table.column("component").to_pylist()
+    sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("shingles")]
+    parent = {c: c for c in start}
+
+    def root(c):
+        while parent[c] != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    for x, partners in _likely_pairs(table):
+        own = sets[x]
+        for y in partners.tolist():
+            one, two = root(start[x]), root(start[y])
+            if one == two:
+                continue
+            other = sets[y]
+            at = np.searchsorted(own, other)
+            at[at == len(own)] = 0
+            shared = int((own[at] == other).sum())
+            if 100 * shared >= THRESHOLD * (len(own) + len(other) - shared):
+                parent[max(one, two)] = min(one, two)
+                yield rep[x], rep[y]
+
+
 def _sets(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The full shingle sets of some representatives."""
     wanted = docs.join(reps, docs["rep"] == reps["node"], "left_semi").select("rep", text_col)
@@ -159,7 +256,7 @@ def _sets(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text_col):
-                raw = [shingles(t).tobytes() for t in texts_of(part.column(text_col))]
+                raw = [s.tobytes() for s in shingles(texts_of(part.column(text_col)))]
                 yield pa.RecordBatch.from_arrays([part.column("rep"), pa.array(raw, pa.binary())], names=["rep", "shingles"])
 
     fields = [T.StructField("rep", docs.schema["rep"].dataType), T.StructField("shingles", T.BinaryType())]
@@ -181,9 +278,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # Only representatives that meet another one stay; all later steps work on these.
     members = stored(keys.select("rep", "bucket").join(shared.select("bucket"), "bucket"), "members")
     nodes = members.select(F.col("rep").alias("node")).distinct()
-    known = stored(classes.join(nodes, F.col("rep") == F.col("node"), "left_semi").select("rep", "n", "sig"), "classes")
+    known = stored(classes.join(nodes, F.col("rep") == F.col("node"), "left_semi").select("rep", "n", "sig", "bands"), "classes")
     sets = stored(_sets(df.select(F.col(id_col).alias("rep"), text_col), nodes, id_col, text_col), "sets")
-    one, two = (known.select(*[F.col(c).alias(f"{c}_{k}") for c in known.columns]) for k in ("a", "b"))
+    one, two = (known.select(*[F.col(c).alias(f"{c}_{k}") for c in ("rep", "n", "sig")]) for k in ("a", "b"))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         pairs = pairs.distinct()
@@ -208,12 +305,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             "bucket", "rep", F.coalesce("component", "rep").alias("component")
         ), "labelled")
     split = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    open_ = labelled.join(split.select("bucket"), "bucket").join(known, "rep")
-    x, y = (open_.select(*[F.col(c).alias(f"{c}_{k}") for c in open_.columns]) for k in ("x", "y"))
-    cross = x.join(y, (F.col("bucket_x") == F.col("bucket_y")) & (F.col("rep_x") < F.col("rep_y"))
-                   & (F.col("component_x") != F.col("component_y"))
-                   & _may_link(F.col("n_x"), F.col("n_y"), F.col("sig_x"), F.col("sig_y")))
-    last = stored(_confirmed(cross.select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b")).distinct(), sets), "confirmed")
+    open_ = labelled.join(split.select("bucket"), "bucket")
+    likely = stored(_within_buckets(open_.join(known, "rep"), _likely_members, ("bucket", "rep")), "likely")
+    last = stored(_within_buckets(
+        open_.join(likely.distinct(), ["bucket", "rep"]).join(known, "rep").join(sets, "rep"), _joining_links, ("a", "b")
+    ), "confirmed")
     grouped = components(links.unionByName(last))
     by_set = classes.join(grouped, F.col("rep") == F.col("node"), "left").select(
         "set_a", "set_b", F.coalesce("component", "rep").alias("component_id")
