@@ -12,15 +12,18 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 # Rows and text bytes that a task works on at once.
-SLICE_ROWS = 2_000
-SLICE_BYTES = 8 << 20
+SLICE_ROWS = 500
+SLICE_BYTES = 2 << 20
+# Rows that Spark hands to Python at once: texts may be long.
+BATCH_ROWS = 1_000
 
 
 def ship(spark) -> None:
-    """Let Python workers on this machine import the package from where the driver has it.
+    """Let Python workers on this machine import the package from where the driver has it, and bound their batches.
 
     On a cluster the package is installed or given as --py-files; the path is then one that is not there.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     known = env.get("PYTHONPATH", "").split(os.pathsep)
     if root not in known:

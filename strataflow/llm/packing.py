@@ -16,7 +16,9 @@ documents within their length are counted in hashed cells, so neither a length n
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -33,16 +35,24 @@ CAPACITY = 2048
 SETTINGS = ((2, 48), (3, 96), (4, 96), (8, 96))
 CLOSING_ID = 0
 # Words kept per worker; the older half goes when a generation is full.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 400_000
+# Letters that are their own lower case and composed form, and ASCII marks behind them.
+_PLAIN = re.compile("([a-z\u00df-\u00f6\u00f8-\u00ff]+)([!-/:-@\\[-`{-~]*)")
+# The Latin-1 capitals, 32 before their small letters.
+_CAPITALS = {c: c + 32 for c in range(0xC0, 0xDF) if c != 0xD7}
+# Byte-level vocabularies write bytes without a visible Latin-1 letter as the letters from 256 on.
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+_BYTE_LETTERS = {b: 256 + i for i, b in enumerate(_HIDDEN)}
 # About so many pieces are ranked by one sort.
 CELL_ROWS = 200_000
 
 
-class WordIds:
-    """Token ids of words as little-endian bytes, remembered for the words seen last.
+class WordIds(dict):
+    """Token ids of lower-cased words as little-endian bytes, remembered for the words seen last.
 
-    The vocabulary drops white space and never joins across it, so a text's ids are its words' ids in a row. A comma or full
-    stop behind an ASCII letter or digit is split off, and ASCII letters are lower-cased, as the vocabulary does itself.
+    The vocabulary drops white space and never joins across it, so a text's ids are its words' ids in a row. ASCII letters
+    are lower-cased first, and ASCII marks behind letters are split off, as the vocabulary does itself. A word of small
+    letters is one match that no normalisation changes, so its ids come from the merges of its bytes alone.
     """
 
     def __init__(self, path: str):
@@ -50,35 +60,39 @@ class WordIds:
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
-        self.young: dict[bytes, bytes] = {}
+        self.merges = self.model.model
         self.old: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.old.get(word)
         if ids is None:
-            cut = len(word)
-            while cut > 1 and word[cut - 1] in b",." and cut == len(word) and word[cut - 2 : cut - 1].isalnum():
-                cut -= 1
-            low = word[:cut].lower()
-            if low != word:
-                ids = self.of(low) + (self.of(word[cut:]) if cut < len(word) else b"")
-            else:
-                ids = np.asarray(
-                    self.model.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4"
-                ).tobytes()
-        if len(self.young) >= CACHE_WORDS:
-            self.old, self.young = self.young, {}
+            ids = self._fresh(word)
+        if len(self) >= CACHE_WORDS:
+            self.old = dict(self)
+            self.clear()
         if len(word) <= 64:
-            self.young[word] = ids
+            self[word] = ids
         return ids
 
-    def of(self, word: bytes) -> bytes:
-        ids = self.young.get(word)
-        return self.__missing__(word) if ids is None else ids
+    def _fresh(self, word: bytes) -> bytes:
+        if word.isalpha():
+            return self._merged(word.decode())
+        text = word.decode("utf-8", "replace").translate(_CAPITALS)
+        plain = _PLAIN.fullmatch(text)
+        if not plain:
+            return array("I", self.model.encode(text, add_special_tokens=False).ids).tobytes()
+        letters, marks = plain.groups()
+        if marks:
+            return self[letters.encode()] + self[marks.encode()]
+        return self._merged(letters.encode().decode("latin-1").translate(_BYTE_LETTERS))
+
+    def _merged(self, letters: str) -> bytes:
+        return array("I", [t.id for t in self.merges.tokenize(letters)]).tobytes()
 
     def text(self, text: str) -> bytes:
         # bytes.split() cuts at ASCII white space only, all of which the vocabulary drops.
-        return b"".join(map(self.of, text.encode("utf-8", "replace").split()))
+        words = text.encode("utf-8", "replace").lower().split()
+        return b"".join([self[w] for w in words])
 
 
 @lru_cache(maxsize=2)
