@@ -22,10 +22,9 @@ _FAILED = """concat_ws(',', CASE WHEN EncounterID IS NULL OR PatientID IS NULL T
 def q01(spark, sf):
     """Rows that pass one rule, after the others were quarantined with reason and time."""
     rule = quality.in_range("c_acctbal", 0, name="BALANCE_NOT_NEGATIVE")
-    valid, invalid = quality.split(b.table(spark, sf, "customer"), [rule])
-    place = scratch_path(spark, "quarantine") + "/customer/" + rule.name
-    tables.write_run(quality.quarantine_columns(invalid, "r1", rule.name), place, "r1")
-    return valid.select("c_custkey", "c_acctbal")
+    root, rows = scratch_path(spark, "customer"), b.table(spark, sf, "customer")
+    tables.gate(rows, [rule], root, "r1")
+    return tables.read_valid(spark, root, rows.schema).select("c_custkey", "c_acctbal")
 
 
 @query("q02_encounter_gate", f"SELECT EncounterID, {_FAILED} AS failed FROM enc")
@@ -58,10 +57,7 @@ FROM enc WHERE LengthOfStayHours IS NOT NULL""")
 def q02_drop(spark, sf):
     """The two-filter split that loses rows with a NULL verdict, for comparison."""
     rules = quality.encounter_rules(los_null="drop", other_null="drop")
-    valid, invalid = quality.split(b.encounters(spark, sf), rules)
-    return valid.select("EncounterID", F.lit("valid").alias("side")).unionByName(
-        invalid.select("EncounterID", F.lit("invalid").alias("side"))
-    )
+    return quality.sides(b.encounters(spark, sf), rules).where("side IS NOT NULL").select("EncounterID", "side")
 
 
 _RULE_SQL = """

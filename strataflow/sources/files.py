@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..contracts import text_contract
 from ..functions.masking import mask_columns
+from .tables import read_current
 
 
 # Holds the text of a CSV row with too many or too few fields; NULL in a sound row.
@@ -73,6 +74,12 @@ def with_provenance(df: DataFrame, source_system: str) -> DataFrame:
     )
 
 
+def serve_current(spark: SparkSession, root: str, view: str, table: str | None = None, phi: str | None = "mask") -> None:
+    """Expose the version of a published table that is current now. Call it again after a publish: a view
+    keeps to the version it was made from, so that a query never changes under its reader."""
+    serve(read_current(spark, root, table=table), view, phi)
+
+
 def serve(df: DataFrame, view: str, phi: str | None = "mask") -> None:
     """Expose a table as a view. Personal columns are masked unless ``phi`` is None."""
     (mask_columns(df, policy=phi) if phi else df).createOrReplaceTempView(view)
