@@ -75,6 +75,30 @@ def test_components_equal_brute_force(spark):
         assert got[i]["bucket"] == 1
 
 
+def test_blocks_of_a_large_bucket(spark, monkeypatch):
+    """Chains of edits far from both leaders, with buckets cut into many blocks."""
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    monkeypatch.setattr(minhash, "TASK_ROWS", 50)
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    base = [word() for _ in range(300)]
+    docs = []
+    for _ in range(12):
+        text = list(base)
+        for _ in range(rng.randint(10, 14)):
+            text[rng.randrange(300)] = word()
+        for _ in range(8):
+            text = list(text)
+            text[rng.randrange(300)] = word()
+            docs.append(" ".join(text))
+    ids = rng.sample(range(5_000), len(docs))
+    _, wanted = brute(ids, docs)
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in zip(ids, docs, strict=True)], SCHEMA)
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(df).collect()}
+    assert got == dict(zip(ids, wanted, strict=True))
+    assert 1 < len(set(wanted)) < len(ids)
+
+
 def test_empty_nulls_and_repeats(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
     rows = [(None, "a b c", "x", 1), (None, "a b", "x", 1), (4, "a b c", "x", 1), (4, "a b c", "x", 1), (9, "A b c", "x", None)]
