@@ -41,16 +41,13 @@ def components(links: DataFrame) -> DataFrame:
     A node keeps its links in rows, so large components are spread; each round is written, and rounds end when nothing
     changes, after a number that grows with the logarithm of the largest component.
     """
-    edges = stored(links.where("a <> b").select("a", "b").distinct(), "links")
+    edges, before = links.where("a <> b").select("a", "b").distinct(), None
     while True:
-        after = stored(_small_star(_large_star(edges)), "links")
-        sums = [
-            df.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-            for df in (edges, after)
-        ]
-        edges = after
-        if sums[0] == sums[1]:
+        edges = stored(_small_star(_large_star(edges)), "links")
+        now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
+        if now == before:
             break
+        before = now
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

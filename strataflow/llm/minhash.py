@@ -10,8 +10,8 @@ shorter document is one shingle of all its words). 256 minima per set give
 
 Documents with equal sets are one class with the smallest id as representative. Candidates are worked off so that a large
 group of near copies does not become a table of all its pairs. First every member of a band bucket is compared with the
-bucket's smallest and then its largest representative; the found links form components. Only members of one bucket that
-are still in different components remain. They are compared inside tasks, in blocks of bounded size: by signatures
+bucket's smallest representative; the found links form components. Only members of one bucket that are still in
+different components remain. They are compared inside tasks, in blocks of bounded size: by signatures
 first, which leaves the members that have a likely partner, and those by their full sets. A task returns no pairs but
 the links that join components it has not joined yet. A pair is compared in the first bucket that it shares. A link
 between two classes of one component adds nothing, so the components are those of all links among candidates.
@@ -289,21 +289,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         )
         return _confirmed(likely.select("a", "b"), sets)
 
-    links = None
-    labelled = members.withColumn("component", F.col("rep"))
-    for lead in (F.min_by("rep", F.struct("component", "rep")), F.max_by("rep", F.struct("component", "rep"))):
-        heads = labelled.groupBy("bucket").agg(
-            lead.alias("head"), F.min("component").alias("lo"), F.max("component").alias("hi")
-        ).where("lo < hi")
-        pairs = labelled.join(heads, "bucket").where("rep <> head").select(
-            F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")
-        )
-        found = stored(confirmed(pairs), "confirmed")
-        links = found if links is None else links.unionByName(found)
-        grouped = components(links)
-        labelled = stored(members.join(grouped, members["rep"] == grouped["node"], "left").select(
-            "bucket", "rep", F.coalesce("component", "rep").alias("component")
-        ), "labelled")
+    heads = members.groupBy("bucket").agg(F.min("rep").alias("head"))
+    pairs = members.join(heads, "bucket").where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b"))
+    links = stored(confirmed(pairs), "confirmed")
+    grouped = components(links)
+    labelled = stored(members.join(grouped, members["rep"] == grouped["node"], "left").select(
+        "bucket", "rep", F.coalesce("component", "rep").alias("component")
+    ), "labelled")
     split = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     open_ = labelled.join(split.select("bucket"), "bucket")
     likely = stored(_within_buckets(open_.join(known, "rep"), _likely_members, ("bucket", "rep")), "likely")
