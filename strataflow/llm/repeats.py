@@ -88,6 +88,9 @@ class Chunk:
     def window_keys(self, at: np.ndarray) -> np.ndarray:
         raise NotImplementedError
 
+    def release(self) -> None:
+        """Give up what keys are made from; the rest is kept until a batch's results are written."""
+
 
 def chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
     start, held = 0, 0
@@ -297,6 +300,7 @@ def repeated_units(
                 np.add.at(edges, places, 1)
                 np.add.at(edges, places + method.window, -1)
             masks.append(np.cumsum(edges[:-1]) > 0)
+            chunk.release()
             parts.append(chunk)
         made = results(texts, masks, parts)
         return pa.table([table.column(f.name) for f in kept] + made, names=[f.name for f in kept + fields])

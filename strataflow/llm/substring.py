@@ -80,6 +80,9 @@ class WordChunk(Chunk):
     def window_keys(self, at: np.ndarray) -> np.ndarray:
         return self.keys(at, self.window, 2)
 
+    def release(self) -> None:
+        self.sums = self.back = None
+
 
 def _results(texts: list[bytes], masks: list[np.ndarray], parts: list[WordChunk]) -> list[pa.Array]:
     words, gone, kept = [], [], []

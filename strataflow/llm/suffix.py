@@ -68,6 +68,9 @@ class ByteChunk(Chunk):
         least = _sliding_min(rank | np.arange(len(data), dtype=np.uint64), self.window - ANCHOR_BYTES + 1)
         self.anchor = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
+    def release(self) -> None:
+        self.pointers = self.anchor = None
+
     def _none(self) -> Cells:
         none = np.empty(0, np.int64)
         return Cells(np.empty(0, np.uint64), np.empty((0, 2), np.uint64), np.empty(0, bool), none, none)
