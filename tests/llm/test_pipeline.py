@@ -103,3 +103,18 @@ def test_columns_and_run(spark, stages):
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_repeated_rows_and_missing_ids_keep_one_text(spark, tmp_path):
+    """Long texts that were loaded twice or have no id come out once, and whole."""
+    rng = random.Random(23)
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(150)) for _ in range(6)]
+    near = f"edit {texts[5]}"
+    rows = [(1, texts[0]), (1, texts[0]), (None, texts[1]), (None, texts[1]), (2, texts[2]), (None, texts[2]), (3, texts[3]), (3, texts[4])]
+    rows += [(None, near), (7, texts[5]), (None, near)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA).repartition(4)
+    near_rows = stored(corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)), "near")
+    wanted = sorted([(1, texts[0]), (0, texts[1]), (2, texts[2]), (3, texts[3]), (3, texts[4]), (7, texts[5])])
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in near_rows.collect()) == wanted
+    left = corpus_pipeline.suffix_dedup(spark, near_rows, str(tmp_path)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in left) == wanted
