@@ -1,8 +1,8 @@
 """A corpus pipeline of the training-data operators: each stage works on all that the one before kept.
 
 1. language: documents without a letter are rejected; a missing language is filled in with the predicted one.
-2. near_duplicates: of each group of linked documents one row stays, that with the smallest id. Rows count by themselves: repeated
-   rows and rows without id are grouped by their text like any other.
+2. near_duplicates: documents are linked from a similarity of 0.8 on, and of each group one row stays, that with the smallest
+   id. Rows count by themselves: repeated rows and rows without id are grouped by their text like any other.
 3. suffix_dedup: every byte of a 400-byte string that occurs more than once is removed; a character that lost some of its bytes
    goes with them. A document may end up empty and then stays as an empty one.
 4. personal_data: spans are replaced by their kind.
@@ -22,6 +22,8 @@ from strataflow.llm.components import stored
 from strataflow.llm.queries import held_out
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+# Hundredths of their common shingles from which documents are linked; op3 has a contract of its own, 85.
+SIMILAR = 80
 
 
 def _with_text(docs: DataFrame, text) -> DataFrame:
@@ -44,7 +46,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     # Ids may be missing or repeat, so rows are numbered; the numbers are written, as a second reading could give others.
     numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*COLUMNS), row)
-    grouped = minhash.near_duplicates(numbered.withColumn("order", order), row)
+    grouped = minhash.near_duplicates(numbered.withColumn("order", order), row, threshold=SIMILAR)
     first = grouped.groupBy("component_id").agg(F.min("order").alias("order")).select(F.col(f"order.{row}").alias(row))
     return numbered.join(first, row, "left_semi").select(*COLUMNS)
 

@@ -3,11 +3,14 @@
 A document is the set of its distinct five-word shingles (ASCII letters lower-cased, words between ASCII white space; a
 shorter document is one shingle of all its words). 256 minima per set give
 
-* band keys: 42 groups of six minima. Sets with a Jaccard similarity of 0.85 share no key with a probability of 2e-9;
+* band keys: groups of minima, as large as the threshold allows. With 42 groups of six, sets with a Jaccard similarity of 0.85
+  share no key with a probability of 2e-9; with 51 groups of five, sets with 0.8 with one of 2e-9;
 * a packed signature: the two low bits of each (mixed) minimum. Two signatures agree at a minimum with probability
   ``J + (1 - J) / 4``, so a bit count gives an estimate corrected for chance agreement. Pairs whose estimate is over six
   standard deviations below the threshold are given up; all others are confirmed on the full sets.
 
+The threshold is a parameter (85 unless given); ``limits_of`` derives bands and signature limit from it.
+
 Documents with equal sets are one class with the smallest id as representative. Candidates are worked off so that a large
 group of near copies does not become a table of all its pairs. First every member of a band bucket is compared with the
 bucket's smallest representative; the found links form components. Only members of one bucket that are still in
@@ -24,6 +27,9 @@ and set are one document; columns named like an output are replaced.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache, partial
+from math import sqrt
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +42,12 @@ from .repeats import mix
 from .words import Words
 
 SHINGLE = 5
-# Links need 100 * shared >= THRESHOLD * union.
+# Links need 100 * shared >= threshold * union.
 THRESHOLD = 85
-HASHES, ROWS = 256, 6
-BANDS = HASHES // ROWS
+HASHES = 256
 WORDS = HASHES * 2 // 64
-# Pairs with more disagreeing minima are given up: an estimate under 0.68, 6.4 deviations below 0.85.
-MOST_DIFFERENT = 61
+# The most likely that a pair at the threshold shares no band, and the deviations that its signature may be off.
+MISSED, DEVIATIONS = 1e-8, 6.4
 
 # Members of a bucket that are compared in one go, and rows for a task.
 BLOCK = 1024
@@ -53,6 +58,24 @@ _XOR = _seed.randint(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)
 _FACTOR = _seed.randint(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 
 
+class Limits(NamedTuple):
+    threshold: int
+    rows: int
+    bands: int
+    # Pairs with more disagreeing minima are given up.
+    most_different: int
+
+
+@lru_cache
+def limits_of(threshold: int) -> Limits:
+    """The largest bands that find a pair at the threshold, and the most minima in which its signatures disagree."""
+    similar = threshold / 100
+    rows = max((r for r in range(1, HASHES + 1) if (1 - similar**r) ** (HASHES // r) <= MISSED), default=1)
+    chance = 0.75 * (1 - similar)
+    most = HASHES * chance + DEVIATIONS * sqrt(HASHES * chance * (1 - chance))
+    return Limits(threshold, rows, HASHES // rows, int(most))
+
+
 def shingles(texts: list[str]) -> list[np.ndarray]:
     """The distinct shingles of each text as sorted 64-bit hashes."""
     words = Words([t.encode("utf-8", "replace").lower() for t in texts])
@@ -87,15 +110,15 @@ def signature(least: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(bits.reshape(WORDS, 32) << shifts, axis=1).view(np.int64)
 
 
-def band_keys(least: np.ndarray) -> np.ndarray:
-    groups = least[: BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64)
-    key = np.arange(BANDS, dtype=np.uint64)
-    for k in range(ROWS):
+def band_keys(least: np.ndarray, limits: Limits) -> np.ndarray:
+    groups = least[: limits.bands * limits.rows].reshape(limits.bands, limits.rows).astype(np.uint64)
+    key = np.arange(limits.bands, dtype=np.uint64)
+    for k in range(limits.rows):
         key = mix(key, groups[:, k])
     return key.view(np.int64)
 
 
-def sign(df: DataFrame, text_col: str = "text") -> DataFrame:
+def sign(df: DataFrame, limits: Limits, text_col: str = "text") -> DataFrame:
     """Append n_shingles, set_a and set_b (a 128-bit identifier of the set), bands and signature."""
 
     def work(part: pa.RecordBatch) -> list[pa.Array]:
@@ -105,13 +128,13 @@ def sign(df: DataFrame, text_col: str = "text") -> DataFrame:
             sizes.append(len(found))
             one.append(int(np.add.reduce(mix(found, found)).view(np.int64)) if len(found) else 0)
             two.append(int(np.add.reduce(mix(found, ~found)).view(np.int64)) if len(found) else 0)
-            bands.append(band_keys(least))
+            bands.append(band_keys(least, limits))
             packed.append(signature(least))
         values = np.concatenate(bands) if bands else np.empty(0, np.int64)
         words = np.concatenate(packed) if packed else np.empty(0, np.int64)
         return [
             pa.array(sizes, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
-            list_array([BANDS] * len(sizes), pa.array(values)), list_array([WORDS] * len(sizes), pa.array(words)),
+            list_array([limits.bands] * len(sizes), pa.array(values)), list_array([WORDS] * len(sizes), pa.array(words)),
         ]
 
     longs = T.ArrayType(T.LongType())
@@ -139,12 +162,12 @@ def estimated_similarity(a: Column, b: Column) -> Column:
     return (1 - different(a, b) / F.lit(HASHES) - F.lit(0.25)) / F.lit(0.75)
 
 
-def _may_link(n_a: Column, n_b: Column, sig_a: Column, sig_b: Column) -> Column:
-    sizes = F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * THRESHOLD
-    return sizes & (different(sig_a, sig_b) <= MOST_DIFFERENT)
+def _may_link(n_a: Column, n_b: Column, sig_a: Column, sig_b: Column, limits: Limits) -> Column:
+    sizes = F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * limits.threshold
+    return sizes & (different(sig_a, sig_b) <= limits.most_different)
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     one = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("set_a"))
     two = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("set_b"))
@@ -155,7 +178,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 shared = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * shared >= THRESHOLD * (len(x) + len(y) - shared))
+                good.append(100 * shared >= threshold * (len(x) + len(y) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     joined = pairs.join(one, "a").join(two, "b").select("a", "b", "set_a", "set_b")
@@ -187,7 +210,7 @@ def _within_buckets(rows: DataFrame, work: Callable[[pa.Table], Iterator[tuple]]
     return met.drop("blocks", "other").withColumn("part", part).groupBy("part").applyInArrow(lambda table: run(table), schema)
 
 
-def _likely_pairs(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+def _likely_pairs(table: pa.Table, limits: Limits) -> Iterator[tuple[int, np.ndarray]]:
     """Members of a bucket, each with the later ones in other components that may be linked to it.
 
     Of two different blocks only pairs across are looked at, and of each pair only the first bucket that it shares.
@@ -204,25 +227,25 @@ def _likely_pairs(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
         y = y[component[y] != component[x]]
         if across:
             y = y[block[y] != block[x]]
-        y = y[np.minimum(size[y], size[x]) * 100 >= np.maximum(size[y], size[x]) * THRESHOLD]
+        y = y[np.minimum(size[y], size[x]) * 100 >= np.maximum(size[y], size[x]) * limits.threshold]
         unequal = sig[y] ^ sig[x]
-        y = y[np.bitwise_count((unequal | (unequal >> np.uint64(1))) & low).sum(axis=1) <= MOST_DIFFERENT]
+        y = y[np.bitwise_count((unequal | (unequal >> np.uint64(1))) & low).sum(axis=1) <= limits.most_different]
         y = y[(bands[y] == bands[x]).argmax(axis=1) == here[x]]
         if len(y):
             yield x, y
 
 
-def _likely_members(table: pa.Table) -> Iterator[tuple]:
+def _likely_members(table: pa.Table, limits: Limits) -> Iterator[tuple]:
     """(bucket, representative) of the members that have a likely partner."""
     hit = np.zeros(table.num_rows, bool)
-    for x, y in _likely_pairs(table):
+    for x, y in _likely_pairs(table, limits):
         hit[x] = True
         hit[y] = True
     bucket, rep = table.column("bucket")[0].as_py(), table.column("rep").to_pylist()
     return iter([(bucket, rep[k]) for k in np.flatnonzero(hit)])
 
 
-def _joining_links(table: pa.Table) -> Iterator[tuple]:
+def _joining_links(table: pa.Table, limits: Limits) -> Iterator[tuple]:
     """Confirmed links of a bucket, of those inside one growing component only the first."""
     rep, start = table.column("rep").to_pylist(), table.column("component").to_pylist()
     sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("shingles")]
@@ -234,7 +257,7 @@ def _joining_links(table: pa.Table) -> Iterator[tuple]:
             c = parent[c]
         return c
 
-    for x, partners in _likely_pairs(table):
+    for x, partners in _likely_pairs(table, limits):
         own = sets[x]
         for y in partners.tolist():
             one, two = root(start[x]), root(start[y])
@@ -244,7 +267,7 @@ def _joining_links(table: pa.Table) -> Iterator[tuple]:
             at = np.searchsorted(own, other)
             at[at == len(own)] = 0
             shared = int((own[at] == other).sum())
-            if 100 * shared >= THRESHOLD * (len(own) + len(other) - shared):
+            if 100 * shared >= limits.threshold * (len(own) + len(other) - shared):
                 parent[max(one, two)] = min(one, two)
                 yield rep[x], rep[y]
 
@@ -264,10 +287,11 @@ def _sets(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str) -> DataF
     return wanted.mapInArrow(run, T.StructType(fields)).dropDuplicates(["rep"])
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Append n_shingles, component_id and kept to every row."""
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+    """Append n_shingles, component_id and kept to every row; links need ``threshold`` hundredths of the union."""
+    limits = limits_of(threshold)
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key"))
-    signed = stored(sign(texts).drop("text"), "signatures")
+    signed = stored(sign(texts, limits).drop("text"), "signatures")
     classes = (
         signed.where("n_shingles > 0 AND id IS NOT NULL").groupBy("set_a", "set_b")
         .agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
@@ -285,9 +309,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def confirmed(pairs: DataFrame) -> DataFrame:
         pairs = pairs.distinct()
         likely = pairs.join(one, F.col("a") == F.col("rep_a")).join(two, F.col("b") == F.col("rep_b")).where(
-            _may_link(F.col("n_a"), F.col("n_b"), F.col("sig_a"), F.col("sig_b"))
+            _may_link(F.col("n_a"), F.col("n_b"), F.col("sig_a"), F.col("sig_b"), limits)
         )
-        return _confirmed(likely.select("a", "b"), sets)
+        return _confirmed(likely.select("a", "b"), sets, threshold)
 
     heads = members.groupBy("bucket").agg(F.min("rep").alias("head"))
     pairs = members.join(heads, "bucket").where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b"))
@@ -298,9 +322,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ), "labelled")
     split = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     open_ = labelled.join(split.select("bucket"), "bucket")
-    likely = stored(_within_buckets(open_.join(known, "rep"), _likely_members, ("bucket", "rep")), "likely")
+    likely = stored(_within_buckets(open_.join(known, "rep"), partial(_likely_members, limits=limits), ("bucket", "rep")), "likely")
     last = stored(_within_buckets(
-        open_.join(likely.distinct(), ["bucket", "rep"]).join(known, "rep").join(sets, "rep"), _joining_links, ("a", "b")
+        open_.join(likely.distinct(), ["bucket", "rep"]).join(known, "rep").join(sets, "rep"), partial(_joining_links, limits=limits), ("a", "b")
     ), "confirmed")
     grouped = components(links.unionByName(last))
     by_set = classes.join(grouped, F.col("rep") == F.col("node"), "left").select(

@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from strataflow.llm.components import stored
-from test_minhash import brute as brute_components
+from test_minhash import brute as brute_components, sets_of
 from test_pii import PATTERNS, good
 from test_repeats import brute as brute_windows
 
@@ -118,3 +118,26 @@ def test_repeated_rows_and_missing_ids_keep_one_text(spark, tmp_path):
     assert sorted((r["doc_id"] or 0, r["text"]) for r in near_rows.collect()) == wanted
     left = corpus_pipeline.suffix_dedup(spark, near_rows, str(tmp_path)).collect()
     assert sorted((r["doc_id"] or 0, r["text"]) for r in left) == wanted
+
+
+def test_near_duplicates_from_80_on(spark, tmp_path):
+    """Pairs on both sides of 0.8 and 0.85, the first documents of groups by brute force."""
+    rng = random.Random(31)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    docs = []
+    for _ in range(40):
+        base = [word() for _ in range(rng.choice([104, 204, 404]))]
+        edited = list(base)
+        for k in range(rng.randint(1, len(base) // 35)):
+            edited[10 + 12 * k] = word()
+        docs += [" ".join(base), " ".join(edited)]
+    sets, linked, at = sets_of(docs), {}, set()
+    for i in range(0, len(docs), 2):
+        both = len(sets[i] & sets[i + 1])
+        union = len(sets[i] | sets[i + 1])
+        linked[i + 1] = 100 * both >= 80 * union
+        at.add((100 * both >= 80 * union, 100 * both >= 85 * union))
+    assert at == {(False, False), (True, False), (True, True)}
+    rows = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(docs)], SCHEMA).repartition(4)
+    got = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, rows, str(tmp_path)).collect()}
+    assert got == {i for i in range(len(docs)) if not linked.get(i)}
