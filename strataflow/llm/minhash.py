@@ -14,7 +14,7 @@ The threshold is a parameter (85 unless given); ``limits_of`` derives bands and
 Documents with equal sets are one class with the smallest id as representative. Candidates are worked off so that a large
 group of near copies does not become a table of all its pairs. First every member of a band bucket is compared with the
 bucket's smallest representative; the found links form components. Only members of one bucket that are still in
-different components remain. They are compared inside tasks, in blocks of bounded size: by signatures
+different components remain. They are compared inside tasks, in blocks bounded by members and bytes, each pair of blocks a group: by signatures
 first, which leaves the members that have a likely partner, and those by their full sets. A task returns no pairs but
 the links that join components it has not joined yet. A pair is compared in the first bucket that it shares. A link
 between two classes of one component adds nothing, so the components are those of all links among candidates.
@@ -49,9 +49,11 @@ WORDS = HASHES * 2 // 64
 # The most likely that a pair at the threshold shares no band, and the deviations that its signature may be off.
 MISSED, DEVIATIONS = 1e-8, 6.4
 
-# Members of a bucket that are compared in one go, and rows for a task.
+# Members of a bucket that are compared in one go, and rows of small buckets for a group; the same in bytes.
 BLOCK = 1024
 TASK_ROWS = 4096
+BLOCK_BYTES = 8 << 20
+TASK_BYTES = 32 << 20
 
 _seed = np.random.RandomState(20240601)
 _XOR = _seed.randint(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)
@@ -186,16 +188,30 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def _within_buckets(rows: DataFrame, work: Callable[[pa.Table], Iterator[tuple]], names: tuple[str, str]) -> DataFrame:
-    """Apply ``work`` to the members of each bucket; a bucket over BLOCK members is met block by block.
+    """Apply ``work`` to the members of each bucket; a bucket over BLOCK members or BLOCK_BYTES is met block by block.
 
-    A member of a bucket of k blocks goes to the k pairs of blocks it is part of. Many buckets share a task.
+    A member of a bucket of k blocks goes to the k pairs of blocks it is part of, and each pair is a group of its own. Buckets
+    of one block share groups.
     """
-    sizes = rows.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    total = rows.select("bucket").count()
-    met = rows.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    ).withColumns({"one": F.least("block", "other"), "two": F.greatest("block", "other")})
-    part = F.pmod(F.xxhash64("bucket", "one", "two"), F.lit(max(1, -(-total // TASK_ROWS)))).cast("int")
+    # What a row takes: its bands and signature, and its full set where it comes along.
+    held = F.lit(8) * (F.size("bands") + F.size("sig")) + (F.length("shingles") if "shingles" in rows.columns else F.lit(0))
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(held) / BLOCK_BYTES)).cast("int")
+    sizes = stored(rows.groupBy("bucket").agg(
+        blocks.alias("blocks"), F.count("*").alias("rows"), F.sum(held).alias("bytes")
+    ), "bucket_sizes")
+    small = sizes.where("blocks = 1").agg(
+        F.greatest(F.ceil(F.sum("rows") / TASK_ROWS), F.ceil(F.sum("bytes") / TASK_BYTES))
+    ).first()[0]
+    met = rows.join(sizes.select("bucket", "blocks"), "bucket").withColumn(
+        "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    ).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns(
+        {"one": F.least("block", "other"), "two": F.greatest("block", "other")}
+    )
+    shared = F.col("blocks") == 1
+    parts = {
+        "part": F.when(shared, F.pmod(F.xxhash64("bucket"), F.lit(max(1, small or 0)))).otherwise(F.col("bucket")),
+        "part_one": F.when(shared, -1).otherwise(F.col("one")), "part_two": F.when(shared, -1).otherwise(F.col("two")),
+    }
     kinds = {"bucket": T.LongType(), "rep": rows.schema["rep"].dataType, "a": rows.schema["rep"].dataType, "b": rows.schema["rep"].dataType}
     schema = T.StructType([T.StructField(n, kinds[n]) for n in names])
     types = [to_arrow_type(f.dataType) for f in schema]
@@ -207,7 +223,8 @@ def _within_buckets(rows: DataFrame, work: Callable[[pa.Table], Iterator[tuple]]
         found = [row for a, b in zip(cuts, cuts[1:], strict=False) if b - a > 1 for row in work(table.slice(a, b - a))]
         return pa.table([pa.array([r[k] for r in found], t) for k, t in enumerate(types)], names=list(names))
 
-    return met.drop("blocks", "other").withColumn("part", part).groupBy("part").applyInArrow(lambda table: run(table), schema)
+    dealt = met.withColumns(parts).drop("blocks", "other")
+    return dealt.groupBy(*parts).applyInArrow(lambda table: run(table), schema)
 
 
 def _likely_pairs(table: pa.Table, limits: Limits) -> Iterator[tuple[int, np.ndarray]]:
@@ -322,7 +339,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ), "labelled")
     split = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     open_ = labelled.join(split.select("bucket"), "bucket")
-    likely = stored(_within_buckets(open_.join(known, "rep"), partial(_likely_members, limits=limits), ("bucket", "rep")), "likely")
+    likely = stored(_within_buckets(
+        open_.join(known, "rep"), partial(_likely_members, limits=limits), ("bucket", "rep")
+    ), "likely")
     last = stored(_within_buckets(
         open_.join(likely.distinct(), ["bucket", "rep"]).join(known, "rep").join(sets, "rep"), partial(_joining_links, limits=limits), ("a", "b")
     ), "confirmed")

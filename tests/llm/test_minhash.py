@@ -135,3 +135,26 @@ def test_components(spark, links):
             if a != b:
                 parent[a] = parent[b] = min(parent[a], parent[b])
     assert got == parent
+
+
+@pytest.mark.parametrize("heavy", [False, True])
+def test_groups_of_a_large_bucket_are_bounded(spark, monkeypatch, heavy):
+    """What a task loads at once does not grow with the number of blocks; long sets make smaller blocks."""
+    monkeypatch.setattr(minhash, "BLOCK", 8 if not heavy else 1000)
+    monkeypatch.setattr(minhash, "TASK_ROWS", 32 if not heavy else 4000)
+    monkeypatch.setattr(minhash, "BLOCK_BYTES", 8 << 20 if not heavy else 8 * 1100, raising=False)
+    monkeypatch.setattr(minhash, "TASK_BYTES", 32 << 20 if not heavy else 32 * 1100, raising=False)
+    # One bucket of 400 members and 100 of two.
+    rows = [(1, k) for k in range(400)] + [(10 + k // 2, 1000 + k) for k in range(200)]
+    rows = [(*r, r[1], 1, [1, 2], [r[0], 7], bytearray(1000 if heavy else 8)) for r in rows]
+    df = spark.createDataFrame(rows, "bucket long, rep long, component long, n int, sig array<long>, bands array<long>, shingles binary")
+
+    def work(table):
+        # A piece of a group begins where the pieces before it end.
+        rep = table.column("rep")
+        bucket, end = table.column("bucket")[0].as_py(), rep.chunk(0).offset + len(rep)
+        return iter([(bucket, r) for r in rep.to_pylist()] + [(-1, end)])
+
+    got = minhash._within_buckets(df, work, ("bucket", "rep")).collect()
+    assert max(r["rep"] for r in got if r["bucket"] == -1) <= 100
+    assert {(r["bucket"], r["rep"]) for r in got if r["bucket"] != -1} == {r[:2] for r in rows}
