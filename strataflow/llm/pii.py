@@ -6,8 +6,9 @@ its kind) and validates what it found. Per kind, spans are leftmost and never ov
 dropped without another try inside it. No parser reads a stretch of text more often than a fixed number of times.
 
 Base kinds: ``email``, ``ip`` (parts up to 255), ``card`` (16 to 19 digits, Luhn), ``phone`` (8 to 15 digits). Added kinds:
-``account`` (a number behind a cue such as "account no", "ssn", "passport"; an IBAN must pass its checksum) and
-``url`` (scheme, "://" and a host).
+``account`` (a number behind a cue such as "account no", "ssn", "passport", in any case) and ``url`` (scheme, "://" and a
+host). A number may have blanks; it ends where a number of its kind is complete: an IBAN, which must pass its checksum, at its
+country's length, an SSN at nine digits, others before a group without a digit.
 
 Defined cases: null and empty texts have no spans; offsets count code points, end exclusive; repeated rows come out as
 often; columns named like an output are replaced.
@@ -35,10 +36,20 @@ _IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _DIGITS = re.compile(r"[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_ACCOUNT = re.compile(
-    r"(?:[ _-]?(?:number|num|no|nr|id)\b\.?)?[ \t]{0,3}[:=#]?[ \t]{0,3}"
-    r"([A-Za-z]{0,2}[0-9](?:[ -]?[0-9A-Z]){5,33})(?![0-9A-Za-z])"
-)
+# Between a cue and its number, in lower-cased text.
+_BEHIND = re.compile(r"(?:[ _-]?(?:number|num|no|nr|id)\b\.?)?[ \t]{0,3}[:=#]?[ \t]{0,3}")
+_NUMBER = re.compile(r"[A-Za-z]{0,2}[0-9](?:[ -]?[0-9A-Z]){5,33}(?![0-9A-Za-z])")
+_IBAN_START = re.compile(r"[A-Za-z]{2}[0-9]{2}(?:[ -]?[0-9A-Za-z]){11,30}")
+# Lengths of IBANs by country.
+_IBAN_LENGTH = {
+    country: length for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL SD FK", 19: "MK SI", 20: "AT BA EE KZ LT LU XK MN", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ DZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BF BI CF DJ FR GR IT MC MR SM TG",
+        28: "AL AZ BJ BY CG CI CM CY DO GT HN HU KM LB MA MG ML MZ NE NI PL SN SV TD", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+        31: "MT SC", 32: "LC", 33: "RU",
+    }.items() for country in countries.split()
+}
 _URL_REST = re.compile(r"[^\s<>\"'`]+")
 
 SPAN = T.StructType([
@@ -57,8 +68,7 @@ def anchors():
     for digit in "0123456789":
         found.add_word(digit, ("digit", 1))
     for cue in CUES:
-        for form in {cue, cue.upper(), cue.capitalize(), cue.title()}:
-            found.add_word(form, (f"cue:{cue}", len(form)))
+        found.add_word(cue, (f"cue:{cue}", len(cue)))
     found.make_automaton()
     return found
 
@@ -89,11 +99,55 @@ def _iban(text: str) -> bool:
     return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
 
 
+def _lower(text: str) -> str:
+    """ASCII letters lower-cased, so that the length stays."""
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+
+
+def _group_ends(text: str, begin: int, end: int) -> list[int]:
+    """Where the groups between blanks of a number end, from the first to the last."""
+    return [k for k in range(begin + 1, end) if text[k] == " "] + [end]
+
+
+def _iban_end(text: str, begin: int) -> int | None:
+    """The end of the IBAN at ``begin``: its country's length, or the longest groups that pass where the country is not known."""
+    m = _IBAN_START.match(text, begin)
+    if not m:
+        return None
+    length = _IBAN_LENGTH.get(text[begin : begin + 2].upper())
+    if length is None:
+        ends = reversed(_group_ends(text, begin, m.end()))
+    else:
+        places = [k for k in range(begin, m.end()) if text[k] not in " -"]
+        ends = [places[length - 1] + 1] if len(places) >= length else []
+    for end in ends:
+        if (end == len(text) or not (text[end].isascii() and text[end].isalnum())) and _iban(text[begin:end]):
+            return end
+    return None
+
+
+def _number_end(text: str, begin: int, cue: str) -> int | None:
+    """The end of the number at ``begin`` that fits its cue."""
+    if cue == "iban":
+        return _iban_end(text, begin)
+    m = _NUMBER.match(text, begin)
+    if not m:
+        return None
+    ends = _group_ends(text, begin, m.end())
+    if cue in ("ssn", "social security"):
+        return next((end for end in ends if len(_digits(text[begin:end])) == 9), None)
+    for end, after in zip(ends, ends[1:], strict=False):
+        if not _digits(text[end:after]) and len(_digits(text[begin:end])) >= 6:
+            return end
+    return m.end() if len(_digits(m[0])) >= 6 else None
+
+
 def spans_of(text: str) -> list[tuple[str, int, int]]:
     """All spans, by kind in the order of KINDS, then by start."""
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     email_end = card_next = ip_next = phone_end = account_end = url_end = 0
-    for last, (tag, size) in anchors().iter(text):
+    lower = _lower(text)
+    for last, (tag, size) in anchors().iter(lower):
         at = last - size + 1
         if tag == "digit":
             if at >= card_next:
@@ -131,14 +185,11 @@ def spans_of(text: str) -> list[tuple[str, int, int]]:
                     url_end = end
                     found["url"].append((begin, end))
         elif at >= account_end and not (at and text[at - 1].isalnum()):
-            m = _ACCOUNT.match(text, last + 1)
-            if m:
-                value, cue = m[1], tag[4:]
-                digits = len(_digits(value))
-                good = _iban(value) if cue == "iban" else digits == 9 if cue in ("ssn", "social security") else digits >= 6
-                if good:
-                    account_end = m.end(1)
-                    found["account"].append(m.span(1))
+            begin = _BEHIND.match(lower, last + 1).end()
+            end = _number_end(text, begin, tag[4:])
+            if end:
+                account_end = end
+                found["account"].append((begin, end))
     return [(kind, a, b) for kind in KINDS for a, b in found[kind]]
 
 

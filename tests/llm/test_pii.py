@@ -80,3 +80,25 @@ def test_rows(spark):
     assert masked == {1: None, 2: "", 3: "é [EMAIL] [IP]", None: "clean"}
     assert pii.redact(df).columns == df.columns
     assert pii.find(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("text,number", [
+    ("Account Number: 12345678", "12345678"),
+    ("Social Security Number: 123-45-6789", "123-45-6789"),
+    ("ACCOUNT NO. 12345678", "12345678"),
+    ("aCCount iD 12345678.", "12345678"),
+    ("İİ É Account Number: 12345678 é", "12345678"),
+    ("IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", "DE89 3704 0044 0532 0130 00"),
+    ("Iban: GB82 WEST 1234 5698 7654 32 AND MORE", "GB82 WEST 1234 5698 7654 32"),
+    ("IBAN NO9386011117947 2024", "NO9386011117947"),
+    ("IBAN DE89 3704 0044 0532 0130 01 BIC COBADEFFXXX", None),
+    ("SSN 123-45-6789 DOB 1990", "123-45-6789"),
+    ("SSN 123 45 6789 AND", "123 45 6789"),
+    ("Account 1234 5678 EUR 500", "1234 5678"),
+    ("Passport No: C01X00T47", "C01X00T47"),
+    ("Passport No: C01X00T", None),
+    ("Passport Number: C01X00147", "C01X00147"),
+])
+def test_forms_of_accounts(text, number):
+    found = [text[a:b] for k, a, b in pii.spans_of(text) if k == "account"]
+    assert found == ([number] if number else [])
