@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from .. import contracts, loads
@@ -43,13 +44,20 @@ def s01_quoted(spark, sf):
 
 
 def _csv_lines(spark, lines, multi_line):
-    """Finished lines of a departments file, with its header in each file, as the reader sees them."""
+    """Finished lines of a departments file, with its header in each file, as the reader sees them.
+
+    The text writer streams each partition's lines to one file behind its header; no value holds more than a line.
+    """
     path, header = scratch_path(spark, "csv"), ",".join(contracts.DEPARTMENTS.names)
-    grouped = lines.groupBy(F.pmod(F.xxhash64("value"), F.lit(4)).alias("part")).agg(
-        F.concat_ws("\n", F.lit(header), F.array_join(F.collect_list("value"), "\n")).alias("value")
-    )
-    grouped.write.partitionBy("part").text(path)
-    rows = files.read_csv(spark, [f"{path}/part={i}" for i in range(4)], contracts.DEPARTMENTS, multi_line)
+
+    def headed(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([header])], names=["value"])
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["value"])
+
+    # Python sees the batches of one partition in turn, and the writer makes one file of them.
+    lines.select("value").mapInArrow(headed, "value string").write.text(path)
+    rows = files.read_csv(spark, path, contracts.DEPARTMENTS, multi_line)
     return rows.withColumn("sound", F.col(files.CORRUPT).isNull()).drop(files.CORRUPT)
 
 

@@ -9,6 +9,7 @@ from strataflow.functions.keys import business_key, version_key
 from strataflow.functions.masking import mask_columns
 from strataflow.functions.parsing import parse_text
 from strataflow.operators import control, dedup, layout
+from strataflow.plans import transport
 from strataflow.sources import files, jdbc, tables
 
 
@@ -168,3 +169,12 @@ def test_create_or_merge(spark, tmp_path):
     assert [loads.load_versions(df, root, run) for df, run in ((one, "r1"), (two, "r2"), (two, "r3"))] == [1, 2, 3]
     rows = tables.read_current(spark, root).orderBy("EffectiveStartDate").collect()
     assert [(r.PrimaryInsurancePayer, r.IsCurrent) for r in rows] == [("p", False), ("q", True)]
+
+
+def test_csv_lines_are_written_over_all_partitions(spark):
+    """Each partition of lines becomes a file with its header; none is gathered with others."""
+    lines = spark.range(0, 1000, 1, 9).select(F.concat_ws(",", F.col("id").cast("string"), F.lit("a,b")).alias("value"))
+    rows = transport._csv_lines(spark, lines, False)
+    assert len(rows.inputFiles()) == 9
+    assert sorted(int(r.DepartmentID) for r in rows.where("sound").collect()) == list(range(1000))
+    assert transport._csv_lines(spark, lines.limit(0), True).count() == 0
