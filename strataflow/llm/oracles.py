@@ -71,3 +71,64 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce
        sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM split LEFT JOIN kept USING (doc_id)
 """
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SOURCE_DIVERGENCE = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS place, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), occurring AS (
+    SELECT DISTINCT lang, source FROM docs
+), found AS (
+    SELECT place, lang, source, unnest(terms) AS term FROM docs
+), kept AS (
+    SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM found GROUP BY lang, term HAVING count(DISTINCT place) >= 10
+), langs AS (
+    SELECT lang, sum(n) AS n, count(*) AS v FROM kept GROUP BY lang
+), counted AS (
+    SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n FROM found SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), totals AS (
+    SELECT o.lang, o.source, coalesce(sum(n), 0) AS n FROM occurring o LEFT JOIN counted USING (lang, source) GROUP BY ALL
+), shares AS (
+    SELECT t.lang, t.source, k.term, coalesce(c.n, 0) AS n, CAST(1 + (1000000000 * (coalesce(c.n, 0) + 2)) // (t.n + 2 * l.v) AS HUGEINT) AS p,
+           CAST(1 + (1000000000 * (k.n + 2)) // (l.n + 2 * l.v) AS HUGEINT) AS q
+    FROM totals t JOIN langs l USING (lang) JOIN kept k USING (lang) LEFT JOIN counted c ON c.lang = t.lang AND c.source = t.source AND c.term = k.term
+), pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), every AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM occurring a JOIN occurring b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+    UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM every QUALIFY part = 'pair' OR rank <= 10
+"""
+
+RANKED_SEARCH = rf"""
+WITH docs AS (
+    SELECT doc_id, row_number() OVER () AS place,
+           regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), lengths AS (
+    SELECT doc_id, place, CAST(len(terms) AS BIGINT) AS n FROM docs WHERE len(terms) > 0
+), whole AS (
+    SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(n) AS BIGINT) AS total FROM lengths
+), asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), held AS (
+    SELECT place, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT place, unnest(terms) AS term FROM docs)
+    SEMI JOIN asked USING (term) GROUP BY ALL
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * any_value(whole.n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM held, whole GROUP BY term
+), scored AS (
+    SELECT item_id, place, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * l.n * whole.n) // whole.total)))) AS BIGINT) AS score
+    FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN lengths l USING (place), whole GROUP BY item_id, place
+), ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM scored JOIN lengths USING (place) WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""

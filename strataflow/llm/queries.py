@@ -7,7 +7,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
-from . import ann, bpe, langid, licenses, minhash, oracles, packing, pii, substring, suffix, topk
+from . import ann, bpe, divergence, langid, licenses, minhash, oracles, packing, pii, ranked, substring, suffix, topk
 from .common import read_table, sha256_hex, ship
 
 QUERIES = {}
@@ -123,3 +123,15 @@ def op10_substring_dedup(spark, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(docs).select(
         "doc_id", "n_words", "n_removed", sha256_hex(F.col("kept")).alias("kept_sha256")
     )
+
+
+@query(sql=oracles.SOURCE_DIVERGENCE)
+def op12_source_divergence(spark, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("text", "lang", "source")
+    return divergence.audit(docs).select("lang", "source", "part", "item", "value", "rank")
+
+
+@query(sql=oracles.RANKED_SEARCH)
+def op13_ranked_search(spark, sf_dir: str) -> DataFrame:
+    docs, items = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return ranked.rank_documents(docs.select("doc_id", "text"), items.select("item_id", "text"))
