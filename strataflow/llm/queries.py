@@ -7,7 +7,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
-from . import ann, bpe, divergence, langid, licenses, minhash, oracles, packing, pii, ranked, substring, suffix, topk
+from . import ann, bpe, divergence, langid, licenses, minhash, oracles, packing, pii, ranked, substring, suffix, topk, wrappers
 from .common import read_table, sha256_hex, ship
 
 QUERIES = {}
@@ -135,3 +135,9 @@ def op12_source_divergence(spark, sf_dir: str) -> DataFrame:
 def op13_ranked_search(spark, sf_dir: str) -> DataFrame:
     docs, items = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return ranked.rank_documents(docs.select("doc_id", "text"), items.select("item_id", "text"))
+
+
+@query
+def op11_main_text(spark, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return wrappers.extract(pages).select("page_id", "url", "text", "n_chars")
