@@ -9,7 +9,7 @@ from .. import contracts, loads
 from ..functions.parsing import parse_text
 from ..operators import quality, scd2
 from ..session import scratch_path
-from ..sources import files, jdbc, tables
+from ..sources import files, jdbc, split, tables
 from ..streaming import vitals as stream
 from . import bindings as b
 from .registry import day, num, plain, query, ts
@@ -43,22 +43,62 @@ def s01_quoted(spark, sf):
     return _csv_lines(spark, b.table(spark, sf, "orders").select(line.alias("value")), True)
 
 
-def _csv_lines(spark, lines, multi_line):
-    """Finished lines of a departments file, with its header in each file, as the reader sees them.
+def _csv_lines(spark, lines, multi_line, **sizes):
+    """Finished lines of a departments file, with its header in each file, as the reader sees them."""
+    path = _text_files(spark, lines, ",".join(contracts.DEPARTMENTS.names))
+    rows = files.read_csv(spark, path, contracts.DEPARTMENTS, multi_line, **sizes)
+    return rows.withColumn("sound", F.col(files.CORRUPT).isNull()).drop(files.CORRUPT, "_source_file")
 
-    The text writer streams each partition's lines to one file behind its header; no value holds more than a line.
+
+def _text_files(spark, lines, head, foot=None, between=""):
+    """A folder with one text file per partition, its lines between ``head`` and ``foot``.
+
+    The text writer streams each partition's lines to one file; no value holds more than a line. Lines after the first
+    begin with ``between``.
     """
-    path, header = scratch_path(spark, "csv"), ",".join(contracts.DEPARTMENTS.names)
+    path = scratch_path(spark, "text")
 
-    def headed(batches):
-        yield pa.RecordBatch.from_arrays([pa.array([header])], names=["value"])
+    def framed(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([head])], names=["value"])
+        first = True
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["value"])
+            values = batch.column(0).to_pylist()
+            marked = [v if first and i == 0 else between + v for i, v in enumerate(values)]
+            first = first and not values
+            yield pa.RecordBatch.from_arrays([pa.array(marked, pa.string())], names=["value"])
+        if foot is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([foot])], names=["value"])
 
     # Python sees the batches of one partition in turn, and the writer makes one file of them.
-    lines.select("value").mapInArrow(headed, "value string").write.text(path)
-    rows = files.read_csv(spark, path, contracts.DEPARTMENTS, multi_line)
-    return rows.withColumn("sound", F.col(files.CORRUPT).isNull()).drop(files.CORRUPT)
+    lines.select("value").mapInArrow(framed, "value string").write.text(path)
+    return path
+
+
+# So small that the test tables' files fall into many blocks and chunks.
+SMALL = {"split_bytes": 32 << 10, "chunk_chars": 8 << 10}
+
+
+@query("s01_multi_line_split", """
+SELECT CAST(o_orderkey AS VARCHAR) AS DepartmentID, 'Ward "' || o_orderpriority || '",' || chr(10) || chr(10) || o_orderstatus AS DepartmentName,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'a, b' ELSE chr(10) || '"' || strftime(o_orderdate, '%Y-%m-%d') || '"' || chr(10) END AS FacilityName,
+  TRUE AS sound, TRUE AS shared FROM orders""")
+def s01_split(spark, sf):
+    """Quoted line breaks in files that several tasks read: borders of blocks and chunks fall inside quotes."""
+    orders = b.table(spark, sf, "orders")
+    name = F.concat(F.lit('"Ward ""'), "o_orderpriority", F.lit('"",\n\n'), "o_orderstatus", F.lit('"'))
+    dated = F.concat(F.lit('"\n""'), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit('""\n"'))
+    place = F.when(F.col("o_orderkey") % 3 == 0, '"a, b"').otherwise(dated)
+    lines = orders.select(F.concat_ws(",", F.col("o_orderkey").cast("string"), name, place).alias("value"))
+    path = _text_files(spark, lines, ",".join(contracts.DEPARTMENTS.names))
+    rows = files.read_csv(spark, path, contracts.DEPARTMENTS, True, **SMALL)
+    shared = _blocks_per_file(spark, path, split.CsvLines) > 1
+    return rows.select(*contracts.DEPARTMENTS.names, F.col(files.CORRUPT).isNull().alias("sound"), F.lit(shared).alias("shared"))
+
+
+def _blocks_per_file(spark, path, form):
+    """The number of blocks, each read by a task of its own, of the file with the most."""
+    blocks = split.write_chunks(spark, path, form, **SMALL).groupBy("file").agg(F.countDistinct("block").alias("n"))
+    return blocks.agg(F.max("n").alias("n")).first()["n"] or 0
 
 
 @query("s01_surplus_fields", """
@@ -109,6 +149,18 @@ def s04_array(spark, sf):
     return plain(rows.select(*contracts.LABS.names))
 
 
+@query("s04_json_array_split", f"SELECT {_LAB_TEXT}, TRUE AS shared FROM lab")
+def s04_split(spark, sf):
+    """Indented arrays, one per file, that several tasks read."""
+    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+    labs = b.labs(spark, sf)
+    objects = labs.select(F.to_json(F.struct(*labs.columns), {"timestampFormat": micros, "pretty": "true"}).alias("value"))
+    path = _text_files(spark, objects, "[", "]", ",")
+    rows = files.read_json_array(spark, path, contracts.LABS, timestampFormat=micros, **SMALL)
+    shared = _blocks_per_file(spark, path, split.JsonElements) > 1
+    return plain(rows.select(*contracts.LABS.names)).withColumn("shared", F.lit(shared))
+
+
 def envelope_rows(events):
     """Telemetry events as the broker would deliver them: JSON bytes, time, partition, offset."""
     rows = b.vitals_of(events)

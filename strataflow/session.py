@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -76,3 +78,14 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the scratch root."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the driver has it.
+
+    On a cluster the package is installed or given as --py-files; the path is then one that is not there.
+    """
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *known]))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..contracts import text_contract
 from ..functions.masking import mask_columns
+from .split import read_csv_split, read_json_split
 from .tables import read_current
 
 
@@ -13,18 +14,21 @@ from .tables import read_current
 CORRUPT = "_corrupt_record"
 
 
-def read_csv(spark: SparkSession, path: str | list[str], contract: T.StructType, multi_line: bool = False) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str | list[str], contract: T.StructType, multi_line: bool = False, **sizes: int,
+) -> DataFrame:
     """CSV with header as CSV writers write it, every column as text. Type it with functions.parsing.parse_text.
 
-    Quotes inside a quoted field are doubled. Fields that hold line breaks need ``multi_line``, which
-    makes a file the unit of work. A row with surplus or missing fields keeps its text in CORRUPT, for
-    quality.well_formed(). A header that differs from the contract is an error; without that check
-    Spark would take the columns by position.
+    Quotes inside a quoted field are doubled. Fields that hold line breaks need ``multi_line``: see split.read_csv_split,
+    which reads a file in many tasks all the same, at the cost of one written copy. A row with surplus or missing fields
+    keeps its text in CORRUPT, for quality.well_formed(). A header that differs from the contract is an error; without that
+    check Spark would take the columns by position.
     """
+    if multi_line:
+        return read_csv_split(spark, path, contract, CORRUPT, **sizes)
     schema = T.StructType([*text_contract(contract), T.StructField(CORRUPT, T.StringType())])
     return spark.read.schema(schema).options(
-        header=True, enforceSchema=False, quote='"', escape='"', multiLine=multi_line, mode="PERMISSIVE",
-        columnNameOfCorruptRecord=CORRUPT,
+        header=True, enforceSchema=False, quote='"', escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT,
     ).csv(path)
 
 
@@ -33,9 +37,9 @@ def read_json_lines(spark: SparkSession, path: str | list[str], contract: T.Stru
 
 
 def read_json_array(spark: SparkSession, path: str | list[str], contract: T.StructType, **options) -> DataFrame:
-    """Documents that span lines, such as one indented array. Such a file cannot be split: land large
-    data as JSON lines."""
-    return spark.read.schema(contract).options(multiLine=True, **options).json(path)
+    """Documents that span lines, such as one array, indented or not; see split.read_json_split for how a file is shared
+    by many tasks. ``split_bytes`` and ``chunk_chars`` are its sizes, other options those of Spark's JSON parser."""
+    return read_json_split(spark, path, contract, **options)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet") -> DataFrame:
@@ -67,7 +71,7 @@ def with_provenance(df: DataFrame, source_system: str) -> DataFrame:
     """File, load time and source system of a Bronze row."""
     return df.withColumns(
         {
-            "_source_file": F.col("_metadata.file_path"),
+            "_source_file": F.col("_source_file" if "_source_file" in df.columns else "_metadata.file_path"),
             "_ingested_at": F.current_timestamp(),
             "_source_system": F.lit(source_system),
         }
