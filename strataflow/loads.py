@@ -21,7 +21,8 @@ from .operators.scd2 import apply_scd2, initial_load
 from .sources.files import list_files, read_csv, read_json_array, read_json_lines, with_provenance
 from .sources.jdbc import append_audit, batch_name
 from .sources.tables import (
-    LANDED_FILES, conform, gate, land, publish, publish_together, read_current, read_if_present, read_valid, table_exists,
+    LANDED_FILES, conform, files_landed, gate, land_files, publish, publish_together, read_current, read_landed, read_valid,
+    table_exists,
 )
 from .streaming.vitals import progress
 
@@ -40,60 +41,61 @@ def read_raw(spark: SparkSession, entity: str, fmt: str, path: str | list[str],
     raise ValueError(f"no raw reader for format {fmt}")
 
 
-ROW_ID = "_row_id"
+BRONZE_FIELDS = T.StructType([
+    T.StructField("_source_file", T.StringType()), T.StructField("_ingested_at", T.TimestampType()),
+    T.StructField("_source_system", T.StringType()),
+])
 
 
-def row_id(df: DataFrame, contract) -> F.Column:
-    """Names a raw row by the text of all its contract columns."""
-    return F.md5(F.to_json(F.struct(*[F.col(f.name) for f in contract]), {"ignoreNullFields": "false"}))
-
-
-def _unread_files(spark: SparkSession, folder: str, log: str) -> tuple[DataFrame, list[str]]:
+def _unread_files(spark: SparkSession, folder: str, target: str) -> tuple[DataFrame, list[str]]:
     """Files of a drop folder that no completed load has read in their present state."""
     found = list_files(spark, folder)
-    known = read_if_present(spark, log, LANDED_FILES)
+    known = files_landed(spark, target)
     new = found if known is None else found.join(known, ["path", "modificationTime"], "left_anti")
     rows = new.collect()  # names of the new files, which the scan's own listing holds on the driver as well
     return spark.createDataFrame(rows, LANDED_FILES), [r.path for r in rows]
 
 
 def land_entity(spark: SparkSession, row, raw_root: str, bronze_root: str, run_id: str, json_array: bool = False) -> dict:
-    """Copy one entity's new rows to Bronze with provenance. Returns what was landed.
-
-    A full reload reads all files. An incremental load reads the files that no load has completed, and of
-    their rows lands those that Bronze does not hold yet, whatever their time: rows at the watermark, rows
-    older than it (counted as late) and rows without a readable time (counted as unreadable) are all
-    landed, once. The files count as read when their rows are written, so a load that failed starts
-    over and a run id that is used again adds only what is missing. The new watermark is the highest time
-    landed, at most the present.
+    """Copy one entity's new rows to Bronze with provenance, as they are. Returns what was landed.
+
+    A full reload reads all files, and its rows stand in for those of the loads before. An incremental load reads the
+    files that no completed load has read in their present state and lands all their rows, whatever their time:
+    rows at the watermark, rows older than it (counted as late), rows without a readable time (counted as
+    unreadable), rows equal to others. Rows and files count from one log row on (see tables.land_files), so a load that
+    failed starts over, and none reads Bronze. The new watermark is the highest time landed, at most the present.
     """
     source, target = f"{raw_root}/{row.SourceFolderPath}", f"{bronze_root}/{row.TargetBronzePath}".rstrip("/")
     incremental, contract = row.IngestionType == ctl.INCREMENTAL, ENTITIES[row.EntityName]
-    files_log, measures, paths = f"{target}/_files", {}, source
     if incremental:
-        files, paths = _unread_files(spark, source, files_log)
+        files, paths = _unread_files(spark, source, target)
         if not paths:
             return {"rows": 0, "high": None, "late": 0, "unreadable": 0}
+    else:
+        files, paths = list_files(spark, source), source
     raw = with_provenance(read_raw(spark, row.EntityName, row.SourceFormat, paths, json_array), row.SourceSystem)
-    raw = raw.withColumn(ROW_ID, row_id(raw, contract))
+    measures = {}
     if incremental:
-        held = read_if_present(spark, target, T.StructType([T.StructField(ROW_ID, T.StringType())]))
-        raw = raw if held is None else raw.join(held, ROW_ID, "left_anti")
         time = F.col("_watermark")
         raw = raw.withColumn("_watermark", parse(F.col(row.WatermarkColumn), contract[row.WatermarkColumn].dataType).cast("timestamp"))
         measures = {
             "high": F.max(F.when(time <= F.current_timestamp(), time)),
             "late": F.count_if(time < F.lit(row.WatermarkValue).cast("timestamp")), "unreadable": F.count_if(time.isNull()),
         }
-    seen = land(raw, target, run_id, row.EntityName, measures, ["_watermark"])
-    if incremental:
-        files.write.mode("append").parquet(files_log)
+    seen = land_files(raw, files, target, run_id, row.EntityName, not incremental, measures, ["_watermark"])
     high = seen.get("high")
     if high is not None and row.WatermarkValue is not None:
         high = max(high, row.WatermarkValue)
     return {"rows": seen["rows"], "high": high, "late": seen.get("late", 0), "unreadable": seen.get("unreadable", 0)}
 
 
+def read_bronze(spark: SparkSession, entity: str, bronze_root: str, folder: str | None = None) -> DataFrame:
+    """The rows of an entity that completed loads have brought to Bronze, as text, with provenance."""
+    place = folder or next(r[4] for r in ctl.SEED if r[1] == entity)
+    schema = T.StructType([*text_contract(ENTITIES[entity]), *BRONZE_FIELDS])
+    return read_landed(spark, f"{bronze_root}/{place}".rstrip("/"), schema)
+
+
 def read_control_of(spark: SparkSession, root: str) -> DataFrame:
     """The control table that ``ingest`` keeps at ``root``."""
     return read_current(spark, root, INGESTION_CONTROL)
@@ -109,22 +111,23 @@ def ingest(
     run. Every entity logs SUCCESS or FAILED with its row count, and the run always logs an end, also
     when the control table cannot be read. A watermark moves only after its rows are written.
     """
-    def log(entity, status, rows=0, error=None):
-        event = ctl.run_event(spark, run_id, entity, "BRONZE", status, INGEST, rows, 0, error)
+    def log(entity, status, rows=0, error=None, started=None):
+        event = ctl.run_event(spark, run_id, entity, "BRONZE", status, INGEST, rows, 0, error, started=started)
         append_audit(event, log_sink)
 
     log(ALL_ENTITIES, ctl.STARTED)
-    marks, failed = [], []
+    begun, marks, failed = _now(), [], []
     try:
         for row in ctl.active_entities(control).orderBy("SourceID").toLocalIterator():
+            started = _now()
             try:
                 done = land_entity(spark, row, raw_root, bronze_root, run_id, json_array)
             except Exception as error:  # an entity must not stop the others; the log keeps its message
                 failed.append(row.EntityName)
-                log(row.EntityName, ctl.FAILED, error=str(error))
+                log(row.EntityName, ctl.FAILED, error=str(error), started=started)
                 continue
             notes = [f"{done[k]} {k}" for k in ("late", "unreadable") if done.get(k)]
-            log(row.EntityName, ctl.SUCCESS, done["rows"], ", ".join(notes) or None)
+            log(row.EntityName, ctl.SUCCESS, done["rows"], ", ".join(notes) or None, started)
             if done["high"] is not None:
                 marks.append((row.SourceSystem, row.EntityName, done["high"]))
         new = spark.createDataFrame(marks, "SourceSystem string, EntityName string, NewWatermarkValue timestamp")
@@ -133,12 +136,16 @@ def ingest(
             publish(moved, control_root, run_id)
             moved = read_control_of(spark, control_root)
     except Exception as error:
-        log(ALL_ENTITIES, ctl.FAILED, error=str(error))
+        log(ALL_ENTITIES, ctl.FAILED, error=str(error), started=begun)
         raise
-    log(ALL_ENTITIES, ctl.FAILED if failed else ctl.SUCCESS, error=", ".join(failed) or None)
+    log(ALL_ENTITIES, ctl.FAILED if failed else ctl.SUCCESS, error=", ".join(failed) or None, started=begun)
     return moved
 
 
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
 def audited(df: DataFrame, source_system: str | None) -> DataFrame:
     """Silver's audit columns: processing time, and the source system unless the rows carry one."""
     known = F.col("_source_system") if "_source_system" in df.columns else F.lit(source_system)
@@ -150,7 +157,7 @@ def _logged(
     work: Callable[[], dict],
 ) -> dict:
     """Run ``work`` and log its counts, or its failure, as one row per run, layer and entity."""
-    started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    started = _now()
     name = batch_name(run_id, layer, entity)
 
     def log(status, counts, error=None):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .. import contracts, loads
 from ..operators import control, joins, layout, quality, star
 from ..session import scratch_path
-from ..sources import jdbc, tables
+from ..sources import files, jdbc, tables
 from . import bindings as b
 from .registry import plain, query, ts
 from .relational import _ENC_TEXT, _FENC_TEXT, _FVIT_TEXT
@@ -90,7 +90,7 @@ def _claim_files(spark, sf):
 
 
 def _claims_landed(spark, bronze):
-    return spark.read.parquet(f"{bronze}/bronze/claims/billing_claims").groupBy("ClaimID").agg(F.count(F.lit(1)).alias("copies"))
+    return loads.read_bronze(spark, "BillingClaims", bronze).groupBy("ClaimID").agg(F.count(F.lit(1)).alias("copies"))
 
 
 @query("c04_same_day_rows", "SELECT ClaimID, count(*) AS copies FROM clm GROUP BY 1")
@@ -120,20 +120,76 @@ def c04_rerun(spark, sf):
 @query("c04_unreadable_time_once", """
 SELECT ClaimID, count(*) AS copies, CASE WHEN right(ClaimID, 1) = '1' THEN 'soon' END AS date_text FROM clm GROUP BY 1, 3""")
 def c04_unreadable(spark, sf):
-    """Rows whose date is no date are landed by the first run and not by the second, which finds new files beside them."""
+    """Rows whose date is no date are landed by the run that finds their file and not by the next, which finds new files beside it."""
     root, claims, drop, seed = _claim_files(spark, sf)
     bronze, log = scratch_path(spark, "bronze"), scratch_path(spark, "run_log")
     broken = F.col("ClaimID").endswith("1")
     text = b.as_text(claims).withColumn("ClaimDate", F.when(broken, "soon").otherwise(F.col("ClaimDate")))
-    for run in ("r1", "r2"):
-        drop(text)  # the second drop repeats every row of the first
+    even = F.xxhash64("ClaimID") % 2 == 0
+    for run, rows in (("r1", text.where(even)), ("r2", text.where(~even))):
+        drop(rows)
         seed = tables.store(loads.ingest(spark, seed, root, bronze, f"{log}/{run}", run))
-    landed = spark.read.parquet(f"{bronze}/bronze/claims/billing_claims").groupBy("ClaimID").agg(
+    landed = loads.read_bronze(spark, "BillingClaims", bronze).groupBy("ClaimID").agg(
         F.count(F.lit(1)).alias("copies"), F.max(F.when(F.col("ClaimDate") == "soon", F.col("ClaimDate"))).alias("date_text")
     )
     return landed
 
 
+@query("k10_repeated_row", """
+SELECT ClaimID, count(*) * CASE WHEN right(ClaimID, 1) = '1' THEN 2 ELSE 1 END AS copies FROM clm GROUP BY 1""")
+def k10_repeated(spark, sf):
+    """Bronze is a copy: rows that a later file repeats are landed again, and only those."""
+    root, claims, drop, seed = _claim_files(spark, sf)
+    bronze, log = scratch_path(spark, "bronze"), scratch_path(spark, "run_log")
+    for run, rows in (("r1", claims), ("r2", claims.where(F.col("ClaimID").endswith("1"))), ("r3", None)):
+        if rows is not None:
+            drop(rows)
+        seed = tables.store(loads.ingest(spark, seed, root, bronze, f"{log}/{run}", run))
+    return _claims_landed(spark, bronze)
+
+
+@query("k10_broken_load_unseen", "SELECT ClaimID, count(*) AS copies FROM clm GROUP BY 1")
+def k10_broken(spark, sf):
+    """A load that wrote its rows and ended before its log row: readers do not see them, the next load brings them once."""
+    root, claims, drop, seed = _claim_files(spark, sf)
+    bronze = scratch_path(spark, "bronze")
+    drop(claims)
+    raw = files.read_csv(spark, f"{root}/landing/claims/billing_claims/", contracts.CLAIMS)
+    tables.land(files.with_provenance(raw, "CLAIMS_ENGINE"), f"{bronze}/bronze/claims/billing_claims", "r1", "claims")
+    loads.ingest(spark, seed, root, bronze, scratch_path(spark, "run_log"), "r1")
+    return _claims_landed(spark, bronze)
+
+
+@query("c05_full_reload_twice", """
+SELECT DepartmentID, DepartmentName, FacilityName, 'FACILITY_PM' AS _source_system, CAST(DepartmentID AS BIGINT) % 2 = 0 AS in_last FROM dept
+WHERE CAST(DepartmentID AS BIGINT) % 2 = 0""")
+def c05_twice(spark, sf):
+    """Departments loaded twice under one run id and once more with half of them: Bronze holds what the last load found."""
+    raw, bronze, log = scratch_path(spark, "raw"), scratch_path(spark, "bronze"), scratch_path(spark, "run_log")
+    seed = control.seed_control(spark).where("EntityName = 'Departments'")
+    departments = b.as_text(b.departments(spark, sf))
+    even = F.col("DepartmentID").cast("long") % 2 == 0
+    for run, rows in (("r1", departments), ("r1", departments), ("r2", departments.where(even))):
+        rows.write.mode("overwrite").option("header", True).csv(f"{raw}/landing/pm/departments/")
+        loads.ingest(spark, seed, raw, bronze, log, run)
+    return loads.read_bronze(spark, "Departments", bronze).select(*contracts.DEPARTMENTS.names, "_source_system", even.alias("in_last"))
+
+
+@query("c06_entity_durations", """
+SELECT unnest(['Patients', 'Providers', 'Departments', 'Encounters', 'LabResults', 'BillingClaims', 'ALL_BATCH_ENTITIES']) AS SourceEntity, TRUE AS lasted""")
+def c06_durations(spark, sf):
+    """Every entity's row says when its load began and ended, and the run's last row spans them all."""
+    log = scratch_path(spark, "run_log")
+    loads.ingest(spark, control.seed_control(spark), landing(spark, sf), scratch_path(spark, "bronze"), log, "r1")
+    rows = spark.read.schema(contracts.RUN_LOG).parquet(log).where(F.col("Status") != control.STARTED)
+    took = F.col("ExecutionEndTime").cast("double") - F.col("ExecutionStartTime").cast("double")
+    spans = F.when(F.col("SourceEntity") == loads.ALL_ENTITIES, took).alias("whole")
+    whole = rows.select(spans).agg(F.max("whole").alias("whole"))
+    parts = rows.where(F.col("SourceEntity") != loads.ALL_ENTITIES).agg(F.sum(took).alias("parts"))
+    inside = whole.join(parts).select((F.col("whole") >= F.col("parts")).alias("inside")).first()["inside"]
+    return rows.select("SourceEntity", ((took > 0) & F.lit(inside)).alias("lasted"))
+
+
 @query("c05_full_reload", "SELECT ProviderSK, ProviderID, NPI_Number, ProviderName, Specialty, DepartmentID FROM dimprov")
 def c05(spark, sf):
     root = scratch_path(spark, "dim_provider")

@@ -58,8 +58,8 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Path and modification time of all files below a folder; no content is read."""
-    return read_files(spark, folder).select("path", "modificationTime")
+    """Path, modification time and URI (as rows have it in _source_file) of all files below a folder; no content is read."""
+    return read_files(spark, folder).select("path", "modificationTime", F.col("_metadata.file_path").alias("uri"))
 
 
 def read_text(spark: SparkSession, folder: str) -> DataFrame:

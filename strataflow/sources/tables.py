@@ -124,7 +124,18 @@ def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
 
 
 LANDED_FILES = T.StructType(
-    [T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType())]
+    [
+        T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
+        T.StructField("uri", T.StringType()),
+    ]
+)
+_LOADS = "_loads"
+LOADS = T.StructType(
+    [
+        T.StructField("load", T.LongType()), T.StructField("run_id", T.StringType()),
+        T.StructField("attempt", T.StringType()), T.StructField("full", T.BooleanType()),
+        T.StructField("rows", T.LongType()),
+    ]
 )
 
 
@@ -132,13 +143,72 @@ def land(df: DataFrame, path: str, run_id: str, name: str, measures: dict | None
     """Add one run's rows in a folder of their own and count them on the way.
 
     ``measures`` names further aggregates to report; ``drop`` names helper columns that are not written. Landing
-    under an equal run id adds to its rows and never replaces any.
+    under an equal run id adds to its rows and never replaces any. ``attempt`` in the result names the folder.
     """
-    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    seen, attempt = Observation(f"{name}-{uuid.uuid4().hex}"), uuid.uuid4().hex[:12]
     wanted = {"rows": F.count(F.lit(1)), **(measures or {})}
     counted = df.observe(seen, *[m.alias(n) for n, m in wanted.items()]).drop(*drop, "run_id")
-    counted.write.parquet(f"{path}/run_id={run_id}/attempt={uuid.uuid4().hex[:12]}")
-    return seen.get
+    counted.write.parquet(f"{path}/run_id={run_id}/attempt={attempt}")
+    return {**seen.get, "attempt": attempt}
+
+
+def _completed_loads(spark: SparkSession, path: str) -> DataFrame | None:
+    return read_if_present(spark, f"{path}/{_LOADS}/log", LOADS)
+
+
+def files_landed(spark: SparkSession, path: str) -> DataFrame | None:
+    """(path, modificationTime, uri, load): the files whose rows completed loads have brought."""
+    done = _completed_loads(spark, path)
+    listed = T.StructType([*LANDED_FILES, T.StructField("attempt", T.StringType())])
+    named = read_if_present(spark, f"{path}/{_LOADS}/files", listed)
+    if done is None or named is None:
+        return None
+    return named.join(done.select("attempt", "load"), "attempt").drop("attempt")
+
+
+def land_files(
+    df: DataFrame, files: DataFrame, path: str, run_id: str, name: str, full: bool, measures: dict | None = None, drop=(),
+) -> dict:
+    """Land the rows of ``files`` so that rows and file names count from one log row on.
+
+    Rows and names are written first. If the load breaks off before its log row, its folders are never named and the next
+    load reads the files again; so no load has to look at the rows that are there. ``full`` rows stand in for
+    all loads before. A file that comes again in a new state stands in for its earlier rows.
+    """
+    spark = df.sparkSession
+    seen = land(df, path, run_id, name, measures, drop)
+    files.select(*LANDED_FILES.names).coalesce(1).write.parquet(f"{path}/{_LOADS}/files/attempt={seen['attempt']}")
+    done = _completed_loads(spark, path)
+    last = done.agg(F.max("load").alias("n")).first()["n"] if done is not None else None
+    row = ((last or 0) + 1, run_id, seen["attempt"], full, seen["rows"])
+    spark.createDataFrame([row], LOADS).coalesce(1).write.mode("append").parquet(f"{path}/{_LOADS}/log")
+    return seen
+
+
+def read_landed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows that count now: those of the last full load and of all loads after it, each file in its last state.
+
+    ``schema`` needs ``_source_file``. Only folders that the log names are listed; the driver holds their names, one per
+    load since the last full one.
+    """
+    done = _completed_loads(spark, path)
+    if done is None:
+        return spark.createDataFrame([], schema)
+    latest = F.max(F.when(F.col("full"), F.col("load")))
+    first = done.agg(F.coalesce(latest, F.lit(0)).alias("n")).first()["n"]
+    loads = done.where(F.col("load") >= first)
+    folders = [f"{path}/run_id={r.run_id}/attempt={r.attempt}" for r in loads.where("rows > 0").select("run_id", "attempt").collect()]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    places = [T.StructField(c, T.StringType()) for c in ("run_id", "attempt")]
+    fields = [f for f in schema if f.name not in ("run_id", "attempt")]
+    rows = spark.read.schema(T.StructType([*fields, *places])).option("basePath", path).parquet(*folders)
+    # Files of several loads: their rows count in the last one.
+    named = spark.read.schema(T.StructType([*LANDED_FILES, places[1]])).parquet(f"{path}/{_LOADS}/files")
+    named = named.join(loads.select("attempt", "load"), "attempt")
+    again = named.groupBy("uri").agg(F.max_by("attempt", "load").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    old = named.join(again.drop("n"), "uri").where("attempt <> last").select(F.col("uri").alias("_source_file"), "attempt")
+    return rows.join(old, ["_source_file", "attempt"], "left_anti").select(*schema.names)
 
 
 def gate(df: DataFrame, rules: list[Rule], root: str, run_id: str) -> dict:

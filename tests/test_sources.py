@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -153,6 +154,64 @@ def test_ingest_logs_failures_and_moves_watermarks(spark, raw_drop, tmp_path):
     assert (rows["Patients"], rows["Encounters"], rows["Providers"], rows["LabResults"]) == (0, 0, 1, 0)
 
 
+def claims_drop(tmp_path, name, *ids):
+    folder = tmp_path / "raw/landing/claims/billing_claims"
+    folder.mkdir(parents=True, exist_ok=True)
+    lines = [f"{i},E1,P1,10.5,PAYER,OPEN,2025-03-01" for i in ids]
+    (folder / name).write_text("\n".join([",".join(contracts.CLAIMS.names), *lines]) + "\n")
+
+
+def claims_landed(spark, tmp_path):
+    return sorted(r.ClaimID for r in loads.read_bronze(spark, "BillingClaims", str(tmp_path / "bronze")).collect())
+
+
+def claims_load(spark, tmp_path, run):
+    seed = control.seed_control(spark).where("EntityName = 'BillingClaims'")
+    loads.ingest(spark, seed, str(tmp_path / "raw"), str(tmp_path / "bronze"), str(tmp_path / "log" / run), run)
+    rows = spark.read.schema(contracts.RUN_LOG).parquet(str(tmp_path / "log" / run)).where("SourceEntity = 'BillingClaims'").collect()
+    return [(r.Status, r.RecordsIngested) for r in rows]
+
+
+def test_a_load_does_not_read_bronze(spark, tmp_path):
+    """The rows of the first load are made unreadable; later loads do not notice."""
+    claims_drop(tmp_path, "a b%20.csv", "c1", "c2")
+    assert claims_load(spark, tmp_path, "r1") == [("SUCCESS", 2)]
+    assert claims_landed(spark, tmp_path) == ["c1", "c2"]
+    target = tmp_path / "bronze/bronze/claims/billing_claims"
+    for part in target.glob("run_id=r1/*/*.parquet"):
+        part.write_bytes(b"no parquet")
+        (part.parent / f".{part.name}.crc").unlink(missing_ok=True)
+    claims_drop(tmp_path, "b.csv", "c2", "c3")
+    assert claims_load(spark, tmp_path, "r2") == [("SUCCESS", 2)]
+    assert claims_load(spark, tmp_path, "r3") == [("SUCCESS", 0)]
+
+
+def test_a_file_that_comes_again_stands_in_for_its_rows(spark, tmp_path):
+    claims_drop(tmp_path, "a b%20.csv", "c1", "c2")
+    claims_drop(tmp_path, "other.csv", "c1")
+    claims_load(spark, tmp_path, "r1")
+    assert claims_landed(spark, tmp_path) == ["c1", "c1", "c2"]
+    time.sleep(1.1)
+    claims_drop(tmp_path, "a b%20.csv", "c2", "c4")
+    assert claims_load(spark, tmp_path, "r2") == [("SUCCESS", 2)]
+    assert claims_landed(spark, tmp_path) == ["c1", "c2", "c4"]
+
+
+def test_a_broken_load_is_read_again(spark, tmp_path, monkeypatch):
+    claims_drop(tmp_path, "a.csv", "c1")
+
+    def stop(*_, **__):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_completed_loads", stop)
+        patch.setattr(loads, "files_landed", lambda *_: None)
+        assert claims_load(spark, tmp_path, "r1") == [("FAILED", 0)]
+    assert claims_landed(spark, tmp_path) == []
+    assert claims_load(spark, tmp_path, "r1-again") == [("SUCCESS", 1)]
+    assert claims_landed(spark, tmp_path) == ["c1"]
+
+
 def test_seed_has_seven_entities_and_six_batch_loads(spark):
     seed = control.seed_control(spark)
     assert seed.count() == 7 and control.active_entities(seed).count() == 6
