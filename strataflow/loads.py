@@ -21,8 +21,8 @@ from .operators.scd2 import apply_scd2, initial_load
 from .sources.files import list_files, read_csv, read_json_array, read_json_lines, with_provenance
 from .sources.jdbc import append_audit, batch_name
 from .sources.tables import (
-    LANDED_FILES, conform, files_landed, gate, land_files, publish, publish_together, read_current, read_landed, read_valid,
-    table_exists,
+    LANDED_FILES, conform, files_landed, gate, land_files, publish, publish_parts, publish_together, read_current, read_landed,
+    read_parts, read_valid, table_exists, touched_parts,
 )
 from .streaming.vitals import progress
 
@@ -200,10 +200,13 @@ def load_silver(
 
 def load_versions(
     batch: DataFrame, root: str, run_id: str, run_sink: str | dict | None = None, key: str = "PatientID",
-    updated: str = "UpdatedTimestamp", entity: str = "Patients", source_system: str | None = None, **opts,
+    updated: str = "UpdatedTimestamp", entity: str = "Patients", source_system: str | None = None, parts: int = 16, **opts,
 ) -> int:
     """Create the version table, or apply the batch to it. Returns the version published.
 
+    The table is kept in ``parts`` hash parts of the key. A batch reads, merges and writes the parts that its keys fall into;
+    the new version refers to the others as they are. Take ``parts`` so that one has some hundred MB.
+
     Rows without key or time cannot become versions. They are written to ``_quarantine`` of the table and
     counted, as are (key, time) pairs with several different rows, of which one stands.
     """
@@ -217,12 +220,15 @@ def load_versions(
         rows = read_valid(spark, landed, audited(batch, source_system).schema)
         pairs = rows.groupBy(key, updated).agg(F.countDistinct(F.xxhash64(*[c for c in batch.columns if not c.startswith("_")])).alias("n"))
         tied = pairs.where("n > 1").count()
-        if table_exists(spark, root):
-            # A table from before the audit columns gets them as NULL.
-            result = apply_scd2(conform(read_current(spark, root), _audit_fields()), rows, key=key, updated=updated, **opts)
-        else:
+        if not table_exists(spark, root):
             result = initial_load(rows, key=key, updated=updated, **opts)
-        done["version"] = publish(result, root, run_id)
+            done["version"] = publish_parts(result, root, run_id, key, parts)
+        else:
+            touched = touched_parts(rows, root)
+            target = read_current(spark, root) if touched is None else read_parts(spark, root, touched)
+            # A table from before the audit columns gets them as NULL.
+            result = apply_scd2(conform(target, _audit_fields()), rows, key=key, updated=updated, **opts)
+            done["version"] = publish_parts(result, root, run_id, key, parts, touched)
         return {**counts, "note": f"{tied} tied" if tied else None}
 
     _logged(spark, run_id, entity, "SILVER", f"SILVER_VERSIONS_{entity.upper()}", run_sink, work)

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import loads
 from ..functions.keys import business_key, version_key
 from ..operators import scd2
+from ..session import scratch_path
+from ..sources import tables
 from ..sources.tables import store
 from . import bindings as b
 from .registry import plain, query, ts
@@ -136,6 +139,19 @@ def m04_small(spark, sf):
     return _show(rows)
 
 
+@query("m04_touched_parts", f"""
+SELECT {_VER}, 1::BIGINT AS rewritten FROM ver WHERE PatientID = '7' UNION ALL SELECT {_VER}, 1 FROM ver1 WHERE PatientID <> '7'""")
+def m04_touched(spark, sf):
+    """A batch of one patient: one part of the version table is written, the new version refers to the other parts."""
+    root = scratch_path(spark, "dim_patient_scd2")
+    loads.load_versions(b.patients(spark, sf), root, "r1")
+    before = tables.part_folders(spark, root)
+    loads.load_versions(b.patients_second_load(spark, sf).where("PatientID = '7'"), root, "r2")
+    after = tables.part_folders(spark, root)
+    rewritten = sum(folder != before.get(part) for part, folder in after.items())
+    return _show(tables.read_current(spark, root)).withColumn("rewritten", F.lit(rewritten).cast("long"))
+
+
 @query("m09_violations", """
 SELECT PatientID, 'several current' AS problem, count(*) AS rows FROM (SELECT PatientID FROM ver1 UNION ALL SELECT PatientID FROM ver WHERE IsCurrent) GROUP BY 1 HAVING count(*) > 1
 UNION ALL SELECT PatientID, 'overlap', 1 FROM ver1 JOIN (SELECT PatientID FROM ver GROUP BY 1) USING (PatientID)""")

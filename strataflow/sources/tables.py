@@ -7,20 +7,25 @@ reader never sees the files of two versions.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.quality import FAILED, UNDECIDED, Rule, is_invalid, is_valid, observed, quarantine_columns
 from ..session import scratch_path
 
 _LOG = "_published"
+PART = "_part"
+# A version of a table in hash parts names the folder of each part; other tables have one folder and no parts.
 VERSIONS = T.StructType(
     [
         T.StructField("version", T.LongType()), T.StructField("run_id", T.StringType()),
-        T.StructField("folder", T.StringType()),
+        T.StructField("folder", T.StringType()), T.StructField("part_key", T.StringType()),
+        T.StructField("part_count", T.IntegerType()), T.StructField("parts", T.MapType(T.IntegerType(), T.StringType())),
+        T.StructField("schema", T.StringType()),
     ]
 )
 
@@ -82,10 +87,69 @@ def publish_together(
     return version
 
 
-def _append_version(spark: SparkSession, root: str, version: int, run_id: str, folder: str) -> None:
-    spark.createDataFrame([(version, run_id, folder)], VERSIONS).coalesce(1).write.mode("append").parquet(
-        f"{root}/{_LOG}"
-    )
+def _append_version(
+    spark: SparkSession, root: str, version: int, run_id: str, folder: str, key: str | None = None, count: int | None = None,
+    parts: dict[int, str] | None = None, schema: T.StructType | None = None,
+) -> None:
+    row = (version, run_id, folder, key, count, parts, schema.json() if schema is not None else None)
+    spark.createDataFrame([row], VERSIONS).coalesce(1).write.mode("append").parquet(f"{root}/{_LOG}")
+
+
+def part_of(key: str, count: int) -> Column:
+    """The hash part of a key."""
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(count)).cast("int")
+
+
+def touched_parts(rows: DataFrame, root: str) -> list[int] | None:
+    """The parts of a published table that the keys of ``rows`` fall into; None if the table is not in parts."""
+    latest = _latest(rows.sparkSession, root)
+    if latest is None or latest.parts is None:
+        return None
+    part = part_of(latest.part_key, latest.part_count).alias(PART)
+    return sorted(r[PART] for r in rows.select(part).distinct().collect())  # at most part_count numbers
+
+
+def read_parts(spark: SparkSession, root: str, parts: list[int]) -> DataFrame:
+    """The rows of some parts of the current version; no other part is listed or read."""
+    latest = _latest(spark, root)
+    schema = T.StructType.fromJson(json.loads(latest.schema))
+    folders = [f"{root}/{latest.parts[p]}/{PART}={p}" for p in parts if p in latest.parts]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*folders)
+
+
+def publish_parts(
+    df: DataFrame, root: str, run_id: str, key: str | None = None, count: int | None = None, only: list[int] | None = None,
+) -> int:
+    """Write ``df`` in hash parts of ``key`` as the next version, then make it current.
+
+    With ``only``, the rows are those of these parts of the table at ``root``, and the version refers to the folders
+    that the one before names for the others. A part is written by one task into one file, so take ``count`` such that
+    a part has some hundred MB.
+    """
+    spark = df.sparkSession
+    latest = _latest(spark, root)
+    kept: dict[int, str] = {}
+    schema = df.schema
+    if only is not None:
+        key, count = latest.part_key, latest.part_count
+        kept = {p: f for p, f in latest.parts.items() if p not in only}
+        before = T.StructType.fromJson(json.loads(latest.schema))
+        schema = T.StructType([*before, *[f for f in df.schema if f.name not in before.names]])
+    version = (latest.version if latest is not None else 0) + 1
+    folder = _new_folder(version)
+    seen = Observation(f"parts-{uuid.uuid4().hex}")
+    placed = conform(df, schema).withColumn(PART, part_of(key, count)).observe(seen, F.collect_set(PART).alias("parts"))
+    placed.repartition(min(count, len(only)) if only else count, PART).write.partitionBy(PART).parquet(f"{root}/{folder}")
+    new = dict.fromkeys(seen.get["parts"], folder)
+    _append_version(spark, root, version, run_id, folder, key, count, kept | new, schema)
+    return version
+
+
+def part_folders(spark: SparkSession, root: str) -> dict[int, str]:
+    """The folder of each part of the current version."""
+    return dict(_latest(spark, root).parts)
 
 
 def read_current(
@@ -95,6 +159,9 @@ def read_current(
     latest = _latest(spark, root)
     if latest is None:
         raise FileNotFoundError(f"nothing published at {root}")
+    if latest.parts is not None:
+        rows = read_parts(spark, root, sorted(latest.parts))
+        return rows if schema is None else conform(rows, schema).select(*schema.names)
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(f"{root}/{latest.folder}" + (f"/{table}" if table else ""))
 

@@ -4,9 +4,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from strataflow import loads
 from strataflow.operators import scd2
 from strataflow.operators.joins import as_of, orphans
 from strataflow.operators.ordered import in_order
+from strataflow.sources import tables
 
 T1, T2, T3 = (dt.datetime(2025, m, 1) for m in (1, 3, 6))
 SCHEMA = "PatientID string, AddressLine string, City string, PrimaryInsurancePayer string, State string, UpdatedTimestamp timestamp"
@@ -157,3 +159,44 @@ def test_orphans_ignore_missing_keys(spark):
     child = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
     parent = spark.createDataFrame([("a",), (None,)], "k string")
     assert [r.k for r in orphans(child, parent, "k").collect()] == ["b"]
+
+
+def test_a_batch_reads_and_writes_its_parts_only(spark, tmp_path, first, second):
+    """The files of the other parts are made unreadable: the load does not notice, and they stay as they are."""
+    root = str(tmp_path / "dim")
+    many = spark.range(200).select(F.concat(F.lit("k"), "id").alias("PatientID"), F.lit("a").alias("AddressLine"), F.lit("x").alias("City"),
+                                   F.lit("p").alias("PrimaryInsurancePayer"), F.lit("NY").alias("State"), F.lit(T1).alias("UpdatedTimestamp"))
+    loads.load_versions(first.unionByName(many), root, "r1", parts=8)
+    whole = tables.read_current(spark, root)
+    batch = second.where("PatientID IN ('changed', 'new')")
+    wanted = shown(scd2.apply_scd2(tables.store(whole), batch))
+    touched = tables.touched_parts(batch, root)
+    assert 1 <= len(touched) <= 2 and len(tables.part_folders(spark, root)) == 8
+    hidden = {}
+    for part, folder in tables.part_folders(spark, root).items():
+        for file in (tmp_path / "dim" / folder / f"_part={part}").glob("*.parquet"):
+            if part not in touched:
+                hidden[file] = file.read_bytes()
+                file.write_bytes(b"no parquet")
+                (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    assert len(hidden) == 8 - len(touched)
+    loads.load_versions(batch, root, "r2")
+    for file, content in hidden.items():
+        assert file.read_bytes() == b"no parquet"
+        file.write_bytes(content)
+    assert shown(tables.read_current(spark, root)) == wanted
+    written = [f for f in (tmp_path / "dim").glob("attempt=v2-*/_part=*")]
+    assert sorted(int(f.name.split("=")[1]) for f in written) == touched
+    # An empty batch and a new column.
+    loads.load_versions(batch.limit(0), root, "r3")
+    loads.load_versions(batch.withColumn("Extra", F.lit(1)), root, "r4")
+    rows = tables.read_current(spark, root)
+    assert shown(rows) == wanted and rows.where("Extra = 1").count() >= 1 and rows.where("Extra IS NULL").count() > 150
+
+
+def test_tables_of_one_folder_become_parts_with_the_next_load(spark, tmp_path, first, second):
+    root = str(tmp_path / "dim")
+    tables.publish(scd2.initial_load(first), root, "r1")
+    loads.load_versions(second, root, "r2", parts=4)
+    assert shown(tables.read_current(spark, root)) == shown(scd2.apply_scd2(scd2.initial_load(first), second))
+    assert set(tables.part_folders(spark, root)) <= set(range(4))
