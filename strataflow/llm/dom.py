@@ -12,7 +12,7 @@ MOST_DEPTH = 150
 MOST_CHILDREN = 200
 
 # Elements by their part in a page.
-_RAW = "script|style|textarea|title|noscript|template|iframe|svg|math|object|select|noembed|noframes|xmp"
+_RAW = "script|style|textarea|title|noscript|template|iframe|noembed|noframes|xmp"
 _VOID = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
 _BLOCK = frozenset((
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 "
@@ -26,7 +26,7 @@ _CLOSES = {
     "td": (_CELLS, frozenset(["tr", "table"])), "th": (_CELLS, frozenset(["tr", "table"])),
 }
 # Never main text; a form may wrap a whole page, so it counts as a hint only.
-_APART = frozenset("head nav footer aside menu dialog button input embed canvas audio video".split())
+_APART = frozenset("head nav footer aside menu dialog button input embed canvas audio video svg math object select".split())
 _APART_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar tablist".split()
 )
@@ -40,7 +40,7 @@ _TITLES = frozenset(["article", "main", "h1"])
 _HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:--!?>|\Z)|<({_RAW})(?![\w:-])[^>]*+(?:/>|>.*?(?:</\1(?![\w:-])[^>]*+(?:>|\Z)|\Z)|\Z)"
+    rf"<!--.*?(?:--!?>|\Z)|<({_RAW})(?![\w:-])[^>]*+>.*?(?:</\1(?![\w:-])[^>]*+>|\Z)"
     r"|<(/?)([a-z][a-z0-9:-]*)((?>[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*+)>|<[!?/][^>]*+(?:>|\Z)", re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"""([a-z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -119,7 +119,8 @@ class Page:
             node = next(own for _, own, _ in reversed(stack) if own is not None)
             skip = stack[-1][2]
 
-        for token in _TOKEN.finditer(source):
+        # With a bracket at the end every tag is closed somewhere, so that no search runs through the rest in vain.
+        for token in _TOKEN.finditer(source + ">"):
             start = token.start()
             if start > at and not skip:
                 text = source[at:start]
