@@ -52,12 +52,16 @@ class WordIds(dict):
 
     The vocabulary drops white space and never joins across it, so a text's ids are its words' ids in a row. ASCII letters
     are lower-cased first, and ASCII marks behind letters are split off, as the vocabulary does itself. A word of small
-    letters is one match that no normalisation changes, so its ids come from the merges of its bytes alone.
+    letters is one match that no normalisation changes, so its ids come from the merges of its bytes alone. The library finds
+    added tokens such as <|endoftext|> in the text as it is, before all this: texts that hold one are left to it as a whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        self.whole = Tokenizer.from_file(path)
+        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        # Words are lower-cased before they come here, so none may be taken for an added token.
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
         self.merges = self.model.model
@@ -90,6 +94,8 @@ class WordIds(dict):
         return array("I", [t.id for t in self.merges.tokenize(letters)]).tobytes()
 
     def text(self, text: str) -> bytes:
+        if any(token in text for token in self.added):
+            return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
         # bytes.split() cuts at ASCII white space only, all of which the vocabulary drops.
         words = text.encode("utf-8", "replace").lower().split()
         return b"".join([self[w] for w in words])

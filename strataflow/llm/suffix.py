@@ -4,7 +4,8 @@ Suffixes start in buckets of equal 8-byte q-grams; the q-gram itself is the firs
 bucket pointers of its suffixes at a later offset: the pointer for 2h bytes at a position is the pair of the pointers for h
 bytes there and h bytes further on, and every refined pointer is used again for the next one (8, 16, ... 256 bytes), so one
 recursion per doubling replaces comparisons of text. Pointers are 64-bit identifiers of such pairs, hence the same
-everywhere, and any depth between 256 and 512 is a pair of two overlapping 256-byte pointers.
+everywhere, and any depth up to three times that of the last pointers is two or three overlapping ones. The last depth, the size of a
+cell and that of an anchor follow from the window.
 
 Only what the question needs is sorted over all documents: does a string of ``window`` bytes start anywhere else? Windows
 choose the same suffix wherever they occur, the one with the smallest 32-byte pointer inside, and windows with
@@ -29,8 +30,7 @@ from .repeats import MIX, Cells, Chunk, Method, mix, repeated_units, twin
 WINDOW = 400
 GRAM = 8
 ANCHOR_BYTES = 32
-DEPTH = 256
-CELL = 64
+LEAST_WINDOW = 32
 
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 
@@ -46,26 +46,36 @@ def _sliding_min(values: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(behind[: len(values)], ahead[size - 1 : size - 1 + len(values)])
 
 
+def sizes_of(window: int) -> tuple[int, int, int]:
+    """Windows of a cell, bytes of the last pointers (a power of two) and of an anchor."""
+    cell = window * 4 // 25
+    depth = 1 << (window - cell + 1).bit_length() - 1
+    return cell, depth, max(GRAM, min(ANCHOR_BYTES, depth // 4))
+
+
 class ByteChunk(Chunk):
     def __init__(self, texts: list[bytes], window: int):
         self.window = window
+        self.cell, self.depth, self.anchor_bytes = sizes_of(window)
         self.starts = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
         self.pointers = None
         if max(map(len, texts), default=0) >= window:
             self._refine(b"".join(texts))
 
     def _refine(self, data: bytes) -> None:
-        padded = np.zeros(len(data) + 2 * DEPTH, np.uint8)
+        padded = np.zeros(len(data) + 2 * self.depth, np.uint8)
         padded[: len(data)] = np.frombuffer(data, np.uint8)
         pointers = np.ndarray(len(padded) - GRAM + 1, "<u8", padded, strides=(1,))
         depth = GRAM
-        while depth < DEPTH:
+        while True:
+            if depth == self.anchor_bytes:
+                rank = (pointers[: len(data)] * MIX) & np.uint64(0xFFFFFFFF00000000)
+            if depth == self.depth:
+                break
             pointers = mix(pointers[:-depth], pointers[depth:])
             depth *= 2
-            if depth == ANCHOR_BYTES:
-                rank = (pointers[: len(data)] * MIX) & np.uint64(0xFFFFFFFF00000000)
         self.pointers = pointers
-        least = _sliding_min(rank | np.arange(len(data), dtype=np.uint64), self.window - ANCHOR_BYTES + 1)
+        least = _sliding_min(rank | np.arange(len(data), dtype=np.uint64), self.window - self.anchor_bytes + 1)
         self.anchor = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
     def release(self) -> None:
@@ -82,24 +92,27 @@ class ByteChunk(Chunk):
         counts = np.maximum(end - begin - self.window + 1, 0)
         place = np.repeat(begin - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
         anchor = self.anchor[place]
-        cell = (anchor - place) // CELL
+        cell = (anchor - place) // self.cell
         first = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (cell[1:] != cell[:-1])])
         cuts = np.flatnonzero(first)
         low, high = place[cuts], place[np.append(cuts[1:], len(place)) - 1]
         anchor, cell = anchor[cuts], cell[cuts]
         doc = np.searchsorted(self.starts, low, side="right") - 1
-        last = anchor - cell * CELL
-        earliest = last - CELL + 1
-        core = self._pair(last, self.window - CELL + 1)
+        last = anchor - cell * self.cell
+        earliest = last - self.cell + 1
+        core = self._pair(last, self.window - self.cell + 1)
         has_full = (earliest >= begin[doc]) & (last + self.window <= end[doc])
         full = np.zeros((len(low), 2), np.uint64)
-        full[has_full] = self._pair(earliest[has_full], self.window + CELL - 1)
+        full[has_full] = self._pair(earliest[has_full], self.window + self.cell - 1)
         # The distance to the anchor is part of the key: cells of two anchors may lie on one another.
         return Cells(mix(mix(core[:, 0], core[:, 1]), cell.astype(np.uint64)), full, has_full, low, high)
 
     def _pair(self, at: np.ndarray, depth: int) -> np.ndarray:
-        """The pointers of ``depth`` bytes from each position: two overlapping ones of DEPTH bytes."""
-        return np.stack([self.pointers[at], self.pointers[at + depth - DEPTH]], axis=1)
+        """The pointers of ``depth`` bytes from each position: two overlapping ones, or three where two are too short."""
+        first, last = self.pointers[at], self.pointers[at + depth - self.depth]
+        if depth > 2 * self.depth:
+            last = mix(self.pointers[at + self.depth], last)
+        return np.stack([first, last], axis=1)
 
     def window_keys(self, at: np.ndarray) -> np.ndarray:
         if not len(at):
@@ -136,15 +149,18 @@ def _results(texts: list[bytes], masks: list[np.ndarray], _) -> list[pa.Array]:
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """Append n_bytes, n_removed, n_spans, kept (binary) and removed (byte spans). ``window`` is 320 to 448 bytes."""
-    if not DEPTH + CELL <= window <= 2 * DEPTH - CELL:
-        raise ValueError(f"a window needs {DEPTH + CELL} to {2 * DEPTH - CELL} bytes")
+    """Append n_bytes, n_removed, n_spans, kept (binary) and removed (byte spans). ``window`` has at least 32 bytes."""
     fields = [
         T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()),
         T.StructField("kept", T.BinaryType()), T.StructField("removed", SPANS),
     ]
-    method = Method(window, lambda texts: ByteChunk(texts, window))
-    return repeated_units(df, id_col, text_col, method, fields, _results)
+    return repeated_units(df, id_col, text_col, _method(window), fields, _results)
+
+
+def _method(window: int) -> Method:
+    if window < LEAST_WINDOW:
+        raise ValueError(f"a window needs at least {LEAST_WINDOW} bytes")
+    return Method(window, lambda texts: ByteChunk(texts, window))
 
 
 def _whole_characters(texts: list[bytes], masks: list[np.ndarray], _) -> list[pa.Array]:
@@ -164,5 +180,4 @@ def _whole_characters(texts: list[bytes], masks: list[np.ndarray], _) -> list[pa
 
 def remove_from_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """Append kept_text: the text without repeated bytes and without the characters they cut into."""
-    method = Method(window, lambda texts: ByteChunk(texts, window))
-    return repeated_units(df, id_col, text_col, method, [T.StructField("kept_text", T.StringType())], _whole_characters)
+    return repeated_units(df, id_col, text_col, _method(window), [T.StructField("kept_text", T.StringType())], _whole_characters)

@@ -18,13 +18,11 @@ WORDS = packing._words(PATH)
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    model = Tokenizer.from_file(PATH)
-    model.encode_special_tokens = True
-    return model
+    return Tokenizer.from_file(PATH)
 
 
 PARTS = [
-    "The", "the,", "THE.", "..", ",.", "don't", "a.b,c", "1,000.5", "é,", "É", "<|endoftext|>", "İstanbul", "ſ", "Σας", "ΣΑΣ", "日本,",
+    "The", "the,", "THE.", "..", ",.", "don't", "a.b,c", "1,000.5", "é,", "É", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "İstanbul", "ſ", "Σας", "ΣΑΣ", "日本,",
     " ", "\n", " ", " ", "\x1c", "​", "́", "a", "'s", "x'LL.", "😀.", "ﬁ", "Å", "Å,", "ÿæß,", "word%%%", "é&&&", "on,###", "don'", "aße", "÷a", "à",
 ]
 
@@ -39,6 +37,13 @@ def test_words_equal_whole_texts(tokenizer):
     check()
 
 
+@pytest.mark.parametrize("text", [
+    "a <|endoftext|> b", "<|startoftext|>x", "x<|endoftext|><|endoftext|>", "A <|ENDOFTEXT|> b", "<|endoftext |>", "\n<|startoftext|> É\t,",
+])
+def test_added_tokens_are_the_librarys(tokenizer, text):
+    assert np.frombuffer(WORDS.text(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def check_plan(histogram, capacity):
     runs = packing.plan(histogram, capacity, ((2, 8), (8, 8)))
     placed, room = Counter(), {}

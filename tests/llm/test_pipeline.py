@@ -34,7 +34,7 @@ def corpus():
 
 
 def text_without_repeats(texts):
-    rows, masks = brute_windows(texts, 400, lambda b: list(b))
+    rows, masks = brute_windows(texts, corpus_pipeline.WINDOW, lambda b: list(b))
     out = []
     for text, mask in zip(texts, masks, strict=True):
         at, kept = 0, []
@@ -120,6 +120,21 @@ def test_repeated_rows_and_missing_ids_keep_one_text(spark, tmp_path):
     assert sorted((r["doc_id"] or 0, r["text"]) for r in left) == wanted
 
 
+def test_passages_of_over_50_words_go(spark, tmp_path):
+    """Passages of 51 to 60 words in otherwise different documents are removed, clean documents stay as they are."""
+    rng = random.Random(37)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(4, 8)))
+    passages = [" ".join(word() for _ in range(rng.randint(51, 60))) for _ in range(6)]
+    clean = [" ".join(word() for _ in range(200)) for _ in range(10)]
+    holding = [f"{word()} {word()} {passages[i % 6]} {' '.join(word() for _ in range(100))}" for i in range(18)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(clean + holding)]
+    got = {r["doc_id"]: r for r in corpus_pipeline.suffix_dedup(spark, spark.createDataFrame(rows, SCHEMA).repartition(4), "").collect()}
+    assert all(got[i]["text"] == t for i, t in enumerate(clean))
+    for i, text in enumerate(holding, len(clean)):
+        left = got[i]["text"]
+        assert passages[(i - len(clean)) % 6][20:-20] not in left and left.endswith(text[-300:]) and got[i]["n_chars"] == len(left)
+
+
 def test_near_duplicates_from_80_on(spark, tmp_path):
     """Pairs on both sides of 0.8 and 0.85, the first documents of groups by brute force."""
     rng = random.Random(31)

@@ -73,6 +73,32 @@ def test_bytes(spark, docs):
         assert got[i]["n_spans"] == spans == len(got[i]["removed"])
 
 
+@pytest.mark.parametrize("window", [32, 45, 64, 128, 200, 255, 256, 257, 300, 448, 512, 700])
+def test_sizes_of_any_window(window):
+    cell, depth, anchor = suffix.sizes_of(window)
+    assert depth <= window - cell + 1 and window + cell - 1 <= 3 * depth and suffix.GRAM <= anchor <= depth and cell > 0
+
+
+@pytest.mark.parametrize("window", [32, 100, 256])
+def test_other_windows(spark, window):
+    """Passages of 51 to 60 words in otherwise different documents, copies with one other byte, and clean texts."""
+    rng = random.Random(window)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(3, 9)))
+    passages = [" ".join(word() for _ in range(rng.randint(51, 60))) for _ in range(5)]
+    docs = [" ".join(word() for _ in range(120)) for _ in range(8)]
+    docs += [" ".join([word(), passages[i % 5], word(), word()]) for i in range(15)]
+    docs += [p[:100] + "#" + p[101:] for p in passages] + ["é" * 60 + "x" * window, "x" * (window - 1), "x" * (window + 1), "", None]
+    rows, masks = brute(docs, window, lambda b: list(b))
+    got = {r["doc_id"]: r for r in suffix.remove_repeats(frame(spark, docs), window=window).collect()}
+    for i, (units, mask) in enumerate(zip(rows, masks, strict=True)):
+        kept = bytes(u for u, m in zip(units, mask, strict=True) if not m)
+        assert (got[i]["n_bytes"], got[i]["n_removed"], bytes(got[i]["kept"])) == (len(units), sum(mask), kept), i
+    # What a passage leaves of its document is words of its own; clean documents stay whole.
+    assert all(got[i]["n_removed"] == 0 for i in range(8)) and all(got[i]["n_removed"] >= len(passages[0]) / 2 for i in range(8, 23))
+    with pytest.raises(ValueError):
+        suffix.remove_repeats(frame(spark, docs), window=31)
+
+
 def test_empty_and_repeated_rows(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert substring.remove_repeats(empty).count() == suffix.remove_repeats(empty).count() == 0
