@@ -3,8 +3,9 @@
 1. language: documents without a letter are rejected; a missing language is filled in with the predicted one.
 2. near_duplicates: documents are linked from a similarity of 0.8 on, and of each group one row stays, that with the smallest
    id. Rows count by themselves: repeated rows and rows without id are grouped by their text like any other.
-3. suffix_dedup: every byte of a 400-byte string that occurs more than once is removed; a character that lost some of its bytes
-   goes with them. A document may end up empty and then stays as an empty one.
+3. suffix_dedup: every byte of a 256-byte string that occurs more than once is removed; a character that lost some of its bytes
+   goes with them. 51 words of four letters and the spaces between them take 254 bytes, so the window reaches passages of over 50
+   words (op1 has a contract of its own, 400). A document may end up empty and then stays as an empty one.
 4. personal_data: spans are replaced by their kind.
 5. packing: the documents' tokens are packed into sequences.
 
@@ -24,6 +25,8 @@ from strataflow.llm.queries import held_out
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # Hundredths of their common shingles from which documents are linked; op3 has a contract of its own, 85.
 SIMILAR = 80
+# Bytes of the repeated strings that stage 3 removes.
+WINDOW = 256
 
 
 def _with_text(docs: DataFrame, text) -> DataFrame:
@@ -53,7 +56,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return _with_text(suffix.remove_from_text(docs), F.when(F.col("text").isNotNull(), F.col("kept_text")))
+    return _with_text(suffix.remove_from_text(docs, window=WINDOW), F.when(F.col("text").isNotNull(), F.col("kept_text")))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
