@@ -63,7 +63,7 @@ def fact_encounters_as_of(
     return _resolve(keyed, providers, departments)
 
 
-def fact_vitals(vitals: DataFrame, patients: DataFrame) -> DataFrame:
-    """Telemetry with the current patient key, in warehouse types. Works on batch and stream."""
+def fact_vitals(vitals: DataFrame, patients: DataFrame, also=()) -> DataFrame:
+    """Telemetry with the current patient key, in warehouse types, and the columns ``also``. Works on batch and stream."""
     keyed = lookup(vitals, patients, "PatientID", ["PatientSK"])
-    return keyed.select(*[F.col(c.name).try_cast(c.kind).alias(c.name) for c in FACT_VITALS])
+    return keyed.select(*[F.col(c.name).try_cast(c.kind).alias(c.name) for c in FACT_VITALS], *also)

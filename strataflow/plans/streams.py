@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import contracts, loads
 from ..session import pin_utc, scratch_path
-from ..sources import tables
+from ..sources import compaction, tables
 from ..streaming import vitals as stream
 from . import bindings as b
 from .registry import plain, query, ts
@@ -159,6 +159,39 @@ def st06_later(spark, sf):
     return spark.read.parquet(out).select("TelemetryID", "PatientSK")
 
 
+@query("st06_resolved_later", "SELECT TelemetryID, PatientSK, 1::BIGINT AS copies FROM fvit")
+def st06_resolved(spark, sf):
+    """Half of the readings come before any patient is known. The batch after the patients were published gives them their
+    key; each reading is there once, and those of unknown patients go on waiting."""
+    landed, out, offsets, dims = (scratch_path(spark, n) for n in ("in", "gold", "offsets", "dim"))
+    events, dim = b.table(pin_utc(spark), sf, "events"), b.dim_patient(spark, sf)
+    for parity, rows in ((0, dim.limit(0)), (1, dim)):
+        tables.publish(rows, dims, f"r{parity}")
+        events.where(F.col("event_id") % 2 == parity).write.mode("append").parquet(landed)
+        source = b.vitals_of(spark.readStream.schema(b.TABLES["events"]).parquet(landed))
+        stream.write_gold(
+            source, lambda: tables.read_current(spark, dims), out, offsets, None, lambda: tables.current_version(spark, dims),
+        ).awaitTermination()
+    copies = F.count(F.lit(1)).alias("copies")
+    return stream.read_gold(spark, out).groupBy("TelemetryID", "PatientSK").agg(copies)
+
+
+@query("l01_compacts_small_files_only", f"SELECT TelemetryID, {ts('EventTimestamp')}, TRUE AS large_kept FROM vit")
+def l01_small(spark, sf):
+    """Readings in one large and two small drops, compacted: the largest file keeps its name, replaced ones are deleted."""
+    landed, out, offsets = scratch_path(spark, "in"), scratch_path(spark, "silver"), scratch_path(spark, "offsets")
+    events, key = b.table(spark, sf, "events"), F.col("event_id") % 10
+    for rows in (events.where(key > 1), events.where(key == 0), events.where(key == 1)):
+        rows.write.mode("append").parquet(landed)
+        _silver(spark, b.vitals_of(pin_utc(spark).readStream.schema(b.TABLES["events"]).parquet(landed)), out, offsets)
+    files = compaction.live_files(spark, out, "batches")
+    large = files.orderBy(F.desc("length"), "uri").first()
+    done = stream.compact_silver(spark, out, contracts.VITALS, "r1", 2 * large["length"])
+    compaction.remove_replaced(spark, out)
+    kept = done["files"] > 0 and compaction.live_files(spark, out, "batches").where(F.col("uri") == large["uri"]).count() == 1
+    return plain(_silver_rows(spark, out).select("TelemetryID", "EventTimestamp")).withColumn("large_kept", F.lit(kept))
+
+
 @query("st08_malformed_routing", """
 SELECT CAST(TelemetryID AS BIGINT) AS _kafka_offset, CASE WHEN DeviceID = 'error' THEN 'malformed' ELSE 'ok' END AS status,
   CASE WHEN DeviceID = 'error' THEN 40 END AS kept_length FROM vit""")

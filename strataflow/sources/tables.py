@@ -54,6 +54,18 @@ def current_version(spark: SparkSession, root: str) -> int | None:
     return None if latest is None else latest.version
 
 
+def published_folders(spark: SparkSession, root: str) -> list[str]:
+    """The folders of all versions, oldest first."""
+    log = _log(spark, root)
+    return [] if log is None else [r.folder for r in log.orderBy("version", "folder").select("folder").collect()]
+
+
+def last_run(spark: SparkSession, root: str) -> str | None:
+    """The run id of the current version."""
+    latest = _latest(spark, root)
+    return None if latest is None else latest.run_id
+
+
 def table_exists(spark: SparkSession, root: str) -> bool:
     return current_version(spark, root) is not None
 

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..contracts import VITALS_PAYLOAD
+from ..contracts import VITALS_PAYLOAD, gold_schema
 from ..functions.parsing import decode_json
 from ..operators.dedup import keep_latest_with_nulls
 from ..operators.quality import FAILED, UNDECIDED, Rule, is_valid, tag, vitals_rules
 from ..operators.star import fact_vitals
-from ..sources.tables import publish_together, read_current, read_if_present, store, table_exists
+from ..sources import compaction
+from ..sources.tables import last_run, publish_together, published_folders, read_current, read_if_present, table_exists
 
 # Name of the source in the audit columns, and the trigger interval.
 SOURCE_SYSTEM = "BEDSIDE_ICU_EVENT_HUBS"
@@ -137,7 +140,7 @@ PLACES = T.StructType(
         T.StructField("writer", T.StringType()), T.StructField("batch_id", T.LongType()),
     ]
 )
-_BATCHES, _COMPACT = "batches", "compacted"
+_BATCHES = "batches"
 
 
 def _start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, trigger: str | None) -> StreamingQuery:
@@ -159,8 +162,11 @@ def write_silver(
     """
     rules = vitals_rules() if rules is None else rules
     writer_id = hashlib.md5(checkpoint.encode()).hexdigest()
-    # A row without id takes its own place in the source as id, so that it is never a copy.
-    alone = F.when(F.col("TelemetryID").isNull(), F.uuid())
+    # A row without id takes its place in the source as id, so that it is never a copy; a source that gives none has
+    # a number drawn for it.
+    placed = {"_kafka_partition", "_kafka_offset"} <= set(bronze_stream.columns)
+    own = F.concat_ws("-", "_kafka_partition", "_kafka_offset") if placed else F.uuid()
+    alone = F.when(F.col("TelemetryID").isNull(), own)
     first = bronze_stream.withColumn("_alone", alone).dropDuplicates(["TelemetryID", "_alone"]).drop("_alone")
 
     def add(batch: DataFrame, batch_id: int) -> None:
@@ -175,72 +181,159 @@ def write_silver(
     return _start(first, add, checkpoint, trigger)
 
 
-def _batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+def _silver_schema(schema: T.StructType) -> T.StructType:
     fields = [f for f in schema if f.name not in PLACES.names]
-    full = T.StructType([*fields, T.StructField(FAILED, T.StringType()), *PLACES])
-    return read_if_present(spark, f"{path}/{_BATCHES}", full)
-
-
-def _compacted_upto(spark: SparkSession, path: str) -> DataFrame | None:
-    return read_current(spark, f"{path}/{_COMPACT}", table="upto") if table_exists(spark, f"{path}/{_COMPACT}") else None
-
-
-def _not_compacted(rows: DataFrame, upto: DataFrame | None) -> DataFrame:
-    """Rows of the batches that no compaction holds; the list has one row per writer."""
-    if upto is None:
-        return rows
-    return rows.join(upto, "writer", "left").where(F.col("upto").isNull() | (F.col("batch_id") > F.col("upto"))).drop("upto")
+    return T.StructType([*fields, T.StructField(FAILED, T.StringType()), *PLACES])
 
 
 def read_silver(spark: SparkSession, path: str, schema: T.StructType, side: str = "valid") -> DataFrame:
     """The readings that write_silver has added so far, compacted ones included."""
-    upto = _compacted_upto(spark, path)
-    batches = _batches(spark, path, schema)
-    empty = spark.createDataFrame([], T.StructType([*[f for f in schema if f.name not in PLACES.names], T.StructField(FAILED, T.StringType()), *PLACES]))
-    rows = _not_compacted(empty if batches is None else batches, upto)
-    if upto is not None:
-        rows = rows.unionByName(read_current(spark, f"{path}/{_COMPACT}", rows.schema, "rows"))
+    rows = compaction.read_live(spark, path, _BATCHES, _silver_schema(schema))
     return rows.where(F.col("side") == side).select(*schema.names, *([FAILED] if side != "valid" else []))
 
 
-def compact_silver(spark: SparkSession, path: str, schema: T.StructType, run_id: str, files_per_date: int = 1) -> None:
-    """Rewrite the small files of all finished batches by date and publish them as one version.
+def compact_silver(
+    spark: SparkSession, path: str, schema: T.StructType, run_id: str, target_bytes: int = compaction.TARGET_BYTES,
+    running: bool = False,
+) -> dict[str, int]:
+    """Pack the small files of each side and date into files of about ``target_bytes``; large files are left alone.
 
-    Run it while no batch is being written, or name it after the stream's last completed batch: rows and the
-    highest batch of each writer are published together, and readers then leave those batches out. Their
-    folders can be deleted afterwards.
+    While the stream is ``running`` the last batch of each writer is left out, since it may be written again. Files that
+    were packed are deleted by compaction.remove_replaced, when no reader needs them any more.
     """
-    batches = _batches(spark, path, schema)
-    if batches is None:
-        return
-    old = _compacted_upto(spark, path)
-    new = store(_not_compacted(batches, old), "uncompacted")
-    upto = new.groupBy("writer").agg(F.max("batch_id").alias("upto"))
-    if old is not None:
-        new = new.unionByName(read_current(spark, f"{path}/{_COMPACT}", new.schema, "rows"))
-        upto = upto.unionByName(old).groupBy("writer").agg(F.max("upto").alias("upto"))
+    finished = None
+    if running:
+        files = compaction.live_files(spark, path, _BATCHES)
+        writer, batch = (compaction.value_in("path", c) for c in ("writer", "batch_id"))
+        last = files.where(writer != "").groupBy(writer.alias("w")).agg(F.max(batch.cast("long")).alias("n")).collect()
+        finished = F.lit(True)
+        for row in last:  # one row per writer
+            finished = finished & ~((writer == row.w) & (batch.cast("long") == row.n))
+    return compaction.compact(
+        spark, path, _BATCHES, _silver_schema(schema), ["side", "event_date"], run_id, target_bytes, finished,
+    )
 
-    def build(folder: str) -> None:
-        spread = F.pmod(F.xxhash64("TelemetryID"), F.lit(files_per_date))
-        new.repartition("side", "event_date", spread).write.partitionBy("side", "event_date").parquet(f"{folder}/rows")
-        upto.write.parquet(f"{folder}/upto")
 
-    publish_together(spark, f"{path}/{_COMPACT}", run_id, build)
+# What a reading without a known patient waits for, and since when.
+WAITING = T.StructType([T.StructField("PatientID", T.StringType()), T.StructField("since", T.TimestampType())])
+_LATE = "_late"
+RESOLVED, PENDING, GIVEN_UP = "resolved", "pending", "given_up"
+
+
+def _gold_schema() -> T.StructType:
+    return T.StructType([*gold_schema("fact_vitals_telemetry"), T.StructField("_waiting", WAITING)])
 
 
 def write_gold(
     silver_stream: DataFrame, patients: Callable[[], DataFrame], path: str, checkpoint: str, trigger: str | None = TRIGGER,
+    dimension: Callable[[], object] | None = None, give_up_after: str | None = None,
 ) -> StreamingQuery:
-    """Readings with the patient key current when their batch runs: ``patients`` is called for every batch."""
+    """Readings with the patient key current when their batch runs: ``patients`` is called for every batch.
+
+    A reading whose patient is not known yet has no key and says whom it waits for. With ``dimension``, which names the
+    current version of the patients, a batch that sees a new name first resolves the readings that wait
+    (resolve_late, with ``give_up_after``). Read the table with read_gold.
+    """
     writer_id = hashlib.md5(checkpoint.encode()).hexdigest()
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        rows = gold(batch, patients()).withColumns({"writer": F.lit(writer_id), "batch_id": F.lit(batch_id)})
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("writer", "batch_id").parquet(path)
+        spark = batch.sparkSession
+        if dimension is not None and batch_id:
+            name = str(dimension())
+            if last_run(spark, f"{path}/{_LATE}") != name:
+                resolve_late(spark, path, patients(), name, give_up_after, {writer_id: batch_id - 1})
+        rows = fact_vitals(batch, patients(), ["PatientID"])
+        waits = F.col("PatientSK").isNull() & F.col("PatientID").isNotNull()
+        waiting = F.when(waits, F.struct("PatientID", F.current_timestamp().alias("since")))
+        placed = {"_waiting": waiting, "writer": F.lit(writer_id), "batch_id": F.lit(batch_id)}
+        # Both kinds of rows share a folder, so a batch that runs again replaces both.
+        rows.withColumns(placed).drop("PatientID").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "writer", "batch_id"
+        ).parquet(path)
 
     return _start(silver_stream, add, checkpoint, trigger)
 
 
+def _taken(spark: SparkSession, path: str) -> dict[str, int]:
+    """The last batch of each writer whose waiting readings resolve_late has taken over; one row per writer."""
+    late = f"{path}/{_LATE}"
+    return {r.writer: r.upto for r in read_current(spark, late, table="upto").collect()} if table_exists(spark, late) else {}
+
+
+def _beyond(upto: dict[str, int]) -> Column:
+    """Batches after the given ones, as a condition on folder names that prunes them."""
+    known = [(F.col("writer") == w) & (F.col("batch_id") > n) for w, n in upto.items()]
+    return reduce(lambda a, b: a | b, known, ~F.col("writer").isin(list(upto)))
+
+
+def _gold_batches(spark: SparkSession, path: str) -> DataFrame | None:
+    places = [T.StructField("writer", T.StringType()), T.StructField("batch_id", T.LongType())]
+    return read_if_present(spark, path, T.StructType([*_gold_schema(), *places]))
+
+
+def _late_rows(spark: SparkSession, path: str, *kinds: str) -> DataFrame:
+    """Rows that left waiting in any run, or (PENDING) those that still wait after the last one."""
+    late = f"{path}/{_LATE}"
+    folders = published_folders(spark, late)
+    if PENDING in kinds:
+        folders = folders[-1:]
+    if not folders:
+        return spark.createDataFrame([], _gold_schema())
+    schema = T.StructType([*_gold_schema(), T.StructField("_kind", T.StringType())])
+    return spark.read.schema(schema).parquet(*[f"{late}/{f}/rows" for f in folders]).where(F.col("_kind").isin(*kinds)).drop("_kind")
+
+
+def resolve_late(
+    spark: SparkSession, path: str, patients: DataFrame, run_id: str, give_up_after: str | None = None,
+    upto: dict[str, int] | None = None,
+) -> dict[str, int]:
+    """Give readings whose patient has arrived their key, and stop waiting for those older than ``give_up_after``.
+
+    Works on the waiting readings only: those that the run before left, and those of the batches since. A run's rows
+    count from one log row on, so each reading counts once, resolved or not. Batches after ``upto`` (by writer) are left
+    for the next run; without it call this while no batch is being written, as the last one may be written again.
+    Returns the numbers of readings by outcome. Those given up stay in the table, without a key.
+    """
+    batches, taken = _gold_batches(spark, path), _taken(spark, path)
+    waiting = _late_rows(spark, path, PENDING)
+    ends = dict(taken)
+    if batches is not None:
+        new = batches.where(_beyond(taken))
+        if upto is not None:
+            new = new.where(~_beyond(upto))
+        seen = new.groupBy("writer").agg(F.max("batch_id").alias("n")).collect()  # one row per writer
+        ends |= {r.writer: r.n for r in seen}
+        waiting = waiting.unionByName(new.where("_waiting IS NOT NULL").select(*waiting.columns))
+    names = gold_schema("fact_vitals_telemetry").names
+    known = patients.where("PatientID IS NOT NULL").select(F.col("PatientID").alias("_id"), F.col("PatientSK").alias("_key"))
+    joined = waiting.join(known, F.col("_waiting.PatientID") == F.col("_id"), "left")
+    expired = F.lit(False) if give_up_after is None else F.col("_waiting.since") < F.current_timestamp() - F.expr(f"INTERVAL {give_up_after}")
+    kind = F.when(F.col("_key").isNotNull(), RESOLVED).when(expired, GIVEN_UP).otherwise(PENDING)
+    rows = joined.withColumns({"PatientSK": F.col("_key"), "_kind": kind}).select(*names, "_waiting", "_kind")
+    counts: dict[str, int] = {}
+
+    def build(folder: str) -> None:
+        seen = Observation(f"late-{uuid.uuid4().hex}")
+        numbers = [F.count_if(F.col("_kind") == k).alias(k) for k in (RESOLVED, PENDING, GIVEN_UP)]
+        rows.observe(seen, *numbers).write.parquet(f"{folder}/rows")
+        counts.update(seen.get)
+        spark.createDataFrame(list(ends.items()), "writer string, upto long").coalesce(1).write.parquet(f"{folder}/upto")
+
+    publish_together(spark, f"{path}/{_LATE}", run_id, build)
+    return counts
+
+
+def read_gold(spark: SparkSession, path: str) -> DataFrame:
+    """The readings that write_gold has added, each once, with the key it has by now."""
+    names, rows = gold_schema("fact_vitals_telemetry").names, _late_rows(spark, path, PENDING)
+    rows = rows.unionByName(_late_rows(spark, path, RESOLVED, GIVEN_UP))
+    batches = _gold_batches(spark, path)
+    if batches is not None:
+        direct = batches.where(F.col("_waiting").isNull() | _beyond(_taken(spark, path)))
+        rows = rows.unionByName(direct.select(*rows.columns))
+    return rows.select(*names)
+
+
 def gold(silver_rows: DataFrame, patients: DataFrame) -> DataFrame:
     """Stream-static left join with the current patient key, in warehouse types."""
     return fact_vitals(silver_rows, patients)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strataflow import contracts
 from strataflow.session import STREAM_CONF
-from strataflow.sources.files import list_files
+from strataflow.sources import compaction, tables
 from strataflow.streaming import vitals as stream
 
 NOON = dt.datetime(2025, 1, 1, 12)
@@ -113,9 +113,72 @@ def test_dedup_for_all_time_takes_late_rows_and_redelivery(spark, tmp_path):
     stream.compact_silver(spark, str(tmp_path / "out"), contracts.VITALS, "c2")
     again = stream.read_silver(spark, str(tmp_path / "out"), contracts.VITALS)
     assert sorted(r.TelemetryID for r in again.collect()) == ["a", "b", "c", "d", "old"]
-    # One folder per side and date, whatever the number of batches.
-    written = [r.path for r in list_files(spark, str(tmp_path / "out" / "compacted")).collect()]
-    assert len([p for p in written if "attempt=v2" in p and "/rows/" in p and p.endswith(".parquet")]) == 3
+    # One file per side and date, whatever the number of batches.
+    live = compaction.live_files(spark, str(tmp_path / "out"), "batches")
+    per_date = live.groupBy(compaction.value_in("path", "side"), compaction.value_in("path", "event_date")).count().collect()
+    assert [r["count"] for r in per_date] == [1, 1, 1]
+
+
+def silver_batch(spark, path, batch, sizes):
+    """Files of a batch as write_silver lays them out; a size is a number of rows, all of one day."""
+    schema = stream._silver_schema(contracts.VITALS)
+    for k, n in enumerate(sizes):
+        rows = spark.range(n).select(F.concat(F.lit(f"{batch}-{k}-"), "id").alias("TelemetryID"), F.sha2(F.col("id").cast("string"), 256).alias("DeviceID"),
+                                     F.lit("valid").alias("side"), F.lit(dt.date(2025, 1, 1)).alias("event_date"), F.lit("w").alias("writer"),
+                                     F.lit(batch).cast("long").alias("batch_id"))
+        full = rows.select(*[F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+        full.coalesce(1).write.mode("append").partitionBy(*stream.PLACES.names).parquet(f"{path}/batches")
+
+
+def test_compaction_leaves_large_files_alone(spark, tmp_path):
+    path = str(tmp_path / "out")
+    silver_batch(spark, path, 0, [5000, 10, 20])
+    silver_batch(spark, path, 1, [30])
+    silver_batch(spark, path, 2, [40])
+
+    def live():
+        return {r.path: r.length for r in compaction.live_files(spark, path, "batches").collect()}
+
+    def keys():
+        return sorted(r.TelemetryID for r in stream.read_silver(spark, path, contracts.VITALS).collect())
+
+    before, wanted = live(), keys()
+    large = max(before, key=before.get)
+    assert len(before) == 5 and before[large] > 100_000
+    reader = stream.read_silver(spark, path, contracts.VITALS)
+    done = stream.compact_silver(spark, path, contracts.VITALS, "c1", target_bytes=100_000, running=True)
+    assert done == {"files": 3, "bins": 1}
+    after = live()
+    assert large in after and len(after) == 3 and keys() == wanted
+    # The last batch was left out, as it may come again; the next run takes it with the packed file.
+    silver_batch(spark, path, 3, [])
+    assert stream.compact_silver(spark, path, contracts.VITALS, "c2", target_bytes=100_000) == {"files": 2, "bins": 1}
+    assert stream.compact_silver(spark, path, contracts.VITALS, "c3", target_bytes=100_000) == {"files": 0, "bins": 0}
+    assert len(live()) == 2 and keys() == wanted
+    assert reader.count() == len(wanted)  # its files are still there
+    assert compaction.remove_replaced(spark, path) == 5 and compaction.remove_replaced(spark, path) == 0
+    assert large in live() and len(live()) == 2 and keys() == wanted
+    on_disk = [p for p in tmp_path.rglob("*.parquet") if "/rows/" in str(p) or "/batches/" in str(p)]
+    assert len(on_disk) == 2 and not list(tmp_path.glob("out/batches/*/*/*/batch_id=2"))
+
+
+def test_compaction_that_breaks_off_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "out")
+    silver_batch(spark, path, 0, [10, 20])
+    monkeypatch.setattr(tables, "_append_version", lambda *_, **__: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        stream.compact_silver(spark, path, contracts.VITALS, "c1")
+    assert stream.read_silver(spark, path, contracts.VITALS).count() == 30
+    assert compaction.remove_replaced(spark, path) == 0
+
+
+def test_bins_hold_the_target():
+    sizes = [70, 50, 50, 30, 20, 10, 120]
+    bins = compaction.pack(sizes, 100)
+    held = {}
+    for size, n in zip(sizes, bins, strict=True):
+        held.setdefault(n, []).append(size)
+    assert all(sum(v) <= 100 or len(v) == 1 for v in held.values()) and len(held) == 4
 
 
 def test_gold_stream_keeps_unknown_patients(spark, tmp_path):
@@ -128,6 +191,43 @@ def test_gold_stream_keeps_unknown_patients(spark, tmp_path):
     assert rows == {"a": "sk1", "b": None}
 
 
+def test_late_patients_give_waiting_readings_their_key(spark, tmp_path):
+    """Readings wait for their patients over several runs; each is there once, and some are given up with a count."""
+    out = str(tmp_path / "gold")
+    known = [("P1", "sk1")]
+
+    def patients():
+        return spark.createDataFrame(known, "PatientID string, PatientSK string")
+
+    def run(**opts):
+        events = stream.bronze(stream.read_events(spark, "parquet", str(tmp_path / "in")))
+        stream.write_gold(events, patients, out, str(tmp_path / "offsets"), None, **opts).awaitTermination()
+
+    def keys():
+        return sorted((r.TelemetryID, r.PatientSK or "") for r in stream.read_gold(spark, out).collect())
+
+    assert stream.resolve_late(spark, out, patients(), "before") == {"resolved": 0, "pending": 0, "given_up": 0}
+    land(spark, tmp_path / "in", [payload("a"), payload("b", PatientID="P2"), payload("c", PatientID="P3"), payload("d", PatientID=None)])
+    run()
+    first = [("a", "sk1"), ("b", ""), ("c", ""), ("d", "")]
+    assert keys() == first
+    assert stream.resolve_late(spark, out, patients(), "r0") == {"resolved": 0, "pending": 2, "given_up": 0}
+    assert keys() == first
+    known.append(("P2", "sk2"))
+    land(spark, tmp_path / "in", [payload("e", PatientID="P2"), payload("f", PatientID="P3"), payload("g", PatientID="P4")], first=4)
+    run(dimension=lambda: "v2")  # the batch sees a new dimension and resolves b first
+    assert keys() == [("a", "sk1"), ("b", "sk2"), ("c", ""), ("d", ""), ("e", "sk2"), ("f", ""), ("g", "")]
+    known.append(("P3", "sk3"))
+    # The last batch was not taken yet: with its writer's bound it stays for the next run.
+    writer = [p.name.split("=")[1] for p in (tmp_path / "gold").glob("writer=*")][0]
+    assert stream.resolve_late(spark, out, patients(), "r1", upto={writer: 0}) == {"resolved": 1, "pending": 0, "given_up": 0}
+    assert stream.resolve_late(spark, out, patients(), "r2", "1 day") == {"resolved": 1, "pending": 1, "given_up": 0}
+    assert stream.resolve_late(spark, out, patients(), "r3", "0 seconds") == {"resolved": 0, "pending": 0, "given_up": 1}
+    known.append(("P4", "sk4"))
+    assert stream.resolve_late(spark, out, patients(), "r4") == {"resolved": 0, "pending": 0, "given_up": 0}
+    assert keys() == [("a", "sk1"), ("b", "sk2"), ("c", "sk3"), ("d", ""), ("e", "sk2"), ("f", "sk3"), ("g", "")]
+
+
 def test_kafka_options_escape_the_secret():
     options = stream.kafka_options("broker:9093", "vitals", 'a"b\\c')
     assert options["startingOffsets"] == "earliest" and options["failOnDataLoss"] == "false"
