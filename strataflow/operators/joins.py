@@ -7,7 +7,9 @@ both sides; AQE then splits a partition that a hot key has made too large.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .ordered import MAX_GROUP_ROWS, in_order
 
@@ -15,9 +17,22 @@ from .ordered import MAX_GROUP_ROWS, in_order
 BROADCAST_BYTES = 64 << 20
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row in memory: text by its length, other plain values by their kind, nested ones as text."""
+    parts = []
+    for field in df.schema.fields:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(field.name), F.lit(0)).cast("long") + 16)
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0)).cast("long") + 16)
+        else:
+            parts.append(F.lit(16 if isinstance(field.dataType, T.DecimalType) else 8).cast("long"))
+    return reduce(lambda a, b: a + b, parts)
+
+
 def measured_bytes(df: DataFrame) -> int:
-    """The size of the rows written as text."""
-    return df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("n")).first().n or 0
+    """The size of the rows; only the lengths of texts are read."""
+    return df.agg(F.sum(row_bytes(df)).alias("n")).first().n or 0
 
 
 def lookup(facts: DataFrame, dim: DataFrame, key: str, add) -> DataFrame:
@@ -65,7 +80,7 @@ def as_of(
         *dict.fromkeys([key, start, end, *add])
     )
     per_key = known.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json(F.struct(*known.columns)))).alias("b")
+        F.count(F.lit(1)).alias("n"), F.sum(row_bytes(known)).alias("b")
     )
     size = per_key.agg(F.sum("b").alias("bytes"), F.max("n").alias("most")).first()
     if (size.bytes or 0) <= broadcast_bytes and (size.most or 0) <= versions_per_key:

@@ -58,12 +58,29 @@ def encounter_summary(fact: DataFrame, departments: DataFrame, filters=None) ->
     )
 
 
+def _per_patient(fact: DataFrame, patients: DataFrame, by, filters) -> DataFrame:
+    """Encounters summed per patient and the fact's columns ``by``, then joined: a patient's many encounters meet the dimension
+    once. Filters on the fact apply before, those on the patient after. Sums are exact decimals, so parts add up."""
+    own = {c: v for c, v in (filters or {}).items() if c in fact.columns}
+    sums = sliced(fact, own).groupBy("PatientSK", *by).agg(
+        F.count("EncounterID").alias("_encounters"), F.sum("TotalBilledAmount").alias("_revenue"),
+        F.sum("LengthOfStayHours").alias("_hours"), F.count("LengthOfStayHours").alias("_stays"),
+    )
+    return sliced(with_patient(sums, patients), {c: v for c, v in (filters or {}).items() if c not in own})
+
+
+def _encounters() -> Column:
+    return F.coalesce(F.sum("_encounters"), F.lit(0))
+
+
+def _mean_stay() -> Column:
+    return F.try_divide(F.sum("_hours").cast("double"), F.sum("_stays"))
+
+
 def revenue_by_payer(fact: DataFrame, patients: DataFrame, filters=None) -> DataFrame:
-    rows = sliced(with_patient(fact, patients), filters)
+    rows = _per_patient(fact, patients, ["EncounterType"], filters)
     return rows.groupBy("PrimaryInsurancePayer", "State", "EncounterType").agg(
-        F.count("EncounterID").alias("TotalEncounters"),
-        total("TotalBilledAmount").alias("TotalRevenue"),
-        mean("LengthOfStayHours").alias("AvgLOS"),
+        _encounters().alias("TotalEncounters"), total("_revenue").alias("TotalRevenue"), _mean_stay().alias("AvgLOS"),
     )
 
 
@@ -109,9 +126,8 @@ def revenue_by_department(fact: DataFrame, departments: DataFrame, filters=None)
 
 def payer_mix(fact: DataFrame, patients: DataFrame, filters=None) -> DataFrame:
     """Encounters, revenue and share of revenue by payer."""
-    rows = sliced(with_patient(fact, patients), filters)
-    by_payer = rows.groupBy("PrimaryInsurancePayer").agg(
-        F.count("EncounterID").alias("TotalEncounters"), F.sum("TotalBilledAmount").alias("_revenue")
+    by_payer = _per_patient(fact, patients, [], filters).groupBy("PrimaryInsurancePayer").agg(
+        _encounters().alias("TotalEncounters"), F.sum("_revenue").alias("_revenue")
     )
     return (
         with_share(by_payer, "_revenue", "RevenueShare")
@@ -127,9 +143,8 @@ def with_share(df: DataFrame, measure: str, out: str) -> DataFrame:
 
 
 def revenue_by_state(fact: DataFrame, patients: DataFrame, filters=None) -> DataFrame:
-    rows = sliced(with_patient(fact, patients), filters)
-    return rows.groupBy("State").agg(
-        total("TotalBilledAmount").alias("TotalRevenue"), mean("LengthOfStayHours").alias("AvgLOS")
+    return _per_patient(fact, patients, [], filters).groupBy("State").agg(
+        total("_revenue").alias("TotalRevenue"), _mean_stay().alias("AvgLOS")
     )
 
 

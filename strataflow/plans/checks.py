@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import contracts
 from ..functions.clinical import lab_reference
-from ..operators import control, dedup, quality, scd2, silver, star
+from ..operators import control, dedup, quality, references, scd2, silver, star
 from ..sources import tables
 from ..session import scratch_path
 from ..streaming import vitals as stream
@@ -229,3 +229,22 @@ def x05(spark, sf):
     )
     tagged = quality.tag(silver.patients(raw), silver.patient_rules())
     return plain(tagged.select("PatientID", "Gender", "ZipCode", "DateOfBirth", F.col(quality.FAILED).alias("failed")))
+
+
+@query("j11_orphans_in_parts", "SELECT ClaimID, EncounterID FROM clm WHERE EncounterID NOT IN (SELECT EncounterID FROM enc WHERE EncounterType <> '1-URGENT')")
+def j11_parts(spark, sf):
+    """Claims against a published table of encounters that lacks some: filters first, then the parts that may hold the rest."""
+    root = scratch_path(spark, "encounters")
+    tables.publish_parts(b.encounters(spark, sf).where("EncounterType <> '1-URGENT'"), root, "r1", "EncounterID", 16)
+    return references.orphans_in_parts(b.claims(spark, sf), root, "EncounterID").select("ClaimID", "EncounterID")
+
+
+@query("q08_keys_seen_before", """
+SELECT EncounterID, 1::BIGINT + CAST(twice AS BIGINT) AS rows, known AS in_table FROM (
+  SELECT EncounterID, CAST(EncounterID AS BIGINT) % 100 = 7 AS twice, EncounterType = '1-URGENT' AS known FROM enc) WHERE known OR twice""")
+def q08_seen(spark, sf):
+    """An increment that repeats urgent encounters of the published table and has some encounters twice itself."""
+    root, rows = scratch_path(spark, "encounters"), b.encounters(spark, sf)
+    tables.publish_parts(rows.where("EncounterType = '1-URGENT'"), root, "r1", "EncounterID", 16)
+    again = rows.where(F.col("EncounterID").cast("long") % 100 == 7)
+    return references.repeated_keys(rows.unionByName(again), root, "EncounterID")

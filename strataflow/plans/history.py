@@ -166,6 +166,21 @@ def m09_none(spark, sf):
     return scd2.violations(store(b.versions(spark, sf)), "PatientID")
 
 
+@query("m09_violations_of_large_groups", """
+, log AS (SELECT event_type, value > 20 AS high, ts, event_id FROM events),
+seen AS (SELECT *, lag(high) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS before FROM log),
+kept AS (SELECT * FROM seen WHERE before IS DISTINCT FROM high)
+SELECT event_type, 'overlap' AS problem, count(*) - 1 AS rows FROM kept GROUP BY 1 HAVING count(*) > 1""".lstrip())
+def m09_large(spark, sf):
+    """A few devices hold all versions, each of which ends a day too late; the bound is set low, so groups are cut."""
+    log = b.table(spark, sf, "events").select(
+        "event_type", (F.col("value") > 20).alias("high"), F.col("ts").alias(scd2.START)
+    )
+    versions = scd2.history_from_changelog(log, ["event_type"], ["high"], max_rows=1000)
+    late = F.when(F.col(scd2.CURRENT), F.col(scd2.END)).otherwise(F.col(scd2.END) + F.expr("INTERVAL 1 DAY"))
+    return scd2.violations(store(versions.withColumn(scd2.END, late)), "event_type", max_rows=500)
+
+
 @query("m10_late_change", f"""
 , allrows AS (SELECT PatientID, PrimaryInsurancePayer, EffectiveStartDate AS t FROM ver
   UNION ALL SELECT PatientID, 'LATE', TIMESTAMP '1996-06-01' FROM pat WHERE PrimaryLanguage = 'Spanish')

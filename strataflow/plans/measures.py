@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import marts, quality, silver, star
+from ..operators import marts, quality, silver, slices, star
 from ..sources.tables import store
 from . import bindings as b
 from .registry import plain, query, ts
@@ -267,3 +267,32 @@ SELECT TestCode, count(*) AS Results, count(*) FILTER (WHERE IsAbnormal) AS Abno
 FROM lab GROUP BY 1""")
 def a21(spark, sf):
     return marts.lab_abnormality(b.labs(spark, sf))
+
+
+_SLICERS = ["FacilityName", "DepartmentName", "EncounterType"]
+
+
+def _patient_slices(spark, sf):
+    """The slice table of the encounter fact, written and read back, so that slices come from it alone."""
+    fact = marts.with_department(b.fact_encounters(spark, sf, ["PatientSK", "DepartmentSK"]), b.dim_department(spark, sf))
+    numbers = slices.numbered(b.dim_patient(spark, sf), "PatientSK")
+    sums = {"Encounters": F.count("EncounterID"), "Revenue": F.sum("TotalBilledAmount").cast("decimal(38,2)")}
+    return store(slices.slice_table(fact, numbers, "PatientSK", _SLICERS, sums))
+
+
+@query("a07_patients_of_every_slice", """
+SELECT FacilityName, DepartmentName, EncounterType, CAST(GROUPING(FacilityName, DepartmentName, EncounterType) AS BIGINT) AS level,
+  count(DISTINCT PatientSK) AS Patients, count(EncounterID) AS Encounters, CAST(sum(TotalBilledAmount) AS DOUBLE) AS Revenue
+FROM fenc LEFT JOIN dimdept USING (DepartmentSK) GROUP BY CUBE (FacilityName, DepartmentName, EncounterType)""")
+def a07_every_slice(spark, sf):
+    """Patients seen, encounters and revenue for all eight combinations of slicers, from one table of bitmaps."""
+    return plain(slices.every_slice(_patient_slices(spark, sf), _SLICERS, ["Encounters", "Revenue"], "Patients"))
+
+
+@query("p13_patients_of_a_filtered_slice", """
+SELECT EncounterType, count(DISTINCT PatientSK) AS Patients, count(EncounterID) AS Encounters
+FROM fenc LEFT JOIN dimdept USING (DepartmentSK) WHERE FacilityName IN ('ASIA', 'EUROPE') AND DepartmentName <> 'CHINA' GROUP BY 1""")
+def p13_filtered(spark, sf):
+    """Two slicers set, a third one shown; patients of several departments count once."""
+    table = _patient_slices(spark, sf).where("DepartmentName <> 'CHINA'")
+    return slices.by_slice(table, ["EncounterType"], ["Encounters"], "Patients", {"FacilityName": ["ASIA", "EUROPE"]})

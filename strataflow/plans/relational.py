@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.clinical import standard_code
-from ..functions.masking import mask_columns
+from ..functions.masking import mask_columns, pads
 from ..functions.parsing import decode_json
 from ..contracts import VITALS_PAYLOAD
 from ..operators import control, dedup, joins, marts, quality, scd2, star
@@ -140,6 +140,19 @@ def p14_hash(spark, sf):
     return hashed.select("PatientID", "FirstName", "LastName")
 
 
+_SECRET = b"a secret of the site"
+_INNER, _OUTER = (f"unhex('{p.hex()}')" for p in pads(_SECRET))
+
+
+@query("p14_keyed_hash", f"""
+SELECT PatientID, sha256({_OUTER} || unhex(sha256({_INNER} || encode(FirstName)))) AS FirstName,
+  sha256({_OUTER} || unhex(sha256({_INNER} || encode(LastName)))) AS LastName FROM pat""")
+def p14_keyed(spark, sf):
+    """Names as keyed hashes: equal names stay equal, and a list of names does not give them away."""
+    serve(b.patients(spark, sf), "vw_patients_keyed", "keyed", _SECRET)
+    return spark.table("vw_patients_keyed").select("PatientID", "FirstName", "LastName")
+
+
 @query("p15_standard_code", "SELECT PatientID, upper(trim(Gender)) AS Gender, upper(trim(Gender)) IN ('M', 'F') AS Known FROM pat")
 def p15(spark, sf):
     rows = b.patients(spark, sf).withColumn("Gender", standard_code(F.col("Gender")))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import contracts, loads
 from ..session import pin_utc, scratch_path
 from ..sources import compaction, tables
-from ..streaming import vitals as stream
+from ..streaming import offsets as continuity, vitals as stream
 from . import bindings as b
 from .registry import plain, query, ts
 from .relational import _FVIT_TEXT
@@ -219,3 +219,39 @@ def st10(spark, sf):
     _, _, running = _bronze(spark, sf)
     loads.log_stream(spark, running, log)
     return spark.read.parquet(log).select("SourceEntity", "Status", "RecordsIngested")
+
+
+_OFFSETS = """
+, placed AS (SELECT CASE WHEN event_id % 10 < 7 THEN 0 ELSE event_id % 10 END AS p,
+    CASE WHEN event_id % 10 < 7 THEN event_id // 10 * 7 + event_id % 10 ELSE event_id // 10 END AS o, event_id FROM events),
+kept AS (SELECT p, o, CASE WHEN event_id % 50 = 3 THEN 2 ELSE 1 END AS n FROM placed WHERE event_id % 97 NOT IN (5, 6, 7))"""
+
+
+def _offset_islands(spark, sf):
+    """Offsets of two loads, each reduced to its islands: one partition has most rows, some offsets are lost, some repeat."""
+    key = F.col("event_id")
+    hot = key % 10 < 7
+    rows = b.table(spark, sf, "events").where(~(key % 97).isin(5, 6, 7)).select(
+        F.when(hot, F.lit(0).cast("long")).otherwise(key % 10).alias("_kafka_partition"),
+        F.when(hot, F.expr("event_id div 10 * 7 + event_id % 10")).otherwise(F.expr("event_id div 10")).alias("_kafka_offset"),
+        F.when(key % 50 == 3, 2).otherwise(1).alias("n"),
+    )
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    # The loads divide the rows without regard to their order, so each has gaps that the other fills.
+    loads_ = [rows.where((F.xxhash64("_kafka_offset", "copy") % 2 == 0) == even) for even in (True, False)]
+    logs = [tables.store(continuity.islands(part, slice_size=100)) for part in loads_]
+    return continuity.merged(logs[0].unionByName(logs[1]))
+
+
+@query("st09_lost_offsets", _OFFSETS.lstrip() + """
+SELECT p AS partition, o + 1 AS first_missing, next - 1 AS last_missing, next - o - 1 AS missing
+FROM (SELECT p, o, lead(o) OVER (PARTITION BY p ORDER BY o) AS next FROM kept) WHERE next > o + 1""")
+def st09_lost(spark, sf):
+    return continuity.gaps(_offset_islands(spark, sf))
+
+
+@query("st03_offset_summary", _OFFSETS.lstrip() + """
+SELECT p AS partition, min(o) AS first, max(o) AS last, count(*) AS seen, max(o) - min(o) + 1 - count(*) AS missing,
+  CAST(sum(n) - count(*) AS BIGINT) AS repeated FROM kept GROUP BY 1""")
+def st03_summary(spark, sf):
+    return continuity.summary(_offset_islands(spark, sf))

@@ -9,7 +9,7 @@ from .. import contracts, loads
 from ..functions.parsing import parse_text
 from ..operators import quality, scd2
 from ..session import scratch_path
-from ..sources import files, jdbc, split, tables
+from ..sources import evolving, files, jdbc, split, tables
 from ..streaming import vitals as stream
 from . import bindings as b
 from .registry import day, num, plain, query, ts
@@ -300,6 +300,34 @@ def k02(spark, sf):
     return files.read_evolving(spark, path)
 
 
+_THIRD = "event_id % 3 = 2 AND event_id % 10 = 0"
+
+
+@query("k02_widened_type", f"""
+SELECT event_id, CAST(user_id AS INTEGER) AS user_id,
+  CASE event_id % 3 WHEN 1 THEN CAST(CAST(floor(value) AS DECIMAL(10,2)) AS DOUBLE) WHEN 2 THEN CAST(floor(value) AS DOUBLE) + 0.0625 END AS amount,
+  FALSE AS held FROM events WHERE NOT ({_THIRD})
+UNION ALL SELECT event_id, NULL, NULL, TRUE FROM events WHERE {_THIRD}""")
+def k02_widened(spark, sf):
+    """Three appends: the key widens from int to long, an amount appears and gets more digits, and a number comes as text,
+    some of which is none and goes to quarantine."""
+    path = scratch_path(spark, "evolving")
+    events, key = b.table(spark, sf, "events"), F.col("event_id")
+    user, whole = F.col("user_id").cast("int").alias("user_id"), F.floor("value")
+    text = F.when(key % 10 == 0, F.concat(F.lit("user "), "user_id")).otherwise(F.col("user_id").cast("string")).alias("user_id")
+    appends = [
+        [key.cast("int").alias("event_id"), user], [key, user, whole.cast("decimal(10,2)").alias("amount")],
+        [text, (whole + F.lit(0.0625)).cast("decimal(14,4)").alias("amount"), key],
+    ]
+    for i, columns in enumerate(appends):
+        evolving.append_evolving(events.where(key % 3 == i).select(*columns), path, f"r{i}")
+    rows = plain(evolving.read_evolved(spark, path)).withColumn("held", F.lit(False))
+    held = evolving.read_held(spark, path).where("columns = array('user_id')").select(
+        F.get_json_object("row", "$.event_id").cast("long").alias("event_id"), F.lit(True).alias("held")
+    )
+    return rows.unionByName(held, allowMissingColumns=True)
+
+
 @query("k03_overwrite_new_schema", "SELECT EncounterID, EncounterType, 1 AS extra FROM enc")
 def k03(spark, sf):
     root, rows = scratch_path(spark, "silver"), b.encounters(spark, sf)

@@ -78,12 +78,14 @@ def with_provenance(df: DataFrame, source_system: str) -> DataFrame:
     )
 
 
-def serve_current(spark: SparkSession, root: str, view: str, table: str | None = None, phi: str | None = "mask") -> None:
+def serve_current(
+    spark: SparkSession, root: str, view: str, table: str | None = None, phi: str | None = "mask", secret: bytes | None = None,
+) -> None:
     """Expose the version of a published table that is current now. Call it again after a publish: a view
     keeps to the version it was made from, so that a query never changes under its reader."""
-    serve(read_current(spark, root, table=table), view, phi)
+    serve(read_current(spark, root, table=table), view, phi, secret)
 
 
-def serve(df: DataFrame, view: str, phi: str | None = "mask") -> None:
-    """Expose a table as a view. Personal columns are masked unless ``phi`` is None."""
-    (mask_columns(df, policy=phi) if phi else df).createOrReplaceTempView(view)
+def serve(df: DataFrame, view: str, phi: str | None = "mask", secret: bytes | None = None) -> None:
+    """Expose a table as a view. Personal columns are masked unless ``phi`` is None; "keyed" needs a secret."""
+    (mask_columns(df, policy=phi, secret=secret) if phi else df).createOrReplaceTempView(view)

@@ -159,6 +159,12 @@ def publish_parts(
     return version
 
 
+def part_settings(spark: SparkSession, root: str) -> tuple[str, int]:
+    """The key of a table's parts and their number."""
+    latest = _latest(spark, root)
+    return latest.part_key, latest.part_count
+
+
 def part_folders(spark: SparkSession, root: str) -> dict[int, str]:
     """The folder of each part of the current version."""
     return dict(_latest(spark, root).parts)

@@ -1,13 +1,14 @@
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from strataflow import contracts, loads
-from strataflow.operators import control, quality, silver
+from strataflow.operators import control, quality, references, silver, slices
 from strataflow.sources import tables
-from strataflow.streaming import vitals as stream
+from strataflow.streaming import offsets as continuity, vitals as stream
 
 DAY = dt.datetime(2025, 1, 1)
 
@@ -139,3 +140,82 @@ def test_final_status():
 def test_batch_silver_vitals_keeps_one_row_per_reading(spark):
     rows = spark.createDataFrame([("t1", DAY), ("t1", DAY), ("t2", DAY), (None, DAY)], "TelemetryID string, EventTimestamp timestamp")
     assert sorted(r.TelemetryID or "-" for r in stream.silver(rows).collect()) == ["-", "t1", "t2"]
+
+
+def test_references_read_the_parts_that_may_hold_a_key(spark, tmp_path):
+    """Other parts are made unreadable; filters are made anew for rewritten parts only."""
+    root = str(tmp_path / "parent")
+    parent = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("id"), F.col("id").alias("v"))
+    tables.publish_parts(parent.unionByName(spark.createDataFrame([(None, 1)], "id string, v long")), root, "r1", "id", 32)
+    assert references.update_filters(spark, root, "id") == list(range(32))
+    assert references.update_filters(spark, root, "id") == []
+    child = spark.createDataFrame([(1, "k17"), (2, "k17"), (3, "x1"), (4, None), (5, "x2")], "c long, id string")
+    keys = [r.p for r in child.where("id LIKE 'k%'").select(tables.part_of("id", 32).alias("p")).distinct().collect()]
+    for part, folder in tables.part_folders(spark, root).items():
+        if part not in keys:
+            for file in (tmp_path / "parent" / folder / f"_part={part}").glob("*.parquet"):
+                file.write_bytes(b"no parquet")
+                (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    # x1 and x2 are settled by the filters alone.
+    assert sorted(r.c for r in references.orphans_in_parts(child, root, "id").collect()) == [3, 5]
+    seen = references.repeated_keys(child, root, "id").collect()
+    assert [(r.id, r.rows, r.in_table) for r in seen] == [("k17", 2, True)]
+    touched = tables.touched_parts(child.where("c = 1"), root)
+    kept = tables.read_parts(spark, root, touched).where("id <> 'k17'")
+    tables.publish_parts(kept, root, "r2", only=touched)
+    assert references.update_filters(spark, root, "id") == touched
+    assert sorted(r.c for r in references.orphans_in_parts(child.where("c < 3"), root, "id").collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("size", [1, 3000, 40_000])
+def test_filters_never_miss_a_key(spark, tmp_path, size):
+    root = str(tmp_path / "parent")
+    tables.publish_parts(spark.range(size).withColumnRenamed("id", "k"), root, "r1", "k", 2)
+    references.update_filters(spark, root, "k")
+    tried = references._tried(spark.range(2 * size).withColumnRenamed("id", "k"), spark, root, "k").collect()
+    assert len(tried) == 2 * size and all(r.possible for r in tried if r.k < size)
+    assert sum(r.possible for r in tried if r.k >= size) <= 0.03 * size
+
+
+def test_islands_of_offsets(spark):
+    rng = random.Random(9)
+    rows = [(p, o) for p in (0, 1) for o in range(300) if rng.random() < 0.8 for _ in range(rng.choice([1, 1, 2]))] + [(None, 3), (2, None), (3, 7)]
+    rng.shuffle(rows)
+    half = len(rows) // 2
+    logs = [
+        continuity.islands(spark.createDataFrame(part, "_kafka_partition int, _kafka_offset long"), slice_size=16) for part in (rows[:half], rows[half:])
+    ]
+    merged = continuity.merged(logs[0].unionByName(logs[1]))
+    placed = [(p, o) for p, o in rows if p is not None and o is not None]
+    lost = {(r.partition, o) for r in continuity.gaps(merged).collect() for o in range(r.first_missing, r.last_missing + 1)}
+    for r in continuity.summary(merged).collect():
+        own = [o for p, o in placed if p == r.partition]
+        assert (r.first, r.last, r.seen, r.repeated) == (min(own), max(own), len(set(own)), len(own) - len(set(own)))
+        wanted = {(r.partition, o) for o in range(min(own), max(own)) if o not in own}
+        assert {x for x in lost if x[0] == r.partition} == wanted and r.missing == len(wanted)
+    assert continuity.islands(spark.createDataFrame([], "_kafka_partition int, _kafka_offset long")).isEmpty()
+
+
+def test_slices_count_keys_beyond_one_bitmap(spark):
+    """Numbers over several buckets, NULL keys and slicer values, and keys that come later."""
+    fact = spark.range(100_000).select(
+        F.when(F.col("id") % 11 > 0, F.concat(F.lit("p"), F.col("id") % 70_000)).alias("k"), (F.col("id") % 3).alias("a"),
+        F.when(F.col("id") % 2 == 0, "x").alias("b"), F.lit(1).alias("m"),
+    )
+    first = tables.store(slices.numbered(fact.where("a = 0"), "k"))
+    numbers = tables.store(slices.numbered(fact, "k", first))
+    assert numbers.agg(F.countDistinct(slices.NUMBER), F.max(slices.NUMBER) + 1, F.count("*")).first()[:] == (numbers.count(),) * 3
+    assert first.join(numbers, ["k", slices.NUMBER]).count() == first.count()
+    table = tables.store(slices.slice_table(fact, numbers, "k", ["a", "b"], {"n": F.sum("m")}))
+    got = {(r.a, r.b, r.level): (r.keys, r.n) for r in slices.every_slice(table, ["a", "b"], ["n"], "keys").collect()}
+    for cols, level in ((["a", "b"], 0), (["a"], 1), (["b"], 2), ([], 3)):
+        for r in fact.groupBy(*cols).agg(F.countDistinct("k").alias("keys"), F.sum("m").alias("n")).collect():
+            row = r.asDict()
+            assert got.pop((row.get("a"), row.get("b"), level)) == (r["keys"], r["n"])
+    assert not got
+    one = slices.by_slice(table, ["b"], ["n"], "keys", {"a": [1, 2]})
+    assert {r.b: r["keys"] for r in one.collect()} == {
+        r.b: r["keys"] for r in fact.where("a > 0").groupBy("b").agg(F.countDistinct("k").alias("keys")).collect()
+    }
+    # The second aggregation has the small table as its only input.
+    assert set(one.inputFiles()) == set(table.inputFiles())

@@ -1,4 +1,5 @@
 import datetime as dt
+import hmac
 import json
 import time
 
@@ -11,7 +12,7 @@ from strataflow.functions.masking import mask_columns
 from strataflow.functions.parsing import parse_text
 from strataflow.operators import control, dedup, layout
 from strataflow.plans import transport
-from strataflow.sources import files, jdbc, tables
+from strataflow.sources import evolving, files, jdbc, tables
 
 
 def test_zip_code_keeps_its_zero(spark, tmp_path):
@@ -75,6 +76,51 @@ def test_masking(spark):
     assert mask_columns(df, policy="null").first().FirstName is None
 
 
+def test_keyed_hash_is_hmac(spark):
+    df = spark.createDataFrame([("Jané",), (None,), ("",)], "FirstName string")
+    for secret in (b"k", b"k" * 64, b"k" * 100):
+        wanted = [hmac.new(secret, v.encode(), "sha256").hexdigest() if v is not None else None for v in ("Jané", None, "")]
+        assert [r.FirstName for r in mask_columns(df, policy="keyed", secret=secret).collect()] == wanted
+    with pytest.raises(ValueError):
+        mask_columns(df, policy="keyed")
+
+
+@pytest.mark.parametrize("a,b,wanted", [
+    ("int", "bigint", "bigint"), ("smallint", "int", "int"), ("float", "double", "double"), ("int", "double", "double"),
+    ("bigint", "double", None), ("date", "timestamp", "timestamp"), ("decimal(10,2)", "decimal(8,4)", "decimal(12,4)"),
+    ("int", "decimal(5,3)", "decimal(13,3)"), ("decimal(38,0)", "decimal(10,5)", None), ("string", "int", None),
+    ("array<int>", "array<bigint>", "array<bigint>"), ("struct<x:int>", "struct<x:bigint,y:string>", "struct<x:bigint,y:string>"),
+    ("struct<x:int>", "struct<x:string>", None), ("void", "int", "int"),
+])
+def test_widened_types(spark, a, b, wanted):
+    kind = lambda t: spark.sql(f"SELECT CAST(NULL AS {t}) AS c").schema["c"].dataType
+    for x, y in ((a, b), (b, a)):
+        got = evolving.widened(kind(x), kind(y))
+        assert got is None if wanted is None else {f.name: f.dataType for f in got} == {f.name: f.dataType for f in kind(wanted)} if (
+            wanted.startswith("struct")) else got.simpleString() == wanted
+
+
+def test_evolved_tables_open_no_footers_to_plan(spark, tmp_path):
+    """A file of an append is made unreadable: planning and the other appends' columns do not need it."""
+    path = str(tmp_path / "t")
+    assert evolving.append_evolving(spark.createDataFrame([(1, "a")], "id int, T string"), path, "r1") == {"rows": 1, "quarantined": 0}
+    assert evolving.append_evolving(spark.createDataFrame([(1 << 40, [1])], "ID bigint, extra array<int>"), path, "r2")["rows"] == 1
+    wrong = spark.createDataFrame([("x", None), ("7", "b"), (None, "c")], "id string, t string")
+    assert evolving.append_evolving(wrong, path, "r3") == {"rows": 2, "quarantined": 1}
+    nested = spark.createDataFrame([(5, ("s",))], "id int, t struct<x:string>")
+    assert evolving.append_evolving(nested, path, "r4") == {"rows": 0, "quarantined": 1}
+    rows = evolving.read_evolved(spark, path)
+    assert rows.dtypes == [("id", "bigint"), ("T", "string"), ("extra", "array<int>")]
+    assert sorted(map(tuple, rows.collect()), key=repr) == sorted([(1, "a", None), (1 << 40, None, [1]), (7, "b", None), (None, "c", None)], key=repr)
+    held = evolving.read_held(spark, path).collect()
+    assert sorted((r["columns"], json.loads(r["row"])["id"]) for r in held) == [(["T"], 5), (["id"], "x")]
+    for part in tmp_path.glob("t/append-*/*.parquet"):
+        part.write_bytes(b"no parquet")
+    assert evolving.read_evolved(spark, path).dtypes == rows.dtypes
+    with pytest.raises(FileNotFoundError):
+        evolving.read_evolved(spark, str(tmp_path / "nothing"))
+
+
 def test_require_unique(spark):
     df = spark.createDataFrame([("a",), ("a",)], "k string")
     with pytest.raises(ValueError):
@@ -88,6 +134,21 @@ def test_jdbc_options_need_one_target():
         jdbc.jdbc_options("jdbc:x")
 
 
+def test_a_repeated_load_replaces_its_rows_in_a_database(spark, monkeypatch):
+    """What is sent, without a database: the rows of the same executions go before the new ones come."""
+    sent = []
+    monkeypatch.setattr(jdbc, "_run", lambda _, sink, text, values: sent.append((sink["url"], text, values)))
+    monkeypatch.setattr(jdbc, "_insert", lambda df, sink: sent.append(df.count()))
+    sink = jdbc.jdbc_options("jdbc:x", table="log.runs")
+    rows = spark.createDataFrame([("e2",), ("e1",), ("e2",)], "ExecutionID string")
+    jdbc.append_audit(rows, sink, "b")
+    jdbc.append_audit(rows, sink)
+    jdbc.append_audit(rows.limit(0), sink, "b")
+    assert sent == [("jdbc:x", "DELETE FROM log.runs WHERE ExecutionID IN (?, ?)", ["e1", "e2"]), 3, 3, 0]
+    with pytest.raises(ValueError):
+        jdbc.delete_statement("t", "k", 0)
+
+
 def test_scratch_root_comes_from_the_session(spark):
     assert session.scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
