@@ -89,7 +89,7 @@ def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
 def _cast(df: DataFrame, column: str, kind: T.DataType) -> Column:
     """The column as another type; NULL where its value, or its whole type, does not fit. Nested values are not turned into text."""
     nested = (T.ArrayType, T.MapType, T.StructType)
-    if isinstance(df.schema[column].dataType, nested) != isinstance(kind, nested):
+    if isinstance(df.select(column).schema[0].dataType, nested) != isinstance(kind, nested):
         return F.lit(None).cast(kind)
     cast = F.col(column).try_cast(kind)
     try:
