@@ -124,7 +124,10 @@ def terms_of(col: Column) -> Column:
 
 
 def _units(files: DataFrame) -> DataFrame:
-    """(id, text_key, unit, whole): lines and paragraphs with a cue, and the whole text, of every file with a cue."""
+    """(id, text_key, unit, text, whole): lines and paragraphs with a cue, and the whole text, of every file with a cue.
+
+    ``unit`` names a unit by the hash of its text, so that no step after the terms carries long texts.
+    """
     noticed = files.where(F.col("text").rlike(CUE))
     plain = F.regexp_replace(F.replace("text", F.lit("\r"), F.lit("")), MARKS, "")
     parts = noticed.select("id", "text_key", plain.alias("plain")).select(
@@ -132,8 +135,8 @@ def _units(files: DataFrame) -> DataFrame:
     )
     cued = F.filter("parts", lambda part: part.rlike(CUE))
     units = F.array_distinct(F.concat(F.array("plain"), cued))
-    return parts.select("id", "text_key", F.posexplode(units).alias("place", "unit")).select(
-        "id", "text_key", "unit", (F.col("place") == 0).alias("whole")
+    return parts.select("id", "text_key", F.posexplode(units).alias("place", "text")).select(
+        "id", "text_key", F.md5("text").alias("unit"), "text", (F.col("place") == 0).alias("whole")
     )
 
 
@@ -147,8 +150,9 @@ def similarities(units: DataFrame) -> DataFrame:
     """(unit, license, similarity) of the best template for each distinct unit that reaches the threshold."""
     spark = units.sparkSession
     distinct = units.groupBy("unit").agg(F.count("*").alias("files"))
+    texts = units.groupBy("unit").agg(F.count("*").alias("files"), F.first("text").alias("text"))
     tf = (
-        distinct.select("unit", "files", F.explode(terms_of(F.col("unit"))).alias("term"))
+        texts.select("unit", "files", F.explode(terms_of(F.col("text"))).alias("term"))
         .groupBy("unit", "term").agg(F.count("*").alias("tf"), F.first("files").alias("files"))
     )
     templates = spark.createDataFrame([(i, *t) for i, t in enumerate(TEMPLATES)], "template int, license string, words string")
@@ -195,7 +199,7 @@ def scan(
         _directory(path).alias("directory"), F.coalesce(is_license_file, F.lit(False)).alias("named"), F.col(text_col).alias("text"),
     )
     units = stored(_units(rows), "units")
-    best = units.join(similarities(units), "unit").groupBy("id", "text_key").agg(
+    best = units.drop("text").join(similarities(units), "unit").groupBy("id", "text_key").agg(
         F.min(F.struct((-F.col("similarity")).alias("less"), "license")).alias("best"), F.max("whole").alias("whole")
     )
     own = stored(best.select(
