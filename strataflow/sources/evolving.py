@@ -113,7 +113,7 @@ def append_evolving(df: DataFrame, path: str, run_id: str) -> dict[str, int]:
     if conflicts:
         whole = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
         marked.where(held).select(F.col("_conflicts").alias("columns"), whole.alias("row"), F.lit(run_id).alias("run_id")).write.parquet(
-            f"{path}/{_HELD}/{folder}"
+            f"{path}/{_HELD}/folder={folder}"
         )
     rows.write.parquet(f"{path}/{folder}")
     log = _appends(spark, path)
@@ -145,9 +145,7 @@ def read_evolved(spark: SparkSession, path: str) -> DataFrame:
 def read_held(spark: SparkSession, path: str) -> DataFrame:
     """Quarantined rows as JSON text, with the columns that did not fit."""
     log = _appends(spark, path)
-    folders = [] if log is None else [r.folder for r in log.select("folder").collect()]
-    out = spark.createDataFrame([], HELD)
-    for folder in folders:
-        found = read_if_present(spark, f"{path}/{_HELD}/{folder}", HELD)
-        out = out if found is None else out.unionByName(found)
-    return out
+    held = read_if_present(spark, f"{path}/{_HELD}", T.StructType([*HELD, T.StructField("folder", T.StringType())]))
+    if log is None or held is None:
+        return spark.createDataFrame([], HELD)
+    return held.join(log.select("folder"), "folder", "left_semi").select(*HELD.names)

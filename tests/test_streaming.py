@@ -158,7 +158,7 @@ def test_compaction_leaves_large_files_alone(spark, tmp_path):
     assert reader.count() == len(wanted)  # its files are still there
     assert compaction.remove_replaced(spark, path) == 5 and compaction.remove_replaced(spark, path) == 0
     assert large in live() and len(live()) == 2 and keys() == wanted
-    on_disk = [p for p in tmp_path.rglob("*.parquet") if "/rows/" in str(p) or "/batches/" in str(p)]
+    on_disk = [p for p in tmp_path.rglob("*.parquet") if "event_date=" in str(p)]
     assert len(on_disk) == 2 and not list(tmp_path.glob("out/batches/*/*/*/batch_id=2"))
 
 
