@@ -7,14 +7,15 @@
    template tree. Skeletons are dealt into cells of bounded size, whose templates are merged in the same way, so a host may have
    any number of pages.
 3. *Slots.* Every skeleton is aligned with its host's template; a block's slot is the template node it falls on. A text that
-   comes back in a slot on half of the host's pages or more is a constant node: template, not content. So are slots that mostly
+   comes back in a slot on most of the host's pages is a constant node: template, not content. So are slots that mostly
    hold links. Everything else is a varying slot: content.
 4. *Text.* The blocks of varying slots, in page order.
 
 Only pages that differ in their candidate text count for step 3, so copies of an article do not make it constant, and it takes
 MIN_PAGES of them; hosts with fewer pages are judged by steps 1 and 4. Outside of a marked article a text is constant if it
-comes back on half of the pages that have its slot; inside on half of all pages of the host. Skeletons, slots and constants are
-counted by Spark; a host's pages never meet in one task.
+comes back on half of the pages that have its slot; inside on nine tenths of all pages of the host, so that neither a common
+line nor a large group of near copies of one article passes for a template. Skeletons, slots and constants are counted by
+Spark; a host's pages never meet in one task.
 
 White space inside a block, line breaks included, becomes one space; cells of a table row are one block.
 
@@ -164,8 +165,8 @@ def wrappers(pages: DataFrame) -> DataFrame:
         F.countDistinct("voice").alias("slot_voices"), F.sum("links").alias("links"), F.sum("chars").alias("chars")
     )
     texts = seen.groupBy("host", "slot", "zone", "text").agg(F.countDistinct("voice").alias("n")).where(F.col("n") >= MIN_PAGES)
-    of_all = F.when(F.col("zone") == 1, F.col("voices")).otherwise(F.col("slot_voices"))
-    constants = texts.join(per_slot.drop("links", "chars"), ["host", "slot"]).join(hosts, "host").where(2 * F.col("n") >= of_all)
+    constant = F.when(F.col("zone") == 1, 10 * F.col("n") >= 9 * F.col("voices")).otherwise(2 * F.col("n") >= F.col("slot_voices"))
+    constants = texts.join(per_slot.drop("links", "chars"), ["host", "slot"]).join(hosts, "host").where(constant)
     menus = per_slot.where((F.col("slot_voices") >= MIN_PAGES) & (2 * F.col("links") > F.col("chars")))
     dropped = slots.join(constants.select("host", "slot", "text"), ["host", "slot"]).groupBy("host", "shape").agg(
         F.collect_set(F.struct("node", "text")).alias("constants")

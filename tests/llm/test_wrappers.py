@@ -168,6 +168,12 @@ def test_sites(spark, monkeypatch):
     for i in range(10):
         title, text = words(rng, 3), words(rng, 30)
         rows.append((f"http://marked.example/{i}", article.format(title, text), f"{title}\n{text}"))
+    # Near copies of one marked article beside a few other pages: what they share stays.
+    shared = [words(rng, 12) for _ in range(3)]
+    for i in range(20):
+        paragraphs = [*shared, words(rng, 5)] if i < 14 else [words(rng, 12) for _ in range(4)]
+        body = "".join(f"<p>{p}</p>" for p in paragraphs)
+        rows.append((f"http://near.example/{i}", f"<article>{body}</article>", "\n".join(paragraphs)))
     rows += [(None, "<p>no host</p>", "no host"), ("nonsense", None, ""), ("http://big.example/empty", "", ""), (rows[0])]
     df = spark.createDataFrame(
         [(i, u, h, "t", 5, "h", "s", "b") for i, (u, h, _) in enumerate(rows)],
