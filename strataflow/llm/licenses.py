@@ -117,6 +117,7 @@ PARAGRAPH = "\\n[ \\t]*\\n"
 CUE = "(?i)licen[cs]e|copyright|spdx|public domain|permission is hereby granted|all rights reserved"
 TERM = "[a-z]+|[0-9]+(?:[.][0-9]+)?"
 THRESHOLD = 0.7
+BROADCAST_BYTES = 16 << 20
 
 
 def terms_of(col: Column) -> Column:
@@ -218,6 +219,10 @@ def scan(
         .select("directory", F.explode(_ancestors(F.col("directory"))).alias("ancestor")).join(by_directory, "ancestor")
         .groupBy("directory").agg(F.max_by("inherited", F.length("ancestor")).alias("inherited"))
     )
+    # Written, so that it is joined for its size: sent to all tasks if small, else shuffled, where a hot directory can be split.
+    inherited = stored(inherited, "inherited")
+    size = inherited.agg(F.sum(F.length("directory") + F.length("inherited") + 32)).first()[0] or 0
+    inherited = F.broadcast(inherited) if size <= BROADCAST_BYTES else inherited
     joined = rows.drop("text").join(own, key, "left").join(inherited, "directory", "left")
     kept = [F.col(f"given.`{c}`") for c in df.columns if c.lower() not in ("license", "origin", "similarity")]
     origin = F.when(F.col("license").isNotNull(), "own").when(F.col("inherited").isNotNull(), "inherited").otherwise("none")
