@@ -9,7 +9,7 @@ from .. import contracts, loads
 from ..functions.parsing import parse_text
 from ..operators import quality, scd2
 from ..session import scratch_path
-from ..sources import evolving, files, jdbc, split, tables
+from ..sources import evolving, files, jdbc, tables
 from ..streaming import vitals as stream
 from . import bindings as b
 from .registry import day, num, plain, query, ts
@@ -91,14 +91,14 @@ def s01_split(spark, sf):
     lines = orders.select(F.concat_ws(",", F.col("o_orderkey").cast("string"), name, place).alias("value"))
     path = _text_files(spark, lines, ",".join(contracts.DEPARTMENTS.names))
     rows = files.read_csv(spark, path, contracts.DEPARTMENTS, True, **SMALL)
-    shared = _blocks_per_file(spark, path, split.CsvLines) > 1
+    shared = _shared(spark, path, SMALL)
     return rows.select(*contracts.DEPARTMENTS.names, F.col(files.CORRUPT).isNull().alias("sound"), F.lit(shared).alias("shared"))
 
 
-def _blocks_per_file(spark, path, form):
-    """The number of blocks, each read by a task of its own, of the file with the most."""
-    blocks = split.write_chunks(spark, path, form, **SMALL).groupBy("file").agg(F.countDistinct("block").alias("n"))
-    return blocks.agg(F.max("n").alias("n")).first()["n"] or 0
+def _shared(spark, path, sizes):
+    """Whether the largest file is longer than a block, so that several tasks read it."""
+    longest = files.read_files(spark, path).agg(F.max("length").alias("n")).first()["n"] or 0
+    return longest > sizes["split_bytes"]
 
 
 @query("s01_surplus_fields", """
@@ -156,8 +156,9 @@ def s04_split(spark, sf):
     labs = b.labs(spark, sf)
     objects = labs.select(F.to_json(F.struct(*labs.columns), {"timestampFormat": micros, "pretty": "true"}).alias("value"))
     path = _text_files(spark, objects, "[", "]", ",")
-    rows = files.read_json_array(spark, path, contracts.LABS, timestampFormat=micros, **SMALL)
-    shared = _blocks_per_file(spark, path, split.JsonElements) > 1
+    sizes = {"split_bytes": 128 << 10, "chunk_chars": 32 << 10}
+    rows = files.read_json_array(spark, path, contracts.LABS, timestampFormat=micros, **sizes)
+    shared = _shared(spark, path, sizes)
     return plain(rows.select(*contracts.LABS.names)).withColumn("shared", F.lit(shared))
 
 
