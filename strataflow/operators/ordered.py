@@ -1,10 +1,13 @@
 """Previous, next and last-seen values per key, in order, without one task per hot key.
 
 A window function puts all rows of a key into one task. That is right for keys of ordinary size. Keys
-with more than ``max_rows`` rows are range-partitioned by (key, order) instead, the window runs within
-each slice, and a small table of slice edges carries the values across slice borders. Both ways give
-the same rows. The sliced rows are written to the shared scratch folder first: range borders come from
-a sample, so the slice of a row must be settled once before two branches of a plan rely on it.
+with more than ``max_rows`` rows are range-partitioned by (key, order) instead and cut into slices of at most
+``max_rows`` rows, the window runs within each slice, and a small table of slice edges carries the values across
+slice borders. Both ways give the same rows. The sliced rows are written to the shared scratch folder first: range
+borders come from a sample, so the slice of a row must be settled once before two branches of a plan rely on it.
+
+A sorted range holds as many slices as it takes, so there are no more ranges than a shuffle has partitions. Sample,
+tasks and files grow with the ranges, not with the slices: the sample and the tasks' reports go to the driver.
 """
 
 from __future__ import annotations
@@ -31,8 +34,8 @@ def _on_keys(other: DataFrame, keys) -> tuple[DataFrame, Column]:
 class InOrder:
     """Ordered access to the neighbours of a row within its key."""
 
-    def __init__(self, keys, order, slices: int = 0):
-        self.keys, self.order, self.slices = list(keys), list(order), slices
+    def __init__(self, keys, order, slices: int = 0, slice_rows: int = MAX_GROUP_ROWS):
+        self.keys, self.order, self.slices, self.slice_rows = list(keys), list(order), slices, slice_rows
         self.group = [*self.keys, _SLICE] if slices else self.keys
         self.window = Window.partitionBy(*self.group).orderBy(*self.order)
         self.across = Window.partitionBy(*self.keys).orderBy(_SLICE)
@@ -41,8 +44,14 @@ class InOrder:
         if not self.slices:
             return df
         spark, path = df.sparkSession, scratch_path(df.sparkSession, "slices")
-        ranged = df.repartitionByRange(self.slices, *self.keys, *self.order)
-        ranged.withColumn(_SLICE, F.spark_partition_id()).write.parquet(path)
+        by = [*self.keys, *self.order]
+        ranges = min(self.slices, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        ranged = df.repartitionByRange(ranges, *by).sortWithinPartitions(*by)
+        # The range's number in the upper bits, the row's place in the range below: slices number along both.
+        place = F.col("_place")
+        number = place - F.pmod(F.pmod(place, F.lit(1 << 33)), F.lit(self.slice_rows))
+        numbered = ranged.withColumn("_place", F.monotonically_increasing_id())
+        numbered.withColumn(_SLICE, number).drop("_place").write.parquet(path)
         return spark.read.parquet(path)
 
     def finish(self, df: DataFrame) -> DataFrame:
@@ -114,7 +123,7 @@ def in_order(
     if not total:
         return work(plain, df)
     large = large.select(*keys)
-    sliced = InOrder(keys, order, slices=1 + -(-total // max_rows))
+    sliced = InOrder(keys, order, 1 + -(-total // max_rows), max_rows)
     hot = sliced.start(df.join(*_on_keys(large, keys), "left_semi"))
     rest = df.join(*_on_keys(large, keys), "left_anti")
     return work(plain, rest).unionByName(sliced.finish(work(sliced, hot)))

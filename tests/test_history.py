@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -133,6 +134,30 @@ def test_only_groups_over_the_bound_are_split(spark):
     assert {(r.k, r.sliced) for r in marked.collect()} == {("a", True), ("b", False), ("c", False), ("d", False)}
 
 
+def test_tasks_and_files_do_not_grow_with_the_slices(spark):
+    """Far more slices than a shuffle has partitions: no slice is over the bound, and a task takes several."""
+    rows = spark.range(3000).select((F.col("id") % 2).alias("k"), F.col("id").alias("t"), (F.col("id") % 7 < 3).alias("v"))
+    files = []
+
+    def work(order, part):
+        files.append(len(part.inputFiles()))
+        return order.previous(part, ["t"], "before").withColumn("slice", F.col("_slice") if order.slices else F.lit(-1).cast("long"))
+
+    got = in_order(rows, ["k"], ["t"], work, 10).collect()
+    sizes = Counter((r.k, r.slice) for r in got)
+    assert len(sizes) >= 300 and max(sizes.values()) <= 10
+    assert files[0] <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert all((r.before.t if r.before else None) == (r.t - 2 if r.t > 1 else None) for r in got) and len(got) == 3000
+
+
+@pytest.mark.parametrize("max_rows", [1, 3])
+def test_violations_of_groups_in_tiny_slices(spark, max_rows):
+    _, log = random_log(spark, 5)
+    late = scd2.history_from_changelog(log, ["k"], ["state"], max_rows=None).withColumn(scd2.END, F.col(scd2.END) + F.expr("INTERVAL 1 HOUR"))
+    whole, cut = (sorted(map(tuple, scd2.violations(late, "k", max_rows=n).collect())) for n in (None, max_rows))
+    assert whole and whole == cut
+
+
 @pytest.mark.parametrize("opts", [
     {"versions_per_key": 10_000}, {"broadcast_bytes": 0, "max_rows": None}, {"broadcast_bytes": 0, "max_rows": 10}, {},
 ])
