@@ -16,16 +16,21 @@ No step holds more than a chunk and the record that crosses it, or the maps of o
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..session import scratch_path, share_package
 
 SPLIT_BYTES = 128 << 20
 CHUNK_CHARS = 4 << 20
+# A task reads several blocks where they are smaller than this and there are more of them than this for every core.
+TASK_BYTES = 32 << 20
+TASKS_PER_CORE = 4
 
 # Places of a piece of text: it ends a record from before, is one, or begins one.
 ENDS, WHOLE, BEGINS = 0, 1, 2
@@ -200,15 +205,20 @@ def write_chunks(
 
         for batch in batches:
             values, files, blocks = (batch.column(i) for i in range(3))
-            for value, file, block in zip(values.to_pylist(), files.to_pylist(), blocks.to_pylist(), strict=True):
-                if place != (file, block):
+            rest = batch.num_rows - 1
+            turns = pc.or_(pc.not_equal(files[1:], files[:rest]), pc.not_equal(blocks[1:], blocks[:rest]))
+            starts = [0, *(i + 1 for i in pc.indices_nonzero(turns).to_pylist()), batch.num_rows] if batch.num_rows else []
+            for start, end in itertools.pairwise(starts):
+                now = files[start].as_py(), blocks[start].as_py()
+                if place != now:
                     if held:
                         yield chunk(True)
-                    place, number, before = (file, block), 0, _SAME
-                elif size >= chunk_chars:
-                    yield chunk(False)
-                held.append(value)
-                size += len(value) + 1
+                    place, number, before = now, 0, _SAME
+                for value in values[start:end].to_pylist():
+                    if size >= chunk_chars:
+                        yield chunk(False)
+                    held.append(value)
+                    size += len(value) + 1
         if held:
             yield chunk(True)
 
@@ -217,7 +227,10 @@ def write_chunks(
         ("before", pa.list_(pa.int64())), ("whole", pa.list_(pa.int64())), ("base", pa.int32()),
     ])
     place = scratch_path(spark, "chunks")
-    lines.mapInArrow(run, _CHUNKS).write.parquet(place)
+    # Blocks may be far smaller than what a task is worth; those of a task come one after the other.
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length").alias("n")).first()["n"] or 0
+    tasks = max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+    lines.coalesce(tasks).mapInArrow(run, _CHUNKS).write.parquet(place)
     return spark.read.schema(_CHUNKS).parquet(place)
 
 

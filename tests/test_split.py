@@ -157,3 +157,21 @@ def test_contract_columns(spark, tmp_path):
     got = files.read_csv(spark, str(tmp_path), contracts.DEPARTMENTS, multi_line=True)
     assert got.columns == [*contracts.DEPARTMENTS.names, files.CORRUPT, "_source_file"]
     assert files.with_provenance(got, "EHR").first()["_source_file"].endswith("d.csv")
+
+
+def test_a_task_reads_many_small_blocks(spark, tmp_path):
+    """Hundreds of blocks in two files, which a bounded number of tasks write as chunks; the records are those of csv."""
+    rng = random.Random(9)
+    rows = [[rng.choice(FIELDS) for _ in range(3)] for _ in range(4000)]
+    wanted = []
+    for n, part in enumerate((rows[:2500], rows[2500:])):
+        out = io.StringIO(newline="")
+        csv.writer(out, lineterminator="\n", quoting=csv.QUOTE_ALL).writerows([list("abc"), *part])
+        (tmp_path / f"{n}.csv").write_text(out.getvalue(), newline="")
+        wanted += part
+    blocks = sum(-(-f.stat().st_size // 200) for f in tmp_path.glob("*.csv"))
+    chunks = split.write_chunks(spark, str(tmp_path), CsvLines, 200, 100)
+    assert blocks > 300 and chunks.select("file", "block").distinct().count() > 200
+    assert len(chunks.inputFiles()) <= split.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    got = [next(csv.reader(io.StringIO(r.value, newline=""))) for r in split.records(chunks, CsvLines).where("NOT first").collect()]
+    assert sorted(got) == sorted(wanted)
