@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strataflow import contracts
+from strataflow.plans import bindings as b
 from strataflow.session import STREAM_CONF
 from strataflow.sources import compaction, tables
 from strataflow.streaming import vitals as stream
@@ -241,3 +242,22 @@ def test_processing_time_trigger(spark, landed):
     query.processAllAvailable()
     query.stop()
     assert spark.read.parquet(str(landed / "out")).agg(F.count("*")).first()[0] == 8
+
+
+def test_a_date_is_written_by_few_tasks(spark, tmp_path):
+    """The state has more partitions than there are cores: a batch does not write a file per partition and date."""
+    events = spark.range(3000).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1735700000) + F.col("id") % 2 * 86400).alias("ts"), F.col("id").alias("user_id"),
+        F.lit("view").alias("event_type"), F.lit(5.0).alias("value"), F.lit('{"k": 1}').alias("props"),
+    )
+    events.write.parquet(str(tmp_path / "in"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        source = b.vitals_of(spark.readStream.schema(b.TABLES["events"]).parquet(str(tmp_path / "in")))
+        stream.write_silver(source, str(tmp_path / "out"), str(tmp_path / "ck"), trigger=None).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    files = [str(f.parent) for f in (tmp_path / "out").rglob("*.parquet") if f.is_file()]
+    assert len(set(files)) == 2 and max(map(files.count, files)) <= spark.sparkContext.defaultParallelism
+    assert stream.read_silver(spark, str(tmp_path / "out"), contracts.VITALS).select("TelemetryID").distinct().count() == 3000
