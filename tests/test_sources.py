@@ -1,6 +1,7 @@
 import datetime as dt
 import hmac
 import json
+import threading
 import time
 
 import pytest
@@ -10,7 +11,7 @@ from strataflow import contracts, loads, session
 from strataflow.functions.keys import business_key, version_key
 from strataflow.functions.masking import mask_columns
 from strataflow.functions.parsing import parse_text
-from strataflow.operators import control, dedup, layout
+from strataflow.operators import control, dedup, layout, scd2, star
 from strataflow.plans import transport
 from strataflow.sources import evolving, files, jdbc, tables
 
@@ -298,3 +299,76 @@ def test_csv_lines_are_written_over_all_partitions(spark):
     assert len(rows.inputFiles()) == 9
     assert sorted(int(r.DepartmentID) for r in rows.where("sound").collect()) == list(range(1000))
     assert transport._csv_lines(spark, lines.limit(0), True).count() == 0
+
+
+def test_calls_at_once_run_beside_each_other_and_keep_their_order(spark):
+    both = threading.Barrier(2, timeout=20)
+    assert session.at_once(spark, [lambda: (both.wait(), "a")[1], lambda: (both.wait(), "b")[1]]) == ["a", "b"]
+    ended = []
+
+    def fail(text, seconds):
+        time.sleep(seconds)
+        ended.append(text)
+        raise ValueError(text)
+
+    with pytest.raises(ValueError, match="first"):
+        session.at_once(spark, [lambda: fail("first", 0.3), lambda: fail("second", 0)])
+    assert ended == ["second", "first"]
+
+
+def _gold_rows(spark, n):
+    at = dt.datetime(2025, 1, 1)
+    patients = spark.createDataFrame(
+        [(f"P{i}", f"M{i}", "A", "B", at.date(), "F", "English", None, None, "MA", None, None, at) for i in range(n)], contracts.PATIENTS
+    )
+    providers = spark.createDataFrame([(f"D{i}", str(i), "A", "B", "W1") for i in range(n)], contracts.PROVIDERS)
+    departments = spark.createDataFrame([("W1", "ICU", "North")], contracts.DEPARTMENTS)
+    encounters = spark.createDataFrame(
+        [(f"E{i}", f"P{i}", f"D{i}", "W1", "ER", at, at, None, None, "DONE", None) for i in range(n + 1)], contracts.ENCOUNTERS
+    ).withColumn("TotalBilledAmount", F.lit(1).cast("decimal(12,2)"))
+    vitals = spark.createDataFrame(
+        [(f"T{i}", f"P{i}", f"E{i}", "bed", 80, 120, 80, 97.0, 36.6, at) for i in range(n)],
+        "TelemetryID string, PatientID string, EncounterID string, DeviceID string, HeartRate int, BloodPressureSystolic int, "
+        "BloodPressureDiastolic int, OxygenSaturation double, BodyTemperature double, EventTimestamp timestamp",
+    ).withColumn("IsCriticalAlert", F.lit(False))
+    return scd2.stage(patients), providers, departments, encounters, vitals
+
+
+def test_gold_shuffles_encounters_for_patients_only(spark, tmp_path, monkeypatch):
+    """Provider and department keys are broadcast by their measured size, whatever Spark makes of the files."""
+    built, make = [], star.fact_encounters
+    monkeypatch.setattr(loads.star, "fact_encounters", lambda *args: built.append(make(*args)) or built[-1])
+    rows, root, log = _gold_rows(spark, 5), str(tmp_path / "gold"), str(tmp_path / "log")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        loads.build_gold(*rows, root, "r1", log)
+        plan = built[0]._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert (plan.count("BroadcastHashJoin"), plan.count("SortMergeJoin")) == (2, 1)
+    fact = tables.read_current(spark, root, table="fact_patient_encounters").orderBy("EncounterID").collect()
+    assert [(r.PatientSK is None, r.ProviderSK is None, r.DepartmentSK is None) for r in fact] == [(False,) * 3] * 5 + [(True, True, False)]
+    assert spark.read.schema(contracts.RUN_LOG).parquet(log).first().RecordsIngested == 5 + 5 + 1 + 6 + 5
+
+
+def test_gold_names_the_first_table_that_breaks_its_contract(spark, tmp_path):
+    versions, providers, departments, encounters, vitals = _gold_rows(spark, 3)
+    broken = providers.withColumn("NPI_Number", F.lit("12345678901"))
+    twice = departments.unionByName(departments)
+    with pytest.raises(loads.GoldRejected, match="dim_provider: {'LENGTH_NPI_Number': 3}, 0 repeated keys"):
+        loads.build_gold(versions, broken, twice, encounters, vitals, str(tmp_path / "gold"), "r1")
+    assert not tables.table_exists(spark, str(tmp_path / "gold"))
+
+
+def test_serving_views_read_the_encounters_once(spark, tmp_path, monkeypatch):
+    rows, asked, made = _gold_rows(spark, 4), [], []
+    bound = transport.b
+    for name, df in zip(("providers", "departments", "vitals"), (rows[1], rows[2], rows[4])):
+        monkeypatch.setattr(bound, name, lambda *_, df=df: df)
+    monkeypatch.setattr(bound, "patients", lambda *_: rows[0].drop("PatientSK", scd2.CURRENT, scd2.START, scd2.END))
+    monkeypatch.setattr(bound, "encounters", lambda *_: asked.append(1) or rows[3])
+    build = loads.build_gold
+    monkeypatch.setattr(loads, "build_gold", lambda *args: made.append(args[6]) or build(*args))
+    counts = {r.view: r.n for r in transport.s09(spark, str(tmp_path)).collect()}
+    assert counts == {"dim_department": 1, "dim_patient": 4, "dim_provider": 4, "fact_patient_encounters": 5, "fact_vitals_telemetry": 4}
+    assert (len(asked), made) == (1, ["r1", "r2"])
