@@ -155,7 +155,7 @@ def k10_broken(spark, sf):
     bronze = scratch_path(spark, "bronze")
     drop(claims)
     raw = files.read_csv(spark, f"{root}/landing/claims/billing_claims/", contracts.CLAIMS)
-    tables.land(files.with_provenance(raw, "CLAIMS_ENGINE"), f"{bronze}/bronze/claims/billing_claims", "r1", "claims")
+    tables.land(files.with_provenance(raw, "CLAIMS_ENGINE"), f"{bronze}/bronze/claims/billing_claims", "r1")
     loads.ingest(spark, seed, root, bronze, scratch_path(spark, "run_log"), "r1")
     return _claims_landed(spark, bronze)
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from .. import contracts, loads
 from ..functions.parsing import parse_text
 from ..operators import quality, scd2
-from ..session import scratch_path
+from ..session import at_once, scratch_path
 from ..sources import evolving, files, jdbc, tables
 from ..streaming import vitals as stream
 from . import bindings as b
@@ -456,16 +458,21 @@ def k09(spark, sf):
 
 
 def landing(spark, sf):
-    """The six raw drops under one folder, as the control table's seed rows expect them."""
+    """The six raw drops under one folder, as the control table's seed rows expect them; written beside each other."""
     root = scratch_path(spark, "raw")
     csv = {
         "landing/ehr/patients/": b.patients, "landing/ehr/providers/": b.providers,
         "landing/pm/departments/": b.departments, "landing/ehr/encounters/": b.encounters,
         "landing/claims/billing_claims/": b.claims,
     }
-    for folder, build in csv.items():
+
+    def drop(folder, build):
         b.as_text(build(spark, sf)).write.option("header", True).csv(f"{root}/{folder}")
-    b.as_text(b.labs(spark, sf)).write.json(f"{root}/landing/labs/lab_results/")
+
+    at_once(spark, [
+        *[partial(drop, *named) for named in csv.items()],
+        lambda: b.as_text(b.labs(spark, sf)).write.json(f"{root}/landing/labs/lab_results/"),
+    ])
     return root
 
 
@@ -477,7 +484,7 @@ def k10(spark, sf):
     raw, path = scratch_path(spark, "raw"), scratch_path(spark, "bronze")
     b.as_text(b.claims(spark, sf)).write.option("header", True).csv(raw)
     rows = files.with_provenance(files.read_csv(spark, raw, contracts.CLAIMS).drop(files.CORRUPT), "CLAIMS_ENGINE")
-    tables.land(rows, path, "r1", "claims")
+    tables.land(rows, path, "r1")
     return spark.read.parquet(path).select(*contracts.CLAIMS.names, "_source_system")
 
 

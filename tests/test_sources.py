@@ -234,6 +234,48 @@ def claims_load(spark, tmp_path, run):
     return [(r.Status, r.RecordsIngested) for r in rows]
 
 
+def test_entities_load_beside_each_other(spark, raw_drop, tmp_path, monkeypatch):
+    """Two entities wait for each other, which no load in turn could; those of one Bronze folder never run at once."""
+    meet, land, inside, most = threading.Barrier(2, timeout=60), loads.land_entity, [], []
+
+    def wait(spark, row, *args):
+        if row.EntityName in ("Patients", "Providers"):
+            meet.wait()
+        if row.TargetBronzePath == "bronze/same/":
+            inside.append(row.EntityName)
+            most.append(len(inside))
+            done = land(spark, row, *args)
+            inside.remove(row.EntityName)
+            return done
+        return land(spark, row, *args)
+
+    monkeypatch.setattr(loads, "land_entity", wait)
+    named = F.col("EntityName").isin("Departments", "Encounters")
+    seed = control.seed_control(spark).where("EntityName NOT IN ('LabResults', 'BillingClaims')")
+    seed = seed.withColumn("TargetBronzePath", F.when(named, "bronze/same/").otherwise(F.col("TargetBronzePath")))
+    after = loads.ingest(spark, seed, raw_drop, str(tmp_path / "bronze"), str(tmp_path / "log"), "r1")
+    events = spark.read.schema(contracts.RUN_LOG).parquet(str(tmp_path / "log")).where("Status <> 'STARTED'").collect()
+    assert {r.SourceEntity: (r.Status, r.RecordsIngested, r.ErrorMessage) for r in events} == {
+        "Patients": ("SUCCESS", 2, None), "Providers": ("SUCCESS", 1, None), "Departments": ("SUCCESS", 1, None),
+        "Encounters": ("SUCCESS", 2, "1 unreadable"), loads.ALL_ENTITIES: ("SUCCESS", 0, None),
+    }
+    assert most == [1, 1]
+    marks = {r.EntityName: r.WatermarkValue for r in after.collect()}
+    assert marks["Patients"] == dt.datetime(2025, 2, 1, 10) and marks["Encounters"] == dt.datetime(2025, 3, 1)
+
+
+def test_landed_rows_are_counted_in_their_folder(spark, tmp_path):
+    """Rows of a second attempt are not counted, derived columns are not written, no rows give zero."""
+    path, rows = str(tmp_path / "t"), spark.createDataFrame([("1",), ("x",), (None,)], "a string")
+    asked = {"high": F.max("n"), "bad": F.count_if(F.col("n").isNull())}, {"n": F.col("a").try_cast("int")}
+    for _ in range(2):
+        seen = tables.land(rows, path, "r1", *asked)
+        assert (seen["rows"], seen["high"], seen["bad"]) == (3, 1, 2)
+    assert spark.read.parquet(path).drop("run_id", "attempt").columns == ["a"]
+    none = tables.land(rows.where("a = 'y'"), path, "r1", *asked)
+    assert (none["rows"], none["high"], none["bad"]) == (0, None, 0)
+
+
 def test_a_load_does_not_read_bronze(spark, tmp_path):
     """The rows of the first load are made unreadable; later loads do not notice."""
     claims_drop(tmp_path, "a b%20.csv", "c1", "c2")
