@@ -116,8 +116,8 @@ def ingest(
     with its row count, and the run always logs an end, also when the control table cannot be read. A watermark
     moves only after its rows are written.
     """
-    def log(entity, status, rows=0, error=None, started=None):
-        event = ctl.run_event(spark, run_id, entity, "BRONZE", status, INGEST, rows, 0, error, started=started)
+    def log(entity, status, rows=0, error=None, started=None, ended=None):
+        event = ctl.run_event(spark, run_id, entity, "BRONZE", status, INGEST, rows, 0, error, started=started, ended=ended)
         append_audit(event, log_sink)
 
     def load(rows):
@@ -126,13 +126,15 @@ def ingest(
             try:
                 done = land_entity(spark, row, raw_root, bronze_root, run_id, json_array)
             except Exception as error:  # an entity must not stop the others; the log keeps its message
+                ended = _now()
                 with one_at_a_time:
                     failed[place] = row.EntityName
-                    log(row.EntityName, ctl.FAILED, error=str(error), started=started)
+                    log(row.EntityName, ctl.FAILED, error=str(error), started=started, ended=ended)
                 continue
+            ended = _now()  # the wait for the log is none of the load's time
             notes = [f"{done[k]} {k}" for k in ("late", "unreadable") if done.get(k)]
             with one_at_a_time:  # appends to one log folder would take each other's unfinished files away
-                log(row.EntityName, ctl.SUCCESS, done["rows"], ", ".join(notes) or None, started)
+                log(row.EntityName, ctl.SUCCESS, done["rows"], ", ".join(notes) or None, started, ended)
                 if done["high"] is not None:
                     marks.append((row.SourceSystem, row.EntityName, done["high"]))
 

@@ -264,6 +264,31 @@ def test_entities_load_beside_each_other(spark, raw_drop, tmp_path, monkeypatch)
     assert marks["Patients"] == dt.datetime(2025, 2, 1, 10) and marks["Encounters"] == dt.datetime(2025, 3, 1)
 
 
+def test_a_wait_for_the_log_is_no_load_time(spark, tmp_path, monkeypatch):
+    """All loads end at once and a log row takes a second: each row's times are its own load's, inside those of the run."""
+    ends, append = threading.Barrier(3, timeout=60), loads.append_audit
+
+    def land(spark, row, *args):
+        ends.wait()
+        if row.EntityName == "Providers":
+            raise ValueError("no drop")
+        return {"rows": 1, "high": None}
+
+    def slow(event, sink):
+        time.sleep(1)
+        append(event, sink)
+
+    monkeypatch.setattr(loads, "land_entity", land)
+    monkeypatch.setattr(loads, "append_audit", slow)
+    seed = control.seed_control(spark).where("EntityName IN ('Patients', 'Providers', 'Departments')")
+    loads.ingest(spark, seed, str(tmp_path), str(tmp_path / "bronze"), str(tmp_path / "log"), "r1")
+    events = spark.read.schema(contracts.RUN_LOG).parquet(str(tmp_path / "log")).where("Status <> 'STARTED'").collect()
+    times = {r.SourceEntity: (r.ExecutionStartTime, r.ExecutionEndTime) for r in events}
+    began, done = times.pop(loads.ALL_ENTITIES)
+    assert len(times) == 3 and max(e for _, e in times.values()) - min(e for _, e in times.values()) < dt.timedelta(seconds=1)
+    assert all(began <= s <= e <= done for s, e in times.values())
+
+
 def test_landed_rows_are_counted_in_their_folder(spark, tmp_path):
     """Rows of a second attempt are not counted, derived columns are not written, no rows give zero."""
     path, rows = str(tmp_path / "t"), spark.createDataFrame([("1",), ("x",), (None,)], "a string")
