@@ -66,6 +66,84 @@ def test_top_k_large_values_and_few_rows(spark):
     assert topk.top_k(table(spark, big).limit(0), F.col("id") % 50 == 0).count() == 0
 
 
+def brute_force(ids, whole, asked, k):
+    """{query: [(rank, id, score)]} from integer vectors."""
+    found = {}
+    for q in asked:
+        score = whole @ whole[list(ids).index(q)]
+        order = [i for i in np.lexsort((ids, -score)) if ids[i] != q][:k]
+        found[q] = [(r + 1, ids[i], score[i]) for r, i in enumerate(order)]
+    return found
+
+
+def by_query(rows):
+    found = {}
+    for r in rows:
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    return {q: sorted(x) for q, x in found.items()}
+
+
+def sent_to_python(df):
+    """Rows of a DataFrame, and the bytes its plan handed to Python workers."""
+    rows, sent, plans = df.collect(), 0, [df._jdf.queryExecution().executedPlan()]
+    while plans:
+        plan = plans.pop()
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            plans.append(plan.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            plans.append(plan.plan())
+        metric = plan.metrics().get("pythonDataSent")
+        sent += metric.get().value() if metric.isDefined() else 0
+        plans += [plan.children().apply(i) for i in range(plan.children().size())]
+    return rows, sent
+
+
+def test_top_k_sends_no_range_twice(spark):
+    count, width = 16_384, 16
+    values = [(F.pmod(F.xxhash64("id", F.lit(j)), F.lit(1000)) / 1000 - 0.5).cast("float") for j in range(width)]
+    df = spark.range(count).select(F.col("id").alias("vec_id"), F.array(values).alias("embedding"))
+    rows, sent = sent_to_python(topk.top_k(df, F.col("id") % 4 == 0))
+    assert len(rows) == 5 * count // 4
+    # Each vector of doubles once; joined to every 512 queries a range went to Python over again.
+    assert sent < 3 * count * width * 8
+
+
+def test_top_k_small_pieces_and_ranges(spark, monkeypatch):
+    monkeypatch.setattr(topk, "RANGE_ROWS", 60)
+    rng = np.random.default_rng(6)
+    ids = [int(i) for i in rng.permutation(400) - 50]
+    vectors = [rng.integers(-2, 3, rng.integers(1, 6)).tolist() for _ in ids]
+    whole = np.array([v + [0] * (5 - len(v)) for v in vectors]) * 256
+    got = topk.top_k(table(spark, [[float(x) for x in v] for v in vectors], ids), F.col("id") % 3 == 0, k=9)
+    assert by_query(got.collect()) == brute_force(ids, whole, [i for i in ids if i % 3 == 0], 9)
+
+
+def test_top_k_of_repeated_ids_takes_the_smallest_vector(spark):
+    ids, vectors = [0, 50, 0, 7, 7], [[0.002, 1.0], [0.5, 0.5], [0.001, 9.0], [1.0, 1.0], [0.5, 3.0]]
+    got = by_query(topk.top_k(table(spark, vectors, ids), F.col("id") % 50 == 0).collect())
+    whole = np.array([[0, 2304], [128, 128], [128, 768]])
+    assert got == brute_force([0, 50, 7], whole, [0, 50], 5)
+
+
+@pytest.mark.parametrize(("most", "kind"), [(3, np.float32), (1000, np.float32), (10**6, np.float64), (2**26, np.int64)])
+def test_search_range_in_each_type(most, kind):
+    rng = np.random.default_rng(most)
+    rows, ids = rng.integers(-most, most + 1, (1500, 4)), np.sort(rng.choice(9000, 1500, replace=False)) - 100
+    rows[200:500] = rows[0]
+    rows[600:1000, 0] += most // 2
+    asked = np.concatenate([rows[:40], rows[450:460], rows[900:910]])
+    asked_ids = np.concatenate([ids[:40], ids[450:460], ids[900:910]])
+    assert topk.exact_type(asked, topk.largest(rows), 4) is kind
+    for k, block_rows in ((1, 128), (5, 7), (40, 16), (2000, 128)):
+        found, score, _ = topk.search_range(asked_ids, asked, ids, rows, k, block_rows)
+        exact = asked @ rows.T
+        for i, q in enumerate(asked_ids):
+            order = [j for j in np.lexsort((ids, -exact[i])) if ids[j] != q][:k]
+            there = score[i] > topk.NONE
+            assert found[i][there].tolist() == ids[order].tolist() and score[i][there].tolist() == exact[i][order].tolist()
+
+
 @pytest.mark.parametrize("scaled", [False, True])
 def test_nearest_recall(spark, monkeypatch, scaled):
     monkeypatch.setattr(ann, "SHARD_ROWS", 700)
