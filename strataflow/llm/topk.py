@@ -30,8 +30,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .vectors import best, smallest, taking_part
 
 # A range holds at most so many rows and about so many bytes, and is not made smaller than LEAST_ROWS to keep cores busy.
-RANGE_ROWS = 1 << 19
-RANGE_BYTES = 1 << 26
+RANGE_ROWS = 1 << 18
+RANGE_BYTES = 1 << 25
 LEAST_ROWS = 4096
 TASKS_PER_CORE = 4
 COPIES = 4
